@@ -55,10 +55,11 @@ def level(processed: str | Column, percentile_5: str | Column, percentile_95: st
 
 
 def age_seconds(ts: str | Column, as_of: str | Column) -> Column:
-    """F11 as whole seconds (as_of − ts); intervals do not compare across engines."""
-    a = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
-    t = col_(ts).cast("timestamp_ntz")
-    return F.unix_micros(a.cast("timestamp")) // 1_000_000 - F.unix_micros(t.cast("timestamp")) // 1_000_000
+    """F11 as seconds (as_of − ts, DOUBLE with microsecond precision); intervals do not
+    compare cleanly across engines."""
+    a = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of.cast("timestamp")
+    t = col_(ts).cast("timestamp")
+    return (F.unix_micros(a) - F.unix_micros(t)).cast("double") / 1_000_000
 
 
 def age(ts: str | Column, as_of: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.levels import trend
 from gaugework.operators.ranking import latest_per_key, top_k_per_key, trailing_mean
-from gaugework.plans.catalog import query, t
+from gaugework.plans.catalog import AS_OF, query, t
 
 KEYS = ["user_id", "event_type"]
 
@@ -67,3 +67,104 @@ def q_trend_mean4(spark, sf):
         trend("value", "previous_value", previous_is_nan="previous_is_nan").alias("trend"),
         F.col("previous_count").cast("bigint").alias("n_prev"),
     )
+
+
+@query("trend_lag", """
+WITH r AS (
+  SELECT user_id, event_type, ts, value,
+         lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk
+  FROM events)
+SELECT user_id, event_type, ts AS latest_ts, value AS latest_value, prev AS previous_value,
+       CASE WHEN prev IS NULL THEN 'steady'
+            WHEN round(value * 100) > round(prev * 100) THEN 'rising'
+            WHEN round(value * 100) < round(prev * 100) THEN 'falling'
+            ELSE 'steady' END AS trend
+FROM r WHERE rk = 1
+""")
+def q_trend_lag(spark, sf):
+    from gaugework.operators.ranking import lag_value
+    r = lag_value(readings(spark, sf), KEYS, "ts", "event_id", "value")
+    return r.select("user_id", "event_type", F.col("ts").alias("latest_ts"),
+                    F.col("value").alias("latest_value"), "previous_value",
+                    trend("value", "previous_value").alias("trend"))
+
+
+@query("latest_value_ties", """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_extendedprice
+FROM lineitem
+QUALIFY rank() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC) = 1
+""")
+def q_latest_value_ties(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
+                                          "l_extendedprice")
+    return top_k_per_key(li, "l_orderkey", "l_shipdate", None, k=1).drop("rank")
+
+
+def _nan_free(col):
+    return f"CASE WHEN isnan({col}) THEN NULL ELSE {col} END"
+
+
+@query("trailing_totals", f"""
+WITH e AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase'),
+l AS (SELECT user_id, max(ts) AS latest_ts FROM e GROUP BY user_id)
+SELECT e.user_id, l.latest_ts,
+  round(sum(CASE WHEN e.ts > l.latest_ts - INTERVAL 24 HOUR THEN {_nan_free('e.value')} END), 2) AS day_total,
+  round(sum(CASE WHEN e.ts > l.latest_ts - INTERVAL 6 HOUR THEN {_nan_free('e.value')} END), 2) AS six_hr_total,
+  round(sum(CASE WHEN e.ts > l.latest_ts - INTERVAL 1 HOUR THEN {_nan_free('e.value')} END), 2) AS one_hr_total
+FROM e JOIN l USING (user_id)
+GROUP BY e.user_id, l.latest_ts
+""")
+def q_trailing_totals(spark, sf):
+    from gaugework.operators.windows import trailing_totals
+    rain = readings(spark, sf).filter(F.col("event_type") == "purchase")  # case-sensitive, like 'Rainfall'
+    out = trailing_totals(rain, "user_id", "ts", "value")
+    return out.select("user_id", "latest_ts",
+                      *[F.round(c, 2).alias(c) for c in ("day_total", "six_hr_total", "one_hr_total")])
+
+
+@query("trailing_total_as_of", f"""
+SELECT user_id, round(sum({_nan_free('value')}), 2) AS day_total
+FROM events
+WHERE event_type = 'purchase' AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
+GROUP BY user_id
+""")
+def q_trailing_total_as_of(spark, sf):
+    from gaugework.operators.windows import trailing_totals
+    rain = readings(spark, sf).filter(F.col("event_type") == "purchase")
+    out = trailing_totals(rain, "user_id", "ts", "value", hours=(24,), anchor="as_of", as_of=AS_OF)
+    return out.select("user_id", F.round("day_total", 2).alias("day_total"))
+
+
+@query("age_seconds", f"""
+SELECT user_id, event_type, ts,
+       CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(ts) AS DOUBLE) / 1000000 AS age_seconds
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+""")
+def q_age_seconds(spark, sf):
+    from gaugework.functions.levels import age_seconds
+    lat = latest_per_key(readings(spark, sf), KEYS, "ts", "event_id")
+    return lat.select("user_id", "event_type", "ts", age_seconds("ts", AS_OF).alias("age_seconds"))
+
+
+@query("nan_rules", """
+WITH e AS (SELECT user_id,
+                  CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS v
+           FROM events)
+SELECT user_id,
+       round(sum(CASE WHEN isnan(v) THEN NULL ELSE v END), 2) AS total,
+       count(CASE WHEN isnan(v) THEN NULL ELSE v END) AS n_valid,
+       max(v) AS max_raw,
+       bool_or(isnan(v)) AS has_nan
+FROM e GROUP BY user_id
+""")
+def q_nan_rules(spark, sf):
+    from gaugework.functions.numeric import nullif_nan
+    e = t(spark, sf, "events").select(
+        "user_id", F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("v"))
+    return e.groupBy("user_id").agg(
+        F.round(F.sum(nullif_nan("v")), 2).alias("total"),
+        F.count(nullif_nan("v")).alias("n_valid"),
+        F.max("v").alias("max_raw"),
+        F.bool_or(F.isnan("v")).alias("has_nan"))
