@@ -36,4 +36,4 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Importing the modules registers their queries.
-from gaugework.plans import q_readings, q_stations  # noqa: E402,F401
+from gaugework.plans import q_readings, q_rivers, q_stations  # noqa: E402,F401
