@@ -35,4 +35,6 @@ def parallel_arrays(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Per key, one array per field, all in the same order."""
     arr = _sorted_structs(order, fields, descending)
     agg = df.groupBy(*keys).agg(arr.alias("_arr"))
-    return agg.select(*keys, *[F.transform("_arr", lambda x, f=f: x["_v"][f]).alias(f"{f}s") for f in fields])
+    def field(f: str):
+        return lambda x: x["_v"][f]
+    return agg.select(*keys, *[F.transform("_arr", field(f)).alias(f"{f}s") for f in fields])
