@@ -36,4 +36,4 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Importing the modules registers their queries.
-from gaugework.plans import q_geo, q_readings, q_rivers, q_stations, q_views  # noqa: E402,F401
+from gaugework.plans import q_geo, q_ingest, q_readings, q_rivers, q_stations, q_views  # noqa: E402,F401
