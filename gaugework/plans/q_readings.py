@@ -168,3 +168,25 @@ def q_nan_rules(spark, sf):
         F.count(nullif_nan("v")).alias("n_valid"),
         F.max("v").alias("max_raw"),
         F.bool_or(F.isnan("v")).alias("has_nan"))
+
+
+@query("stream_top5_state", """
+SELECT user_id, event_type, event_id, ts, value
+FROM events
+QUALIFY rank() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) <= 5
+""")
+def q_stream_top5_state(spark, sf):
+    """T3 end to end: the events table read as a file stream, newest five per key kept as
+    versioned state in the shared checkpoint folder; returns the final state."""
+    import uuid
+
+    from gaugework.session import checkpoint_dir
+    from gaugework.streaming.jobs import latest_state, stream_latest
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-top5-{uuid.uuid4().hex}"
+    schema = t(spark, sf, "events").schema
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+           .parquet(f"{sf.rstrip('/')}/event[s].parquet")
+           .select("user_id", "event_type", "event_id", "ts", "value"))
+    q = stream_latest(spark, src, f"{root}/checkpoint", root, KEYS, "ts", "event_id", k=5)
+    q.awaitTermination()
+    return latest_state(spark, root, f"{root}/checkpoint")
