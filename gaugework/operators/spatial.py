@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,8 +158,6 @@ def simplify(df: DataFrame, rings: str = "geom", tolerance: float = 0.00025, out
     """Douglas–Peucker per ring with at least 4 points kept, one row per area, run as an
     Arrow-batched pandas function (the recursion has no Column form). Topology between rings
     is not checked (the reference's 'preserve topology' is approximated)."""
-    import pandas as pd
-
     out = out or rings
 
     def dp(points: list, tol: float) -> list:
