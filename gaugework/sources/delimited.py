@@ -12,19 +12,22 @@ from gaugework.functions.geo import point
 
 def load_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                    header: bool = True, date_format: str | None = None,
-                   timestamp_format: str | None = None) -> tuple[DataFrame, DataFrame]:
+                   timestamp_format: str | None = None, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
     """L10 (and L9's CSV read): declared schema, PERMISSIVE, malformed lines kept aside in
     ``_corrupt_record``. Returns (good, rejects). CR LF line ends are handled by the reader."""
     sch = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
     r = (spark.read.schema(sch).option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record"))
+         .option("columnNameOfCorruptRecord", "_corrupt_record").option("multiLine", multiline))
     if date_format:
         r = r.option("dateFormat", date_format)
     if timestamp_format:
         r = r.option("timestampFormat", timestamp_format)
     df = r.csv(path)
     good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    # Spark refuses a scan that needs only the corrupt-record column (e.g. counting rejects);
+    # the always-true hash term keeps the data columns in the scan instead of caching the input.
+    data_cols = [F.col(f.name) for f in schema.fields]
+    bad = df.filter(F.col("_corrupt_record").isNotNull() & (F.xxhash64(*data_cols) % 2 >= -1))
     return good, bad
 
 

@@ -32,7 +32,7 @@ WARN_TS = "dd MM yyyy HH mm"
 
 def read_xml_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: (filename, xml)."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("xml"))
 
 
