@@ -115,15 +115,29 @@ def distance_to_area(plon: Column, plat: Column, rings: Column) -> Column:
     return F.when(st["cross"] % 2 == 1, F.lit(0.0)).otherwise(F.sqrt(st["d2"]))
 
 
+def _edges(rings: Column) -> Column:
+    """All edges of a multipolygon as array<struct<p, q>> (holes included)."""
+    return F.flatten(F.transform(F.flatten(rings), lambda r: F.transform(
+        F.sequence(F.lit(0), F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
+
+
 def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0, point_id: str = "id",
                     area_id: str = "area_id", rings: str = "geom", lon: str = "lon", lat: str = "lat",
                     cell_deg: float = 0.1, with_distance: bool = False) -> DataFrame:
     """(point_id, area_id) pairs whose geodesic distance is ≤ ``metres``.
 
     Candidate step: cells of ``cell_deg`` degrees; an area covers the cells of its bounding
-    box expanded by ``metres`` (latitude margin from the meridional radius, longitude margin
-    at the bbox's highest |latitude|, both padded 1 %); a point falls in exactly one cell, so
-    each candidate pair appears once. Refine: exact distance over the edges."""
+    box expanded by ``metres`` (latitude margin from the smallest meridional radius,
+    longitude margin at the bbox's highest |latitude|, both padded 1 %); a point falls in
+    exactly one cell, so each candidate pair appears once and no cross product is formed.
+
+    Refine: each candidate pair is exploded to one row per polygon edge; the edge is
+    projected to metres about the point (radii at the mid-latitude) and the point-to-segment
+    distance and ray-crossing flag are plain column arithmetic (whole-stage codegen). A
+    ``groupBy(point, area)`` then takes the minimum distance and the crossing parity; its
+    map-side partial aggregate collapses all edges of a pair before the shuffle, so only one
+    row per candidate pair moves. A polygon with many vertices spreads over the tasks of
+    the cells it covers."""
     margin_lat = metres / 6335439.0 * 180 / math.pi * 1.01  # smallest meridional radius
     a = areas.select(area_id, rings).withColumn("_bb", _bbox(F.col(rings)))
     hi = F.greatest(F.abs(F.col("_bb.s")), F.abs(F.col("_bb.n"))) + F.lit(margin_lat)
@@ -138,8 +152,23 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
          .withColumn("_cx", F.floor(F.col(lon) / cell_deg).cast("long"))
          .withColumn("_cy", F.floor(F.col(lat) / cell_deg).cast("long")))
     cand = p.join(cells, ["_cx", "_cy"]).drop("_cx", "_cy")
-    cand = cand.withColumn("distance_m", distance_to_area(F.col(lon), F.col(lat), F.col(rings)))
-    out = cand.filter(F.col("distance_m") <= metres)
+    e = cand.select(point_id, area_id, F.col(lon).alias("_plon"), F.col(lat).alias("_plat"),
+                    F.explode(_edges(F.col(rings))).alias("_e"))
+    plon, plat = F.col("_plon"), F.col("_plat")
+    x1, y1 = _local_xy(plon, plat, F.col("_e.p"))
+    x2, y2 = _local_xy(plon, plat, F.col("_e.q"))
+    e = e.select(point_id, area_id, x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    ll = dx * dx + dy * dy
+    tt = F.when(ll > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(F.col("x1") * dx + F.col("y1") * dy) / ll))) \
+        .otherwise(F.lit(0.0))
+    cx, cy = F.col("x1") + tt * dx, F.col("y1") + tt * dy
+    crosses = ((F.col("y1") > 0) != (F.col("y2") > 0)) & \
+        ((F.col("x1") + (0 - F.col("y1")) * dx / F.when(dy != 0, dy).otherwise(F.lit(1.0))) > 0)
+    per_pair = e.groupBy(point_id, area_id).agg(
+        F.min(cx * cx + cy * cy).alias("_d2"), F.sum(F.when(crosses, 1).otherwise(0)).alias("_cross"))
+    dist = F.when(F.col("_cross") % 2 == 1, F.lit(0.0)).otherwise(F.sqrt("_d2"))
+    out = per_pair.withColumn("distance_m", dist).filter(F.col("distance_m") <= metres)
     cols = [point_id, area_id] + (["distance_m"] if with_distance else [])
     return out.select(*cols)
 
