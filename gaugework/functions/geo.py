@@ -42,79 +42,92 @@ def _meridional_arc(phi: Column) -> Column:
         - F.lit(35.0 / 24 * n3) * F.sin(d * 3) * F.cos(s * 3))
 
 
-def grid_to_osgb36(e: str | Column, n: str | Column) -> Column:
-    """Easting/northing → struct(lat, lon) in radians on OSGB36 (Airy)."""
+def _footpoint_latitude(n: Column) -> Column:
+    """φ′ by the fixed four-step iteration on the meridional arc (lambda keeps it compact)."""
     a = AIRY_A
-    e2 = 1 - (AIRY_B ** 2) / (a ** 2)
-    E, N = col_(e).cast("double"), col_(n).cast("double")
-    phi = F.aggregate(F.sequence(F.lit(1), F.lit(4)),
-                      (N - F.lit(N0)) / F.lit(a * F0) + F.lit(LAT0),
-                      lambda acc, _: acc + (N - F.lit(N0) - _meridional_arc(acc)) / F.lit(a * F0))
-    # remaining terms evaluated in a struct so each intermediate is computed once per row
-    sin_p = F.sin(phi)
-    nu = F.lit(a * F0) / F.sqrt(1 - F.lit(e2) * sin_p * sin_p)
-    rho = F.lit(a * F0 * (1 - e2)) / F.pow(1 - F.lit(e2) * sin_p * sin_p, 1.5)
-    return F.struct(phi.alias("phi"), nu.alias("nu"), rho.alias("rho"), (E - F.lit(E0)).alias("de"))
-
-
-def _finish_osgb36(s: Column) -> Column:
-    phi, nu, rho, de = s["phi"], s["nu"], s["rho"], s["de"]
-    tan, sec = F.tan(phi), 1 / F.cos(phi)
-    t2 = tan * tan
-    eta2 = nu / rho - 1
-    vii = tan / (2 * rho * nu)
-    viii = tan / (24 * rho * F.pow(nu, 3)) * (5 + 3 * t2 + eta2 - 9 * t2 * eta2)
-    ix = tan / (720 * rho * F.pow(nu, 5)) * (61 + 90 * t2 + 45 * t2 * t2)
-    x = sec / nu
-    xi = sec / (6 * F.pow(nu, 3)) * (nu / rho + 2 * t2)
-    xii = sec / (120 * F.pow(nu, 5)) * (5 + 28 * t2 + 24 * t2 * t2)
-    xiia = sec / (5040 * F.pow(nu, 7)) * (61 + 662 * t2 + 1320 * t2 * t2 + 720 * t2 * t2 * t2)
-    lat = phi - vii * F.pow(de, 2) + viii * F.pow(de, 4) - ix * F.pow(de, 6)
-    lon = F.lit(LON0) + x * de - xi * F.pow(de, 3) + xii * F.pow(de, 5) - xiia * F.pow(de, 7)
-    return F.struct(lat.alias("lat"), lon.alias("lon"))
-
-
-def _helmert_to_wgs84(s: Column) -> Column:
-    """OSGB36 lat/lon (radians) → WGS84 lat/lon (degrees) via cartesian Helmert."""
-    a, e2 = AIRY_A, 1 - (AIRY_B ** 2) / (AIRY_A ** 2)
-    lat, lon = s["lat"], s["lon"]
-    nu = F.lit(a) / F.sqrt(1 - F.lit(e2) * F.sin(lat) * F.sin(lat))
-    x = nu * F.cos(lat) * F.cos(lon)
-    y = nu * F.cos(lat) * F.sin(lon)
-    z = nu * (1 - e2) * F.sin(lat)
-    tx, ty, tz = HELMERT_T
-    sc = 1 + HELMERT_S_PPM * 1e-6
-    rx, ry, rz = (math.radians(r / 3600.0) for r in HELMERT_R_ARCSEC)
-    x2 = F.lit(tx) + x * sc - y * rz + z * ry
-    y2 = F.lit(ty) + x * rz + y * sc - z * rx
-    z2 = F.lit(tz) - x * ry + y * rx + z * sc
-    return F.struct(x2.alias("x"), y2.alias("y"), z2.alias("z"))
-
-
-def _cartesian_to_wgs84(s: Column) -> Column:
+    return F.aggregate(F.sequence(F.lit(1), F.lit(4)),
+                       (n - F.lit(N0)) / F.lit(a * F0) + F.lit(LAT0),
+                       lambda acc, _: acc + (n - F.lit(N0) - _meridional_arc(acc)) / F.lit(a * F0))
+
+
+def _wgs84_latitude(x: Column, y: Column, z: Column) -> Column:
     a = WGS84_A
     e2 = 1 - (WGS84_B ** 2) / (a ** 2)
-    x, y, z = s["x"], s["y"], s["z"]
     p = F.sqrt(x * x + y * y)
-    phi = F.aggregate(F.sequence(F.lit(1), F.lit(4)), F.atan2(z, p * (1 - e2)),
-                      lambda acc, _: F.atan2(z + F.lit(e2 * a) / F.sqrt(1 - F.lit(e2) * F.sin(acc) * F.sin(acc))
-                                             * F.sin(acc), p))
-    return F.struct(F.degrees(F.atan2(y, x)).alias("lon"), F.degrees(phi).alias("lat"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(4)), F.atan2(z, p * (1 - e2)),
+                       lambda acc, _: F.atan2(z + F.lit(e2 * a) / F.sqrt(1 - F.lit(e2) * F.sin(acc) * F.sin(acc))
+                                              * F.sin(acc), p))
+
+
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it many times in ``body`` (a lambda variable), so the
+    expression tree never copies ``value``: ``transform(array(value), v -> body(v))[1]``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def grid_lonlat(e: str | Column, n: str | Column, datum: str = "wgs84") -> Column:
+    """struct<lon, lat> in degrees from national-grid easting/northing, as one compact
+    expression (every intermediate is let-bound), safe to inline anywhere."""
+    a = AIRY_A
+    e2 = 1 - (AIRY_B ** 2) / (a ** 2)
+    E, N = col_(e).cast("double"), col_(n).cast("double")
+
+    def radii(phi):
+        sin2 = F.sin(phi) * F.sin(phi)
+        return F.struct(phi.alias("phi"), (F.lit(a * F0) / F.sqrt(1 - F.lit(e2) * sin2)).alias("nu"),
+                        (F.lit(a * F0 * (1 - e2)) / F.pow(1 - F.lit(e2) * sin2, 1.5)).alias("rho"),
+                        F.tan(phi).alias("tan"), (1 / F.cos(phi)).alias("sec"), (E - F.lit(E0)).alias("de"))
+
+    def osgb36(r):
+        phi, nu, rho, tan, sec, de = r["phi"], r["nu"], r["rho"], r["tan"], r["sec"], r["de"]
+        t2 = tan * tan
+        eta2 = nu / rho - 1
+        vii = tan / (2 * rho * nu)
+        viii = tan / (24 * rho * F.pow(nu, 3)) * (5 + 3 * t2 + eta2 - 9 * t2 * eta2)
+        ix = tan / (720 * rho * F.pow(nu, 5)) * (61 + 90 * t2 + 45 * t2 * t2)
+        x = sec / nu
+        xi = sec / (6 * F.pow(nu, 3)) * (nu / rho + 2 * t2)
+        xii = sec / (120 * F.pow(nu, 5)) * (5 + 28 * t2 + 24 * t2 * t2)
+        xiia = sec / (5040 * F.pow(nu, 7)) * (61 + 662 * t2 + 1320 * t2 * t2 + 720 * t2 * t2 * t2)
+        return F.struct((phi - vii * F.pow(de, 2) + viii * F.pow(de, 4) - ix * F.pow(de, 6)).alias("lat"),
+                        (F.lit(LON0) + x * de - xi * F.pow(de, 3) + xii * F.pow(de, 5) - xiia * F.pow(de, 7)).alias("lon"))
+
+    def cartesian(g):
+        la, lo = g["lat"], g["lon"]
+        nua = F.lit(a) / F.sqrt(1 - F.lit(e2) * F.sin(la) * F.sin(la))
+        return _let(nua, lambda nu: F.struct((nu * F.cos(la) * F.cos(lo)).alias("x"),
+                                             (nu * F.cos(la) * F.sin(lo)).alias("y"),
+                                             (nu * (1 - e2) * F.sin(la)).alias("z")))
+
+    def helmert(c):
+        tx, ty, tz = HELMERT_T
+        sc = 1 + HELMERT_S_PPM * 1e-6
+        rx, ry, rz = (math.radians(r / 3600.0) for r in HELMERT_R_ARCSEC)
+        x0, y0, z0 = c["x"], c["y"], c["z"]
+        return F.struct((F.lit(tx) + x0 * sc - y0 * rz + z0 * ry).alias("x"),
+                        (F.lit(ty) + x0 * rz + y0 * sc - z0 * rx).alias("y"),
+                        (F.lit(tz) - x0 * ry + y0 * rx + z0 * sc).alias("z"))
+
+    def wgs84(h):
+        return F.struct(F.degrees(F.atan2(h["y"], h["x"])).alias("lon"),
+                        F.degrees(_wgs84_latitude(h["x"], h["y"], h["z"])).alias("lat"))
+
+    def degrees36(g):
+        return F.struct(F.degrees(g["lon"]).alias("lon"), F.degrees(g["lat"]).alias("lat"))
+
+    geo36 = _let(_let(_footpoint_latitude(N), radii), osgb36)
+    if datum == "osgb36":
+        out = _let(geo36, degrees36)
+    else:
+        out = _let(_let(_let(geo36, cartesian), helmert), wgs84)
+    return F.when(E.isNotNull() & N.isNotNull(), out)
 
 
 def with_lonlat(df: DataFrame, e: str, n: str, lon: str = "lon", lat: str = "lat",
                 datum: str = "wgs84") -> DataFrame:
-    """Add lon/lat (degrees) from national-grid easting/northing. Stages the
-    intermediate structs in separate projections so each is computed once per row."""
-    out = df.withColumn("_g1", grid_to_osgb36(e, n)).withColumn("_g2", _finish_osgb36(F.col("_g1")))
-    if datum == "osgb36":
-        out = out.withColumn(lon, F.degrees(F.col("_g2.lon"))).withColumn(lat, F.degrees(F.col("_g2.lat")))
-        return out.drop("_g1", "_g2")
-    out = out.withColumn("_g3", _helmert_to_wgs84(F.col("_g2"))).withColumn("_g4", _cartesian_to_wgs84(F.col("_g3")))
-    out = out.withColumn(lon, F.col("_g4.lon")).withColumn(lat, F.col("_g4.lat"))
-    nulls = col_(e).isNull() | col_(n).isNull()
-    out = out.withColumn(lon, F.when(~nulls, F.col(lon))).withColumn(lat, F.when(~nulls, F.col(lat)))
-    return out.drop("_g1", "_g2", "_g3", "_g4")
+    """Add lon/lat (degrees) from national-grid easting/northing."""
+    out = df.withColumn("_ll", grid_lonlat(e, n, datum))
+    return out.withColumn(lon, F.col("_ll.lon")).withColumn(lat, F.col("_ll.lat")).drop("_ll")
 
 
 def _num9(c: Column) -> Column:

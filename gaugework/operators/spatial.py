@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.functions.geo import WGS84_A, WGS84_B
+from gaugework.functions.geo import WGS84_A, WGS84_B, _let
 
 E2 = 1 - (WGS84_B ** 2) / (WGS84_A ** 2)
 
@@ -43,14 +43,14 @@ def centroid(df: DataFrame, rings: str = "geom", out: str = "centroid") -> DataF
 
     def per_poly(acc, poly):
         def per_ring(acc2, ri):
-            t = _ring_terms(poly[ri])
-            area = F.abs(t["a"]) / 2
-            sign = F.when(ri == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-            cx = F.when(t["a"] != 0, t["x"] / (3 * t["a"]))
-            cy = F.when(t["a"] != 0, t["y"] / (3 * t["a"]))
-            w = sign * area
-            return F.struct((acc2["w"] + w).alias("w"), (acc2["x"] + w * F.coalesce(cx, F.lit(0.0))).alias("x"),
-                            (acc2["y"] + w * F.coalesce(cy, F.lit(0.0))).alias("y"))
+            def add(t):
+                area = F.abs(t["a"]) / 2
+                w = F.when(ri == 0, F.lit(1.0)).otherwise(F.lit(-1.0)) * area
+                cx = F.when(t["a"] != 0, t["x"] / (3 * t["a"])).otherwise(F.lit(0.0))
+                cy = F.when(t["a"] != 0, t["y"] / (3 * t["a"])).otherwise(F.lit(0.0))
+                return F.struct((acc2["w"] + w).alias("w"), (acc2["x"] + w * cx).alias("x"),
+                                (acc2["y"] + w * cy).alias("y"))
+            return _let(_ring_terms(poly[ri]), add)  # ring sums computed once per ring
         return F.aggregate(F.sequence(F.lit(0), F.size(poly) - 1), acc, per_ring)
 
     tot = F.aggregate(F.col(rings), zero, per_poly)

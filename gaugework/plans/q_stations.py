@@ -148,7 +148,8 @@ def stations_overview(split, values, forecast_stations, as_of, marker="downstrea
         "rloi_id", "direction", "station_type", "qualifier", "processed_value", "value_timestamp",
         "trend", age_seconds("value_timestamp", as_of).alias("age_seconds"), "por_max_breached",
         at_risk("processed_value", "error", "percentile_5").alias("at_risk"), "forecast",
-        level("processed_value", "percentile_5", "percentile_95", "station_type").alias("level"))
+        level("processed_value", "percentile_5", "percentile_95", "station_type").alias("level"),
+        "error", "percentile_5", "percentile_95")
 
 
 @query("stations_overview", f"""
@@ -189,4 +190,6 @@ LEFT JOIN fs ON fs.rloi_id = s.rloi_id
 def q_stations_overview(spark, sf):
     fs = (t(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
           .select(F.col("o_custkey").alias("rloi_id")))
-    return stations_overview(station_split(spark, sf), station_readings(spark, sf), fs, AS_OF, MARKER)
+    out = stations_overview(station_split(spark, sf), station_readings(spark, sf), fs, AS_OF, MARKER)
+    return out.select("rloi_id", "direction", "station_type", "qualifier", "processed_value", "value_timestamp",
+                      "trend", "age_seconds", "por_max_breached", "at_risk", "forecast", "level")

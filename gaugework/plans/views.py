@@ -242,20 +242,37 @@ def station_readings(split: DataFrame, parents: DataFrame, values: DataFrame, as
 
 def station_readings_with_context(context: DataFrame, parents: DataFrame, values: DataFrame,
                                   prefer: str = "u") -> DataFrame:
-    """One row per station for its preferred direction (non-'M' stations never show
-    downstream data), with parallel arrays of values, timestamps and chart labels (first and
-    last forced to the full form)."""
-    hdr = parents.filter(water_level()).withColumn("direction", direction("qualifier"))
-    hdr = hdr.join(context.select("rloi_id", "station_type"), "rloi_id").filter(
-        (F.col("direction") == "u") | (F.col("station_type") == "M"))
-    j = values.join(hdr.select("telemetry_value_parent_id", "rloi_id", "direction", "por_max_value",
-                               "percentile_5"), "telemetry_value_parent_id")
-    pick = (j.groupBy("rloi_id").agg(
-        (F.min("direction") if prefer == "d" else F.max("direction")).alias("direction")))
-    j = j.join(pick, ["rloi_id", "direction"])
-    j = with_chart_labels(j, ["rloi_id", "direction"], "value_timestamp")
-    return parallel_arrays(j, ["rloi_id", "direction"], ["value_timestamp", "telemetry_value_id"],
+    """V10 set-based: one row per station (left join from the context, so stations without
+    data keep a row with NULL arrays) for the preferred direction.
+
+    Readings are water level, not older than the status date. Downstream series are only
+    shown for multi-gauge ('M') stations, and upstream series of an 'M' station only when
+    'u' is preferred. Per (station, qualifier) the readings become parallel arrays ordered by
+    time: processed values, timestamps, chart labels (Europe/London; first and last forced to
+    the full form), por_max and percentile_5 of the direction (rounded to 2 dp) and error
+    flags. The reference then returns the first row by direction (LIMIT 1, arbitrary among
+    equal directions); here the preferred direction wins, then the lowest qualifier."""
+    ctx = context.select("rloi_id", "station_type", "status_date", "por_max_value", "d_por_max_value",
+                         "percentile_5", "d_percentile_5")
+    hdr = parents.filter(F.lower(F.col("parameter")) == "water level").select(
+        "telemetry_value_parent_id", "rloi_id", "qualifier")
+    down = F.instr(F.lower(F.col("qualifier")), "downstream") > 0
+    is_m = F.lower(F.col("station_type")) == "m"
+    keep = (~down & (F.lit(prefer == "u") | ~is_m)) | (down & is_m)
+    j = (values.join(hdr, "telemetry_value_parent_id").join(ctx, "rloi_id")
+         .filter(keep & after_status_date("value_timestamp", "status_date"))
+         .withColumn("por_max_value", F.round(F.when(down, F.col("d_por_max_value")).otherwise(F.col("por_max_value")), 2))
+         .withColumn("percentile_5", F.round(F.when(down, F.col("d_percentile_5")).otherwise(F.col("percentile_5")), 2))
+         .withColumn("direction", F.when(down & is_m, "d").otherwise("u")))
+    j = with_chart_labels(j, ["rloi_id", "qualifier"], "value_timestamp")
+    arrs = parallel_arrays(j, ["rloi_id", "qualifier", "direction"], ["value_timestamp", "telemetry_value_id"],
                            ["processed_value", "value_timestamp", "label", "por_max_value", "percentile_5", "error"])
+    pref = F.when(F.col("direction") == prefer, 0).otherwise(1)
+    rest = [c for c in arrs.columns if c != "rloi_id"]
+    picked = arrs.groupBy("rloi_id").agg(
+        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(pref, F.col("qualifier"))).alias("_p"))
+    picked = picked.select("rloi_id", *[F.col("_p")[c].alias(c) for c in rest])
+    return context.join(picked, "rloi_id", "left")
 
 
 # ---------------------------------------------------------------------------------------------
