@@ -190,3 +190,72 @@ def q_stream_top5_state(spark, sf):
     q = stream_latest(spark, src, f"{root}/checkpoint", root, KEYS, "ts", "event_id", k=5)
     q.awaitTermination()
     return latest_state(spark, root, f"{root}/checkpoint")
+
+
+RAIN_SQL = """
+g AS (SELECT c_custkey AS telemetry_station_id, CAST(c_custkey AS VARCHAR) AS station_reference,
+             'R' || CAST(c_custkey % 5 AS VARCHAR) AS region, c_name AS station_name FROM customer),
+p AS (SELECT o_orderkey AS telemetry_value_parent_id, CAST(o_custkey AS VARCHAR) AS station,
+             'R' || CAST(o_custkey % 5 AS VARCHAR) AS region,
+             CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Rainfall' ELSE 'Level' END AS parameter,
+             o_orderstatus AS data_type, o_orderpriority AS period, 'mm' AS units, o_orderdate AS end_timestamp
+      FROM orders),
+v AS (SELECT l_orderkey AS telemetry_value_parent_id, l_orderkey * 8 + l_linenumber AS telemetry_value_id,
+             l_partkey, l_suppkey,
+             CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN 'NaN'::DOUBLE ELSE l_quantity END AS value,
+             l_shipdate AS value_timestamp FROM lineitem)"""
+
+
+def _rain_tables(spark, sf):
+    c, o, li = t(spark, sf, "customer"), t(spark, sf, "orders"), t(spark, sf, "lineitem")
+    g = c.select(F.col("c_custkey").alias("telemetry_station_id"),
+                 F.col("c_custkey").cast("string").alias("station_reference"),
+                 F.concat(F.lit("R"), (F.col("c_custkey") % 5).cast("string")).alias("region"),
+                 F.col("c_name").alias("station_name"))
+    p = o.select(F.col("o_orderkey").alias("telemetry_value_parent_id"),
+                 F.col("o_custkey").cast("string").alias("station"),
+                 F.concat(F.lit("R"), (F.col("o_custkey") % 5).cast("string")).alias("region"),
+                 F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Rainfall").otherwise("Level")
+                 .alias("parameter"),
+                 F.col("o_orderstatus").alias("data_type"), F.col("o_orderpriority").alias("period"),
+                 F.lit("mm").alias("units"), F.col("o_orderdate").alias("end_timestamp"))
+    v = li.select(F.col("l_orderkey").alias("telemetry_value_parent_id"),
+                  (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("telemetry_value_id"),
+                  "l_partkey", "l_suppkey",
+                  F.when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 1), F.lit(float("nan")))
+                  .otherwise(F.col("l_quantity")).alias("value"),
+                  F.col("l_shipdate").alias("value_timestamp"))
+    return g, p, v
+
+
+@query("rainfall_stations", f"""
+WITH {RAIN_SQL},
+rp AS (SELECT * FROM p WHERE parameter = 'Rainfall'),
+hdr AS (SELECT * FROM rp QUALIFY row_number() OVER (PARTITION BY station, region
+                                                  ORDER BY end_timestamp DESC, telemetry_value_parent_id DESC) = 1),
+lv AS (SELECT telemetry_value_parent_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, value_timestamp
+       FROM v QUALIFY row_number() OVER (PARTITION BY telemetry_value_parent_id
+                                         ORDER BY value_timestamp DESC, telemetry_value_id DESC, l_partkey DESC,
+                                                  l_suppkey DESC, value DESC) = 1),
+rv AS (SELECT rp.station, rp.region, v.value_timestamp, v.value FROM v JOIN rp USING (telemetry_value_parent_id)),
+lt AS (SELECT station, region, max(value_timestamp) AS latest FROM rv GROUP BY station, region),
+tot AS (SELECT rv.station, rv.region,
+  round(sum(CASE WHEN rv.value_timestamp > lt.latest - INTERVAL 24 HOUR AND NOT isnan(rv.value) THEN rv.value END), 2) AS day_total,
+  round(sum(CASE WHEN rv.value_timestamp > lt.latest - INTERVAL 6 HOUR AND NOT isnan(rv.value) THEN rv.value END), 2) AS six_hr_total,
+  round(sum(CASE WHEN rv.value_timestamp > lt.latest - INTERVAL 1 HOUR AND NOT isnan(rv.value) THEN rv.value END), 2) AS one_hr_total
+  FROM rv JOIN lt USING (station, region) GROUP BY rv.station, rv.region)
+SELECT g.telemetry_station_id, g.station_reference, g.region, g.station_name, hdr.telemetry_value_parent_id,
+       hdr.data_type, hdr.period, hdr.units, lv.value, lv.value_timestamp, tot.day_total, tot.six_hr_total,
+       tot.one_hr_total, 'R' AS type
+FROM g JOIN hdr ON g.station_reference = hdr.station AND g.region = hdr.region
+JOIN lv ON lv.telemetry_value_parent_id = hdr.telemetry_value_parent_id
+LEFT JOIN tot ON tot.station = g.station_reference AND tot.region = g.region
+""")
+def q_rainfall_stations(spark, sf):
+    from gaugework.plans.views import rainfall_stations
+    g, p, v = _rain_tables(spark, sf)
+    out = rainfall_stations(g, p, v, value_tiebreak=["telemetry_value_id", "l_partkey", "l_suppkey", "value"],
+                            with_lonlat=False)
+    return out.select("telemetry_station_id", "station_reference", "region", "station_name",
+                      "telemetry_value_parent_id", "data_type", "period", "units", "value", "value_timestamp",
+                      *[F.round(c, 2).alias(c) for c in ("day_total", "six_hr_total", "one_hr_total")], "type")

@@ -72,24 +72,29 @@ def stations_overview(split: DataFrame, parents: DataFrame, values: DataFrame,
 # V4: rainfall
 
 
-def rainfall_stations(gauges: DataFrame, parents: DataFrame, values: DataFrame) -> DataFrame:
-    """V4: per rainfall gauge, the latest 'Rainfall' header (by end_timestamp), its latest
-    value (NaN → NULL) and 24/6/1 h totals relative to the gauge's latest reading across all
-    its Rainfall headers, plus lon/lat from easting/northing."""
+def rainfall_stations(gauges: DataFrame, parents: DataFrame, values: DataFrame,
+                      value_tiebreak: Sequence[str] = ("telemetry_value_id",), with_lonlat: bool = True) -> DataFrame:
+    """V4: per rainfall gauge, the latest 'Rainfall' header (by end_timestamp, then id), its
+    latest value (NaN → NULL; ties after the timestamp broken by ``value_tiebreak``) and
+    24/6/1 h totals relative to the gauge's latest reading across all its Rainfall headers,
+    plus lon/lat from easting/northing. Inner joins, as the reference: a gauge needs a
+    Rainfall header with at least one value."""
     rp = parents.filter(F.col("parameter") == "Rainfall")  # case-sensitive, as the reference
     hdr = latest_per_key(rp.select("station", "region", "telemetry_value_parent_id", "data_type", "period",
                                    "units", "end_timestamp"),
                          ["station", "region"], "end_timestamp", "telemetry_value_parent_id")
+    tb = list(value_tiebreak)
     last_val = latest_per_key(values.select("telemetry_value_parent_id", "value", "value_timestamp",
-                                            "telemetry_value_id"),
-                              "telemetry_value_parent_id", "value_timestamp", "telemetry_value_id")
-    last_val = last_val.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+                                            *[c for c in tb if c != "value"]),
+                              "telemetry_value_parent_id", "value_timestamp", tb)
+    last_val = last_val.withColumn("value", F.when(~F.isnan("value"), F.col("value"))).select(
+        "telemetry_value_parent_id", "value", "value_timestamp")
     rv = values.join(rp.select("telemetry_value_parent_id", "station", "region"), "telemetry_value_parent_id")
     tot = trailing_totals(rv, ["station", "region"], "value_timestamp", "value")
-    g = geo.with_lonlat(gauges, "easting", "northing")
+    g = geo.with_lonlat(gauges, "easting", "northing") if with_lonlat else gauges
     out = (g.join(hdr, (g.station_reference == hdr.station) & (g.region == hdr.region))
            .drop(hdr.region).drop("station", "end_timestamp")
-           .join(last_val.drop("telemetry_value_id"), "telemetry_value_parent_id")
+           .join(last_val, "telemetry_value_parent_id")
            .join(tot.withColumnRenamed("station", "station_reference").drop("latest_ts"),
                  ["station_reference", "region"], "left")
            .withColumn("type", F.lit("R")))
