@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugework.session import read_table
+from gaugework.session import balanced, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,9 +31,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+def t(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+    """A test table; ``balance`` spreads it over the cores before CPU-heavy per-row work."""
+    df = read_table(spark, sf_dir, name)
+    return balanced(df) if balance else df
 
 
 # Importing the modules registers their queries.
-from gaugework.plans import q_geo, q_ingest, q_readings, q_rivers, q_stations, q_views  # noqa: E402,F401
+from gaugework.plans import q_geo, q_ingest, q_readings, q_rivers, q_rivers_view, q_stations, q_views  # noqa: E402,F401

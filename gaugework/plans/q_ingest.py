@@ -107,7 +107,7 @@ def q_reject_split(spark, sf):
 
 def _reading_docs(spark, sf):
     """One reading file per event, built with ``to_json`` (attributes under ``$``, text under ``_``)."""
-    e = t(spark, sf, "events")
+    e = t(spark, sf, "events", balance=True)
     d, tm = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
     value = F.struct(F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"')).alias("_"),
                      F.struct(d.alias("date"), tm.alias("time")).alias("$"))
@@ -143,7 +143,7 @@ SELECT CAST(user_id AS VARCHAR) AS station_reference, event_type AS qualifier,
 FROM events WHERE event_type <> 'error'
 """)
 def q_xml_flatten(spark, sf):
-    e = t(spark, sf, "events")
+    e = t(spark, sf, "events", balance=True)
     d, tm = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
     param = F.when(F.col("event_type") == "error", "Flow").otherwise("Water Level")
     xml = F.concat(
@@ -167,7 +167,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS fwa_code, CAST(substr(o_orderpriority, 1,
 FROM orders
 """)
 def q_warnings_xml(spark, sf):
-    o = t(spark, sf, "orders")
+    o = t(spark, sf, "orders", balance=True)
     xml = F.concat(F.lit('<warningreport xmlns="urn:fwis"><warning'),
                    _xml_attr("fwacode", F.col("o_orderkey").cast("string")),
                    _xml_attr("severityvalue", F.substring("o_orderpriority", 1, 1)),
@@ -192,9 +192,9 @@ th AS (SELECT l_orderkey AS station_id, l_linenumber, l_partkey,
 
 
 def _threshold_payloads(spark, sf):
-    """One payload document per station (order): an array with one station object whose
-    series are its line items, each carrying one threshold."""
-    li = t(spark, sf, "lineitem")
+    """Payload documents: an array with one station object (the order) holding one series
+    (a line item) that carries one threshold."""
+    li = t(spark, sf, "lineitem", balance=True)
     k8 = F.col("l_partkey") % 8
     ttype = (F.when(k8 == 0, "FW ACT FW").when(k8 == 1, "FW ACTCON FW").when(k8 == 2, "FW RES FW")
              .when(k8 == 3, "FW ACT FAL").when(k8 == 4, "FW ACTCON FAL").when(k8 == 5, "FW RES FAL")
@@ -207,15 +207,13 @@ def _threshold_payloads(spark, sf):
                       F.lit("m").alias("Unit"), F.lit(True).alias("DisplayTimeSeries"),
                       F.array(F.struct(ttype.alias("ThresholdType"), (F.col("l_quantity") / 10).alias("Level"),
                                        code.alias("FloodWarningArea"))).alias("Thresholds"))
-    # a station's series: its own line items (bounded by the order size)
-    per = li.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", series.alias("s")))).alias("ss"))
+    # one payload document per series (a station object holding that series): no shuffle
     doc = F.to_json(F.array(F.struct(F.col("l_orderkey").cast("string").alias("RLOIid"),
                                      F.lit(None).cast("string").alias("wiskiID"),
                                      F.lit(None).cast("string").alias("telemetryID"),
                                      F.lit("n").alias("Name"),
-                                     F.transform("ss", lambda x: x["s"]).alias("TimeSeriesMetaData"))))
-    return per.select(doc.alias("json"))
+                                     F.array(series).alias("TimeSeriesMetaData"))))
+    return li.select(doc.alias("json"))
 
 
 @query("thresholds_parse", f"""
@@ -324,7 +322,7 @@ SELECT doc_id, regexp_replace(text, '[\r\n]+', ' ', 'g') AS text FROM documents
 """)
 def q_clean_text(spark, sf):
     from gaugework.sources.delimited import clean_impacts
-    d = t(spark, sf, "documents").select("doc_id", "text")
+    d = t(spark, sf, "documents", balance=True).select("doc_id", "text")
     return clean_impacts(d, drop=())
 
 

@@ -123,10 +123,10 @@ def rivers(split: DataFrame, overview: DataFrame, river_stations: DataFrame, riv
          .join(rs, "rloi_id", "left"))
     j = river_labels(j).filter(in_scope()).withColumn("iswales", is_wales())
     j = j.withColumnRenamed("calc_rank", "rank")
-    order = [F.col("view_rank").asc_nulls_last(), F.col("river_id").asc_nulls_last(),
-             F.col("rank").asc_nulls_last(), F.col("external_name").asc_nulls_last(),
-             F.col("qualifier").desc_nulls_first(), F.col("rloi_id").asc(), F.col("up").asc_nulls_last(),
-             F.col("down").asc_nulls_last()]
+    keys = ["view_rank", "river_id", "rank", "external_name"]
+    order = [F.col(c).asc_nulls_last() for c in keys] + [F.col("qualifier").desc_nulls_first()]
+    # then every other column, so the numbering is a total order (fan-out rows differ there)
+    order += [F.col(c).asc_nulls_last() for c in sorted(set(j.columns) - set(keys) - {"qualifier"})]
     return with_ordered_id(j, order)
 
 

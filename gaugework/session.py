@@ -62,3 +62,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a source that arrives in fewer partitions than the cluster's parallelism (one
+    Parquet row group is one task) before a CPU-heavy narrow stage such as document parsing.
+    A round-robin repartition costs one shuffle of the input; on a large input that already
+    has enough splits this is a no-op."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

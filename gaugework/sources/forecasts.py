@@ -45,7 +45,7 @@ def parse_forecasts(files: DataFrame, xml: str = "xml") -> DataFrame:
     attributes; its values as array<struct<ts, value>> (the reference keeps the XML body)."""
     doc = files.withColumn("_doc", F.from_xml(F.col(xml), FORECAST_FILE, {"mode": "PERMISSIVE"}))
     st = doc.select("filename", _ts(F.col("_doc.`md:Date`"), F.col("_doc.`md:Time`")).alias("forecast_date"),
-                    F.explode("_doc.Station").alias("_st"))
+                    F.explode_outer("_doc.Station").alias("_st")).filter(F.col("_st").isNotNull())
     first = F.element_at(F.col("_st.SetofValues"), 1)
     vals = F.transform(first["Value"], lambda v: F.struct(
         _ts(v["_date"], v["_time"]).alias("ts"), v["_VALUE"].try_cast("double").alias("value")))
@@ -80,7 +80,7 @@ def forecast_max(forecasts: DataFrame, key: str = "rloi_id") -> DataFrame:
 def parse_warnings(files: DataFrame, xml: str = "xml") -> DataFrame:
     """L8 parse: one row per ``warning`` element, typed, times in 'DD MM YYYY HH24 MI'."""
     doc = files.withColumn("_doc", F.from_xml(F.col(xml), WARNING_FILE, {"mode": "PERMISSIVE"}))
-    w = doc.select("filename", F.explode("_doc.warning").alias("w"))
+    w = doc.select("filename", F.explode_outer("_doc.warning").alias("w")).filter(F.col("w").isNotNull())
     ts = lambda a: F.try_to_timestamp(F.col(f"w._{a}"), F.lit(WARN_TS))
     return w.select(
         "filename", F.col("w._fwacode").alias("fwa_code"), F.col("w._fwakey").try_cast("int").alias("fwa_key"),

@@ -52,13 +52,22 @@ def _ts(d: Column, t: Column) -> Column:
     return F.try_to_timestamp(F.concat(d, F.lit(" "), t), F.lit(TS_FORMAT))
 
 
+def explode_kept(df: DataFrame, arr: str, pos: str, item: str, *keep) -> DataFrame:
+    """``posexplode`` that does not re-parse its input: a plain generator makes Catalyst infer
+    ``size(array) > 0`` and push it below the projection that parses the document, so every
+    document would be parsed twice. The outer form has no inferred filter; empty arrays are
+    then dropped on the generated position."""
+    return (df.select(*keep, F.posexplode_outer(arr).alias(pos, item))
+            .filter(F.col(pos).isNotNull()))
+
+
 def ingest_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """L1: (headers, values) as text-typed rows with parsed timestamps. The header id is a
     hash of (filename, station position, set position), stable across replays."""
-    st = raw.select("filename", F.posexplode("EATimeSeriesDataExchangeFormat.Station").alias("_si", "_st"))
-    sv = st.select("filename", "_si", F.col("_st.$.stationReference").alias("station"),
-                   F.col("_st.$.region").alias("region"),
-                   F.posexplode("_st.SetofValues").alias("_vi", "_sv"))
+    st = explode_kept(raw, "EATimeSeriesDataExchangeFormat.Station", "_si", "_st", "filename")
+    sv = explode_kept(st.select("filename", "_si", F.col("_st.$.stationReference").alias("station"),
+                                F.col("_st.$.region").alias("region"), "_st"),
+                      "_st.SetofValues", "_vi", "_sv", "filename", "_si", "station", "region")
     hid = F.xxhash64("filename", "_si", "_vi")
     a = F.col("_sv.$")
     headers = sv.select(
@@ -68,7 +77,8 @@ def ingest_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         _ts(a["endDate"], a["endTime"]).alias("end_timestamp"),
         _unquote(a["parameter"]).alias("parameter"), _unquote(a["qualifier"]).alias("qualifier"),
         _unquote(a["units"]).alias("units"))
-    vals = sv.select(hid.alias("telemetry_value_parent_id"), F.posexplode("_sv.Value").alias("_pi", "_v"))
+    vals = explode_kept(sv.select(hid.alias("telemetry_value_parent_id"), "_sv"), "_sv.Value", "_pi", "_v",
+                        "telemetry_value_parent_id")
     values = vals.select(
         "telemetry_value_parent_id",
         F.xxhash64("telemetry_value_parent_id", "_pi").alias("telemetry_value_id"),

@@ -29,15 +29,17 @@ def parse_payload(df: DataFrame, text: str = "json") -> DataFrame:
     """From a JSON text column to one row per station object; a document that does not
     parse as an array of stations is kept aside as ``_corrupt`` (L17 policy: log, skip)."""
     parsed = df.withColumn("_p", F.from_json(F.col(text), PAYLOAD))
-    return parsed.withColumn("_corrupt", F.col("_p").isNull()).select(
-        "*", F.posexplode_outer("_p").alias("_station_pos", "_station")).drop("_p")
+    # outer generator: no inferred size() filter pushed below the parse (see readings.explode_kept)
+    return parsed.select("*", F.posexplode_outer("_p").alias("_station_pos", "_station")).withColumn(
+        "_corrupt", F.col("_station_pos").isNull() & F.col("_station").isNull()).drop("_p")
 
 
 def explode_series(payload: DataFrame, text: str = "json") -> DataFrame:
     """One row per time series with its position, for series-level flags."""
     st = parse_payload(payload, text).filter(~F.col("_corrupt"))
     s = st.select(F.col("_station.RLOIid").try_cast("long").alias("station_id"), "_station_pos",
-                  F.posexplode("_station.TimeSeriesMetaData").alias("_series_pos", "_series"))
+                  F.posexplode_outer("_station.TimeSeriesMetaData").alias("_series_pos", "_series")) \
+        .filter(F.col("_series_pos").isNotNull())
     return s.select("station_id", "_station_pos", "_series_pos", F.col("_series.Parameter").alias("parameter"),
                     F.col("_series.qualifier").alias("qualifier"),
                     F.col("_series.DisplayTimeSeries").alias("display_time_series"),
@@ -53,7 +55,7 @@ def parse_thresholds(payload: DataFrame, text: str = "json", with_rejects: bool
     reject (the JS throws and loses the station; §2.11 item 16)."""
     s = explode_series(payload, text).filter(~F.col("parameter").eqNullSafe("Flow"))
     th = s.select("station_id", "direction", "_station_pos", "_series_pos",
-                  F.posexplode("thresholds").alias("_th_pos", "_t"))
+                  F.posexplode_outer("thresholds").alias("_th_pos", "_t")).filter(F.col("_th_pos").isNotNull())
     th = th.filter(F.col("_t.ThresholdType").isin(THRESHOLD_TYPES))
     out = th.select(
         "station_id", F.col("_t.FloodWarningArea").alias("fwis_code"),
