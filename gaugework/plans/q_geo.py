@@ -95,27 +95,34 @@ def q_grid_to_lonlat(spark, sf):
 
 # ---------------------------------------------------------------- points and squares
 
-POINTS_SQL = """pts AS (SELECT c_custkey AS id, -5.5 + (c_custkey % 97) * 0.07 AS lon,
-                   50.0 + (c_custkey % 89) * 0.09 AS lat FROM customer)"""
-SQUARES_SQL = """sq AS (SELECT s_suppkey AS area_id, -5.5 + (s_suppkey % 31) * 0.22 AS cx,
-                  50.0 + (s_suppkey % 37) * 0.22 AS cy, 0.03 + (s_suppkey % 5) * 0.01 AS h,
+# Exact decimal arithmetic cast once to DOUBLE on both engines, so the doubles are identical.
+POINTS_SQL = """pts AS (SELECT c_custkey AS id, CAST(-5.5 + (c_custkey % 97) * 0.07 AS DOUBLE) AS lon,
+                   CAST(50.0 + (c_custkey % 89) * 0.09 AS DOUBLE) AS lat FROM customer)"""
+SQUARES_SQL = """sq AS (SELECT s_suppkey AS area_id, CAST(-5.5 + (s_suppkey % 31) * 0.22 AS DOUBLE) AS cx,
+                  CAST(50.0 + (s_suppkey % 37) * 0.22 AS DOUBLE) AS cy,
+                  CAST(0.03 + (s_suppkey % 5) * 0.01 AS DOUBLE) AS h,
                   s_suppkey % 2 = 0 AS holed FROM supplier)"""
 
 
+def _dec(base: str, key, mod: int, step: str):
+    """CAST(base + (key % mod) * step AS DOUBLE) evaluated exactly in DECIMAL."""
+    return (F.lit(base).cast("decimal(10,2)") + (key % mod).cast("decimal(20,0)") * F.lit(step).cast("decimal(10,2)")) \
+        .cast("double")
+
+
 def points(spark, sf):
     c = t(spark, sf, "customer")
-    return c.select(F.col("c_custkey").alias("id"),
-                    (F.lit(-5.5) + (F.col("c_custkey") % 97) * F.lit(0.07)).alias("lon"),
-                    (F.lit(50.0) + (F.col("c_custkey") % 89) * F.lit(0.09)).alias("lat"))
+    return c.select(F.col("c_custkey").alias("id"), _dec("-5.5", F.col("c_custkey"), 97, "0.07").alias("lon"),
+                    _dec("50.0", F.col("c_custkey"), 89, "0.09").alias("lat"))
 
 
 def squares(spark, sf):
     """Areas as multipolygon rings: one polygon, a closed square shell and maybe a hole."""
     s = t(spark, sf, "supplier")
     k = F.col("s_suppkey")
-    cx = F.lit(-5.5) + (k % 31) * F.lit(0.22)
-    cy = F.lit(50.0) + (k % 37) * F.lit(0.22)
-    h = F.lit(0.03) + (k % 5) * F.lit(0.01)
+    cx = _dec("-5.5", k, 31, "0.22")
+    cy = _dec("50.0", k, 37, "0.22")
+    h = _dec("0.03", k, 5, "0.01")
 
     def ring(x0, y0, hh):
         pts = [(x0 - hh, y0 - hh), (x0 + hh, y0 - hh), (x0 + hh, y0 + hh), (x0 - hh, y0 + hh), (x0 - hh, y0 - hh)]

@@ -134,8 +134,8 @@ def q_impacts_active(spark, sf):
 
 @query("readings_json", f"""
 SELECT user_id, event_type,
-       to_json(list({{'ts': strftime(ts, '%Y-%m-%dT%H:%MZ'), '_': value, 'err': false}}
-                    ORDER BY ts DESC, event_id DESC)) AS json
+       CAST(to_json(list({{'ts': strftime(ts, '%Y-%m-%dT%H:%MZ'), '_': value, 'err': false}}
+                    ORDER BY ts DESC, event_id DESC)) AS VARCHAR) AS json
 FROM events
 WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 5 DAY
 GROUP BY user_id, event_type
