@@ -246,7 +246,7 @@ def station_readings(split: DataFrame, parents: DataFrame, values: DataFrame, as
 
 
 def station_readings_with_context(context: DataFrame, parents: DataFrame, values: DataFrame,
-                                  prefer: str = "u") -> DataFrame:
+                                  prefer: str = "u", as_of: str | None = None, days: int | None = None) -> DataFrame:
     """V10 set-based: one row per station (left join from the context, so stations without
     data keep a row with NULL arrays) for the preferred direction.
 
@@ -256,7 +256,10 @@ def station_readings_with_context(context: DataFrame, parents: DataFrame, values
     time: processed values, timestamps, chart labels (Europe/London; first and last forced to
     the full form), por_max and percentile_5 of the direction (rounded to 2 dp) and error
     flags. The reference then returns the first row by direction (LIMIT 1, arbitrary among
-    equal directions); here the preferred direction wins, then the lowest qualifier."""
+    equal directions); here the preferred direction wins, then the lowest qualifier.
+
+    The reference reads whatever the retention job (L20) left in the table; pass ``as_of`` and
+    ``days`` to bound each station's arrays explicitly (readings newer than as_of − days)."""
     ctx = context.select("rloi_id", "station_type", "status_date", "por_max_value", "d_por_max_value",
                          "percentile_5", "d_percentile_5")
     hdr = parents.filter(F.lower(F.col("parameter")) == "water level").select(
@@ -264,6 +267,8 @@ def station_readings_with_context(context: DataFrame, parents: DataFrame, values
     down = F.instr(F.lower(F.col("qualifier")), "downstream") > 0
     is_m = F.lower(F.col("station_type")) == "m"
     keep = (~down & (F.lit(prefer == "u") | ~is_m)) | (down & is_m)
+    if as_of is not None and days is not None:
+        values = values.filter(recent("value_timestamp", as_of, days))
     j = (values.join(hdr, "telemetry_value_parent_id").join(ctx, "rloi_id")
          .filter(keep & after_status_date("value_timestamp", "status_date"))
          .withColumn("por_max_value", F.round(F.when(down, F.col("d_por_max_value")).otherwise(F.col("por_max_value")), 2))
