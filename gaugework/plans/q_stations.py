@@ -193,3 +193,73 @@ def q_stations_overview(spark, sf):
     out = stations_overview(station_split(spark, sf), station_readings(spark, sf), fs, AS_OF, MARKER)
     return out.select("rloi_id", "direction", "station_type", "qualifier", "processed_value", "value_timestamp",
                       "trend", "age_seconds", "por_max_breached", "at_risk", "forecast", "level")
+
+
+V10_SQL = f"""
+WITH ctx AS (
+  SELECT c_custkey AS rloi_id,
+         CASE c_mktsegment WHEN 'BUILDING' THEN 'C' WHEN 'MACHINERY' THEN 'G'
+                           WHEN 'AUTOMOBILE' THEN 'M' ELSE 'S' END AS station_type,
+         CASE WHEN c_custkey % 7 = 0 THEN TIMESTAMP '2024-01-29 12:00:00' END AS status_date,
+         c_acctbal / 20 AS por_max_value, c_acctbal / 30 AS d_por_max_value,
+         c_acctbal / 40 AS percentile_5, c_acctbal / 50 AS d_percentile_5
+  FROM customer),
+v AS (
+  SELECT e.user_id AS rloi_id, CASE WHEN e.event_type = 'click' THEN 'Downstream click' ELSE e.event_type END AS qualifier,
+         e.event_id, e.ts, e.value FROM events e),
+j AS (
+  SELECT v.*, c.station_type,
+         position('downstream' IN lower(v.qualifier)) > 0 AS down,
+         round(CASE WHEN position('downstream' IN lower(v.qualifier)) > 0 THEN c.d_por_max_value ELSE c.por_max_value END, 2) AS pm,
+         round(CASE WHEN position('downstream' IN lower(v.qualifier)) > 0 THEN c.d_percentile_5 ELSE c.percentile_5 END, 2) AS p5
+  FROM v JOIN ctx c USING (rloi_id)
+  WHERE v.ts > TIMESTAMP '{AS_OF}' - INTERVAL 5 DAY
+    AND (c.status_date IS NULL OR v.ts >= c.status_date)
+    AND ((position('downstream' IN lower(v.qualifier)) = 0) OR (position('downstream' IN lower(v.qualifier)) > 0 AND lower(c.station_type) = 'm'))),
+l AS (
+  SELECT j.*, timezone('Europe/London', ts::TIMESTAMPTZ) AS loc,
+         ts = min(ts) OVER (PARTITION BY rloi_id, qualifier) OR ts = max(ts) OVER (PARTITION BY rloi_id, qualifier) AS edge
+  FROM j),
+lb AS (
+  SELECT l.*,
+         CASE WHEN edge OR (hour(loc) = 0 AND minute(loc) = 0) THEN strftime(loc, '%d %B %Y %-I:%M') || lower(strftime(loc, '%p'))
+              WHEN hour(loc) % 6 = 0 AND minute(loc) = 0 THEN strftime(loc, '%-I:%M') || lower(strftime(loc, '%p'))
+              ELSE '' END AS label
+  FROM l),
+arr AS (
+  SELECT rloi_id, qualifier, CASE WHEN bool_or(down) AND lower(any_value(station_type)) = 'm' THEN 'd' ELSE 'u' END AS direction,
+         list(value ORDER BY ts, event_id) AS processed_values, list(label ORDER BY ts, event_id) AS labels,
+         list(pm ORDER BY ts, event_id) AS por_max_values, list(p5 ORDER BY ts, event_id) AS percentile_5s
+  FROM lb GROUP BY rloi_id, qualifier),
+pick AS (
+  SELECT * FROM arr
+  QUALIFY row_number() OVER (PARTITION BY rloi_id ORDER BY CASE WHEN direction = 'u' THEN 0 ELSE 1 END, qualifier) = 1)
+SELECT c.rloi_id, c.station_type, p.direction, p.qualifier, p.processed_values, p.labels, p.por_max_values, p.percentile_5s
+FROM ctx c LEFT JOIN pick p USING (rloi_id)
+"""
+
+
+@query("readings_with_context", V10_SQL)
+def q_readings_with_context(spark, sf):
+    """V10 over all stations: preferred direction 'u', arrays bounded to five days."""
+    from gaugework.plans.views import station_readings_with_context
+    c = t(spark, sf, "customer")
+    seg = F.col("c_mktsegment")
+    ctx = c.select(
+        F.col("c_custkey").alias("rloi_id"),
+        F.when(seg == "BUILDING", "C").when(seg == "MACHINERY", "G").when(seg == "AUTOMOBILE", "M")
+         .otherwise("S").alias("station_type"),
+        F.when(F.col("c_custkey") % 7 == 0, F.lit("2024-01-29 12:00:00").cast("timestamp_ntz")).alias("status_date"),
+        (F.col("c_acctbal") / 20).alias("por_max_value"), (F.col("c_acctbal") / 30).alias("d_por_max_value"),
+        (F.col("c_acctbal") / 40).alias("percentile_5"), (F.col("c_acctbal") / 50).alias("d_percentile_5"))
+    e = t(spark, sf, "events")
+    q = F.when(F.col("event_type") == "click", "Downstream click").otherwise(F.col("event_type"))
+    parents = e.select("user_id", q.alias("qualifier")).distinct().select(
+        F.xxhash64("user_id", "qualifier").alias("telemetry_value_parent_id"), F.col("user_id").alias("rloi_id"),
+        "qualifier", F.lit("Water Level").alias("parameter"))
+    values = e.select(F.xxhash64("user_id", q).alias("telemetry_value_parent_id"),
+                      F.col("event_id").alias("telemetry_value_id"), F.col("value").alias("processed_value"),
+                      F.col("ts").alias("value_timestamp"), F.lit(False).alias("error"))
+    out = station_readings_with_context(ctx, parents, values, prefer="u", as_of=AS_OF, days=5)
+    return out.select("rloi_id", "station_type", "direction", "qualifier", "processed_values", "labels",
+                      "por_max_values", F.col("percentile_5s"))

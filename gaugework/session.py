@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoints written by with_ordered_id are removed once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
