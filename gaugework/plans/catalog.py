@@ -36,6 +36,3 @@ def t(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> Dat
     df = read_table(spark, sf_dir, name)
     return balanced(df) if balance else df
 
-
-# Importing the modules registers their queries.
-from gaugework.plans import q_geo, q_ingest, q_readings, q_rivers, q_rivers_view, q_stations, q_views  # noqa: E402,F401

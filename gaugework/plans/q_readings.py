@@ -193,14 +193,14 @@ def q_stream_top5_state(spark, sf):
 
 
 RAIN_SQL = """
-g AS (SELECT c_custkey AS telemetry_station_id, CAST(c_custkey AS VARCHAR) AS station_reference,
+rg AS (SELECT c_custkey AS telemetry_station_id, CAST(c_custkey AS VARCHAR) AS station_reference,
              'R' || CAST(c_custkey % 5 AS VARCHAR) AS region, c_name AS station_name FROM customer),
-p AS (SELECT o_orderkey AS telemetry_value_parent_id, CAST(o_custkey AS VARCHAR) AS station,
+rpar AS (SELECT o_orderkey AS telemetry_value_parent_id, CAST(o_custkey AS VARCHAR) AS station,
              'R' || CAST(o_custkey % 5 AS VARCHAR) AS region,
              CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Rainfall' ELSE 'Level' END AS parameter,
              o_orderstatus AS data_type, o_orderpriority AS period, 'mm' AS units, o_orderdate AS end_timestamp
       FROM orders),
-v AS (SELECT l_orderkey AS telemetry_value_parent_id, l_orderkey * 8 + l_linenumber AS telemetry_value_id,
+rval AS (SELECT l_orderkey AS telemetry_value_parent_id, l_orderkey * 8 + l_linenumber AS telemetry_value_id,
              l_partkey, l_suppkey,
              CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN 'NaN'::DOUBLE ELSE l_quantity END AS value,
              l_shipdate AS value_timestamp FROM lineitem)"""
@@ -230,26 +230,26 @@ def _rain_tables(spark, sf):
 
 @query("rainfall_stations", f"""
 WITH {RAIN_SQL},
-rp AS (SELECT * FROM p WHERE parameter = 'Rainfall'),
-hdr AS (SELECT * FROM rp QUALIFY row_number() OVER (PARTITION BY station, region
+rrp AS (SELECT * FROM rpar WHERE parameter = 'Rainfall'),
+rhdr AS (SELECT * FROM rrp QUALIFY row_number() OVER (PARTITION BY station, region
                                                   ORDER BY end_timestamp DESC, telemetry_value_parent_id DESC) = 1),
-lv AS (SELECT telemetry_value_parent_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, value_timestamp
-       FROM v QUALIFY row_number() OVER (PARTITION BY telemetry_value_parent_id
+rlv AS (SELECT telemetry_value_parent_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, value_timestamp
+       FROM rval QUALIFY row_number() OVER (PARTITION BY telemetry_value_parent_id
                                          ORDER BY value_timestamp DESC, telemetry_value_id DESC, l_partkey DESC,
                                                   l_suppkey DESC, value DESC) = 1),
-rv AS (SELECT rp.station, rp.region, v.value_timestamp, v.value FROM v JOIN rp USING (telemetry_value_parent_id)),
-lt AS (SELECT station, region, max(value_timestamp) AS latest FROM rv GROUP BY station, region),
-tot AS (SELECT rv.station, rv.region,
-  round(sum(CASE WHEN rv.value_timestamp > lt.latest - INTERVAL 24 HOUR AND NOT isnan(rv.value) THEN rv.value END), 2) AS day_total,
-  round(sum(CASE WHEN rv.value_timestamp > lt.latest - INTERVAL 6 HOUR AND NOT isnan(rv.value) THEN rv.value END), 2) AS six_hr_total,
-  round(sum(CASE WHEN rv.value_timestamp > lt.latest - INTERVAL 1 HOUR AND NOT isnan(rv.value) THEN rv.value END), 2) AS one_hr_total
-  FROM rv JOIN lt USING (station, region) GROUP BY rv.station, rv.region)
-SELECT g.telemetry_station_id, g.station_reference, g.region, g.station_name, hdr.telemetry_value_parent_id,
-       hdr.data_type, hdr.period, hdr.units, lv.value, lv.value_timestamp, tot.day_total, tot.six_hr_total,
-       tot.one_hr_total, 'R' AS type
-FROM g JOIN hdr ON g.station_reference = hdr.station AND g.region = hdr.region
-JOIN lv ON lv.telemetry_value_parent_id = hdr.telemetry_value_parent_id
-LEFT JOIN tot ON tot.station = g.station_reference AND tot.region = g.region
+rrv AS (SELECT rrp.station, rrp.region, rval.value_timestamp, rval.value FROM rval JOIN rrp USING (telemetry_value_parent_id)),
+rlt AS (SELECT station, region, max(value_timestamp) AS latest FROM rrv GROUP BY station, region),
+rtot AS (SELECT rrv.station, rrv.region,
+  round(sum(CASE WHEN rrv.value_timestamp > rlt.latest - INTERVAL 24 HOUR AND NOT isnan(rrv.value) THEN rrv.value END), 2) AS day_total,
+  round(sum(CASE WHEN rrv.value_timestamp > rlt.latest - INTERVAL 6 HOUR AND NOT isnan(rrv.value) THEN rrv.value END), 2) AS six_hr_total,
+  round(sum(CASE WHEN rrv.value_timestamp > rlt.latest - INTERVAL 1 HOUR AND NOT isnan(rrv.value) THEN rrv.value END), 2) AS one_hr_total
+  FROM rrv JOIN rlt USING (station, region) GROUP BY rrv.station, rrv.region)
+SELECT rg.telemetry_station_id, rg.station_reference, rg.region, rg.station_name, rhdr.telemetry_value_parent_id,
+       rhdr.data_type, rhdr.period, rhdr.units, rlv.value, rlv.value_timestamp, rtot.day_total, rtot.six_hr_total,
+       rtot.one_hr_total, 'R' AS type
+FROM rg JOIN rhdr ON rg.station_reference = rhdr.station AND rg.region = rhdr.region
+JOIN rlv ON rlv.telemetry_value_parent_id = rhdr.telemetry_value_parent_id
+LEFT JOIN rtot ON rtot.station = rg.station_reference AND rtot.region = rg.region
 """)
 def q_rainfall_stations(spark, sf):
     from gaugework.plans.views import rainfall_stations

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gaugework.plans import q_readings  # noqa: F401  (registers the rainfall SQL reused below)
 from gaugework.plans.catalog import AS_OF, query, t
 from gaugework.plans.q_stations import CTX_SQL, DIR_JOIN_SQL, MARKER, station_readings, station_split
 from gaugework.plans.q_stations import stations_overview as overview_core
@@ -134,3 +135,51 @@ def q_rivers_view(spark, sf):
                       "agency_name", "external_name", "status", "value", "trend", "value_timestamp", "value_erred",
                       "percentile_5", "percentile_95", "river_qualified_name", F.col("rank").cast("bigint").alias("rank"),
                       "up", "down", "river_id", "river_name", "navigable", "view_rank", "iswales", "id")
+
+
+def _ctes(sql: str, final_marker: str) -> tuple[str, str]:
+    """Split a 'WITH ctes SELECT …' statement of this catalog into (ctes, final select)."""
+    body = sql.strip()
+    assert body.startswith("WITH ")
+    i = body.index(final_marker)
+    return body[len("WITH "):i].rstrip().rstrip(","), body[i:].strip()
+
+
+def _list_sql() -> str:
+    from gaugework.plans.catalog import ORACLE
+    from gaugework.plans.views import LIST_COLUMNS
+    riv_ctes, _ = _ctes(ORACLE["rivers_view"], "\nSELECT rloi_id, qualifier,")
+    rain_ctes, rain_select = _ctes(ORACLE["rainfall_stations"], "\nSELECT rg.")
+    keys = ["navigable", "river_id", "view_rank", "wiski_river_name"]
+    rest = sorted(set(LIST_COLUMNS) - set(keys))
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in keys + rest)
+    return f"""WITH {riv_ctes},
+{rain_ctes},
+rain AS ({rain_select}),
+u AS (
+  SELECT river_id, river_name, river_qualified_name, navigable, view_rank, CAST(rank AS BIGINT) AS rank, rloi_id,
+         up, down, telemetry_id, region, catchment, wiski_river_name, agency_name, external_name, station_type,
+         status, qualifier, iswales, value, value_timestamp, value_erred, trend, percentile_5, percentile_95,
+         CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS day_total,
+         CAST(NULL AS DOUBLE) AS six_hr_total, CAST(NULL AS DOUBLE) AS one_hr_total
+  FROM lab
+  UNION
+  SELECT 'rainfall-' || region, 'Rainfall ' || region, NULL, false, 5, NULL, NULL, NULL, NULL, station_reference,
+         region, NULL, NULL, station_name, station_name, 'R', 'Active', NULL, false, value, value_timestamp, false,
+         'n/a', NULL, NULL, NULL, NULL, day_total, six_hr_total, one_hr_total
+  FROM rain WHERE region <> 'Wales')
+SELECT *, row_number() OVER (ORDER BY {order}) AS id FROM u"""
+
+
+def q_stations_list_view(spark, sf):
+    from gaugework.plans.q_readings import _rain_tables
+    from gaugework.plans.views import LIST_COLUMNS, rainfall_stations, stations_list
+    g, p, v = _rain_tables(spark, sf)
+    rain = rainfall_stations(g, p, v, value_tiebreak=["telemetry_value_id", "l_partkey", "l_suppkey", "value"],
+                             with_lonlat=False)
+    riv = _rivers(spark, sf).withColumn("rank", F.col("rank").cast("bigint"))
+    out = stations_list(riv, rain, order_mode="positional")
+    return out.select(*LIST_COLUMNS, "id")
+
+
+query("stations_list_view", _list_sql())(q_stations_list_view)

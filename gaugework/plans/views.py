@@ -130,29 +130,47 @@ def rivers(split: DataFrame, overview: DataFrame, river_stations: DataFrame, riv
     return with_ordered_id(j, order)
 
 
+LIST_COLUMNS = ["river_id", "river_name", "river_qualified_name", "navigable", "view_rank", "rank", "rloi_id", "up",
+                "down", "telemetry_id", "region", "catchment", "wiski_river_name", "agency_name", "external_name",
+                "station_type", "status", "qualifier", "iswales", "value", "value_timestamp", "value_erred", "trend",
+                "percentile_5", "percentile_95", "lon", "lat", "day_total", "six_hr_total", "one_hr_total"]
+
+
 def stations_list(rivers_df: DataFrame, rainfall: DataFrame, order_mode: str = "positional") -> DataFrame:
-    """V6: rivers ∪ rainfall gauges outside 'Wales' (case-sensitive), with rainfall padded:
-    river_id 'rainfall-<region>', view_rank 5, type 'R', status 'Active', trend 'n/a';
-    erred river values are left out. ``order_mode='positional'`` reproduces the released
-    ORDER BY 4,1,5,13 (navigable, river_id, view_rank, wiski_river_name); 'intended' sorts
-    by view_rank, river_id, rank, agency_name."""
-    rv = rivers_df.filter(~F.coalesce(F.col("value_erred"), F.lit(False))).select(
-        "rloi_id", "river_id", "river_name", "navigable", "view_rank", "rank", "region", "catchment",
-        "wiski_river_name", "agency_name", "external_name", "station_type", "status", "qualifier",
-        "iswales", "value", "trend", "value_timestamp", "lon", "lat")
-    rf = rainfall.filter(F.col("region") != "Wales").select(
-        F.col("station_reference").alias("external_name"), F.col("station_name").alias("agency_name"),
-        F.concat(F.lit("rainfall-"), F.col("region")).alias("river_id"), F.col("region"),
-        F.lit(5).alias("view_rank"), F.lit("R").alias("station_type"), F.lit("Active").alias("status"),
-        F.lit("n/a").alias("trend"), "value", "value_timestamp", "lon", "lat", F.lit(False).alias("navigable"))
-    u = union_shapes(rv, rf, distinct=True)
-    if order_mode == "positional":
-        order = [F.col("navigable").asc_nulls_last(), F.col("river_id").asc_nulls_last(),
-                 F.col("view_rank").asc_nulls_last(), F.col("wiski_river_name").asc_nulls_last()]
-    else:
-        order = [F.col("view_rank").asc_nulls_last(), F.col("river_id").asc_nulls_last(),
-                 F.col("rank").asc_nulls_last(), F.col("agency_name").asc_nulls_last()]
-    order += [F.col(c).asc_nulls_last() for c in u.columns]
+    """V6: rivers ∪ rainfall gauges outside 'Wales' (case-sensitive), SQL UNION (distinct).
+
+    Rainfall rows: river_id 'rainfall-<region>', river_name 'Rainfall <region>', view_rank 5,
+    type 'R', status 'Active', trend 'n/a', not navigable, not Welsh, value_erred false,
+    telemetry_id = station reference, agency and external name = station name, with the
+    three rainfall totals (NULL on river rows). Ids follow the sort: ``'positional'``
+    reproduces the released ORDER BY 4,1,5,13 (navigable, river_id, view_rank,
+    wiski_river_name; §2 O2), ``'intended'`` sorts by view_rank, river_id, rank,
+    agency_name; the remaining columns break ties so the numbering is total."""
+    rdt = dict(rivers_df.dtypes)
+    rv = rivers_df.select(*[F.col(c) if c in rdt else F.lit(None).cast("double").alias(c) for c in LIST_COLUMNS])
+    typ = dict(rv.dtypes)
+
+    def null(c: str):
+        return F.lit(None).cast(typ[c]).alias(c)
+    rf = rainfall.filter(F.col("region") != "Wales")
+    rf = rf.select(
+        F.concat(F.lit("rainfall-"), F.col("region")).alias("river_id"),
+        F.concat(F.lit("Rainfall "), F.col("region")).alias("river_name"), null("river_qualified_name"),
+        F.lit(False).alias("navigable"), F.lit(5).cast(typ["view_rank"]).alias("view_rank"), null("rank"),
+        null("rloi_id"), null("up"), null("down"),
+        F.col("station_reference").cast(typ["telemetry_id"]).alias("telemetry_id"), "region", null("catchment"),
+        null("wiski_river_name"), F.col("station_name").alias("agency_name"), F.col("station_name").alias("external_name"),
+        F.lit("R").alias("station_type"), F.lit("Active").alias("status"), null("qualifier"),
+        F.lit(False).alias("iswales"), F.col("value").cast(typ["value"]).alias("value"),
+        F.col("value_timestamp").cast(typ["value_timestamp"]).alias("value_timestamp"),
+        F.lit(False).alias("value_erred"), F.lit("n/a").alias("trend"), null("percentile_5"), null("percentile_95"),
+        *[(F.col(c).cast(typ[c]) if c in rainfall.columns else null(c)).alias(c) for c in ("lon", "lat")],
+        *[F.col(c).cast(typ[c]).alias(c) for c in ("day_total", "six_hr_total", "one_hr_total")])
+    u = rv.unionByName(rf).distinct()
+    keys = (["navigable", "river_id", "view_rank", "wiski_river_name"] if order_mode == "positional"
+            else ["view_rank", "river_id", "rank", "agency_name"])
+    order = [F.col(c).asc_nulls_last() for c in keys]
+    order += [F.col(c).asc_nulls_last() for c in sorted(set(LIST_COLUMNS) - set(keys))]
     return with_ordered_id(u, order)
 
 

@@ -86,8 +86,11 @@ def test_stations_list(built):
     lst = views.stations_list(built["rivers"], built["rain"]).collect()
     rain = [r for r in lst if r.station_type == "R"]
     assert [(r.river_id, r.view_rank, r.trend, r.status) for r in rain] == [("rainfall-North East", 5, "n/a", "Active")]
-    # UNION is distinct: station 1's two rows (two downstream neighbours) collapse once up/down are not listed
-    assert len(lst) == built["rivers"].count() - 1 + 1
+    # UNION is distinct over the listed columns, which include up/down: every river row stays
+    assert len(lst) == built["rivers"].count() + 1
+    r1 = [r for r in lst if r.station_type == "R"][0]
+    assert (r1.river_name, r1.telemetry_id, r1.agency_name, r1.value_erred, r1.day_total) == (
+        "Rainfall North East", "R1", "Rain One", False, 4.0)
     assert sorted(r.id for r in lst) == list(range(1, len(lst) + 1))
 
 
