@@ -16,7 +16,8 @@ def iso_minutes(ts: str | Column) -> Column:
 
 
 def epoch_millis(ts: str | Column) -> Column:
-    """``extract(epoch from ts) * 1000`` as BIGINT."""
+    """``extract(epoch from ts) * 1000`` as BIGINT milliseconds (sub-millisecond parts are
+    floored; feed timestamps are whole minutes, so the reference's fraction is always 0)."""
     return F.unix_millis(col_(ts).cast("timestamp"))
 
 

@@ -137,12 +137,9 @@ def _xml_attr(name, col):
     return F.concat(F.lit(f' {name}="'), col, F.lit('"'))
 
 
-@query("xml_flatten", """
-SELECT CAST(user_id AS VARCHAR) AS station_reference, event_type AS qualifier,
-       date_trunc('second', ts) AS forecast_date, value
-FROM events WHERE event_type <> 'error'
-""")
-def q_xml_flatten(spark, sf):
+def q_xml_forecasts(spark, sf):
+    """Forecast XML documents built from the events (one per event; 'error' events are
+    'Flow' series), parsed and kept to 'Water Level'."""
     e = t(spark, sf, "events", balance=True)
     d, tm = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
     param = F.when(F.col("event_type") == "error", "Flow").otherwise("Water Level")
@@ -156,7 +153,16 @@ def q_xml_flatten(spark, sf):
         F.lit("</Value></SetofValues><SetofValues parameter=\"Flow\"/></Station></EATimeSeriesDataExchangeFormat>"))
     files = e.select(F.concat(F.lit("ffoi-"), F.col("event_id").cast("string"), F.lit(".xml")).alias("filename"),
                      xml.alias("xml"))
-    f = parse_forecasts(files).filter(F.col("parameter") == "Water Level")
+    return parse_forecasts(files).filter(F.col("parameter") == "Water Level")
+
+
+@query("xml_flatten", """
+SELECT CAST(user_id AS VARCHAR) AS station_reference, event_type AS qualifier,
+       date_trunc('second', ts) AS forecast_date, value
+FROM events WHERE event_type <> 'error'
+""")
+def q_xml_flatten(spark, sf):
+    f = q_xml_forecasts(spark, sf)
     return f.select("station_reference", "qualifier", F.col("forecast_date").cast("timestamp_ntz").alias("forecast_date"),
                     F.col("values")[0]["value"].alias("value"))
 
@@ -204,7 +210,7 @@ def _threshold_payloads(spark, sf):
     ln3 = F.col("l_linenumber") % 3
     series = F.struct(F.when(ln3 == 0, "Flow").when(ln3 == 1, "Level").alias("Parameter"),
                       F.when(F.col("l_returnflag") == "R", "Downstream Stage").otherwise("Stage").alias("qualifier"),
-                      F.lit("m").alias("Unit"), F.lit(True).alias("DisplayTimeSeries"),
+                      F.lit("m").alias("Unit"), (F.col("l_linenumber") % 2 == 1).alias("DisplayTimeSeries"),
                       F.array(F.struct(ttype.alias("ThresholdType"), (F.col("l_quantity") / 10).alias("Level"),
                                        code.alias("FloodWarningArea"))).alias("Thresholds"))
     # one payload document per series (a station object holding that series): no shuffle
@@ -352,3 +358,30 @@ SELECT DISTINCT l_suppkey AS rloi_id FROM lineitem WHERE l_suppkey IS NOT NULL
 def q_fetch_list(spark, sf):
     li = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("rloi_id"))
     return stations_to_fetch(li)
+
+
+@query("display_flags", f"""
+WITH {THRESHOLD_ROWS_SQL}
+SELECT station_id, CASE WHEN qualifier = 'Downstream Stage' THEN 'd' ELSE 'u' END AS direction,
+       bool_or(l_linenumber % 2 = 1) AS display_time_series
+FROM th GROUP BY ALL
+""")
+def q_display_flags(spark, sf):
+    """V13 (inferred): one display flag per (station, direction) from DisplayTimeSeries."""
+    from gaugework.plans.views import display_flags
+    return display_flags(_threshold_payloads(spark, sf))
+
+
+@query("forecast_max", """
+WITH f AS (SELECT CAST(user_id AS VARCHAR) AS station_reference, ts, value FROM events WHERE event_type <> 'error')
+SELECT station_reference AS rloi_id, max(value) AS value,
+       arg_max(date_trunc('second', ts), (value, -epoch_us(date_trunc('second', ts)))) AS value_date
+FROM f GROUP BY station_reference
+""")
+def q_forecast_max(spark, sf):
+    """A10 (inferred): per station the highest forecast value and its earliest time, from
+    forecast XML documents (one per source row)."""
+    from gaugework.sources.forecasts import forecast_max
+    fc = q_xml_forecasts(spark, sf).withColumnRenamed("station_reference", "rloi_id")
+    return forecast_max(fc, "rloi_id").select("rloi_id", "value",
+                                              F.col("value_date").cast("timestamp_ntz").alias("value_date"))
