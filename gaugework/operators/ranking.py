@@ -110,6 +110,35 @@ def lag_value(df: DataFrame, keys: str | Sequence[str], order: str, tiebreak: st
     return agg.select(*keys, *[F.col("_latest")[c].alias(c) for c in rest], name)
 
 
+def group_rank(df: DataFrame, group: str, order: Column, name: str = "rank") -> DataFrame:
+    """``rank()`` over ``partitionBy(group).orderBy(order)`` without putting a whole group in
+    one task.
+
+    The rows are range-partitioned on (group, order); equal keys always land in the same
+    range partition, so ties never straddle a boundary. Each row gets its rank inside its
+    (group, partition) slice, plus the number of rows of its group in earlier partitions (a
+    running sum over a table with one row per (group, partition), at most groups + partitions
+    rows). A group holding a third of the rows is thus spread over many range partitions.
+
+    The range-partitioned slices are checkpointed (reliably, to ``spark.checkpoint.dir``):
+    a range partitioner samples its bounds per planned exchange, so two branches planned
+    separately could cut different ranges; reading one checkpoint makes both see the same
+    slices, also after an executor is lost."""
+    from gaugework.session import cut_lineage
+
+    n = df.sparkSession.sparkContext.defaultParallelism
+    n = max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(n))))
+    parts = df.repartitionByRange(n, F.col(group).asc_nulls_last(), order).withColumn("_pid", F.spark_partition_id())
+    parts = cut_lineage(parts)
+    local = parts.withColumn("_lr", F.rank().over(Window.partitionBy(group, "_pid").orderBy(order)))
+    counts = parts.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn(
+        "_off", F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_pid")
+                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    out = local.join(offsets.select(group, "_pid", "_off"), [group, "_pid"])
+    return out.withColumn(name, (F.col("_off") + F.col("_lr")).cast("int")).drop("_pid", "_lr", "_off")
+
+
 def rank_neighbours(df: DataFrame, group: str, rank: str, node: str | Sequence[str],
                     carry: Sequence[str] = (), name: str = "calc_rank") -> DataFrame:
     """W5 + J5: position along a group (``rank()`` over the raw rank, NULLS LAST) and the
@@ -117,12 +146,11 @@ def rank_neighbours(df: DataFrame, group: str, rank: str, node: str | Sequence[s
 
     Neighbours are equi-joins on (group, calc_rank ± 1), not lag/lead: tied ranks share a
     position, the next position is skipped, so a neighbour can fan out or be missing,
-    exactly like the reference's self join. The window sorts one group's rows; the joins
-    are on (group, position), which spreads a long group over many tasks.
-    """
+    exactly like the reference's self join. The position comes from ``group_rank`` (no
+    single-task group) and the joins are on (group, position), which spreads a long group
+    over many tasks."""
     nodes = _cols(node)
-    w = Window.partitionBy(group).orderBy(F.col(rank).asc_nulls_last())
-    base = df.withColumn(name, F.rank().over(w))
+    base = group_rank(df, group, F.col(rank).asc_nulls_last(), name)
     nb = base.select(F.col(group).alias("_g"), F.col(name).alias("_r"),
                      *[F.col(c).alias(f"_n_{c}") for c in nodes + list(carry)])
     up = nb.select("_g", (F.col("_r") + 1).alias("_r"),
