@@ -49,10 +49,12 @@ def chart_label(ts: str | Column, zone: str = CHART_ZONE) -> Column:
 def with_chart_labels(df: DataFrame, keys: list[str], ts: str, name: str = "label",
                       zone: str = CHART_ZONE) -> DataFrame:
     """Chart labels where the first and last reading of each key always get the full
-    form. First/last are found with an aggregate (min/max ts per key) joined back, not a
-    sorted window over every row of the key."""
+    form. First/last are an aggregate (min/max ts per key, partial-aggregated map-side)
+    joined back with the salted join, not a sorted window over every row of the key."""
+    from gaugework.operators.skew import salted_join
+
     ends = df.groupBy(*keys).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
-    out = df.join(ends, keys)
+    out = salted_join(df, ends, keys)
     edge = (F.col(ts) == F.col("_first")) | (F.col(ts) == F.col("_last"))
     return (out.withColumn(name, F.when(edge, full_label(ts, zone)).otherwise(chart_label(ts, zone)))
             .drop("_first", "_last"))

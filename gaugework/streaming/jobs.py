@@ -27,9 +27,15 @@ def stream_readings(spark: SparkSession, path: str, checkpoint: str, out: str, c
            .json(path).select(F.col("_metadata.file_name").alias("filename"), "EATimeSeriesDataExchangeFormat"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parts = ingest_and_clean(batch, context, region_lookup)
-        for name, df in parts.items():
-            df.write.mode("overwrite").parquet(_batch_path(out, name, batch_id))
+        # three outputs come from one parse: keep the parsed batch for the duration of the
+        # writes (a lost cached block is recomputed from the source files, not lost)
+        batch = batch.persist()
+        try:
+            parts = ingest_and_clean(batch, context, region_lookup)
+            for name, df in parts.items():
+                df.write.mode("overwrite").parquet(_batch_path(out, name, batch_id))
+        finally:
+            batch.unpersist()
 
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
