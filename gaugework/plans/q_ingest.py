@@ -385,3 +385,35 @@ def q_forecast_max(spark, sf):
     fc = q_xml_forecasts(spark, sf).withColumnRenamed("station_reference", "rloi_id")
     return forecast_max(fc, "rloi_id").select("rloi_id", "value",
                                               F.col("value_date").cast("timestamp_ntz").alias("value_date"))
+
+
+@query("membership", """
+SELECT c_custkey, c_mktsegment FROM customer
+WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+  AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+  AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+""")
+def q_membership(spark, sf):
+    """literal IN list, IN (subquery) as a semi join, NOT IN (subquery) as an anti join
+    (the subquery has no NULL keys, so both NULL policies agree)."""
+    from gaugework.functions.predicates import anti, in_list, semi
+    c = t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    o = t(spark, sf, "orders")
+    done = o.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
+    urgent = o.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
+    out = semi(c.filter(in_list("c_mktsegment", ["BUILDING", "MACHINERY"])), done, ["c_custkey"])
+    return anti(out, urgent, ["c_custkey"], null_keys="sql_not_in")
+
+
+@query("not_in_with_null", """
+SELECT c_custkey FROM customer
+WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderkey % 1000 = 7 THEN NULL ELSE o_custkey END FROM orders
+                        WHERE o_orderpriority = '1-URGENT')
+""")
+def q_not_in_with_null(spark, sf):
+    """§2.11 item 9: SQL NOT IN against a subquery holding a NULL returns no rows."""
+    from gaugework.functions.predicates import anti
+    c = t(spark, sf, "customer").select("c_custkey")
+    o = t(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    sub = o.select(F.when(F.col("o_orderkey") % 1000 == 7, F.lit(None)).otherwise(F.col("o_custkey")).alias("c_custkey"))
+    return anti(c, sub, ["c_custkey"], null_keys="sql_not_in")

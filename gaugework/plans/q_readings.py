@@ -259,3 +259,32 @@ def q_rainfall_stations(spark, sf):
     return out.select("telemetry_station_id", "station_reference", "region", "station_name",
                       "telemetry_value_parent_id", "data_type", "period", "units", "value", "value_timestamp",
                       *[F.round(c, 2).alias(c) for c in ("day_total", "six_hr_total", "one_hr_total")], "type")
+
+
+WL_SQL = """
+w AS (SELECT event_id, user_id,
+             CASE WHEN event_type = 'error' THEN 'Flow' WHEN event_type = 'view' THEN 'WATER LEVEL' ELSE 'Water Level' END AS parameter,
+             CASE WHEN event_type = 'signup' THEN 'deg C' ELSE 'mAOD' END AS units,
+             CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'Crest Tapping'
+                  WHEN event_id % 17 = 0 THEN 'Stage Height' ELSE event_type END AS qualifier
+      FROM events)"""
+
+
+@query("water_level_filter", f"""
+WITH {WL_SQL}
+SELECT event_id, user_id, qualifier FROM w
+WHERE lower(parameter) = 'water level' AND lower(units) NOT LIKE '%deg%'
+  AND lower(qualifier) NOT LIKE '%height%' AND lower(qualifier) <> 'crest tapping'
+""")
+def q_water_level_filter(spark, sf):
+    """water-level series only (case-insensitive parameter; no 'deg' units, no 'height' or
+    'crest tapping' qualifier; a NULL qualifier drops the row)."""
+    from gaugework.functions.predicates import water_level
+    e = t(spark, sf, "events")
+    et = F.col("event_type")
+    w = e.select("event_id", "user_id",
+                 F.when(et == "error", "Flow").when(et == "view", "WATER LEVEL").otherwise("Water Level").alias("parameter"),
+                 F.when(et == "signup", "deg C").otherwise("mAOD").alias("units"),
+                 F.when(F.col("event_id") % 11 == 0, F.lit(None)).when(F.col("event_id") % 13 == 0, "Crest Tapping")
+                  .when(F.col("event_id") % 17 == 0, "Stage Height").otherwise(et).alias("qualifier"))
+    return w.filter(water_level()).select("event_id", "user_id", "qualifier")
