@@ -71,7 +71,9 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Parquet row group is one task) before a CPU-heavy narrow stage such as document parsing.
     A round-robin repartition costs one shuffle of the input; on a large input that already
     has enough splits this is a no-op."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  - sessions without RDD access: leave the plan as it is
+        return df
+    return df.repartition(want) if have < want else df
