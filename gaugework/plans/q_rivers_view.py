@@ -97,7 +97,7 @@ REST = sorted({"rloi_id", "station_type", "telemetry_id", "region", "catchment",
                "river_qualified_name", "up", "down", "river_name", "navigable", "iswales", "lon", "lat"} - {"lon", "lat"})
 
 
-def _rivers(spark, sf):
+def _rivers(spark, sf, with_ids=True):
     from gaugework.plans.views import rivers
     c, n, r = t(spark, sf, "customer"), t(spark, sf, "nation"), t(spark, sf, "region")
     sc = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
@@ -125,7 +125,7 @@ def _rivers(spark, sf):
         F.concat(F.lit("River "), F.col("n_name")).alias("name"),
         F.concat(F.col("n_name"), F.lit(" ("), F.col("n_regionkey").cast("string"), F.lit(")")).alias("qualified_name"))
     ctx = station_split(spark, sf).select("rloi_id").distinct()
-    return rivers(split, ov, on_river.unionByName(deleted), river, ctx)
+    return rivers(split, ov, on_river.unionByName(deleted), river, ctx, with_ids=with_ids)
 
 
 @query("rivers_view", RIVERS_SQL.replace("{rest}", ", ".join(f"{c} ASC NULLS LAST" for c in REST)))
@@ -177,7 +177,7 @@ def q_stations_list_view(spark, sf):
     g, p, v = _rain_tables(spark, sf)
     rain = rainfall_stations(g, p, v, value_tiebreak=["telemetry_value_id", "l_partkey", "l_suppkey", "value"],
                              with_lonlat=False)
-    riv = _rivers(spark, sf).withColumn("rank", F.col("rank").cast("bigint"))
+    riv = _rivers(spark, sf, with_ids=False).withColumn("rank", F.col("rank").cast("bigint"))
     out = stations_list(riv, rain, order_mode="positional")
     return out.select(*LIST_COLUMNS, "id")
 

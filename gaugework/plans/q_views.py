@@ -11,11 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugework.functions.levels import active_flags
 from gaugework.functions.predicates import after_status_date, recent
 from gaugework.functions.timefmt import chart_label, iso_minutes
 from gaugework.operators.arrays import ordered_json, parallel_arrays
-from gaugework.operators.ranking import latest_per_key
 from gaugework.plans.catalog import AS_OF, query, t
 
 AREAS_SQL = """
@@ -220,16 +218,16 @@ GEO_AREAS_SQL = """
 sq AS (SELECT s_suppkey AS gid, CAST(-5.5 + (s_suppkey % 31) * 0.22 AS DOUBLE) AS cx,
               CAST(50.0 + (s_suppkey % 37) * 0.22 AS DOUBLE) AS cy, CAST(0.03 + (s_suppkey % 5) * 0.01 AS DOUBLE) AS h,
               s_suppkey % 2 = 0 AS holed,
-              'TA' || CAST(s_suppkey % 40 AS VARCHAR) || CASE WHEN s_suppkey % 3 = 0 THEN '  ' ELSE '' END AS fws_tacode
+              'TA' || CAST(s_suppkey AS VARCHAR) || CASE WHEN s_suppkey % 3 = 0 THEN '  ' ELSE '' END AS fws_tacode
        FROM supplier),
 cen AS (SELECT gid, fws_tacode, s_gid_kind,
                (4 * h * h * cx - CASE WHEN holed THEN 4 * (h / 3) * (h / 3) * (cx + h / 2) ELSE 0 END)
                  / (4 * h * h - CASE WHEN holed THEN 4 * (h / 3) * (h / 3) ELSE 0 END) AS lon,
                cy AS lat
         FROM (SELECT *, CASE WHEN gid % 4 = 0 THEN 'w' ELSE 'a' END AS s_gid_kind FROM sq)),
-fw AS (SELECT o_orderkey AS id, 'TA' || CAST(o_orderkey % 45 AS VARCHAR) AS ta_code,
+fw AS (SELECT o_orderkey AS id, 'TA' || CAST(o_custkey % 1200 AS VARCHAR) AS ta_code,
               CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS severity_value
-       FROM orders WHERE o_orderstatus = 'O')"""
+       FROM orders)"""
 
 
 @query("warnings_centroid", f"""
@@ -239,16 +237,17 @@ SELECT DISTINCT f.id, f.ta_code, f.severity_value, c.gid, c.s_gid_kind AS area_t
 FROM fw f JOIN cen c ON rtrim(f.ta_code) = rtrim(c.fws_tacode)
 """)
 def q_warnings_centroid(spark, sf):
-    """V8 in full: warnings ⋈ alert / warning areas (bpchar join) with each area's centroid."""
+    """V8 in full: warnings ⋈ alert / warning areas (bpchar join) with each area's centroid.
+    Each area has its own code (as fws_tacode does); a warning names one area or none."""
     from gaugework.plans.q_geo import squares
     from gaugework.plans.views import warnings_with_area
     sq = squares(spark, sf).withColumnRenamed("area_id", "gid").withColumn(
-        "fws_tacode", F.concat(F.lit("TA"), (F.col("gid") % 40).cast("string"),
+        "fws_tacode", F.concat(F.lit("TA"), F.col("gid").cast("string"),
                                F.when(F.col("gid") % 3 == 0, F.lit("  ")).otherwise(F.lit(""))))
     alert, warn = sq.filter(F.col("gid") % 4 != 0), sq.filter(F.col("gid") % 4 == 0)
-    o = t(spark, sf, "orders").filter(F.col("o_orderstatus") == "O")
+    o = t(spark, sf, "orders")
     fw = o.select(F.col("o_orderkey").alias("id"),
-                  F.concat(F.lit("TA"), (F.col("o_orderkey") % 45).cast("string")).alias("ta_code"),
+                  F.concat(F.lit("TA"), (F.col("o_custkey") % 1200).cast("string")).alias("ta_code"),
                   F.substring("o_orderpriority", 1, 1).cast("int").alias("severity_value"))
     out = warnings_with_area(fw, alert, warn, rings="geom")
     return out.select("id", "ta_code", "severity_value", "gid", "area_type",
@@ -260,7 +259,7 @@ WITH areas AS (SELECT p_brand AS code, min(p_partkey) AS gid, CAST(substr(p_bran
                FROM part GROUP BY p_brand),
 cur AS (SELECT 'Brand#' || CAST(o_orderkey % 30 + 1 AS VARCHAR) AS fwa_code, o_orderkey AS warning_key,
                o_orderstatus AS tidal, CAST(substr(o_orderpriority, 1, 1) AS SMALLINT) AS severity_value,
-               o_orderpriority AS rim FROM orders WHERE o_totalprice > 300000)
+               o_orderpriority AS rim FROM orders)
 SELECT c.fwa_code AS ta_code, c.warning_key, c.tidal AS flood_type, c.severity_value AS severity, c.rim AS message,
        a.gid, CASE WHEN a.n <= 12 THEN 'a' ELSE 'w' END AS area_type
 FROM cur c JOIN areas a ON rtrim(c.fwa_code) = rtrim(a.code)
@@ -269,7 +268,7 @@ def q_legacy_warnings(spark, sf):
     """The older warnings view with its column names (tidal → flood_type, …)."""
     from gaugework.plans.views import legacy_warnings
     alert, warn = areas(spark, sf)
-    o = t(spark, sf, "orders").filter(F.col("o_totalprice") > 300000)
+    o = t(spark, sf, "orders")
     cur = o.select(F.concat(F.lit("Brand#"), (F.col("o_orderkey") % 30 + 1).cast("string")).alias("fwa_code"),
                    F.col("o_orderkey").alias("warning_key"), F.col("o_orderstatus").alias("tidal"),
                    F.substring("o_orderpriority", 1, 1).cast("smallint").alias("severity_value"),

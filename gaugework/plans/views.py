@@ -18,7 +18,7 @@ from gaugework.functions.predicates import (after_status_date, direction, in_sco
                                             river_labels, water_level)
 from gaugework.functions.timefmt import chart_label, epoch_millis, iso_minutes, with_chart_labels
 from gaugework.operators.arrays import ordered_json, parallel_arrays
-from gaugework.operators.ranking import latest_per_key, rank_neighbours, top_k_per_key, with_ordered_id
+from gaugework.operators.ranking import latest_per_key, rank_neighbours, with_ordered_id
 from gaugework.operators.sets import split_directions, union_shapes
 from gaugework.operators.windows import flag_exists, trailing_totals
 
@@ -106,9 +106,10 @@ def rainfall_stations(gauges: DataFrame, parents: DataFrame, values: DataFrame,
 
 
 def rivers(split: DataFrame, overview: DataFrame, river_stations: DataFrame, river: DataFrame,
-           context: DataFrame) -> DataFrame:
+           context: DataFrame, with_ids: bool = True) -> DataFrame:
     """V5: stations with river labels, position on the river and up/down neighbours, in
-    scope only, ordered and numbered (W7 by the sort key, §2.11 item 19)."""
+    scope only, ordered and numbered (W7 by the sort key, §2.11 item 19). ``with_ids=False``
+    skips the numbering for consumers that renumber anyway (the station list)."""
     live = river_stations.join(context.select("rloi_id").distinct(), "rloi_id", "left_semi")
     ranked = rank_neighbours(live, "river_id", "rank", "rloi_id")
     rs = (ranked.join(river.select(F.col("id").alias("river_id"), F.col("name").alias("river_name"),
@@ -123,6 +124,8 @@ def rivers(split: DataFrame, overview: DataFrame, river_stations: DataFrame, riv
          .join(rs, "rloi_id", "left"))
     j = river_labels(j).filter(in_scope()).withColumn("iswales", is_wales())
     j = j.withColumnRenamed("calc_rank", "rank")
+    if not with_ids:
+        return j
     keys = ["view_rank", "river_id", "rank", "external_name"]
     order = [F.col(c).asc_nulls_last() for c in keys] + [F.col("qualifier").desc_nulls_first()]
     # then every other column, so the numbering is a total order (fan-out rows differ there)
@@ -211,18 +214,20 @@ def impacts(impact: DataFrame, context: DataFrame, overview: DataFrame, ffoi_max
 def warnings_with_area(fwis: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame,
                        with_centroid: bool = True, rings: str = "geom") -> DataFrame:
     """V8: warnings ⋈ alert areas ∪ warnings ⋈ warning areas on the blank-trimmed code
-    (bpchar equality), distinct, with the area type carried and the area's centroid."""
+    (bpchar equality), distinct, with the area type carried and the area's centroid. The
+    centroid is computed once per area, before the join, not once per joined row."""
     def branch(areas: DataFrame, kind: str) -> DataFrame:
-        cols = ["gid", F.col("fws_tacode").alias("_code")] + ([rings] if with_centroid else [])
-        a = areas.select(*cols)
+        a = areas.select("gid", F.col("fws_tacode").alias("_code"), *([rings] if with_centroid else []))
+        if with_centroid:
+            from gaugework.operators.spatial import centroid
+            a = centroid(a, rings, "st_centroid")
         j = fwis.join(a, F.rtrim(fwis.ta_code) == F.rtrim(a._code)).drop("_code")
         return j.withColumn("area_type", F.lit(kind))
-    out = union_shapes(branch(alert_areas, "a"), branch(warning_areas, "w"), distinct=not with_centroid)
+    out = union_shapes(branch(alert_areas, "a"), branch(warning_areas, "w"), distinct=False)
     if with_centroid:
-        from gaugework.operators.spatial import centroid
-        out = centroid(out, rings, "st_centroid").dropDuplicates(
-            [c for c in out.columns if c != rings] + ["st_centroid"])
-    return out
+        # rows differ only in their geometry when they are the same: dedupe on everything else
+        return out.dropDuplicates([c for c in out.columns if c != rings])
+    return out.distinct()
 
 
 LEGACY_RENAMES = {"tidal": "flood_type", "severity_value": "severity", "rim": "message",
