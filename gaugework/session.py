@@ -57,9 +57,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint (survives executor loss), never a local one.
+
+    A reliable checkpoint runs one job to materialise the data and a second to write it; the
+    input is persisted just for that span so it is computed once (a lost cached block is
+    recomputed, the written checkpoint is what later stages read)."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
