@@ -218,3 +218,32 @@ SELECT id, lon, lat FROM pts WHERE lon > -4.0 AND lon < -1.0 AND lat > 51.0 AND
 """)
 def q_bbox(spark, sf):
     return points(spark, sf).filter(in_bbox("lon", "lat", -4.0, 51.0, -1.0, 53.0))
+
+
+@query("station_context_view", f"""
+WITH {GRID_POINTS_SQL},
+{_grid_sql()},
+ll AS (SELECT id, degrees(atan2(y, x)) AS lon, degrees(phi) AS lat FROM w4),
+lk AS (SELECT 'EA ' || r_name AS region_name, r_name AS context_region_name FROM region WHERE r_regionkey < 4),
+ctx AS (SELECT c.c_custkey AS rloi_id, c.c_name AS agency_name, r.r_name AS region
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT ctx.rloi_id, ctx.agency_name, ctx.region, lk.region_name AS time_series_region,
+       round(ll.lon, 6) AS lon, round(ll.lat, 6) AS lat
+FROM ctx JOIN lk ON ctx.region = lk.context_region_name JOIN ll ON ll.id = ctx.rloi_id
+""")
+def q_station_context_view(spark, sf):
+    """V1: station context ⋈ the region lookup (inner, as the comma join), with lon/lat from
+    the national-grid coordinates (the lookup here omits one region, so its stations drop)."""
+    from gaugework.plans.views import station_context
+    c, n, r = t(spark, sf, "customer"), t(spark, sf, "nation"), t(spark, sf, "region")
+    g = grid_points(spark, sf)
+    ctx = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+           .select(F.col("c_custkey").alias("rloi_id"), F.col("c_name").alias("agency_name"),
+                   F.col("r_name").alias("region"))
+           .join(g.select(F.col("id").alias("rloi_id"), F.col("e").alias("x_coord_actual"),
+                          F.col("n").alias("y_coord_actual")), "rloi_id"))
+    lk = r.filter(F.col("r_regionkey") < 4).select(F.concat(F.lit("EA "), "r_name").alias("region_name"),
+                                                   F.col("r_name").alias("context_region_name"))
+    out = station_context(ctx, lk)
+    return out.select("rloi_id", "agency_name", "region", "time_series_region",
+                      F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
