@@ -31,13 +31,34 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (about 100 TB of readings, hundreds of executors).
+# Start with many shuffle partitions and let AQE coalesce them to the advisory size, so each
+# reduce task handles about 256 MB whatever the stage; split skewed partitions above 5x the
+# median; read files in 256 MB splits; let AQE broadcast only what it has measured to be
+# small. Pass ``cluster=True`` to ``get_session`` or put these in the job's configuration.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "gaugework.skew.saltBuckets": "32",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "gaugework") -> SparkSession:
+                app: str = "gaugework", cluster: bool = False) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     builder = builder.config("spark.driver.memory", os.environ.get("GAUGEWORK_DRIVER_MEM", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
