@@ -56,3 +56,55 @@ def test_trend_matches_model(spark, readings, rnd):
            r.select("rloi_id", "qualifier", trend("v", "previous_value", previous_is_nan="previous_is_nan")
                     .alias("trend")).collect()}
     assert got == model(rows)
+
+
+RIVER_ROW = st.tuples(st.sampled_from(["r1", "r2"]), st.integers(1, 30), st.one_of(st.none(), st.integers(0, 8)))
+
+
+def neighbour_model(rows):
+    """Positions are rank() over the raw rank (NULLS LAST); neighbours are the stations at
+    position ± 1 in the same river (a product of matches, as two left joins give)."""
+    pos = {}
+    for i, (rv, sid, rk) in enumerate(rows):
+        same = [r for r in rows if r[0] == rv]
+        key = (1, 0) if rk is None else (0, rk)
+        smaller = sum(1 for r in same if ((1, 0) if r[2] is None else (0, r[2])) < key)
+        pos[i] = 1 + smaller
+    out = []
+    for i, (rv, sid, rk) in enumerate(rows):
+        ups = [rows[j][1] for j in pos if rows[j][0] == rv and pos[j] == pos[i] - 1] or [None]
+        downs = [rows[j][1] for j in pos if rows[j][0] == rv and pos[j] == pos[i] + 1] or [None]
+        out += [(rv, sid, pos[i], u, d) for u in ups for d in downs]
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(RIVER_ROW, min_size=1, max_size=25))
+def test_rank_neighbours_matches_model(spark, rows):
+    from gaugework.operators.ranking import rank_neighbours
+    df = spark.createDataFrame(rows, "river_id string, rloi_id int, rank int")
+    got = sorted(((r.river_id, r.rloi_id, r.calc_rank, r.up_rloi_id, r.down_rloi_id)
+                  for r in rank_neighbours(df, "river_id", "rank", "rloi_id").collect()), key=repr)
+    assert got == neighbour_model(rows)
+
+
+TOTAL_ROW = st.tuples(st.integers(0, 2), st.integers(0, 3000),
+                      st.one_of(st.floats(0, 20, allow_nan=False).map(lambda x: round(x, 1)), st.just(float("nan"))))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TOTAL_ROW, min_size=1, max_size=40))
+def test_trailing_totals_match_model(spark, rows):
+    from gaugework.operators.windows import trailing_totals
+    t0 = dt.datetime(2023, 2, 6)
+    data = [(k, t0 + dt.timedelta(minutes=m), v) for k, m, v in rows]
+    df = spark.createDataFrame(data, "k int, ts timestamp, v double")
+    got = {r.k: r for r in trailing_totals(df, "k", "ts", "v").collect()}
+    for k in {r[0] for r in data}:
+        mine = [r for r in data if r[0] == k]
+        last = max(r[1] for r in mine)
+        for hours, name in ((24, "day_total"), (6, "six_hr_total"), (1, "one_hr_total")):
+            vals = [r[2] for r in mine if r[1] > last - dt.timedelta(hours=hours) and r[2] == r[2]]
+            want = sum(vals) if vals else None
+            have = getattr(got[k], name)
+            assert (have is None and want is None) or abs(have - want) < 1e-9
