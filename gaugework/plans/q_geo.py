@@ -247,3 +247,26 @@ def q_station_context_view(spark, sf):
     out = station_context(ctx, lk)
     return out.select("rloi_id", "agency_name", "region", "time_series_region",
                       F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
+def _station_areas_sql() -> str:
+    within = _within_sql(8000.0).replace("SELECT id, area_id FROM agg WHERE",
+                                         "SELECT id AS rloi_id, CAST(area_id AS VARCHAR) AS fws_tacode FROM agg WHERE")
+    return f"""WITH {GRID_POINTS_SQL},
+{_grid_sql()},
+pts AS (SELECT id, degrees(atan2(y, x)) AS lon, degrees(phi) AS lat FROM w4),
+{SQUARES_SQL},
+{within}"""
+
+
+@query("station_areas_view", _station_areas_sql())
+def q_station_areas_view(spark, sf):
+    """V12 in full: station grid coordinates → lon/lat → stations within 8 km of an alert area
+    (even supplier keys) or a warning area (odd keys), union all of the two branches."""
+    from gaugework.plans.views import station_areas
+    ctx = grid_points(spark, sf).select(F.col("id").alias("rloi_id"), F.col("e").alias("x_coord_actual"),
+                                        F.col("n").alias("y_coord_actual"))
+    sq = squares(spark, sf).select(F.col("area_id").cast("string").alias("fws_tacode"), "geom",
+                                   (F.col("area_id") % 2 == 0).alias("_alert"))
+    alert, warn = sq.filter("_alert").drop("_alert"), sq.filter(~F.col("_alert")).drop("_alert")
+    return station_areas(ctx, alert, warn).select("rloi_id", "fws_tacode")
