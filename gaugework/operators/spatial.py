@@ -148,9 +148,13 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
     cy1 = F.floor((F.col("_bb.n") + F.lit(margin_lat)) / cell_deg).cast("long")
     cells = (a.withColumn("_cx", F.explode(F.sequence(cx0, cx1)))
              .withColumn("_cy", F.explode(F.sequence(cy0, cy1))).drop("_bb"))
-    p = (points.select(point_id, lon, lat).filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-         .withColumn("_cx", F.floor(F.col(lon) / cell_deg).cast("long"))
-         .withColumn("_cy", F.floor(F.col(lat) / cell_deg).cast("long")))
+    # Points without coordinates go to a sentinel cell no area covers. Keeping the cell keys
+    # non-nullable means Spark infers no isnotnull() filter to push below the projection that
+    # computes lon/lat (pushed filters would copy that computation into every conjunct).
+    nowhere = F.lit(-(1 << 62))
+    p = (points.select(point_id, lon, lat)
+         .withColumn("_cx", F.coalesce(F.floor(F.col(lon) / cell_deg).cast("long"), nowhere))
+         .withColumn("_cy", F.coalesce(F.floor(F.col(lat) / cell_deg).cast("long"), nowhere)))
     cand = p.join(cells, ["_cx", "_cy"]).drop("_cx", "_cy")
     e = cand.select(point_id, area_id, F.col(lon).alias("_plon"), F.col(lat).alias("_plat"),
                     F.explode(_edges(F.col(rings))).alias("_e"))

@@ -347,16 +347,16 @@ def forecast_thresholds(ffoi_station: DataFrame, station_thresholds: DataFrame,
 def station_areas(context: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame,
                   metres: float = 8000.0, rings: str = "geom") -> DataFrame:
     """V12 full build: (rloi_id, fws_tacode) for every station within ``metres`` of an alert
-    or warning area (UNION ALL of the two branches, as the rewrite does)."""
+    or warning area. The reference runs the two area types as two INSERTs (UNION ALL); here
+    both area sets go through one distance join, so the station coordinates are converted
+    and bucketed once."""
     from gaugework.operators.spatial import within_distance
     pts = geo.with_lonlat(context, "x_coord_actual", "y_coord_actual").select("rloi_id", "lon", "lat")
-    out = None
-    for areas in (alert_areas, warning_areas):
-        a = areas.select(F.col("fws_tacode").alias("area_id"), rings)
-        j = within_distance(pts, a, metres, point_id="rloi_id", area_id="area_id", rings=rings)
-        j = j.select("rloi_id", F.col("area_id").alias("fws_tacode"))
-        out = j if out is None else out.unionByName(j)
-    return out
+    areas = (alert_areas.select(F.col("fws_tacode"), rings, F.lit("a").alias("_kind"))
+             .unionByName(warning_areas.select(F.col("fws_tacode"), rings, F.lit("w").alias("_kind")))
+             .select(F.struct("fws_tacode", "_kind").alias("area_id"), rings))
+    j = within_distance(pts, areas, metres, point_id="rloi_id", area_id="area_id", rings=rings)
+    return j.select("rloi_id", F.col("area_id.fws_tacode").alias("fws_tacode"))
 
 
 def station_areas_missing(context: DataFrame, done: DataFrame, alert_areas: DataFrame,
