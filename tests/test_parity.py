@@ -24,5 +24,5 @@ def test_every_query_has_oracle():
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["user_id", "event_type", "latest_event_id", "latest_ts", "latest_value", "prev_mean",
-                          "trend", "n_prev"]
+    assert df.columns == ["rloi_id", "direction", "station_type", "qualifier", "processed_value", "value_timestamp",
+                          "trend", "age_seconds", "por_max_breached", "at_risk", "forecast", "level"]
