@@ -141,12 +141,19 @@ def typed_values(values: DataFrame) -> tuple[DataFrame, DataFrame]:
                               "bad_timestamp": F.col("value_timestamp").isNotNull()})
 
 
+def file_rejects(raw: DataFrame) -> DataFrame:
+    """Files that do not parse to a Station array (malformed JSON, a lone Station object
+    instead of an array, §2.11 item 15): one reject row per file, the batch goes on."""
+    st = F.col("EATimeSeriesDataExchangeFormat.Station")
+    return raw.filter(st.isNull()).select("filename", F.lit("bad_document").alias("reject_reason"))
+
+
 def ingest_and_clean(raw: DataFrame, context: DataFrame, region_lookup: DataFrame) -> dict[str, DataFrame]:
-    """L1–L5 end to end: parents, values (cleaned) and rejects."""
+    """L1–L5 end to end: parents, values (cleaned), value rejects and file rejects."""
     headers, values = ingest_readings(raw)
     parents = match_station(headers, context, region_lookup)
     good, rejects = typed_values(values)
     joined = good.join(parents.select("telemetry_value_parent_id", "post_process", "subtract", "station_type"),
                        "telemetry_value_parent_id")
     cleaned = clean_readings(joined).drop("post_process", "subtract", "station_type", "value_text")
-    return {"parents": parents, "values": cleaned, "rejects": rejects}
+    return {"parents": parents, "values": cleaned, "rejects": rejects, "file_rejects": file_rejects(raw)}

@@ -42,9 +42,14 @@ def test_reading_files_end_to_end(spark, tmp_dir):
         "f3.json": reading_doc("T9", "EA North East", [("Stage", [("1.0", "2023-02-06", "11:00:00")])]),
         "f4.json": reading_doc("T3", "EA North East", [("Downstream Stage", [("2.5", "2023-02-06", "11:00:00")])]),
     }
+    lone = reading_doc("T1", "EA North East", [("Stage", [("1.0", "2023-02-06", "11:00:00")])])
+    lone["EATimeSeriesDataExchangeFormat"]["Station"] = lone["EATimeSeriesDataExchangeFormat"]["Station"][0]
+    docs["f5.json"] = lone  # a lone Station object instead of an array
     for name, d in docs.items():
         with open(os.path.join(tmp_dir, name), "w") as fh:
             json.dump(d, fh)
+    with open(os.path.join(tmp_dir, "f6.json"), "w") as fh:
+        fh.write("{not json")
     raw = read_reading_files(spark, tmp_dir)
     out = ingest_and_clean(raw, context(spark), lookup(spark))
     parents = {r.filename: r for r in out["parents"].collect()}
@@ -56,6 +61,7 @@ def test_reading_files_end_to_end(spark, tmp_dir):
     assert vals == sorted([(1.2, 0.7, False), (0.1, None, True), (-0.4, -0.4, False), (2.5, 2.5, False)])
     rejects = sorted(r.reject_reason for r in out["rejects"].collect())
     assert rejects == ["bad_timestamp", "bad_value"]
+    assert sorted(r.filename for r in out["file_rejects"].collect()) == ["f5.json", "f6.json"]
 
 
 FORECAST = """<EATimeSeriesDataExchangeFormat xmlns="urn:ts" xmlns:md="urn:md"><md:Date>2023-02-06</md:Date><md:Time>09:00:00</md:Time>
