@@ -117,8 +117,10 @@ def clean_readings(values: DataFrame, value: str = "value", post_process: str =
     if round_dp is not None:
         proc = F.round(proc, round_dp)
     bad = (F.lower(F.col(station_type)) != "c") & (proc < 0)
+    # error stays NULL when the station type is NULL and the value negative (§2.11 item 11):
+    # the NOT NULL check of L4 then sets the row aside, as the reference's insert would fail
     return (values.withColumn("processed_value", F.when(proc.isNotNull() & bad, F.lit(None)).otherwise(proc))
-            .withColumn("error", F.when(proc.isNotNull(), F.coalesce(bad, F.lit(False))).otherwise(F.lit(False))))
+            .withColumn("error", F.when(proc.isNotNull(), bad).otherwise(F.lit(False))))
 
 
 def split_bad_rows(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -155,5 +157,8 @@ def ingest_and_clean(raw: DataFrame, context: DataFrame, region_lookup: DataFram
     good, rejects = typed_values(values)
     joined = good.join(parents.select("telemetry_value_parent_id", "post_process", "subtract", "station_type"),
                        "telemetry_value_parent_id")
-    cleaned = clean_readings(joined).drop("post_process", "subtract", "station_type", "value_text")
-    return {"parents": parents, "values": cleaned, "rejects": rejects, "file_rejects": file_rejects(raw)}
+    cleaned = clean_readings(joined).drop("post_process", "subtract", "station_type")
+    cleaned, null_error = split_bad_rows(cleaned, {"null_error": F.col("error").isNotNull()})
+    rejects = rejects.unionByName(null_error.drop("processed_value", "error"), allowMissingColumns=True)
+    return {"parents": parents, "values": cleaned.drop("value_text"), "rejects": rejects,
+            "file_rejects": file_rejects(raw)}
