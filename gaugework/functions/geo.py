@@ -146,3 +146,7 @@ def geojson_point(lon: str | Column, lat: str | Column) -> Column:
 def point(lon: str | Column, lat: str | Column) -> Column:
     """A point as struct<lon, lat>."""
     return F.struct(col_(lon).cast("double").alias("lon"), col_(lat).cast("double").alias("lat"))
+
+
+# The blueprint's name for the DataFrame form of X15.
+grid_to_lonlat = with_lonlat

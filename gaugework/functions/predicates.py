@@ -33,6 +33,12 @@ def direction(qualifier: str | Column = "qualifier", marker: str = "downstream")
     return F.when(q.isNull(), F.lit(None).cast("string")).when(q.contains(marker), "d").otherwise("u")
 
 
+def derive_direction(df: DataFrame, qualifier: str = "qualifier", name: str = "direction",
+                     marker: str = "downstream") -> DataFrame:
+    """F2 as a DataFrame step: add the derived direction column."""
+    return df.withColumn(name, direction(qualifier, marker))
+
+
 def in_scope(status: str | Column = "status", region: str | Column = "region",
              catchment: str | Column = "catchment") -> Column:
     """not closed, and outside Wales or in one of the kept Welsh catchments."""
