@@ -254,8 +254,10 @@ def station_readings(split: DataFrame, parents: DataFrame, values: DataFrame, as
     for water-level readings whose header started within ``days`` of ``as_of`` and that are
     not older than the station's status date. ``ts_format``: 'iso' (ISO minutes, final),
     'epoch' (ms, 1.1.0), 'label' (adds the chart label, v2)."""
-    hdr = parents.filter(water_level() & recent("start_timestamp", as_of, days)).withColumn(
-        "direction", direction("qualifier"))
+    hdr = parents.filter(water_level() & recent("start_timestamp", as_of, days))
+    if "start_date" in parents.columns:  # date-partitioned headers: prune whole partitions
+        hdr = hdr.filter(F.col("start_date") >= F.date_sub(F.lit(as_of).cast("date"), days))
+    hdr = hdr.withColumn("direction", direction("qualifier"))
     s = split.select("rloi_id", F.col("qualifier").alias("direction"), "status_date")
     j = (values.join(hdr.select("telemetry_value_parent_id", "rloi_id", "direction"), "telemetry_value_parent_id")
          .join(s, ["rloi_id", "direction"])

@@ -33,7 +33,12 @@ def stream_readings(spark: SparkSession, path: str, checkpoint: str, out: str, c
         try:
             parts = ingest_and_clean(batch, context, region_lookup)
             for name, df in parts.items():
-                df.write.mode("overwrite").parquet(_batch_path(out, name, batch_id))
+                # headers by start date, values by reading date: the five-day reads
+                # then prune whole partitions instead of scanning history
+                by = {"parents": ("start_date", "start_timestamp"),
+                      "values": ("value_date", "value_timestamp")}.get(name)
+                w = df.withColumn(by[0], F.to_date(by[1])).write.partitionBy(by[0]) if by else df.write
+                w.mode("overwrite").parquet(_batch_path(out, name, batch_id))
         finally:
             batch.unpersist()
 

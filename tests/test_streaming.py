@@ -63,3 +63,23 @@ def test_stream_latest_state_versions(spark, tmp_dir):
     st = latest_state(spark, root, f"{root}/ck")
     assert sorted(r.id for r in st.collect()) == [7, 8, 9, 10, 11]
     assert st.agg(F.count("*")).first()[0] == 5
+
+
+def test_stream_output_is_date_partitioned_and_pruned(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from gaugework.plans import views
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    os.makedirs(src)
+    write_doc(src, "a.json", "1.0", "10:00:00")
+    stream_readings(spark, src, ck, out, context(spark), lookup(spark)).awaitTermination()
+    parents = spark.read.parquet(f"{out}/parents")
+    assert "start_date" in parents.columns
+    split = spark.createDataFrame([(1, "u", None)], "rloi_id int, qualifier string, status_date timestamp")
+    df = views.station_readings(split, parents, spark.read.parquet(f"{out}/values"), "2023-02-07 00:00:00")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert "PartitionFilters: [isnotnull(start_date" in buf.getvalue()
+    assert df.count() == 1
