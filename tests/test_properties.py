@@ -108,3 +108,39 @@ def test_trailing_totals_match_model(spark, rows):
             want = sum(vals) if vals else None
             have = getattr(got[k], name)
             assert (have is None and want is None) or abs(have - want) < 1e-9
+
+
+ID_ROW = st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(-3, 3)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ID_ROW, min_size=1, max_size=60), st.integers(1, 7))
+def test_ordered_id_matches_python_sort(spark, rows, parts):
+    from pyspark.sql import functions as F
+
+    from gaugework.operators.ranking import with_ordered_id
+    data = [(g, v, i) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g int, v int, uid int").repartition(parts)
+    out = with_ordered_id(df, [F.col("g").asc(), F.col("v").desc_nulls_first(), F.col("uid").asc()], name="rn")
+    got = [r.uid for r in out.orderBy("rn").collect()]
+    assert sorted(r.rn for r in out.collect()) == list(range(1, len(data) + 1))
+    want = [u for g, v, u in sorted(data, key=lambda r: (r[0], 0 if r[1] is None else 1, -(r[1] or 0), r[2]))]
+    assert got == want
+
+
+LATEST_ROW = st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 5)))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(LATEST_ROW, min_size=1, max_size=40))
+def test_latest_per_key_matches_model(spark, rows):
+    from gaugework.operators.ranking import latest_per_key
+    data = [(k, ts, i) for i, (k, ts) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k int, ts int, id int")
+    got = {r.k: r.id for r in latest_per_key(df, "k", "ts", "id").collect()}
+    # ORDER BY ts DESC (NULLS FIRST, as Postgres), id DESC
+    want = {}
+    for k in {r[0] for r in data}:
+        mine = [r for r in data if r[0] == k]
+        want[k] = max(mine, key=lambda r: (r[1] is None, r[1] if r[1] is not None else 0, r[2]))[2]
+    assert got == want
