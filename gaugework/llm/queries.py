@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugework.llm import simhash_bktree, toxicity_fm
+import public_tokenizers
+
+from gaugework.llm import bpe_transducer, simhash_bktree, toxicity_fm
 from gaugework.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_transducer.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bktree.near_duplicates(documents(spark, sf_dir))

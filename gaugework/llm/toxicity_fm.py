@@ -85,8 +85,8 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
 
-def fit(rows: list[list[int]], labels: np.ndarray, index: dict[int, int], epochs: int = 12, batch: int = 256,
-        rate: float = 0.08, decay: float = 2e-4, seed: int = 7) -> Machine:
+def fit(rows: list[list[int]], labels: np.ndarray, index: dict[int, int], epochs: int = 25, batch: int = 256,
+        rate: float = 0.15, decay: float = 1e-4, seed: int = 7) -> Machine:
     """Logistic loss by AdaGrad in mini-batches; ``rows`` hold the features of each text."""
     rng = np.random.default_rng(seed)
     n = max(1, len(index))
