@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from gaugework.llm import bpe_transducer, simhash_bktree, toxicity_fm
+from gaugework.llm import bpe_transducer, license_automaton, secret_randomness, simhash_bktree, topk_histogram, toxicity_fm
 from gaugework.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,37 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_randomness.scan(documents(spark, sf_dir))
+
+
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_histogram.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+ORACLE["op6_topk"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_automaton.license_spans(documents(spark, sf_dir))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bktree.near_duplicates(documents(spark, sf_dir))
