@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from gaugework.llm import bpe_transducer, license_automaton, secret_randomness, simhash_bktree, topk_histogram, toxicity_fm
+from gaugework.llm import bpe_transducer, chat_parts, license_automaton, pii_boost, secret_randomness, simhash_bktree, topk_histogram, toxicity_fm
 from gaugework.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_boost.scan(documents(spark, sf_dir))
+
+
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -69,3 +74,13 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bktree.near_duplicates(documents(spark, sf_dir))
+
+
+#: A conversation whose texts look like markers, formatted beside those of the table.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = [(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)]
+    return chat_parts.format_conversations(table(spark, sf_dir, "conversations"), extra)

@@ -54,7 +54,7 @@ def _matrices(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[np
             same = lengths == dims
             if same.any():
                 flat = column.flatten().to_numpy(zero_copy_only=False)
-                yield part.column(0).to_numpy()[same], flat[np.repeat(same, lengths)].reshape(-1, dims)
+                yield part.column(0).to_numpy()[same], flat[np.repeat(same, lengths)].reshape(int(same.sum()), dims)
 
 
 class Block:
@@ -126,11 +126,14 @@ def _refine(candidates: DataFrame, block: Block, k: int) -> None:
     summed = _counts(candidates, block, k).groupBy("q", "bin").agg(F.sum("n").alias("n"))
     ranked = summed.withColumn("above", F.sum("n").over(down))
     held = ranked.groupBy("q").agg(F.max(F.when(F.col("above") >= k, F.col("bin"))).alias("bin"), F.min("bin").alias("least"))
+    seen = np.zeros(len(block.ids), bool)
     for r in held.collect():  # one row a query of the block
+        seen[r["q"]] = True
         q, at = r["q"], r["bin"] if r["bin"] is not None else r["least"]
         low, width = block.low[q], block.width[q]
         block.low[q] = low + at * width
         block.width[q] = max(1, -(-width // BINS))
+    block.width[~seen] = 1  # queries without candidates
 
 
 def _selected(candidates: DataFrame, block: Block, k: int) -> DataFrame:
