@@ -287,14 +287,27 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, ids)."""
+    return encode_checked(docs, path, pattern, id_col, text_col).drop("same_text")
+
+
+def encode_checked(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_tokens, ids, same_text): the ids, and whether the decoder gives the text back from them."""
 
     def run(ids: pa.Array, texts: pa.Array):
-        tool = codec(path, pattern)
-        made = [np.concatenate([np.zeros(0, "<i4"), *tool.encode(t.as_py())]) for t in texts]
+        tool, made, same = codec(path, pattern), [], []
+        for t in texts:
+            text, stream, at, good, parts = t.as_py(), Utf8Stream(), 0, True, []
+            for part in tool.encode(text):
+                parts.append(part)
+                decoded = stream.feed(tool.decode(part))
+                good = good and text.startswith(decoded, at)
+                at += len(decoded)
+            made.append(np.concatenate([np.zeros(0, "<i4"), *parts]))
+            same.append(good and not stream.close() and at == len(text))
         offsets = np.concatenate([[0], np.cumsum([len(m) for m in made])]).astype(np.int32)
-        return ids, np.diff(offsets), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made), pa.int32()))
+        return ids, np.diff(offsets), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made), pa.int32())), same
 
-    return map_batches(_texts(docs, id_col, text_col), f"{id_col} long, n_tokens long, ids array<int>", run)
+    return map_batches(_texts(docs, id_col, text_col), f"{id_col} long, n_tokens long, ids array<int>, same_text boolean", run)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

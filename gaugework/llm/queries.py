@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from gaugework.llm import bpe_transducer, chat_parts, license_automaton, pii_boost, secret_randomness, simhash_bktree, topk_histogram, toxicity_fm
+from gaugework.llm import bpe_transducer, chat_parts, decontam_lsa, license_automaton, lm_gru, pii_boost, secret_randomness, simhash_bktree, topk_histogram, toxicity_fm
 from gaugework.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_randomness.scan(documents(spark, sf_dir))
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam_lsa.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_histogram.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
@@ -71,6 +76,11 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_automaton.license_spans(documents(spark, sf_dir))
 
 
+@query
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_gru.likelihood(documents(spark, sf_dir))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bktree.near_duplicates(documents(spark, sf_dir))
