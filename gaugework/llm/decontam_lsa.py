@@ -3,9 +3,11 @@
 1. Encode. The words (A-Z lower-cased; ASCII letters, digits and bytes from 0x80 on) of every document
    become numbers in the vocabulary of the benchmark block; words outside it share one number. The
    encoded table is written once, two or four bytes a word, and read by all later passes.
-2. TF-IDF. Document frequencies come from all documents. A passage is a window of 16, 32 or 64 words
-   at every eighth word. Only words of the benchmark can add to a product with an item, so a passage
-   whose share of energy in them is below ``COSINE``^2 has no item within reach and goes no further.
+2. TF-IDF. Document frequencies come from all documents. Words in few documents (``COMMON_SHARE``) are
+   telling. A document passage pairs with an item if it is as long as the item, give or take a
+   block of ``STRIDE`` words at each end, and holds as many of the item's telling words as any text
+   must that has ``LCS_LEAST`` of the item's words in order. So this step loses no pair that step 5
+   would accept; an item with under three telling words is paired by all its words.
 3. Randomised SVD. A Gaussian test matrix with one column per item and some more is pushed through
    the passages (tasks sum A^T A Omega over their rows, Spark adds them up), to which the items
    themselves are added; the Nystrom form of the sum gives the leading right singular vectors.
@@ -37,8 +39,8 @@ from gaugework.llm.common import map_partition, stored, text_bytes
 from gaugework.llm.license_automaton import words
 
 STRIDE = 8
-SCALES = (2, 4, 8)  # blocks of STRIDE words
-COSINE = 0.35
+COSINE = 0.3
+COMMON_SHARE, COMMON_LEAST = 0.05, 10
 LCS_SURE, LCS_LEAST, ANSWER = 0.8, 0.6, 3
 LEAST_WORDS = 5
 BLOCK, BLOCK_WORDS = 256, 200_000
@@ -131,104 +133,129 @@ def document_frequencies(encoded: DataFrame, items: Items) -> tuple[np.ndarray,
 
 
 class Passages:
-    """Windows of a batch that can reach an item, as (first word, end word) in the flat codes."""
-
-    def __init__(self, idf: np.ndarray, other: float) -> None:
-        self.inside = np.append(idf ** 2, [0.0, 0.0])
-        self.energy = np.append(idf ** 2, [other ** 2, 0.0])
-
-    def windows(self, codes: np.ndarray, first: np.ndarray, scales: tuple[int, ...] = SCALES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, end word, norm)."""
-        blocks = len(codes) // STRIDE
-        if not blocks:
-            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-        owner = np.repeat(np.arange(len(first) - 1), np.diff(first) // STRIDE)
-        sums = [np.concatenate([[0.0], np.cumsum(e[codes].reshape(-1, STRIDE).sum(1))]) for e in (self.inside, self.energy)]
-        found = []
-        for s in scales:
-            a = np.arange(blocks)
-            z = np.minimum(a + s, first[owner + 1] // STRIDE)  # a window may end with its document
-            starts_text = np.concatenate([[True], owner[1:] != owner[:-1]])
-            use = (z - a == s) | starts_text
-            a, z = a[use], z[use]
-            inside, energy = sums[0][z] - sums[0][a], sums[1][z] - sums[1][a]
-            good = (inside > 0) & (inside >= COSINE ** 2 * energy)
-            found.append((a[good] * STRIDE, z[good] * STRIDE, np.sqrt(energy[good])))
-        return tuple(np.concatenate(x) for x in zip(*found))
-
-    @staticmethod
-    def project(codes: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """Sum of the table's rows over each window; the table has zero rows for other words."""
-        n = end - start
-        at = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return np.add.reduceat(table[codes[at]], np.concatenate([[0], np.cumsum(n)[:-1]]), axis=0)
-
-
-def latent_basis(encoded: DataFrame, items: Items, idf: np.ndarray, other: float, seed: int = 3) -> np.ndarray:
+    """Finds (passage, item) pairs in a batch of encoded documents."""
+
+    def __init__(self, items: Items, df: np.ndarray, n: int) -> None:
+        self.idf = np.log((n + 1) / (df[:items.other] + 1)) + 0.1
+        self.energy = np.append(self.idf ** 2, [np.median(self.idf) ** 2, 0.0])
+        telling = df[:items.other] <= max(COMMON_SHARE * n, COMMON_LEAST)
+        owners: list[list[int]] = [[] for _ in range(items.pad + 1)]
+        self.need = np.ones(len(items.texts), np.int64)
+        for i, text in enumerate(items.texts):
+            own = [x for x in text if telling[x]]
+            if len(own) < 3:
+                own = text
+            self.need[i] = max(1, len(own) - int((1 - LCS_LEAST) * len(text) + 1e-9))
+            for x in set(own):
+                owners[x].append(i)
+        self.count = np.array([len(o) for o in owners])
+        self.first = np.cumsum(self.count) - self.count
+        self.owners = np.array([i for o in owners for i in o], np.int64)
+        #: blocks that a run of the item's length can touch
+        self.reach = np.array([-(-len(t) // STRIDE) + 1 for t in items.texts], np.int64)
+
+    def pairs(self, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, first word, end word) of the passages; repeats of a word within the item
+        count as often as they stand in the passage."""
+        none = np.zeros(0, np.int64)
+        at = np.flatnonzero(self.count[codes])
+        if not len(at):
+            return none, none, none, none
+        n = self.count[codes[at]]
+        item = self.owners[np.repeat(self.first[codes[at]] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        word = np.repeat(at, n)
+        doc = np.searchsorted(first, word, "right") - 1
+        gap = int(self.reach.max()) + 1  # documents are set apart by more than any passage
+        place = word // STRIDE + doc * gap
+        span = int(place.max()) + gap + 1
+        key, hits = np.unique(item * span + place, return_counts=True)
+        total = np.concatenate([[0], np.cumsum(hits)])
+        item = key // span
+        inside = total[np.searchsorted(key, key + self.reach[item])] - total[:-1]
+        good = inside >= self.need[item]
+        key, item = key[good], item[good]
+        block = key % span
+        # blocks of earlier documents plus gaps: the document is found by its first block
+        starts = first[:-1] // STRIDE + np.arange(len(first) - 1) * gap
+        doc = np.searchsorted(starts, block, "right") - 1
+        start = (block - doc * gap) * STRIDE
+        return doc, item, start, np.minimum(start + self.reach[item] * STRIDE, first[doc + 1])
+
+    def norms(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        where, heads = spread(start, end)
+        return np.sqrt(np.maximum(np.add.reduceat(self.energy[codes[where]], heads), 1e-12))
+
+
+def spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the windows one after the other, and where each window begins among them."""
+    n = end - start
+    heads = np.cumsum(n) - n
+    return np.repeat(start - heads, n) + np.arange(n.sum()), heads
+
+
+def latent_basis(encoded: DataFrame, items: Items, tool: Passages, seed: int = 3) -> np.ndarray:
     """Leading right singular vectors (vocabulary x rank) of the passages and the items."""
     size, kind = items.other, items.kind
     columns = min(size, len(items.texts) + OVERSAMPLE)
     omega = np.random.default_rng(seed).normal(size=(size, columns))
-    table = np.vstack([omega * idf[:, None], np.zeros((2, columns))]).astype(np.float32)
-    tool = Passages(idf, other)
+    table = np.vstack([omega * tool.idf[:, None], np.zeros((2, columns))]).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        total = np.zeros((size + 2, columns))
+        total, rows = np.zeros((size + 2, columns)), 0
         for b in batches:
             codes, first = _flat(b, 0, kind)
-            start, end, norm = tool.windows(codes, first, (4,))
-            for at in range(0, len(start), PIECE):
-                a, z, u = start[at:at + PIECE], end[at:at + PIECE], norm[at:at + PIECE, None]
-                y = tool.project(codes, a, z, table) / u ** 2  # rows of A are of unit length: once here, once below
-                n = z - a
-                where = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            _, _, start, end = tool.pairs(codes, first)
+            windows = np.unique(np.stack([start, end]), axis=1)
+            rows += windows.shape[1]
+            for at in range(0, windows.shape[1], PIECE):
+                a, z = windows[:, at:at + PIECE]
+                where, heads = spread(a, z)
+                # rows of A are of unit length: the norm divides once here and once in A^T
+                y = np.add.reduceat(table[codes[where]], heads, axis=0) / tool.norms(codes, a, z)[:, None] ** 2
                 some = codes[where]
                 order = np.argsort(some, kind="stable")
-                heads = np.flatnonzero(np.diff(some[order], prepend=-1))
-                total[some[order][heads]] += np.add.reduceat(y[np.repeat(np.arange(len(a)), n)[order]], heads, axis=0)
-        cells = total[:size].ravel()
+                edges = np.flatnonzero(np.diff(some[order].astype(np.int64), prepend=-1))
+                total[some[order][edges]] += np.add.reduceat(y[np.repeat(np.arange(len(a)), z - a)[order]], edges, axis=0)
+        cells = np.append(total[:size].ravel(), rows)
         at = np.flatnonzero(cells)
         if len(at):
             yield at, cells[at]
 
     summed = map_partition(encoded.select("codes"), "cell long, x double", run).groupBy("cell").agg(F.sum("x").alias("x"))
     packed = summed.toPandas()  # vocabulary x rank of the block at most
-    g = np.zeros(size * columns)
+    g = np.zeros(size * columns + 1)
     g[packed["cell"].to_numpy(np.int64)] = packed["x"].to_numpy()
-    own = items.vectors(idf)
-    g = g.reshape(size, columns) * idf[:, None] + own.T @ (own @ omega)
+    own = items.vectors(tool.idf)
+    weight = 1 + g[-1] / len(items.texts)  # the items weigh as much as all passages, so the space keeps each of them
+    g = g[:-1].reshape(size, columns) * tool.idf[:, None] + weight * own.T @ (own @ omega)
     core = omega.T @ g
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > max(values.max(), 0) * 1e-9
-    half = g @ (vectors[:, good] / np.sqrt(values[good]))
-    u, s, _ = np.linalg.svd(half, full_matrices=False)
+    u, s, _ = np.linalg.svd(g @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
     return u[:, s > s.max(initial=0) * 1e-6]
 
 
-def _search(items: Items, idf: np.ndarray, other: float, basis: np.ndarray, batches: Iterator[pa.RecordBatch]):
+def _search(items: Items, tool: Passages, basis: np.ndarray, batches: Iterator[pa.RecordBatch]):
     """(id, tag, item, cosine, lcs share) of the documents of a partition that hold an item."""
-    tool = Passages(idf, other)
-    table = np.vstack([basis * idf[:, None], np.zeros((2, basis.shape[1]))]).astype(np.float32)
-    latent = items.vectors(idf) @ basis
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    latent = latent.astype(np.float32).T
+    table = np.vstack([basis * tool.idf[:, None], np.zeros((2, basis.shape[1]))]).astype(np.float32)
+    latent = items.vectors(tool.idf) @ basis
+    latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     for b in batches:
         codes, first = _flat(b, 2, items.kind)
-        start, end, norm = tool.windows(codes, first)
+        doc, item, start, end = tool.pairs(codes, first)
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        for at in range(0, len(start), PIECE):
-            a, z = start[at:at + PIECE], end[at:at + PIECE]
-            cosine = tool.project(codes, a, z, table) @ latent / norm[at:at + PIECE, None]
-            for w, item in zip(*np.nonzero(cosine >= COSINE)):
-                doc = int(np.searchsorted(first, a[w], "right")) - 1
-                key = (doc, int(item))
-                if key in best:
-                    continue
-                text = items.texts[item]
-                low, high = max(first[doc], a[w] - len(text)), min(first[doc + 1], z[w] + len(text))
-                share = checked(text, codes[low:high].tolist())
-                if share:
-                    best[key] = (float(cosine[w, item]), share)
+        for at in range(0, len(doc), PIECE):
+            d, i, a, z = (x[at:at + PIECE] for x in (doc, item, start, end))
+            where, heads = spread(a, z)
+            projected = np.add.reduceat(table[codes[where]], heads, axis=0)
+            cosine = (projected * latent[i]).sum(1) / tool.norms(codes, a, z)
+            for w in np.flatnonzero(cosine >= COSINE):
+                key = (int(d[w]), int(i[w]))
+                if key not in best:
+                    low, high = max(first[d[w]], a[w] - STRIDE), min(first[d[w] + 1], z[w] + len(items.texts[i[w]]) // 2)
+                    share = checked(items.texts[i[w]], codes[low:high].tolist())
+                    if share:
+                        best[key] = (float(cosine[w]), share)
         if best:
             ids, tags = b.column(0).to_pylist(), b.column(1).to_pylist()
             yield list(zip(*((ids[d], tags[d], items.ids[i], *v) for (d, i), v in sorted(best.items()))))
@@ -272,12 +299,11 @@ def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     for items in blocks(benchmark, item_col, item_text):
         encoded = stored(encode(docs, items, id_col, text_col), "decontam-codes")
         df, n = document_frequencies(encoded, items)
-        idf = np.log((n + 1) / (df[:items.other] + 1)) + 0.1
-        other = float(np.median(idf))
-        basis = latent_basis(encoded, items, idf, other)
+        tool = Passages(items, df, n)
+        basis = latent_basis(encoded, items, tool)
 
-        def run(batches: Iterator[pa.RecordBatch], items=items, idf=idf, other=other, basis=basis):
-            yield from _search(items, idf, other, basis, batches)
+        def run(batches: Iterator[pa.RecordBatch], items=items, tool=tool, basis=basis):
+            yield from _search(items, tool, basis, batches)
 
         got = stored(map_partition(encoded, "id long, tag long, item long, cosine double, lcs double", run), "decontam-found")
         out = got if out is None else out.unionByName(got)
