@@ -1,6 +1,6 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Encode. The words (A-Z lower-cased; ASCII letters, digits and bytes from 0x80 on) of every document
+1. Encode. The words (in lower case; ASCII letters, digits and bytes from 0x80 on) of every document
    become numbers in the vocabulary of the benchmark block; words outside it share one number. The
    encoded table is written once, two or four bytes a word, and read by all later passes.
 2. TF-IDF. Document frequencies come from all documents. Words in few documents (``COMMON_SHARE``) are
@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.llm import license_automaton
 from gaugework.llm.common import map_partition, stored, text_bytes
-from gaugework.llm.license_automaton import words
 
 STRIDE = 8
 COSINE = 0.3
@@ -48,6 +48,11 @@ OVERSAMPLE = 8
 PIECE = 2048
 
 
+def words(text: bytes) -> list[bytes]:
+    """Words of a text, letters of any script in lower case."""
+    return license_automaton.words(text.decode("utf-8", "replace").lower().encode())
+
+
 def lcs(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence: one bit a word of ``a``, one step a word of ``b``."""
     places: dict[int, int] = {}

@@ -47,7 +47,7 @@ VOCABULARY, CLASSES = 1024, 32
 HIDDEN, EMBEDDING = 24, 16
 WINDOW = 16
 LANES = 512
-SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 600_000
+SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 400_000
 COMMON = 100_000
 FLUSH = 200_000
 
@@ -63,6 +63,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
+def _log_of(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-softmax of one entry of each row; ``x`` is used up."""
+    x -= x.max(-1, keepdims=True)
+    wanted = x[np.arange(len(x)), at]
+    return wanted - np.log(np.exp(x, out=x).sum(-1))
+
+
 class Network:
     """Parameters by name in ``p``; gates are ordered update, reset, candidate."""
 
@@ -91,13 +98,13 @@ class Network:
     def log_probs(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of each target's probability: its class, then the token inside the class."""
         kind, inside = targets // self.size, targets % self.size
-        out = _log_softmax(h @ self.p["cw"] + self.p["cb"])[np.arange(len(h)), kind]
+        out = _log_of(h @ self.p["cw"] + self.p["cb"], kind)
         order = np.argsort(kind, kind="stable")
         edges = np.searchsorted(kind[order], np.arange(self.classes + 1))
         for c in range(self.classes):
             some = order[edges[c]:edges[c + 1]]
             if len(some):
-                out[some] += _log_softmax(h[some] @ self.p["ow"][c] + self.p["ob"][c])[np.arange(len(some)), inside[some]]
+                out[some] += _log_of(h[some] @ self.p["ow"][c] + self.p["ob"][c], inside[some])
         return out
 
     def backward(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, end: int) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
@@ -145,7 +152,7 @@ class Network:
             carried = (g * update + dy @ p["wh"].T) * (inputs[t] != end)[:, None]
         return grad, h, float(loss / total)
 
-    def fit(self, stream: np.ndarray, end: int, lanes: int = 64, window: int = WINDOW, epochs: int = 2, rate: float = 0.01) -> list[float]:
+    def fit(self, stream: np.ndarray, end: int, lanes: int = 64, window: int = WINDOW, epochs: int = 1, rate: float = 0.01) -> list[float]:
         """Truncated backpropagation with Adam over one stream of texts, each ended by the end token;
         the stream is cut into ``lanes`` that advance side by side. Gives the mean loss by epoch."""
         lanes = max(1, min(lanes, len(stream) // (2 * window)))
