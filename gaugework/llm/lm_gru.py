@@ -5,8 +5,7 @@ Training documents are those whose crc32 of the id, modulo ``folds``, is not ``h
 
 Over all training documents, on Spark: token counts, their total N and the number V of distinct
 tokens (``base_score`` is the add-one unigram score over them), the network's vocabulary, its
-classes and output biases, the counts of all tokens outside the vocabulary, and the byte
-frequencies that spell tokens never seen.
+classes and output biases, and the counts of all tokens outside the vocabulary.
 
 The network: the ``VOCABULARY - 1`` most frequent tokens and one symbol for all others; an embedding, a
 gated recurrent layer, and a softmax factored into a class and a token inside it, so a step costs
@@ -17,9 +16,9 @@ training documents in the order of xxhash64 of the id, up to ``SAMPLE_DOCS`` of
 
 Scoring runs over every whole text: texts of similar length advance in lockstep, window by window,
 their states carried across windows, so memory is bounded by lanes times window whatever a text's
-length. A token outside the vocabulary has the network's probability of "other", times c / (R + T) if
-training has it c times, or else T / (R + T) times that of its spelling, byte by byte (R: training
-tokens outside the vocabulary, T: distinct ones).
+length. A token outside the vocabulary has the network's probability of "other" times its add-one
+share of it, (c + 1) / (R + T + 1): R training tokens outside the vocabulary, T distinct ones. As in
+``base_score``, all tokens never seen are one more symbol.
 
 Counts of the ``COMMON`` most frequent tokens travel to the tasks (a bounded table); all others are
 found by a join on the token, which holds no frequent key.
@@ -231,28 +230,19 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 class Model:
-    """What scoring needs in each task: the network, its vocabulary, spelling, and the common counts."""
-
-    def __init__(self, network: Network, vocabulary: dict[bytes, int], spelling: np.ndarray, common: dict[bytes, int], known: np.ndarray,
-                 rare: float, types: float) -> None:
-        self.network, self.vocabulary, self.spelling, self.common = network, vocabulary, spelling, common
-        self.logs, self.floor, self.new = np.log10(known + 1), float(np.log10(rare + types)), float(np.log10(types))
-        self.share = np.log10(known) - self.floor
-        self.share[[i for w, i in common.items() if w in vocabulary]] = 0
+    """What scoring needs in each task: the network, its vocabulary, and the common counts."""
+
+    def __init__(self, network: Network, vocabulary: dict[bytes, int], common: dict[bytes, int], known: np.ndarray, others: float) -> None:
+        self.network, self.vocabulary, self.common = network, vocabulary, common
+        self.logs, self.floor = np.log10(known + 1), float(np.log10(others + 1))
+        self.share = self.logs - self.floor
+        self.share[[common[w] for w in vocabulary if w in common]] = 0
         self.end, self.other = vocabulary.get(END, 0), len(vocabulary)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get, other = self.vocabulary.get, self.other
         return np.array([get(w, other) for w in words], np.int16)
 
-    def spelled(self, words: list[bytes]) -> np.ndarray:
-        """Log10 of each word's share of "other" if it was never seen: its bytes, then a stop."""
-        n = np.array([len(w) for w in words])  # no word is empty
-        if not len(n):
-            return np.zeros(0)
-        each = self.spelling[np.frombuffer(b"".join(words), np.uint8)]
-        return (np.add.reduceat(each, np.cumsum(n) - n) + self.spelling[256]) / np.log(10) + self.new - self.floor
-
 
 def learn(rows: DataFrame, counts: DataFrame) -> tuple[Model, int, int]:
     """(model, N, V): gather the corpus statistics, then fit the network on the bounded sample."""
@@ -267,20 +257,9 @@ def learn(rows: DataFrame, counts: DataFrame) -> tuple[Model, int, int]:
     own = np.array([known[common[w]] if w in common else 0.0 for w in frequent])
     counted = np.append(own, max(total - own.sum(), 1.0))
 
-    def letters(token: pa.Array, c: pa.Array):
-        seen = np.zeros(257, np.int64)
-        for w, n in zip(token.to_pylist(), c.to_pylist()):
-            if w not in vocabulary:
-                np.add.at(seen, np.frombuffer(w, np.uint8), n)
-                seen[256] += n
-        return np.arange(257), seen
-
-    rare = map_batches(counts, "byte long, n long", letters).groupBy("byte").agg(F.sum("n").alias("n")).collect()  # 257 rows
-    spelling = np.ones(257)
-    for r in rare:
-        spelling[r["byte"]] += r["n"]
+    others = max(float(total - own.sum()), 0.0) + max(float(distinct - len(vocabulary)), 0.0)
     network = Network(counted)
-    model = Model(network, vocabulary, np.log(spelling / spelling.sum()), common, known, max(float(total - own.sum()), 1.0), max(float(distinct - len(vocabulary)), 1.0))
+    model = Model(network, vocabulary, common, known, others)
 
     sample = rows.filter("NOT out AND id IS NOT NULL").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
     drawn = rows.filter("NOT out").join(F.broadcast(sample), "id").select("id", "t")  # SAMPLE_DOCS numbers at most
@@ -311,7 +290,7 @@ def likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]):
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts, rest, known, base, shares, spelled, lengths = [], [], [], [], [], [], []
+            texts, rest, known, base, shares, lengths = [], [], [], [], [], []
             for t in batch.column(2):
                 words = tokens(t.as_buffer().to_pybytes())
                 numbers = model.numbers(words)
@@ -322,36 +301,31 @@ def likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 known.append(len(found))
                 base.append(float(model.logs[found].sum()))
                 shares.append(float(model.share[found].sum()))
-                spelled.append(model.spelled(rest[-1]))
                 texts.append(numbers)
                 lengths.append(len(words))
             scores = model.network.score(texts, model.end) / ln10 + np.array(shares)
-            yield (np.arange(uid, uid + len(texts)), batch.column(0), batch.column(1), lengths, known, base, scores,
-                   pa.array(rest, pa.list_(pa.binary())), pa.array(spelled, pa.list_(pa.float64())))
+            yield (np.arange(uid, uid + len(texts)), batch.column(0), batch.column(1), lengths, known, base, scores, pa.array(rest, pa.list_(pa.binary())))
             uid += len(texts)
 
     schema = "uid long, id long, out boolean, n long, known long, base double, score double"
     first = _scored(rows, schema, run)
     found = stored(first, "lm-scores")
-    others = found.select("uid", F.explode(F.arrays_zip("rest", "spelled")).alias("o"))
-    others = others.select("uid", F.col("o.rest").alias("token"), F.col("o.spelled").alias("spelled")).join(counts, "token", "left")
-    share = F.coalesce(F.log10("c") - F.lit(model.floor), F.col("spelled"))
-    others = others.groupBy("uid").agg(F.count("c").alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("add"), F.sum(share).alias("share"))
+    others = found.select("uid", F.explode("rest").alias("token")).join(counts, "token")
+    others = others.groupBy("uid").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("add"))
     floor = float(np.log10(total + distinct + 1))
     return found.join(others, "uid", "left").select(
         F.col("id").alias(id_col), F.col("out").alias("held_out"), F.col("n").alias("n_tokens"),
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("add", F.lit(0.0)) - F.col("n") * floor).alias("base_score"),
-        (F.col("score") + F.coalesce("share", F.lit(0.0))).alias("score"))
+        (F.col("score") + F.coalesce("add", F.lit(0.0)) - F.size("rest") * model.floor).alias("score"))
 
 
 def _scored(rows: DataFrame, schema: str, function) -> DataFrame:
-    """``rows`` through ``function``, whose last columns list the tokens outside the common ones and what
-    each one adds if it was never seen."""
-    names = [x.split()[0] for x in schema.split(", ")] + ["rest", "spelled"]
+    """``rows`` through ``function``, whose last column lists the tokens outside the common ones."""
+    names = [x.split()[0] for x in schema.split(", ")] + ["rest"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         for made in function(batches):
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in made], names=names)
 
-    return rows.mapInArrow(run, schema + ", rest array<binary>, spelled array<double>")
+    return rows.mapInArrow(run, schema + ", rest array<binary>")
