@@ -221,18 +221,26 @@ def latent_basis(encoded: DataFrame, items: Items, tool: Passages, seed: int = 3
                 order = np.argsort(some, kind="stable")
                 edges = np.flatnonzero(np.diff(some[order].astype(np.int64), prepend=-1))
                 total[some[order][edges]] += np.add.reduceat(y[np.repeat(np.arange(len(a)), z - a)[order]], edges, axis=0)
-        cells = np.append(total[:size].ravel(), rows)
-        at = np.flatnonzero(cells)
-        if len(at):
-            yield at, cells[at]
-
-    summed = map_partition(encoded.select("codes"), "cell long, x double", run).groupBy("cell").agg(F.sum("x").alias("x"))
-    packed = summed.toPandas()  # vocabulary x rank of the block at most
-    g = np.zeros(size * columns + 1)
-    g[packed["cell"].to_numpy(np.int64)] = packed["x"].to_numpy()
+        used = np.flatnonzero(total[:size].any(axis=1))
+        if rows:
+            yield np.append(used, size), [x.tobytes() for x in total[used]] + [np.full(columns, float(rows)).tobytes()]
+
+    def add(batches: Iterator[pa.RecordBatch]):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for term, x in zip(b.column(0).to_pylist(), b.column(1)):
+                x = np.frombuffer(x.as_buffer(), np.float64)
+                sums[term] = sums[term] + x if term in sums else x
+        if sums:
+            yield list(sums), [x.tobytes() for x in sums.values()]
+
+    rows = map_partition(encoded.select("codes"), "term long, x binary", run).repartition("term")
+    g = np.zeros((size + 1, columns))
+    for r in map_partition(rows, "term long, x binary", add).toLocalIterator():  # a row of numbers a word of the block
+        g[r["term"]] = np.frombuffer(r["x"], np.float64)
     own = items.vectors(tool.idf)
-    weight = 1 + g[-1] / len(items.texts)  # the items weigh as much as all passages, so the space keeps each of them
-    g = g[:-1].reshape(size, columns) * tool.idf[:, None] + weight * own.T @ (own @ omega)
+    weight = 1 + g[-1, 0] / len(items.texts)  # the items weigh as much as all passages, so the space keeps each of them
+    g = g[:-1] * tool.idf[:, None] + weight * own.T @ (own @ omega)
     core = omega.T @ g
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > max(values.max(), 0) * 1e-9
