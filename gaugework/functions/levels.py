@@ -36,9 +36,9 @@ def trend(current: str | Column, previous: str | Column, dp: int = 2,
 
 
 def at_risk(processed: str | Column, error: str | Column, percentile_5: str | Column) -> Column:
-    """True when not error, not NaN and processed ≥ percentile_5; never NULL."""
+    """True when not error, neither NULL nor NaN, and processed ≥ percentile_5; never NULL."""
     p = col_(processed)
-    cond = ~col_(error) & ~F.isnan(p) & (F.coalesce(p, F.lit(0.0)) >= col_(percentile_5))
+    cond = p.isNotNull() & ~col_(error) & ~F.isnan(p) & (p >= col_(percentile_5))
     return F.when(cond, True).otherwise(False)
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 
 def _sorted_structs(order: Sequence[str], fields: Sequence[str | Column], descending: bool) -> Column:
-    items = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+    # the flag puts NULLs last when ascending and first when descending, as in the reference
+    items = F.struct(*[x for i, o in enumerate(order) for x in (F.col(o).isNull().alias(f"_n{i}"), F.col(o).alias(f"_o{i}"))],
                      F.struct(*[F.col(f) if isinstance(f, str) else f for f in fields]).alias("_v"))
     # wrapping the row in a struct keeps NULL fields (collect_list drops only NULL elements)
     return F.sort_array(F.collect_list(items), asc=not descending)

@@ -110,18 +110,9 @@ def lag_value(df: DataFrame, keys: str | Sequence[str], order: str, tiebreak: st
     return agg.select(*keys, *[F.col("_latest")[c].alias(c) for c in rest], name)
 
 
-GROUP_ROWS_CONF = "gaugework.window.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def group_rank(df: DataFrame, group: str, order: Column, name: str = "rank",
-               max_group_rows: int | None = None) -> DataFrame:
+def group_rank(df: DataFrame, group: str, order: Column, name: str = "rank") -> DataFrame:
     """``rank()`` over ``partitionBy(group).orderBy(order)`` without putting a whole group in
-    one task.
-
-    One aggregate first measures the largest group (a scalar to the driver). When every group
-    fits one task comfortably (``gaugework.window.maxGroupRows``, default 2,000,000 rows), the
-    plain window is used; otherwise the distributed form below. Both give the same ranks.
+    one task. Rows of a NULL group are one group, as in the window.
 
     The rows are range-partitioned on (group, order); equal keys always land in the same
     range partition, so ties never straddle a boundary. Each row gets its rank inside its
@@ -135,12 +126,6 @@ def group_rank(df: DataFrame, group: str, order: Column, name: str = "rank",
     slices, also after an executor is lost."""
     from gaugework.session import cut_lineage
 
-    limit = max_group_rows if max_group_rows is not None else int(
-        df.sparkSession.conf.get(GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    biggest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= limit:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(group).orderBy(order)))
-
     n = df.sparkSession.sparkContext.defaultParallelism
     n = max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(n))))
     parts = df.repartitionByRange(n, F.col(group).asc_nulls_last(), order).withColumn("_pid", F.spark_partition_id())
@@ -150,13 +135,13 @@ def group_rank(df: DataFrame, group: str, order: Column, name: str = "rank",
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_pid")
                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = local.join(offsets.select(group, "_pid", "_off"), [group, "_pid"])
-    return out.withColumn(name, (F.col("_off") + F.col("_lr")).cast("int")).drop("_pid", "_lr", "_off")
+    offsets = offsets.select(F.col(group).alias("_og"), F.col("_pid").alias("_op"), "_off")
+    out = local.join(offsets, F.col(group).eqNullSafe(F.col("_og")) & (F.col("_pid") == F.col("_op")))
+    return out.withColumn(name, (F.col("_off") + F.col("_lr")).cast("int")).drop("_pid", "_lr", "_off", "_og", "_op")
 
 
 def rank_neighbours(df: DataFrame, group: str, rank: str, node: str | Sequence[str],
-                    carry: Sequence[str] = (), name: str = "calc_rank",
-                    max_group_rows: int | None = None) -> DataFrame:
+                    carry: Sequence[str] = (), name: str = "calc_rank") -> DataFrame:
     """W5 + J5: position along a group (``rank()`` over the raw rank, NULLS LAST) and the
     node(s) one position up (calc_rank − 1) and down (calc_rank + 1).
 
@@ -166,7 +151,7 @@ def rank_neighbours(df: DataFrame, group: str, rank: str, node: str | Sequence[s
     single-task group) and the joins are on (group, position), which spreads a long group
     over many tasks."""
     nodes = _cols(node)
-    base = group_rank(df, group, F.col(rank).asc_nulls_last(), name, max_group_rows)
+    base = group_rank(df, group, F.col(rank).asc_nulls_last(), name)
     nb = base.select(F.col(group).alias("_g"), F.col(name).alias("_r"),
                      *[F.col(c).alias(f"_n_{c}") for c in nodes + list(carry)])
     up = nb.select("_g", (F.col("_r") + 1).alias("_r"),

@@ -24,9 +24,14 @@ from gaugework.functions.geo import WGS84_A, WGS84_B, _let
 E2 = 1 - (WGS84_B ** 2) / (WGS84_A ** 2)
 
 
+def _upto(last: Column) -> Column:
+    """0, 1, … last; empty when ``last`` is negative (a ring of one point has no edge)."""
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+
 def _ring_terms(ring: Column) -> Column:
     """struct(area2, cx6, cy6): twice the signed area and the first moments (×6A)."""
-    idx = F.sequence(F.lit(0), F.size(ring) - 2)
+    idx = _upto(F.size(ring) - 2)
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def step(acc, i):
@@ -51,7 +56,7 @@ def centroid(df: DataFrame, rings: str = "geom", out: str = "centroid") -> DataF
                 return F.struct((acc2["w"] + w).alias("w"), (acc2["x"] + w * cx).alias("x"),
                                 (acc2["y"] + w * cy).alias("y"))
             return _let(_ring_terms(poly[ri]), add)  # ring sums computed once per ring
-        return F.aggregate(F.sequence(F.lit(0), F.size(poly) - 1), acc, per_ring)
+        return F.aggregate(_upto(F.size(poly) - 1), acc, per_ring)
 
     tot = F.aggregate(F.col(rings), zero, per_poly)
     return df.withColumn("_c", tot).withColumn(
@@ -91,7 +96,7 @@ def _local_xy(plon: Column, plat: Column, v: Column) -> tuple[Column, Column]:
 def _edge_stats(plon: Column, plat: Column, rings: Column) -> Column:
     """struct(d2 = min squared distance to any edge, cross = ray crossings) over all edges."""
     edges = F.flatten(F.transform(F.flatten(rings), lambda r: F.transform(
-        F.sequence(F.lit(0), F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
+        _upto(F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
     zero = F.struct(F.lit(float("inf")).alias("d2"), F.lit(0).alias("cross"))
 
     def step(acc, ed):
@@ -118,7 +123,7 @@ def distance_to_area(plon: Column, plat: Column, rings: Column) -> Column:
 def _edges(rings: Column) -> Column:
     """All edges of a multipolygon as array<struct<p, q>> (holes included)."""
     return F.flatten(F.transform(F.flatten(rings), lambda r: F.transform(
-        F.sequence(F.lit(0), F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
+        _upto(F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
 
 
 def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0, point_id: str = "id",
@@ -139,7 +144,11 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
     row per candidate pair moves. A polygon with many vertices spreads over the tasks of
     the cells it covers."""
     margin_lat = metres / 6335439.0 * 180 / math.pi * 1.01  # smallest meridional radius
-    a = areas.select(area_id, rings).withColumn("_bb", _bbox(F.col(rings)))
+    # Crossing parity is counted per (point, polygon): repeated rows count once, and two polygons or two
+    # places under one id stay apart until the end, where a pair's smallest distance is kept.
+    areas = areas.select(area_id, rings).withColumn("_shape", F.xxhash64(rings)).dropDuplicates([area_id, "_shape"])
+    points = points.select(point_id, lon, lat).dropDuplicates([point_id, lon, lat])
+    a = areas.withColumn("_bb", _bbox(F.col(rings)))
     hi = F.greatest(F.abs(F.col("_bb.s")), F.abs(F.col("_bb.n"))) + F.lit(margin_lat)
     margin_lon = F.lit(metres / WGS84_A * 180 / math.pi * 1.01) / F.cos(F.radians(F.least(hi, F.lit(89.0))))
     cx0 = F.floor((F.col("_bb.w") - margin_lon) / cell_deg).cast("long")
@@ -156,12 +165,12 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
          .withColumn("_cx", F.coalesce(F.floor(F.col(lon) / cell_deg).cast("long"), nowhere))
          .withColumn("_cy", F.coalesce(F.floor(F.col(lat) / cell_deg).cast("long"), nowhere)))
     cand = p.join(cells, ["_cx", "_cy"]).drop("_cx", "_cy")
-    e = cand.select(point_id, area_id, F.col(lon).alias("_plon"), F.col(lat).alias("_plat"),
+    e = cand.select(point_id, area_id, "_shape", F.col(lon).alias("_plon"), F.col(lat).alias("_plat"),
                     F.explode(_edges(F.col(rings))).alias("_e"))
     plon, plat = F.col("_plon"), F.col("_plat")
     x1, y1 = _local_xy(plon, plat, F.col("_e.p"))
     x2, y2 = _local_xy(plon, plat, F.col("_e.q"))
-    e = e.select(point_id, area_id, x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+    e = e.select(point_id, area_id, "_shape", "_plon", "_plat", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     ll = dx * dx + dy * dy
     tt = F.when(ll > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(F.col("x1") * dx + F.col("y1") * dy) / ll))) \
@@ -169,10 +178,11 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
     cx, cy = F.col("x1") + tt * dx, F.col("y1") + tt * dy
     crosses = ((F.col("y1") > 0) != (F.col("y2") > 0)) & \
         ((F.col("x1") + (0 - F.col("y1")) * dx / F.when(dy != 0, dy).otherwise(F.lit(1.0))) > 0)
-    per_pair = e.groupBy(point_id, area_id).agg(
+    per_pair = e.groupBy(point_id, area_id, "_shape", "_plon", "_plat").agg(
         F.min(cx * cx + cy * cy).alias("_d2"), F.sum(F.when(crosses, 1).otherwise(0)).alias("_cross"))
     dist = F.when(F.col("_cross") % 2 == 1, F.lit(0.0)).otherwise(F.sqrt("_d2"))
     out = per_pair.withColumn("distance_m", dist).filter(F.col("distance_m") <= metres)
+    out = out.groupBy(point_id, area_id).agg(F.min("distance_m").alias("distance_m"))
     cols = [point_id, area_id] + (["distance_m"] if with_distance else [])
     return out.select(*cols)
 

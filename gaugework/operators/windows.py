@@ -48,14 +48,14 @@ def trailing_totals(df: DataFrame, keys: str | Sequence[str], ts: str, value: st
 
 def breaches(limits: DataFrame, readings: DataFrame, on: Sequence[str], limit: str, value: str,
              error: str | None = None) -> DataFrame:
-    """J3 + A4: distinct keys whose readings exceed the key's limit (non-error, non-NaN,
-    ``coalesce(value, 0) > limit``). Readings are pre-aggregated to one max per key before the
+    """J3 + A4: distinct keys whose readings exceed the key's limit (non-error, neither
+    NULL nor NaN, ``value > limit``). Readings are pre-aggregated to one max per key before the
     join, so the join never sees more than one row per key from the big side."""
-    ok = ~F.isnan(F.col(value))
+    ok = F.col(value).isNotNull() & ~F.isnan(F.col(value))
     if error:
         ok = ok & ~F.col(error)
     peak = (readings.filter(ok).groupBy(*on)
-            .agg(F.max(F.coalesce(F.col(value), F.lit(0.0))).alias("_peak")))
+            .agg(F.max(value).alias("_peak")))
     lim = limits.select(*on, limit).filter(F.col(limit).isNotNull())
     return (lim.join(peak, list(on)).filter(F.col("_peak") > F.col(limit))
             .select(*on).distinct())

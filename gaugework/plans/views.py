@@ -240,7 +240,7 @@ def legacy_warnings(current_fwis: DataFrame, alert_areas: DataFrame, warning_are
     out = warnings_with_area(w, alert_areas, warning_areas, with_centroid=False)
     for a, b in LEGACY_RENAMES.items():
         if a in out.columns:
-            out = out.withColumnRenamed(a, b)
+            out = out.drop(b).withColumnRenamed(a, b)  # the feed may have a column of the older name
     return out
 
 

@@ -75,12 +75,8 @@ def stream_latest(spark: SparkSession, source: DataFrame, checkpoint: str, state
     """Keep the newest ``k`` readings per key as versioned Parquet state. Batch N reads
     version N−1 (if any) and writes version N with overwrite, so replaying N is harmless."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(_batch_path(state_root, "state", batch_id - 1))
-            except Exception:  # noqa: BLE001  - no earlier version (first batch after a reset)
-                prev = None
+        # batch 0 alone has no earlier version; any failure to read one fails the batch
+        prev = spark.read.parquet(_batch_path(state_root, "state", batch_id - 1)) if batch_id > 0 else None
         nxt = update_latest(batch, prev, keys, order, tiebreak, k)
         nxt.write.mode("overwrite").parquet(_batch_path(state_root, "state", batch_id))
 

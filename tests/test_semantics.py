@@ -58,3 +58,33 @@ def test_item_11_null_station_type(spark):
     rows = [(r.processed_value, r.error) for r in clean_readings(df).collect()]
     # negative with NULL type: processed kept but error NULL (the NOT NULL check sets it aside)
     assert rows == [(-0.5, None), (-0.5, False), (0.5, False)]  # NULL AND false is false
+
+
+def test_null_reading_is_never_at_risk_and_never_breaches(spark):
+    from pyspark.sql import functions as F
+
+    from gaugework.functions.levels import at_risk
+    from gaugework.operators.windows import breaches
+    df = spark.createDataFrame([(1, None, False, -0.5), (2, 0.0, False, -0.5)], "k int, v double, err boolean, lim double")
+    got = {r.k: r.risk for r in df.select("k", at_risk("v", "err", "lim").alias("risk"), F.lit(1)).collect()}
+    assert got == {1: False, 2: True}
+    assert [r.k for r in breaches(df.select("k", "lim"), df.select("k", "v", "err"), ["k"], "lim", "v", "err").collect()] == [2]
+
+
+def test_repeated_points_and_areas_keep_their_pair(spark):
+    from gaugework.operators.spatial import centroid, within_distance
+    square = [[(0.0, 50.0), (0.4, 50.0), (0.4, 50.4), (0.0, 50.4), (0.0, 50.0)]]
+    geom = "array<array<array<struct<lon:double,lat:double>>>>"
+    areas = spark.createDataFrame([("a", [square]), ("a", [square]), ("one", [[[(0.2, 50.2)]]])], f"area_id string, geom {geom}")
+    points = spark.createDataFrame([(1, 0.2, 50.2), (1, 0.2, 50.2)], "id int, lon double, lat double")
+    assert [(r.id, r.area_id) for r in within_distance(points, areas).collect()] == [(1, "a")]
+    assert centroid(areas.filter("area_id = 'one'"), "geom").first()["centroid"] is None
+
+
+def test_null_group_is_ranked(spark):
+    from pyspark.sql import functions as F
+
+    from gaugework.operators.ranking import group_rank
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), (None, 3), ("b", 1)], "g string, r int")
+    got = sorted((str(r.g), r.r, r.rank) for r in group_rank(df, "g", F.col("r").asc_nulls_last()).collect())
+    assert got == [("None", 3, 1), ("None", 5, 2), ("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]
