@@ -10,7 +10,9 @@
    would accept; an item with under three telling words is paired by all its words.
 3. Randomised SVD. A Gaussian test matrix with one column per item and some more is pushed through
    the passages (tasks sum A^T A Omega over their rows, Spark adds them up), to which the items
-   themselves are added; the Nystrom form of the sum gives the leading right singular vectors.
+   themselves are added, with as much weight as all passages, so that the space keeps each of them
+   (passages with under ``LEAST_TELLING`` telling words say little about it and are left out of this
+   step alone); the Nystrom form of the sum gives the leading right singular vectors.
 4. Candidates. Passages and items are compared by their cosine in the latent space; pairs of
    ``COSINE`` or more are candidates.
 5. Checks. The longest common subsequence of an item and the passage with its surroundings must reach
@@ -41,6 +43,7 @@ from gaugework.llm.common import map_partition, stored, text_bytes
 STRIDE = 8
 COSINE = 0.3
 COMMON_SHARE, COMMON_LEAST = 0.05, 10
+LEAST_TELLING = 3
 LCS_SURE, LCS_LEAST, ANSWER = 0.8, 0.6, 3
 LEAST_WORDS = 5
 BLOCK, BLOCK_WORDS = 256, 200_000
@@ -159,8 +162,8 @@ class Passages:
         #: blocks that a run of the item's length can touch
         self.reach = np.array([-(-len(t) // STRIDE) + 1 for t in items.texts], np.int64)
 
-    def pairs(self, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, first word, end word) of the passages; repeats of a word within the item
+    def pairs(self, codes: np.ndarray, first: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, first word, end word) of the passages with ``least`` telling words; repeats of a word within the item
         count as often as they stand in the passage."""
         none = np.zeros(0, np.int64)
         at = np.flatnonzero(self.count[codes])
@@ -177,7 +180,7 @@ class Passages:
         total = np.concatenate([[0], np.cumsum(hits)])
         item = key // span
         inside = total[np.searchsorted(key, key + self.reach[item])] - total[:-1]
-        good = inside >= self.need[item]
+        good = inside >= np.maximum(self.need[item], least)
         key, item = key[good], item[good]
         block = key % span
         # blocks of earlier documents plus gaps: the document is found by its first block
@@ -209,18 +212,20 @@ def latent_basis(encoded: DataFrame, items: Items, tool: Passages, seed: int = 3
         total, rows = np.zeros((size + 2, columns)), 0
         for b in batches:
             codes, first = _flat(b, 0, kind)
-            _, _, start, end = tool.pairs(codes, first)
+            _, _, start, end = tool.pairs(codes, first, LEAST_TELLING)
             windows = np.unique(np.stack([start, end]), axis=1)
             rows += windows.shape[1]
             for at in range(0, windows.shape[1], PIECE):
                 a, z = windows[:, at:at + PIECE]
                 where, heads = spread(a, z)
+                owner = np.repeat(np.arange(len(a)), z - a)
                 # rows of A are of unit length: the norm divides once here and once in A^T
-                y = np.add.reduceat(table[codes[where]], heads, axis=0) / tool.norms(codes, a, z)[:, None] ** 2
+                y = np.add.reduceat(table[codes[where]], heads, axis=0) / (tool.norms(codes, a, z)[:, None] ** 2).astype(np.float32)
                 some = codes[where]
+                owner, some = owner[some < size], some[some < size]
                 order = np.argsort(some, kind="stable")
                 edges = np.flatnonzero(np.diff(some[order].astype(np.int64), prepend=-1))
-                total[some[order][edges]] += np.add.reduceat(y[np.repeat(np.arange(len(a)), z - a)[order]], edges, axis=0)
+                total[some[order][edges]] += np.add.reduceat(y[owner[order]], edges, axis=0)
         used = np.flatnonzero(total[:size].any(axis=1))
         if rows:
             yield np.append(used, size), [x.tobytes() for x in total[used]] + [np.full(columns, float(rows)).tobytes()]
