@@ -7,7 +7,9 @@
    telling. A document passage pairs with an item if it is as long as the item, give or take a
    block of ``STRIDE`` words at each end, and holds as many of the item's telling words as any text
    must that has ``LCS_LEAST`` of the item's words in order. So this step loses no pair that step 5
-   would accept; an item with under three telling words is paired by all its words.
+   would accept; an item with under three telling words is paired by all its words. A pair whose
+   passage with its surroundings has under ``LCS_LEAST`` of the item's words in any order cannot pass
+   step 5 either and is left out of step 4.
 3. Randomised SVD. A Gaussian test matrix with one column per item and some more is pushed through
    the passages (tasks sum A^T A Omega over their rows, Spark adds them up), to which the items
    themselves are added, with as much weight as all passages, so that the space keeps each of them
@@ -31,6 +33,7 @@ items with the same id are each compared and reported once per document. Empty t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +51,14 @@ LCS_SURE, LCS_LEAST, ANSWER = 0.8, 0.6, 3
 LEAST_WORDS = 5
 BLOCK, BLOCK_WORDS = 256, 200_000
 OVERSAMPLE = 8
-PIECE = 2048
+#: passages are worked on so many words at a time (or one passage, if longer)
+PIECE_WORDS = 120_000
 
 
 def words(text: bytes) -> list[bytes]:
     """Words of a text, letters of any script in lower case."""
+    if text.isascii():
+        return license_automaton.words(text)
     return license_automaton.words(text.decode("utf-8", "replace").lower().encode())
 
 
@@ -95,9 +101,10 @@ def encode(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFra
         for b in batches:
             made = []
             for t in b.column(2):
-                found = [get(w, other) for w in words(t.as_buffer().to_pybytes())]
-                found += [pad] * (-len(found) % STRIDE)
-                made.append(np.array(found, kind).tobytes())
+                found = words(t.as_buffer().to_pybytes())
+                packed = np.full(-(-len(found) // STRIDE) * STRIDE, pad, kind)
+                packed[:len(found)] = np.fromiter(map(get, found, repeat(other)), kind, len(found))
+                made.append(packed.tobytes())
             yield b.column(0), b.column(1), made
 
     text = text_bytes(text_col)
@@ -201,6 +208,12 @@ def spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(start - heads, n) + np.arange(n.sum()), heads
 
 
+def pieces(sizes: np.ndarray) -> list[slice]:
+    """Cuts windows of these sizes into runs of about ``PIECE_WORDS`` words."""
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // PIECE_WORDS)) + 1
+    return [slice(a, z) for a, z in zip([0, *cuts], [*cuts, len(sizes)]) if a < z]
+
+
 def latent_basis(encoded: DataFrame, items: Items, tool: Passages, seed: int = 3) -> np.ndarray:
     """Leading right singular vectors (vocabulary x rank) of the passages and the items."""
     size, kind = items.other, items.kind
@@ -215,8 +228,8 @@ def latent_basis(encoded: DataFrame, items: Items, tool: Passages, seed: int = 3
             _, _, start, end = tool.pairs(codes, first, LEAST_TELLING)
             windows = np.unique(np.stack([start, end]), axis=1)
             rows += windows.shape[1]
-            for at in range(0, windows.shape[1], PIECE):
-                a, z = windows[:, at:at + PIECE]
+            for piece in pieces(windows[1] - windows[0]):
+                a, z = windows[:, piece]
                 where, heads = spread(a, z)
                 owner = np.repeat(np.arange(len(a)), z - a)
                 # rows of A are of unit length: the norm divides once here and once in A^T
@@ -258,20 +271,31 @@ def _search(items: Items, tool: Passages, basis: np.ndarray, batches: Iterator[p
     table = np.vstack([basis * tool.idf[:, None], np.zeros((2, basis.shape[1]))]).astype(np.float32)
     latent = items.vectors(tool.idf) @ basis
     latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    lengths = np.array([len(t) for t in items.texts])
+    member = np.zeros((len(lengths), items.pad + 1), bool)
+    for i, text in enumerate(items.texts):
+        member[i, text] = True
     for b in batches:
         codes, first = _flat(b, 2, items.kind)
-        doc, item, start, end = tool.pairs(codes, first)
+        found = tool.pairs(codes, first)
+        # the passage with its surroundings: what the checks look at
+        found += (np.maximum(first[found[0]], found[2] - STRIDE), np.minimum(first[found[0] + 1], found[3] + lengths[found[1]] // 2))
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        for at in range(0, len(doc), PIECE):
-            d, i, a, z = (x[at:at + PIECE] for x in (doc, item, start, end))
+        for piece in pieces(found[5] - found[4]):
+            d, i, a, z, low, high = (x[piece] for x in found)
+            where, heads = spread(low, high)
+            inside = np.add.reduceat(member[np.repeat(i, high - low), codes[where]], heads, dtype=np.int64)
+            enough = inside >= LCS_LEAST * lengths[i] - 1e-9
+            if not enough.any():
+                continue
+            d, i, a, z, low, high = (x[enough] for x in (d, i, a, z, low, high))
             where, heads = spread(a, z)
             projected = np.add.reduceat(table[codes[where]], heads, axis=0)
             cosine = (projected * latent[i]).sum(1) / tool.norms(codes, a, z)
             for w in np.flatnonzero(cosine >= COSINE):
                 key = (int(d[w]), int(i[w]))
                 if key not in best:
-                    low, high = max(first[d[w]], a[w] - STRIDE), min(first[d[w] + 1], z[w] + len(items.texts[i[w]]) // 2)
-                    share = checked(items.texts[i[w]], codes[low:high].tolist())
+                    share = checked(items.texts[i[w]], codes[low[w]:high[w]].tolist())
                     if share:
                         best[key] = (float(cosine[w]), share)
         if best:
