@@ -70,11 +70,10 @@ def forecast_max(forecasts: DataFrame, key: str = "rloi_id") -> DataFrame:
     forecast value and when it occurs (earliest time among equal maxima)."""
     v = forecasts.select(key, "filename", F.explode("values").alias("_v")).filter(
         F.col("_v.value").isNotNull() & ~F.isnan("_v.value"))
-    return v.groupBy(key).agg(
-        F.max("_v.value").alias("value"),
-        F.max_by(F.col("_v.ts"), F.struct(F.col("_v.value"), -F.unix_micros(F.col("_v.ts").cast("timestamp"))))
-        .alias("value_date"),
-        F.max_by("filename", F.col("_v.value")).alias("filename"))
+    # one order for both columns: highest value, earliest time, then the greatest file name
+    order = F.struct(F.col("_v.value"), -F.unix_micros(F.col("_v.ts").cast("timestamp")), "filename")
+    return v.groupBy(key).agg(F.max("_v.value").alias("value"), F.max_by(F.col("_v.ts"), order).alias("value_date"),
+                              F.max_by("filename", order).alias("filename"))
 
 
 def parse_warnings(files: DataFrame, xml: str = "xml") -> DataFrame:

@@ -27,11 +27,17 @@ CSV_COLUMNS = ["station_id", "fwis_code", "fwis_type", "direction", "value"]
 
 def parse_payload(df: DataFrame, text: str = "json") -> DataFrame:
     """From a JSON text column to one row per station object; a document that does not
-    parse as an array of stations is kept aside as ``_corrupt`` (L17 policy: log, skip)."""
-    parsed = df.withColumn("_p", F.from_json(F.col(text), PAYLOAD))
+    parse as an array of stations is kept aside as ``_corrupt`` (L17 policy: log, skip); an
+    empty array is one row without a station, not corrupt."""
+    parsed = df.withColumn("_p", F.from_json(F.col(text), PAYLOAD)).withColumn("_corrupt", F.col("_p").isNull())
     # outer generator: no inferred size() filter pushed below the parse (see readings.explode_kept)
-    return parsed.select("*", F.posexplode_outer("_p").alias("_station_pos", "_station")).withColumn(
-        "_corrupt", F.col("_station_pos").isNull() & F.col("_station").isNull()).drop("_p")
+    return parsed.select("*", F.posexplode_outer("_p").alias("_station_pos", "_station")).drop("_p")
+
+
+def bad_documents(df: DataFrame, text: str = "json") -> DataFrame:
+    """L17 rejects: the rows of ``df``, as they came, whose document does not parse as an array of
+    stations (NULL included). An empty array is valid and has no rows anywhere."""
+    return df.filter(F.from_json(F.col(text), PAYLOAD).isNull())
 
 
 def explode_series(payload: DataFrame, text: str = "json") -> DataFrame:

@@ -121,3 +121,11 @@ def test_delimited_impacts(spark, tmp_dir):
     assert rows[0].comment == "line one line two" and rows[0].geom.lon == -1.5 and rows[0].lat == 52.25
     assert "id" not in rows[0].asDict()
 
+
+def test_forecast_max_takes_file_and_time_from_one_row(spark):
+    from gaugework.sources.forecasts import forecast_max
+    rows = [(1, "late.xml", [("2023-02-06 12:00:00", 2.0)]), (1, "early.xml", [("2023-02-06 09:00:00", 2.0)]),
+            (1, "low.xml", [("2023-02-06 08:00:00", 1.0)])]
+    df = spark.createDataFrame(rows, "rloi_id int, filename string, values array<struct<ts: string, value: double>>")
+    r = forecast_max(df).collect()
+    assert [(x.value, x.value_date, x.filename) for x in r] == [(2.0, "2023-02-06 09:00:00", "early.xml")]

@@ -3,7 +3,7 @@
 import json
 
 from gaugework.plans.views import display_flags
-from gaugework.sources.thresholds import min_thresholds, parse_thresholds
+from gaugework.sources.thresholds import bad_documents, min_thresholds, parse_payload, parse_thresholds
 
 
 def series(parameter, qualifier, unit, display, thresholds):
@@ -83,3 +83,10 @@ def test_corrupt_payload_does_not_fail_the_batch(spark):
 def test_display_flags(spark):
     out = {(r.station_id, r.direction): r.display_time_series for r in display_flags(payload_df(spark, SIMPLE, FLOW)).collect()}
     assert out == {(2116, "d"): False, (2116, "u"): False, (2100, "u"): True}
+
+
+def test_bad_documents_are_rejects_and_an_empty_array_is_valid(spark):
+    df = spark.createDataFrame([("not json",), (None,), ("[]",)], "json string")
+    assert sorted(r.json or "" for r in bad_documents(df).collect()) == ["", "not json"]
+    assert [r.json for r in parse_payload(df).filter("NOT _corrupt").collect()] == ["[]"]
+    assert parse_thresholds(df).count() == 0
