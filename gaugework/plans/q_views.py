@@ -125,7 +125,7 @@ def q_impacts_active(spark, sf):
     fmax = (e.filter(F.col("event_type") == "view").groupBy(F.col("user_id").alias("telemetry_id"))
             .agg(F.max("value").alias("value")))
     fs = o.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("rloi_id"))
-    out = impacts(imp, ctx, overview, fmax, fs)
+    out = impacts(imp, ctx, overview, fmax, fs, order=("ts",), tiebreak=("event_id", "qualifier"))
     return out.select("impactid", "gauge", "rloiid", "value", "telemetrylatest", "telemetryactive",
                       "forecastmax", "forecastactive")
 

@@ -182,8 +182,8 @@ def stations_list(rivers_df: DataFrame, rainfall: DataFrame, order_mode: str = "
 
 
 def impacts(impact: DataFrame, context: DataFrame, overview: DataFrame, ffoi_max: DataFrame,
-            ffoi_station: DataFrame, order: Sequence[str] = ("ts",),
-            tiebreak: Sequence[str] = ("event_id", "qualifier")) -> DataFrame:
+            ffoi_station: DataFrame, order: Sequence[str] = ("value_timestamp",),
+            tiebreak: Sequence[str] = ("qualifier",)) -> DataFrame:
     """V7: impacts of active stations (status exactly 'Active') with the gauge name, the
     station's latest upstream reading and forecast maximum, and the two active flags.
 

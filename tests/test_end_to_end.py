@@ -24,3 +24,8 @@ def test_files_to_overview(spark, tmp_dir):
     assert (r.direction, r.processed_value, r.trend, r.forecast, r.level, r.age_seconds) == (
         "u", 1.3, "rising", True, "normal", 9900.0)
     assert ov.filter("rloi_id = 2").first().trend is None  # no readings: kept, trend NULL
+    impact = spark.createDataFrame([(9, 1, 1.25)], "id long, rloi_id int, value double")
+    fm = spark.createDataFrame([(r.telemetry_id, 1.0)], "telemetry_id string, value double")
+    active = views.impacts(impact, ctx, ov, fm, fs).collect()  # V7 over the rows V3 gives
+    assert [(a.impactid, a.rloiid, a.telemetrylatest, a.telemetryactive, a.forecastactive) for a in active] == [
+        (9, 1, 1.3, True, False)]

@@ -39,6 +39,7 @@ def test_item_4_impacts_pick_latest_upstream(spark):
         "rloi_id int, direction string, qualifier string, ts timestamp, event_id int, processed_value double, telemetry_id string")
     fm = spark.createDataFrame([("t7", 2.0)], "telemetry_id string, value double")
     fs = spark.createDataFrame([(7,)], "rloi_id int")
+    overview = overview.withColumnRenamed("ts", "value_timestamp").drop("event_id")
     r = views.impacts(impact, ctx, overview, fm, fs).first()
     # the downstream row is newer but never used; the newest upstream row wins
     assert (r.telemetrylatest, r.telemetryactive, r.forecastactive, r.gauge) == (1.5, True, True, "River at Gauge")
