@@ -129,11 +129,13 @@ def q_risk_and_level(spark, sf):
 def stations_overview(split, values, forecast_stations, as_of, marker="downstream"):
     """V3 over (station split, readings, forecast station ids): latest reading per
     (station, qualifier) with the mean-of-four trend, age, record breach, risk, forecast flag and
-    level, one row per station direction and matching qualifier (directions may fan out)."""
+    level, one row per station direction and matching qualifier (directions may fan out). The latest
+    reading's parameter, units and raw value are carried where ``values`` has them."""
+    carried = [c for c in ("parameter", "units", "value") if c in values.columns]
     latest = trailing_mean(values, ["rloi_id", "qualifier"], "value_timestamp", "telemetry_value_id",
                            "processed_value", n=4)
     latest = latest.select(
-        "rloi_id", "qualifier", "processed_value", "value_timestamp", "error",
+        "rloi_id", "qualifier", "processed_value", "value_timestamp", "error", *carried,
         trend("processed_value", "previous_value", previous_is_nan="previous_is_nan").alias("trend"),
         direction("qualifier", marker).alias("direction"))
     lim = split.withColumnRenamed("qualifier", "direction")
@@ -149,7 +151,7 @@ def stations_overview(split, values, forecast_stations, as_of, marker="downstrea
         "trend", age_seconds("value_timestamp", as_of).alias("age_seconds"), "por_max_breached",
         at_risk("processed_value", "error", "percentile_5").alias("at_risk"), "forecast",
         level("processed_value", "percentile_5", "percentile_95", "station_type").alias("level"),
-        "error", "percentile_5", "percentile_95")
+        "error", "percentile_5", "percentile_95", *carried)
 
 
 @query("stations_overview", f"""

@@ -23,6 +23,7 @@ def test_files_to_overview(spark, tmp_dir):
     r = ov.filter("rloi_id = 1").first()
     assert (r.direction, r.processed_value, r.trend, r.forecast, r.level, r.age_seconds) == (
         "u", 1.3, "rising", True, "normal", 9900.0)
+    assert r.value == 1.3 and r.parameter and "units" in ov.columns  # the latest reading's own columns
     assert ov.filter("rloi_id = 2").first().trend is None  # no readings: kept, trend NULL
     impact = spark.createDataFrame([(9, 1, 1.25)], "id long, rloi_id int, value double")
     fm = spark.createDataFrame([(r.telemetry_id, 1.0)], "telemetry_id string, value double")
