@@ -10,24 +10,28 @@ base64), and three tests ask whether it could be a uniform draw from it: chi-squ
 the alphabet, runs about the alphabet's middle, lag-1 serial correlation. Their p-values combine
 by Fisher's sum; a small sum means that nothing speaks against randomness.
 
-How often plain text looks as random is learned from the corpus itself: lower-case words of the
-same lengths (decoys) go through the same battery. In each length class the share of decoys with a
-sum as small gives a candidate's p-value, and Benjamini-Hochberg at ``RATE`` keeps a prefix of the
-class. Both histograms cover all documents and are tables of classes times bins.
+How often plain text looks as random is learned from the corpus itself: the lower-case words of
+every document, joined, are cut into strings of each class's least length in turn (decoys), which go
+through the same battery. In each length class the share of decoys with a sum as small gives a
+candidate's p-value, and Benjamini-Hochberg at ``RATE`` keeps a prefix of the class. A class with
+under ``1 / RATE`` decoys (all texts short) takes those of the next shorter class that has them:
+shorter text looks more random, so its p-values are on the safe side. Both histograms cover all
+documents and are tables of classes times bins.
 
 Offsets are code points, ends exclusive. Edge cases: a null text is empty; null ids are carried
 through; repeated rows each keep their row and count as often as they appear; an empty table gives
-no rows; without decoys in a length class the p-value is 1 and nothing is added there.
+no rows; a corpus without lower-case a-z words has no decoys, every p-value is 1 and nothing is added.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import map_batches, sha256_hex, spans_text, stored
@@ -43,6 +47,7 @@ RATE = 0.01
 BINS = 64
 CLASSES = (16, 20, 24, 32, 48, 64)
 PIECE = 4096
+SLICE = 1 << 20
 
 
 def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int]]:
@@ -135,17 +140,32 @@ def _bins(strings: list[str]) -> list[int]:
     return [length_class(len(s)) * BINS + int(v) for s, v in zip(strings, values)]
 
 
-def candidates(text: str, runs: list[re.Match], base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int]], list[str]]:
-    """(spans of candidates, decoys)."""
-    spans, decoys = [], []
+def candidates(runs: list[re.Match], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of the candidates among the runs."""
+    spans = []
     for run in runs:
         s = run[0]
-        if s.isalpha() and s.islower():
-            decoys.append(s)
-        elif not s.isdigit() and not s[1:].islower() and any(c.isdigit() for c in s) + any(c.isupper() for c in s[1:]) + any(c.islower() for c in s) > 1:
+        if not s.isdigit() and not s[1:].islower() and any(c.isdigit() for c in s) + any(c.isupper() for c in s[1:]) + any(c.islower() for c in s) > 1:
             if all(end <= run.start() or start >= run.end() for start, _, end in base):
                 spans.append((run.start(), run.end()))
-    return spans, decoys
+    return spans
+
+
+def decoys(text: str) -> Iterator[str]:
+    """The text's lower-case words joined and cut into a string of each class's least length in turn,
+    from a class that depends on the words; the end is cut to the longest class that it holds."""
+    rest, k = "", -1
+    for at in range(0, len(text), SLICE):
+        rest += "".join(w for w in text[at:at + SLICE].split() if w.isascii() and w.isalpha() and w.islower())
+        k = zlib.crc32(rest.encode()) % len(CLASSES) if k < 0 else k
+        done = 0
+        while len(rest) - done >= CLASSES[k]:
+            yield rest[done:done + CLASSES[k]]
+            done += CLASSES[k]
+            k = (k + 1) % len(CLASSES)
+        rest = rest[done:]
+    if len(rest) >= LEAST:
+        yield rest[:CLASSES[length_class(len(rest))]]
 
 
 # ---- the operator ------------------------------------------------------------------------------
@@ -156,33 +176,48 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _scan(ids: pa.Array, texts: pa.Array):
     """Base spans as flat triples, candidates as flat pairs with their bins, and the decoys' bins."""
-    base, spans, bins, decoys, owners = [], [], [], [], []
+    base, spans, bins = [], [], []
+    by_row: list[list[int]] = [[] for _ in range(len(texts))]
+    plain: list[str] = []
+    owners: list[int] = []
+
+    def judge() -> None:
+        for i, b in zip(owners, _bins(plain)):
+            by_row[i].append(b)
+        plain.clear()
+        owners.clear()
+
     for i, t in enumerate(texts):
         text = t.as_py()
         runs = list(LONG.finditer(text))
         found = base_spans(text, runs)
-        some, plain = candidates(text, runs, found)
+        some = candidates(runs, found)
         base.append([x for span in found for x in span])
         spans.append([x for span in some for x in span])
         bins.append(_bins([text[a:b] for a, b in some]))
-        decoys += plain
-        owners += [i] * len(plain)
-    by_row: list[list[int]] = [[] for _ in base]
-    for i, b in zip(owners, _bins(decoys)):
-        by_row[i].append(b)
+        for s in decoys(text):
+            plain.append(s)
+            owners.append(i)
+            if len(plain) >= PIECE:
+                judge()
+    judge()
     return ids, base, spans, bins, by_row
 
 
 def kept_bins(found: DataFrame, rate: float = RATE) -> set[int]:
     """The class * BINS + bin values that false-discovery control keeps."""
-    counts = [found.select(F.explode(c).alias("b")).groupBy("b").agg(F.count("*").alias(n)) for c, n in (("bins", "targets"), ("decoys", "decoys"))]
-    both = counts[0].join(counts[1], "b", "outer").fillna(0)
-    by = Window.partitionBy((F.col("b") / BINS).cast("int"))  # at most BINS rows a class
-    up_to = by.orderBy("b")
-    p = (F.sum("decoys").over(up_to) + 1) / (F.sum("decoys").over(by) + 1)
-    passes = p * F.sum("targets").over(by) / F.greatest(F.sum("targets").over(up_to), F.lit(1)) <= rate
-    last = both.withColumn("pass", passes).withColumn("last", F.max(F.when(F.col("pass"), F.col("b"))).over(by))
-    return {r["b"] for r in last.filter("b <= last").select("b").collect()}  # classes times bins at most
+    targets, plain = np.zeros((len(CLASSES), BINS)), np.zeros((len(CLASSES), BINS))
+    for counts, column in ((targets, "bins"), (plain, "decoys")):
+        for r in found.select(F.explode(column).alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect():  # classes times bins at most
+            counts[divmod(r["b"], BINS)] = r["n"]
+    keep: set[int] = set()
+    for c in range(len(CLASSES)):
+        null = next((plain[k] for k in range(c, -1, -1) if plain[k].sum() * rate >= 1), plain[c])
+        p = (null.cumsum() + 1) / (null.sum() + 1)
+        passes = p * targets[c].sum() / np.maximum(targets[c].cumsum(), 1) <= rate
+        if passes.any():
+            keep |= {c * BINS + b for b in range(int(np.flatnonzero(passes)[-1]) + 1)}
+    return keep
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE) -> DataFrame:
@@ -231,7 +266,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", rate
             if t is not None:
                 runs = list(LONG.finditer(t))
                 base = base_spans(t, runs)
-                some, _ = candidates(t, runs, base)
+                some = candidates(runs, base)
                 spans = [(a, b) for a, _, b in base] + [x for x, k in zip(some, _bins([t[a:b] for a, b in some])) if k in keep]
                 at, parts = 0, []
                 for a, b in merged(spans):

@@ -80,6 +80,41 @@ def test_randomness_finds_planted_keys(docs_of):
     assert all(redacted[i] == t for i, t in rows if not found[i])
 
 
+def hidden_keys(docs_of, alphabet, length):
+    """Share of keys found among ordinary prose (words of a few letters), and wrong spans."""
+    import random
+    rng = random.Random(length)
+    syllables = ["the", "tion", "er", "ing", "ou", "ha", "re", "st", "an", "de"]
+    keys = {i: "".join(rng.choices(alphabet, k=length)) for i in range(40)}
+    rows = []
+    for i in range(400):
+        text = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(200))
+        rows.append((i, text + (f" see {keys[i]} there" if i in keys else "")))
+    found = {r.doc_id: r.spans for r in secret_randomness.scan(docs_of(rows)).collect()}
+    redacted = {r.doc_id: r.text for r in secret_randomness.redact(docs_of(rows)).collect()}
+    hits = [i for i in keys if "random:" in found[i]]
+    assert all((keys[i] not in redacted[i]) == bool(found[i]) for i in keys)
+    return len(hits) / len(keys), sum("random:" in s for i, s in found.items() if i not in keys)
+
+
+B62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+@pytest.mark.parametrize("length, least", [(20, 0.5), (32, 0.9), (40, 0.9), (64, 0.9)])
+def test_keys_of_usual_lengths_among_ordinary_prose(docs_of, length, least):
+    share, wrong = hidden_keys(docs_of, B62, length)
+    assert share >= least and wrong == 0
+
+
+def test_long_keys_among_short_texts_take_a_shorter_null(docs_of):
+    import random
+    rng = random.Random(5)
+    key = "".join(rng.choices(B62, k=64))
+    rows = [(i, " ".join(rng.choices(["the", "river", "gauge", "level", "and", "warning", "area"], k=9))) for i in range(2000)]
+    out = {r.doc_id: r.spans for r in secret_randomness.scan(docs_of([*rows, (-1, "see " + key)])).collect()}
+    assert out[-1] == "random:4:68"
+
+
 def test_redact_cuts_base_spans_and_keeps_the_rest(docs_of):
     out = {r.doc_id: r for r in secret_randomness.redact(docs_of([(1, None), (2, "a token=abcdefghijklmnop. b"), (3, "plain")])).collect()}
     assert out[1].text is None and out[3].text == "plain" and out[2].text == "a [SECRET] b"
