@@ -145,7 +145,7 @@ def candidates(runs: list[re.Match], base: list[tuple[int, int, int]]) -> list[t
     spans = []
     for run in runs:
         s = run[0]
-        if not s.isdigit() and not s[1:].islower() and any(c.isdigit() for c in s) + any(c.isupper() for c in s[1:]) + any(c.islower() for c in s) > 1:
+        if not s.isdigit() and any(c.isdigit() for c in s) + any(c.isupper() for c in s[1:]) + any(c.islower() for c in s) > 1:
             if all(end <= run.start() or start >= run.end() for start, _, end in base):
                 spans.append((run.start(), run.end()))
     return spans

@@ -115,6 +115,21 @@ def test_long_keys_among_short_texts_take_a_shorter_null(docs_of):
     assert out[-1] == "random:4:68"
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789abcdefghijklmnopqrstuvwxyz", "234567abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnopqrstuvwxyz-_"])
+def test_lower_case_keys_with_digits(docs_of, alphabet):
+    share, wrong = hidden_keys(docs_of, alphabet, 32)
+    assert share >= 0.9 and wrong == 0
+
+
+def test_runs_with_digits_and_letters_are_candidates():
+    def some(text):
+        return [text[a:b] for a, b in secret_randomness.candidates(list(secret_randomness.LONG.finditer(text)), [])]
+
+    keys = ["a1b2c3d4e5f6g7h8", "k3j9x0q2m7z1w8r4", "K3j9x0q2m7z1w8r4", "k3j9-x0q2_m7z1-w8r4"]
+    assert some(" ".join(keys)) == keys
+    assert some("a-well-known-phrase Internationalization internationalization 1234567890123456") == []
+
+
 def test_redact_cuts_base_spans_and_keeps_the_rest(docs_of):
     out = {r.doc_id: r for r in secret_randomness.redact(docs_of([(1, None), (2, "a token=abcdefghijklmnop. b"), (3, "plain")])).collect()}
     assert out[1].text is None and out[3].text == "plain" and out[2].text == "a [SECRET] b"
