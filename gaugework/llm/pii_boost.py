@@ -7,8 +7,12 @@ The method adds spans. High-recall generators propose overlapping candidates of
 them parts of longer runs that a base pattern swallowed or dropped (a card number right after a
 phone number), and addresses written with "at" and "dot". Boosted trees score each candidate by its
 format (lengths, digits, separators, checksum, groups) and its context (characters on both sides,
-words before it). There is no hand-labelled table, so a candidate's weak label is whether the whole
-of it passes the strict rule of its kind and stands alone. A logistic calibration on candidates
+words before it). There is no hand-labelled table, so a candidate's weak label is whether it stands
+alone and shows evidence of its kind: the whole of it passes the strict rule; an address written
+with "at" and "dot" ends in a plausible top-level domain; a number without + is grouped as national
+telephone numbers are, or has a telephone word before it (plain long numbers are negatives). Each
+address and telephone number that passes its strict rule also gives the trees the same candidate
+rewritten in these other forms, as one more positive in the same place. A logistic calibration on candidates
 held out from the trees gives probabilities, and each kind's threshold is the smallest probability
 at which its held-out precision reaches ``PRECISION``. A kind without enough held-out candidates
 adds nothing. Selected candidates that touch no base span are added, the likeliest first where
@@ -105,14 +109,20 @@ def base_spans(text: str, number_runs: list[re.Match]) -> list[tuple[int, int, i
 
 # ---- candidates and their features -------------------------------------------------------------
 
-WRITTEN_AT = re.compile(r"[A-Za-z0-9._-]{2,64} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{2,64} ?(?:\[dot\]|\(dot\)) ?[A-Za-z]{2,24}")
+WRITTEN_AT = re.compile(r"[A-Za-z0-9._-]{2,64} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{2,64}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{2,64}){0,5} ?(?:\[dot\]|\(dot\)) ?[A-Za-z]{2,24}")
 INNER_CARD = re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{2,7}(?![0-9])")
 INNER_PHONE = re.compile(r"(?<![0-9])\+?[0-9]{0,3}[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])")
+#: The part of a telephone number after its country code, and how national numbers are grouped.
+NATIONAL = re.compile(r"\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}")
+NATIONAL_END = re.compile(rf"(?<![0-9]){NATIONAL.pattern}(?![\x20().0-9-]*[0-9])")
+GROUPED = re.compile(r"(?:1[\x20.-]?)?(?:\([0-9]{3}\)[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}|[0-9]{3}([.-])[0-9]{3}\1[0-9]{4})")
 INNER_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])")
 #: Words before a span that speak for a kind.
 CONTEXT = (("email", "mail", "contact"), ("ip", "host", "server", "address"), ("card", "visa", "credit", "number"), ("phone", "tel", "call", "mobile"))
+#: Generic top-level domains; those of countries have two letters.
+DOMAINS = frozenset("com org net edu gov mil int info biz name pro mobi app dev xyz online site tech store cloud museum aero coop jobs".split())
 
-FEATURES = 22
+FEATURES = 23
 
 
 def candidates(text: str, number_runs: list[re.Match]) -> list[tuple[int, int, int]]:
@@ -127,6 +137,8 @@ def candidates(text: str, number_runs: list[re.Match]) -> list[tuple[int, int, i
                 s = m[0]
                 lead = len(s) - len(s.lstrip(" .-"))
                 found.add((m.start() + lead, kind, m.end()))
+                if kind == 3 and "+" not in s:  # digits before the national part may be another number
+                    found |= {(x.start(), kind, m.end()) for x in NATIONAL_END.finditer(text, m.start(), m.end())}
     return sorted(found)
 
 
@@ -141,17 +153,67 @@ def strict(kind: int, s: str) -> bool:
     return bool(PHONE.fullmatch(s)) and phone_ok(s)
 
 
+def plausible_domain(s: str) -> bool:
+    last = re.search("[A-Za-z]*$", s[-25:])[0].lower()
+    return len(last) == 2 or last in DOMAINS
+
+
+def words_before(text: str, start: int) -> list[str]:
+    return text[max(0, start - 32):start].lower().split()[-3:]
+
+
+def label(text: str, start: int, kind: int, end: int) -> bool:
+    """The weak label of a candidate: it stands alone and shows evidence of its kind."""
+    s = text[start:end]
+    if text[end:end + 1].isalnum() or text[start - 1:start].isalnum():
+        return False
+    if kind == 0 and "@" not in s:
+        return plausible_domain(s)
+    if kind == 3 and not s.startswith("+"):
+        if text[start - 1:start] in ("+", "-", ".", "/"):  # a part of something longer
+            return False
+        return bool(GROUPED.fullmatch(s)) or bool(NATIONAL.fullmatch(s)) and any(w in b for w in CONTEXT[3] for b in words_before(text, start))
+    return strict(kind, s)
+
+
+def rewritten(kind: int, s: str) -> str | None:
+    """An address or a telephone number in the form that the base patterns do not match."""
+    if kind == 0 and "@" in s:
+        name, host = s.rsplit("@", 1)
+        made = f"{name} [at] {host.replace('.', ' [dot] ')}"
+        return made if WRITTEN_AT.fullmatch(made) else None
+    if kind == 3 and s.startswith("+"):
+        made = re.sub(r"^\+[0-9]{1,3}[\x20.-]?(?=\(|[0-9]{3})", "", s)
+        return made if GROUPED.fullmatch(made) else None
+    return None
+
+
 def features(text: str, start: int, kind: int, end: int) -> list[float]:
     s, number = text[start:end], digits(text[start:end])
     left, right = text[start - 1:start], text[end:end + 1]
-    before = text[max(0, start - 32):start].lower().split()[-3:]
+    before = words_before(text, start)
     groups = re.findall(r"[0-9]+", s)
     parts = [min(999, int(g[:4])) for g in groups]
     near = [sum(any(w in b for w in some) for b in before) for some in CONTEXT]
     return [kind, len(s), len(number), len(groups), max(map(len, groups), default=0), len(groups[-1]) if groups else 0,
             max(parts, default=0), s.count("."), s.count("-"), s.count(" "), s.startswith("+"), "(" in s and ")" in s, s.count("@"),
             luhn(number) if number else 0, sum(c.isalpha() for c in s), len(set(number)),
-            left.isdigit() or left in ("+", "."), left.isalnum(), right.isdigit(), right.isalnum(), near[kind], sum(near) - near[kind]]
+            left.isdigit() or left in ("+", "."), left.isalnum(), right.isdigit(), right.isalnum(), near[kind], sum(near) - near[kind],
+            kind == 0 and plausible_domain(s)]
+
+
+def packed(row: list[float]) -> bytes:
+    return np.array(row, np.float64).tobytes()
+
+
+def rewritten_features(text: str, start: int, kind: int, end: int) -> list[float] | None:
+    """Features of the rewritten form of a candidate that passes its strict rule, in the same place."""
+    s = text[start:end]
+    made = rewritten(kind, s) if strict(kind, s) else None
+    if made is None:
+        return None
+    before = text[max(0, start - 33):start]
+    return features(before + made + text[end:end + 1], len(before), kind, len(before) + len(made))
 
 
 # ---- boosted trees -----------------------------------------------------------------------------
@@ -218,10 +280,12 @@ class Judge:
         return 1 / (1 + np.exp(-(self.slope * self.trees.margin(x) + self.shift)))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Judge:
-    """Every third candidate is held out for calibration and thresholds."""
+def fit(x: np.ndarray, y: np.ndarray, more: list[np.ndarray | None]) -> Judge:
+    """Every third candidate is held out for calibration and thresholds; the trees also get the
+    rewritten forms (``more``) of the others as positives."""
     held = np.arange(len(y)) % 3 == 0
-    trees = Trees().fit(x[~held], y[~held])
+    extra = np.array([m for m, h in zip(more, held) if m is not None and not h]).reshape(-1, x.shape[1])
+    trees = Trees().fit(np.vstack([x[~held], extra]), np.append(y[~held], np.ones(len(extra))))
     margin, truth = trees.margin(x[held]), y[held]
     slope, shift = 1.0, 0.0
     for _ in range(200):  # Newton steps on the two numbers, damped
@@ -259,20 +323,20 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     some = texts.join(F.broadcast(ids), "id")  # at most sample_docs numbers
 
     def run(ids: pa.Array, texts: pa.Array):
-        rows: list[tuple[int, int, int, list[float]]] = []
+        rows: list[tuple[int, int, int, bytes, bytes | None]] = []
         for i, t in zip(ids.to_pylist(), texts.to_pylist()):
             for start, kind, end in candidates(t, list(NUMBERS.finditer(t))):
-                alone = not (t[end:end + 1].isalnum() or t[start - 1:start].isalnum())
-                rows.append((i, start, int(alone and strict(kind, t[start:end])), features(t, start, kind, end)))
-        made = list(zip(*rows)) if rows else [[], [], [], []]
-        return *made[:3], [np.array(v, np.float64).tobytes() for v in made[3]]
+                y = label(t, start, kind, end)
+                other = rewritten_features(t, start, kind, end) if y else None
+                rows.append((i, start, int(y), packed(features(t, start, kind, end)), other and packed(other)))
+        return list(zip(*rows)) if rows else [[], [], [], [], []]
 
-    drawn = map_batches(some.select("id", "t"), "id long, start long, y int, x binary", run)
+    drawn = map_batches(some.select("id", "t"), "id long, start long, y int, x binary, more binary", run)
     got = drawn.orderBy(F.xxhash64("id", "start"), "id", "start", "x").limit(sample_rows).toPandas()
     if len(got) < 6:
         return None
     x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), FEATURES)
-    return fit(x, got["y"].to_numpy(np.float64))
+    return fit(x, got["y"].to_numpy(np.float64), [None if m is None else np.frombuffer(m, np.float64) for m in got["more"]])
 
 
 def find(text: str, judge: Judge | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -84,6 +84,36 @@ def test_pii_adds_spans_that_base_matches_lost(docs_of):
     assert sum(bool(r.spans) for r in wrong) < 0.1 * len(wrong)
 
 
+def test_pii_adds_written_addresses_and_national_numbers(docs_of):
+    rng = random.Random(8)
+    words = ["the", "and", "river", "gauge", "level", "for", "with", "area", "report"]
+    rows, want = [], {}
+    for i in range(1200):
+        number = f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        some = [f"+1 {number}", f"a{i}@mail{i % 9}.org", f"name{i} [at] host{i % 7} [dot] org", number, number[1:4] + "-" + number[6:], str(rng.randint(10**9, 10**10 - 1)),
+                f"call {number[1:4]}{number[6:9]}{number[10:]}", f"a{i} [at] b{i} [dot] notadomain"][i % 8]
+        before = " ".join(rng.choices(words, k=4)) + " "
+        rows.append((i, before + some + " " + " ".join(rng.choices(words, k=4))))
+        at = len(before) + (5 if some.startswith("call") else 0)
+        want[i] = f"{'email' if i % 8 == 2 else 'phone'}:{at}:{len(before) + len(some)}"
+    out = {r.doc_id: r.spans for r in pii_boost.scan(docs_of(rows)).collect()}
+    for form in (2, 3, 4, 6):
+        mine = [out[i] == want[i] for i in range(form, 1200, 8)]
+        assert sum(mine) > 0.9 * len(mine), form
+    for form in (5, 7):
+        assert sum(bool(out[i]) for i in range(form, 1200, 8)) < 0.05 * 150, form
+
+
+def test_pii_labels_do_not_rest_on_the_base_patterns():
+    def labels(text):
+        return {text[a:b]: pii_boost.label(text, a, k, b) for a, k, b in pii_boost.candidates(text, list(pii_boost.NUMBERS.finditer(text)))}
+
+    assert labels("id 980 (314) 555-6532 x") == {"980 (314) 555-6532": False, "(314) 555-6532": True}
+    assert labels("write bob [at] host [dot] co [dot] uk now") == {"bob [at] host [dot] co [dot] uk": True}
+    assert labels("id 3145556532") == {"3145556532": False} and labels("phone 3145556532") == {"3145556532": True}
+    assert labels("100 200 3000") == {"100 200 3000": False}
+
+
 def plain_chat(rows):
     out = {}
     for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
