@@ -12,34 +12,38 @@ alone and shows evidence of its kind: the whole of it passes the strict rule; an
 with "at" and "dot" ends in a plausible top-level domain; a number without + is grouped as national
 telephone numbers are, or has a telephone word before it (plain long numbers are negatives). Each
 address and telephone number that passes its strict rule also gives the trees the same candidate
-rewritten in these other forms, as one more positive in the same place. A logistic calibration on candidates
-held out from the trees gives probabilities, and each kind's threshold is the smallest probability
-at which its held-out precision reaches ``PRECISION``. A kind without enough held-out candidates
-adds nothing. Selected candidates that touch no base span are added, the likeliest first where
-they overlap.
+rewritten in these other forms, as one more positive in the same place. A logistic
+calibration on candidates held out from the trees gives probabilities, and each kind's threshold is
+the smallest probability at which its held-out precision reaches ``PRECISION``; a kind with under
+``LEAST_HELD`` held-out candidates in the whole table takes the threshold of all kinds together.
+Selected candidates that touch no base span are added, the likeliest first where they overlap.
 
-The fit uses the candidates of the ``SAMPLE_DOCS`` documents with the smallest xxhash64 of id,
-``SAMPLE_ROWS`` of them at most; scanning covers every whole text.
+Candidates are generated over all documents. A third of them by hash is always held out; of the other
+distinct ones about ``SAMPLE_ROWS`` of each kind, in the order of the hash, fit the trees, and what
+they leave is held out too. Held-out candidates are scored on Spark and summed into histograms of
+kind, label and score (``BINS`` bins), from which calibration and thresholds are read.
 
 Offsets are code points, ends exclusive. Edge cases: a null text is empty; null ids are carried
-through and are not sampled; repeated rows each keep their row; an empty table gives no rows; with
-no candidates in the sample only base spans are found.
+through; repeated rows each keep their row and count as often where they are held out; an empty table
+gives no rows; without candidates to fit on only base spans are found.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import map_batches, sha256_hex, spans_text
+from gaugework.llm.common import map_batches, map_partition, sha256_hex, spans_text, stored
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 4_000
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 5_000
+BINS, WIDTH = 512, 1 / 16
+CHUNK = 10_000
 PRECISION = 0.98
 LEAST_HELD = 20
 
@@ -203,7 +207,7 @@ def features(text: str, start: int, kind: int, end: int) -> list[float]:
 
 
 def packed(row: list[float]) -> bytes:
-    return np.array(row, np.float64).tobytes()
+    return np.array(row, np.float32).tobytes()
 
 
 def rewritten_features(text: str, start: int, kind: int, end: int) -> list[float] | None:
@@ -276,38 +280,42 @@ class Judge:
     def __init__(self, trees: Trees, slope: float, shift: float, thresholds: list[float]) -> None:
         self.trees, self.slope, self.shift, self.thresholds = trees, slope, shift, thresholds
 
+    def of_margin(self, margin: np.ndarray | float) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * np.asarray(margin) + self.shift)))
+
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * self.trees.margin(x) + self.shift)))
+        return self.of_margin(self.trees.margin(x))
+
+
+def score_bins(margin: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(margin / WIDTH) + BINS // 2, 0, BINS - 1).astype(int)
 
 
-def fit(x: np.ndarray, y: np.ndarray, more: list[np.ndarray | None]) -> Judge:
-    """Every third candidate is held out for calibration and thresholds; the trees also get the
-    rewritten forms (``more``) of the others as positives."""
-    held = np.arange(len(y)) % 3 == 0
-    extra = np.array([m for m, h in zip(more, held) if m is not None and not h]).reshape(-1, x.shape[1])
-    trees = Trees().fit(np.vstack([x[~held], extra]), np.append(y[~held], np.ones(len(extra))))
-    margin, truth = trees.margin(x[held]), y[held]
+def judge(trees: Trees, counts: np.ndarray) -> Judge:
+    """Calibration and thresholds from the held-out counts by kind, label and score bin."""
+    edge = (np.arange(BINS) - BINS // 2) * WIDTH
+    margin, (no, yes) = edge + WIDTH / 2, counts.sum(0)
+    both = no + yes
     slope, shift = 1.0, 0.0
     for _ in range(200):  # Newton steps on the two numbers, damped
         p = 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
-        w = p * (1 - p) + 1e-6
-        g = np.array([((p - truth) * margin).sum() + 1e-2 * (slope - 1), (p - truth).sum()])
+        w, d = both * (p * (1 - p) + 1e-6), both * p - yes
+        g = np.array([(d * margin).sum() + 1e-2 * (slope - 1), d.sum()])
         hess = np.array([[(w * margin ** 2).sum() + 1e-2, (w * margin).sum()], [(w * margin).sum(), w.sum() + 1e-6]])
         step = np.linalg.solve(hess, g)
         slope, shift = slope - 0.5 * step[0], shift - 0.5 * step[1]
         if np.abs(step).max() < 1e-6:
             break
-    judge = Judge(trees, float(slope), float(shift), [2.0] * len(KINDS))
-    p = judge.probability(x[held])
+    made = Judge(trees, max(float(slope), 1e-3), float(shift), [2.0] * len(KINDS))
     for kind in range(len(KINDS)):
-        mine = x[held][:, 0] == kind
-        if mine.sum() >= LEAST_HELD:
-            order = np.argsort(-p[mine], kind="stable")
-            right = np.cumsum(truth[mine][order]) / np.arange(1, mine.sum() + 1)
-            good = np.flatnonzero(right >= PRECISION)
-            if len(good):
-                judge.thresholds[kind] = max(0.5, float(p[mine][order][good[-1]]))
-    return judge
+        own = counts[kind] if counts[kind].sum() >= LEAST_HELD else counts.sum(0)
+        if own.sum() < LEAST_HELD:
+            continue
+        right, all_ = own[1][::-1].cumsum()[::-1], own.sum(0)[::-1].cumsum()[::-1]
+        good = np.flatnonzero((all_ > 0) & (right >= PRECISION * all_))
+        if len(good):
+            made.thresholds[kind] = max(0.5, float(made.of_margin(edge[good[0]])) if good[0] else 0.0)
+    return made
 
 
 # ---- the operator ------------------------------------------------------------------------------
@@ -316,57 +324,79 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_rows: int = SAMPLE_ROWS) -> Judge | None:
-    """Fit on the candidates of a bounded sample of documents; None without candidates."""
-    texts = _texts(docs, id_col, text_col)
-    ids = texts.select("id").filter("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs)
-    some = texts.join(F.broadcast(ids), "id")  # at most sample_docs numbers
-
-    def run(ids: pa.Array, texts: pa.Array):
-        rows: list[tuple[int, int, int, bytes, bytes | None]] = []
-        for i, t in zip(ids.to_pylist(), texts.to_pylist()):
-            for start, kind, end in candidates(t, list(NUMBERS.finditer(t))):
-                y = label(t, start, kind, end)
-                other = rewritten_features(t, start, kind, end) if y else None
-                rows.append((i, start, int(y), packed(features(t, start, kind, end)), other and packed(other)))
-        return list(zip(*rows)) if rows else [[], [], [], [], []]
-
-    drawn = map_batches(some.select("id", "t"), "id long, start long, y int, x binary, more binary", run)
-    got = drawn.orderBy(F.xxhash64("id", "start"), "id", "start", "x").limit(sample_rows).toPandas()
-    if len(got) < 6:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Judge | None:
+    """Trees from a bounded sample of the candidates of each kind, calibration and thresholds from all
+    others; None without candidates."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        rows: list[tuple[int, int, int, int, bytes, bytes | None]] = []
+        for batch in batches:
+            for i, text in zip(batch.column(0), batch.column(1)):
+                i, t = i.as_py(), text.as_py()
+                for start, kind, end in candidates(t, list(NUMBERS.finditer(t))):
+                    y = label(t, start, kind, end)
+                    other = rewritten_features(t, start, kind, end) if y else None
+                    rows.append((i, start, kind, int(y), packed(features(t, start, kind, end)), other and packed(other)))
+                    if len(rows) >= CHUNK:
+                        yield list(zip(*rows))
+                        rows.clear()
+        if rows:
+            yield list(zip(*rows))
+
+    drawn = map_partition(_texts(docs, id_col, text_col), "id long, start long, kind int, y int, x binary, more binary", run)
+    order = F.pmod(F.xxhash64("id", "start", "kind", "x"), F.lit(3 << 40))
+    some = stored(drawn, "pii-candidates").withColumn("held", order % 3 == 0).withColumn("at", (order / 3).cast("long") / float(1 << 40))
+    pool = some.filter("NOT held").select("kind", "at", "y", "x", "more").distinct()
+    sizes = {r["kind"]: r["n"] for r in pool.groupBy("kind").agg(F.count("*").alias("n")).collect()}  # a row a kind
+    share = F.element_at(F.array(*[F.lit(sample_rows / max(sizes.get(k, 0), 1)) for k in range(len(KINDS))]), F.col("kind") + 1)
+    got = pool.filter(F.col("at") < share).toPandas().sort_values(["at", "kind", "x"])  # about sample_rows a kind
+    if len(got) < 4:
         return None
-    x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), FEATURES)
-    return fit(x, got["y"].to_numpy(np.float64), [None if m is None else np.frombuffer(m, np.float64) for m in got["more"]])
 
+    def rows_of(column) -> np.ndarray:
+        return np.frombuffer(b"".join(column), np.float32).reshape(-1, FEATURES).astype(float)
 
-def find(text: str, judge: Judge | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    extra = rows_of(got["more"].dropna())
+    trees = Trees().fit(np.vstack([rows_of(got["x"]), extra]), np.append(got["y"].to_numpy(float), np.ones(len(extra))))
+
+    def score(kinds: pa.Array, ys: pa.Array, xs: pa.Array):
+        return kinds, ys, score_bins(trees.margin(rows_of(x.as_buffer() for x in xs)))
+
+    counts = np.zeros((len(KINDS), 2, BINS))
+    held = some.filter(F.col("held") | (F.col("at") >= share)).select("kind", "y", "x")
+    for r in map_batches(held, "kind int, y int, bin int", score).groupBy("kind", "y", "bin").agg(F.count("*").alias("n")).collect():  # kinds times labels times bins at most
+        counts[r["kind"], r["y"], r["bin"]] = r["n"]
+    return judge(trees, counts)
+
+
+def find(text: str, made: Judge | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, added spans)."""
     runs = list(NUMBERS.finditer(text))
     base = base_spans(text, runs)
-    if judge is None:
+    if made is None:
         return base, []
     own = np.array([(a, b) for a, _, b in base]).reshape(-1, 2)
     some = [c for c in candidates(text, runs) if not ((own[:, 0] < c[2]) & (own[:, 1] > c[0])).any()]
     if not some:
         return base, []
-    x = np.array([features(text, *c) for c in some], float)
-    p = judge.probability(x)
+    x = np.array([features(text, *c) for c in some], np.float32).astype(float)
+    p = made.probability(x)
     added: list[tuple[int, int, int]] = []
     for i in sorted(range(len(some)), key=lambda i: (-p[i], some[i])):
         c = some[i]
-        if p[i] >= judge.thresholds[c[1]] and all(c[2] <= a or c[0] >= b for a, _, b in added):
+        if p[i] >= made.thresholds[c[1]] and all(c[2] <= a or c[0] >= b for a, _, b in added):
             added.append(c)
     return base, added
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans), one row per row of ``docs``."""
-    judge = learn(docs, id_col, text_col)
+    made = learn(docs, id_col, text_col)
 
     def run(ids: pa.Array, texts: pa.Array):
         rows = []
         for t in texts:
-            base, added = find(t.as_py(), judge)
+            base, added = find(t.as_py(), made)
             n = [sum(s[1] == kind for s in base) for kind in range(len(KINDS))]
             rows.append((*n, sha256_hex(spans_text(base, KINDS).encode()), spans_text(sorted(base + added), KINDS)))
         return ids, *zip(*rows)

@@ -114,6 +114,27 @@ def test_pii_labels_do_not_rest_on_the_base_patterns():
     assert labels("100 200 3000") == {"100 200 3000": False}
 
 
+def test_pii_thresholds_come_from_all_documents(docs_of):
+    """Personal data in one document of a hundred: 4,000 documents would hold too few candidates of a kind."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(9000):
+        text = "the and for with river"
+        if i % 100 == 0:
+            text += f" name{i} [at] host{i % 7} [dot] org" if i % 300 == 0 else f" a{i}@mail{i % 9}.org"
+        if i % 300 == 0:
+            want[i] = f"email:23:{len(text)}"
+        rows.append((i, text + " area " + rng.choice(["level", "gauge"])))
+    out = {r.doc_id: r.spans for r in pii_boost.scan(docs_of(rows)).collect()}
+    assert sum(out[i] == s for i, s in want.items()) > 0.9 * len(want)
+
+
+def test_pii_repeated_rows_stay_bounded_and_count(docs_of):
+    rows = [(7, "see +1 (314) 555-6532 now")] * 3000 + [(i, f"see a{i}@b.org now") for i in range(100)]
+    out = pii_boost.scan(docs_of(rows)).collect()
+    assert len(out) == 3100 and all(r.spans == "phone:4:21" for r in out if r.doc_id == 7 and r.n_phone)
+
+
 def plain_chat(rows):
     out = {}
     for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
