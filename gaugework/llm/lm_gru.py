@@ -10,9 +10,13 @@ classes and output biases, and the counts of all tokens outside the vocabulary.
 The network: the ``VOCABULARY - 1`` most frequent tokens and one symbol for all others; an embedding, a
 gated recurrent layer, and a softmax factored into a class and a token inside it, so a step costs
 two softmaxes of ``CLASSES`` and ``VOCABULARY / CLASSES``. Its weights are fitted by truncated
-backpropagation (windows of ``WINDOW`` tokens, state carried over) on a bounded, documented sample:
-training documents in the order of xxhash64 of the id, up to ``SAMPLE_DOCS`` of them and
-``SAMPLE_TOKENS`` tokens (a text that does not fit is left out).
+backpropagation (windows of ``WINDOW`` tokens, state carried over) on every training document. They
+start from a bounded sample fitted on the driver: training documents in the order of xxhash64 of the
+id, up to ``SAMPLE_DOCS`` of them and ``SAMPLE_TOKENS`` tokens (a text that does not fit is left out).
+Then all training documents, long ones too, go through ``ROUNDS`` rounds by xxhash64 of id and text,
+each in one round: every task goes on from the weights so far with its partition's documents of the
+round, ``BLOCK`` tokens at a time, and Spark averages the tasks' changes, weighted by tokens, in whole
+numbers, so their order does not matter. Which documents share a task follows the input's partitions.
 
 Scoring runs over every whole text: texts of similar length advance in lockstep, window by window,
 their states carried across windows, so memory is bounded by lanes times window whatever a text's
@@ -47,6 +51,8 @@ HIDDEN, EMBEDDING = 24, 16
 WINDOW = 16
 LANES = 512
 SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 400_000
+ROUNDS, ROUND_RATE, BLOCK = 4, 0.004, 1 << 20
+UNIT = float(1 << 20)
 COMMON = 100_000
 FLUSH = 200_000
 
@@ -151,18 +157,29 @@ class Network:
             carried = (g * update + dy @ p["wh"].T) * (inputs[t] != end)[:, None]
         return grad, h, float(loss / total)
 
-    def fit(self, stream: np.ndarray, end: int, lanes: int = 64, window: int = WINDOW, epochs: int = 1, rate: float = 0.01) -> list[float]:
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)]).astype(np.float64)
+
+    def load(self, flat: np.ndarray) -> None:
+        at = 0
+        for k in sorted(self.p):
+            self.p[k] = flat[at:at + self.p[k].size].reshape(self.p[k].shape).astype(np.float32)
+            at += self.p[k].size
+
+    def fit(self, stream: np.ndarray, end: int, lanes: int = 64, window: int = WINDOW, epochs: int = 1, rate: float = 0.01, moments: dict | None = None) -> list[float]:
         """Truncated backpropagation with Adam over one stream of texts, each ended by the end token;
-        the stream is cut into ``lanes`` that advance side by side. Gives the mean loss by epoch."""
+        the stream is cut into ``lanes`` that advance side by side. Gives the mean loss by epoch.
+        ``moments`` carries Adam's averages from one call to the next."""
         lanes = max(1, min(lanes, len(stream) // (2 * window)))
         length = len(stream) // lanes
         if length < 1:
             return []
         targets = stream[:lanes * length].reshape(lanes, length).T
         inputs = np.vstack([np.full((1, lanes), end), targets[:-1]])
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(x) for k, x in self.p.items()}
-        losses, done = [], 0
+        kept = {} if moments is None else moments
+        m = kept.setdefault("m", {k: np.zeros_like(v) for k, v in self.p.items()})
+        v = kept.setdefault("v", {k: np.zeros_like(x) for k, x in self.p.items()})
+        losses, done = [], kept.get("done", 0)
         for _ in range(epochs):
             h, seen = np.zeros((lanes, self.hidden), np.float32), []
             for t in range(0, length, window):
@@ -175,6 +192,7 @@ class Network:
                     v[k] += 0.001 * ((g * scale) ** 2 - v[k])
                     self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9 ** done)) / (np.sqrt(v[k] / (1 - 0.999 ** done)) + 1e-6)).astype(np.float32)
             losses.append(float(np.mean(seen)))
+        kept["done"] = done
         return losses
 
     def score(self, texts: list[np.ndarray], end: int, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
@@ -277,9 +295,48 @@ def learn(rows: DataFrame, counts: DataFrame) -> tuple[Model, int, int]:
             left -= len(x)
     if stream:
         network.fit(np.concatenate(stream).astype(np.int64), model.end)
+    for k in range(ROUNDS):
+        train_round(rows, model, k, ROUND_RATE / (k + 1))
     return model, int(total), int(distinct)
 
 
+def train_round(rows: DataFrame, model: Model, k: int, rate: float) -> None:
+    """Every task trains on its training documents of round ``k``; the weights move by the average change."""
+    start = model.network.flat()
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        net, moments, parts, waiting, total = model.network, {}, [], 0, 0
+        net.load(start)
+
+        def learn_from(parts: list[np.ndarray]) -> None:
+            stream = np.concatenate(parts).astype(np.int64)
+            lanes = max(1, min(64, len(stream) // (2 * WINDOW)))
+            stream = np.append(stream, stream[:-len(stream) % lanes])  # whole lanes, so that no token is left out
+            net.fit(stream, model.end, lanes=lanes, rate=rate, moments=moments)
+
+        for batch in batches:
+            for t in batch.column(0):
+                parts.append(model.numbers(tokens(t.as_buffer().to_pybytes())))
+                waiting += len(parts[-1])
+                if waiting >= BLOCK:
+                    learn_from(parts)
+                    total, waiting, parts = total + waiting, 0, []
+        if parts:
+            learn_from(parts)
+            total += waiting
+        if total:
+            with np.errstate(invalid="ignore"):
+                change = np.nan_to_num(net.flat() - start, nan=0.0)  # an empty class stays at minus infinity
+            change = np.rint(change * UNIT).astype(np.int64) * total
+            yield np.arange(-1, len(change)), np.append(total, change)
+
+    mine = rows.filter("NOT out").filter(F.pmod(F.xxhash64("id", "t"), F.lit(ROUNDS)) == k).select("t")
+    moved = map_partition(mine, "at long, change long", run).groupBy("at").agg(F.sum("change").alias("change")).toPandas()  # a row a weight
+    if len(moved):
+        by = moved.sort_values("at")["change"].to_numpy()
+        model.network.load(start + by[1:] / (by[0] * UNIT))
+
+
 def likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``."""
     rows = _rows(docs, id_col, text_col, folds, held)

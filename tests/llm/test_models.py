@@ -75,6 +75,21 @@ def test_lm_odd_rows(docs_of, monkeypatch):
     assert lm_gru.likelihood(docs_of([])).count() == 0
 
 
+def test_network_learns_from_every_training_document(docs_of, monkeypatch):
+    """The driver's sample holds none of the documents in which b follows a; the rounds do."""
+    monkeypatch.setattr(lm_gru, "SAMPLE_TOKENS", 0)
+    rows = [(i, "a b c d " * 250) for i in range(400)]
+    out = [r for r in lm_gru.likelihood(docs_of(rows).repartition(2)).collect() if r.held_out]
+    assert out and all(r.score / r.n_tokens > 0.5 * r.base_score / r.n_tokens for r in out)
+
+
+def test_texts_beyond_the_sample_bound_are_learnt(docs_of, monkeypatch):
+    monkeypatch.setattr(lm_gru, "SAMPLE_TOKENS", 1_000)
+    rows = [(i, "a b c d " * 5_000) for i in range(40)]
+    out = [r for r in lm_gru.likelihood(docs_of(rows).repartition(2)).collect() if r.held_out]
+    assert out and all(r.score > 0.5 * r.base_score for r in out)
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = lm_gru.Network(np.arange(1.0, 13.0), hidden=3, embedding=2, classes=3)
