@@ -4,8 +4,8 @@ The automaton of all templates (texts of licences, and short phrases that name t
 and is as small as the templates. Each document is streamed through it: after each word the
 matching statistic is the length of the longest run of words, ending here, that stands in some
 template. Where a run cannot go on it is a maximal match. Long matches of one template are chained
-in order, with bounded gaps in the document, into covered template spans; a template whose chain
-covers enough of it gives its label and the share covered gives the score. Phrases are found in the
+in order, with bounded gaps in the document, into covered template spans; every chain that covers
+enough of its template is a span and gives its label, and the largest share covered gives the score. Phrases are found in the
 same pass: a state knows which phrases are suffixes of what it stands for.
 
 Words are runs of digits, letters a-z (A-Z lower-cased) and characters from U+0080 on. A word pair
@@ -63,13 +63,14 @@ def words(text: bytes) -> list[bytes]:
 
 @dataclass
 class State:
-    """A state of the automaton: where its strings end (template, position), for the template first seen
-    and for each other one."""
+    """A state of the automaton: where its strings end in a template, first of all and at every position
+    (at most the template's length, and in all states together those of the templates' repeats)."""
 
     length: int
     link: int
     moves: dict[int, int] = field(default_factory=dict)
     ends: dict[int, int] = field(default_factory=dict)
+    places: dict[int, set[int]] = field(default_factory=dict)
     phrases: tuple[int, ...] = ()
 
 
@@ -91,10 +92,13 @@ class LicenseAutomaton:
                 last = self._extend(last, symbol)
                 if k >= len(self.phrases):
                     self.states[last].ends.setdefault(k - len(self.phrases), at)
+                    self.states[last].places.setdefault(k - len(self.phrases), set()).add(at)
         by_length = sorted(range(1, len(self.states)), key=lambda i: -self.states[i].length)
         for i in by_length:  # what ends here also ends, as a shorter string, at the suffix link
             for k, at in self.states[i].ends.items():
                 self.states[self.states[i].link].ends.setdefault(k, at)
+            for k, at in self.states[i].places.items():
+                self.states[self.states[i].link].places.setdefault(k, set()).update(at)
         for k in range(len(self.phrases)):
             state = 0
             for symbol in numbers[k]:
@@ -129,7 +133,7 @@ class LicenseAutomaton:
     def _split(self, above: int, there: int, symbol: int) -> int:
         states, copy = self.states, len(self.states)
         old = states[there]
-        states.append(State(states[above].length + 1, old.link, dict(old.moves), dict(old.ends)))
+        states.append(State(states[above].length + 1, old.link, dict(old.moves), dict(old.ends), {k: set(at) for k, at in old.places.items()}))
         old.link = copy
         while above >= 0 and states[above].moves.get(symbol) == there:
             states[above].moves[symbol] = copy
@@ -178,25 +182,31 @@ class LicenseAutomaton:
         return len(ids), sorted(places), self.chains(matches)
 
     def chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, float, int, int]]:
-        """Chain the matches (first word, length, state) of each template in the order of both texts."""
+        """Chain the matches (first word, length, state) of each template in the order of both texts.
+        A match that stands at several places of the template goes to the first that continues the open
+        chain; otherwise it closes that chain and opens one at its first place."""
         spans = []
         for k, (label, template) in enumerate(self.templates):
-            open_chain: list[int] | None = None  # covered words, end in the template, first and end word
-            best: list[int] = [0, 0, 0, 0]
+            chain: list[int] | None = None  # covered words, end in the template, first and end word
+
+            def close() -> None:
+                if chain and chain[0] >= self.cover * len(template):
+                    spans.append((label, chain[0] / len(template), chain[2], chain[3]))
+
             for first, length, state in matches:
-                end = self.states[state].ends.get(k)
-                if end is None:
+                places = self.states[state].places.get(k)
+                if not places:
                     continue
-                start = end - length + 1
-                if open_chain and first - open_chain[3] <= self.gap and start >= open_chain[1] - self.least and end > open_chain[1]:
-                    new = length - max(0, open_chain[1] + 1 - start, open_chain[3] - first)
-                    open_chain = [open_chain[0] + max(0, new), end, open_chain[2], first + length]
+                end = None
+                if chain and first - chain[3] <= self.gap:
+                    end = min((e for e in places if e > chain[1] and e - length + 1 >= chain[1] - self.least), default=None)
+                if end is None:
+                    close()
+                    chain = [length, min(places), first, first + length]
                 else:
-                    open_chain = [length, end, first, first + length]
-                if open_chain[0] > best[0]:
-                    best = open_chain
-            if best[0] >= self.cover * len(template):
-                spans.append((label, best[0] / len(template), best[2], best[3]))
+                    new = length - max(0, chain[1] + length - end, chain[3] - first)
+                    chain = [chain[0] + max(0, new), end, chain[2], first + length]
+            close()
         return spans
 
 

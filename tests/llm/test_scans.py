@@ -173,6 +173,22 @@ def test_license_templates_are_chained(docs_of):
     assert out[3].labels == "" and out[4].labels == ""
 
 
+def test_licence_standing_twice_gives_two_spans(docs_of):
+    label, text = license_automaton.TEMPLATES[0]
+    n = len(license_automaton.words(text.encode()))
+    rows = [(1, f"pre {text} {'word ' * 30}{text} post"), (2, f"{text} {text}")]
+    out = {r.doc_id: r for r in license_automaton.license_spans(docs_of(rows)).collect()}
+    assert out[1].spans == f"mit:1:{1 + n},mit:{31 + n}:{31 + 2 * n}" and out[1].score == 1.0 and out[1].labels == "mit"
+    assert out[2].spans == f"mit:0:{n},mit:{n}:{2 * n}"
+
+
+def test_template_with_a_repeated_clause():
+    template = "a1 a2 a3 a4 r1 r2 r3 r4 b1 b2 b3 b4 r1 r2 r3 r4 c1 c2 c3 c4"
+    tool = license_automaton.LicenseAutomaton({}, [("x", template)], cover=0.9)
+    edited = template.replace("b1", "EDIT b1").replace("b4 r1", "b4 EDIT r1").replace("r4 c1", "r4 EDIT c1")
+    assert tool.scan(edited.encode())[2] == [("x", 1.0, 0, 23)]
+
+
 def test_matching_statistics_against_brute_force():
     import random
     rng = random.Random(3)
