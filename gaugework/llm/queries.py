@@ -158,11 +158,11 @@ WITH RECURSIVE steps AS (
 ), codes AS (
     SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM counted)
 ), folded AS (
-    SELECT w, h, 1 AS at, CAST(4294967295 AS BIGINT) AS c FROM codes
+    SELECT w, h, 1 AS pos, CAST(4294967295 AS BIGINT) AS c FROM codes
     UNION ALL
-    SELECT w, h, at + 2, xor(c >> 8, t[(xor(c, CAST('0x' || substr(h, at, 2) AS BIGINT)) & 255) + 1]) FROM folded, crc_table WHERE at < len(h)
+    SELECT w, h, pos + 2, xor(c >> 8, t[(xor(c, CAST('0x' || substr(h, pos, 2) AS BIGINT)) & 255) + 1]) FROM folded, crc_table WHERE pos < len(h)
 ), buckets AS (
-    SELECT w, xor(c, 4294967295) % 10000 AS bucket FROM folded WHERE at > len(h)
+    SELECT w, xor(c, 4294967295) % 10000 AS bucket FROM folded WHERE pos > len(h)
 ), totals AS (
     SELECT coalesce(sum(n) FILTER (side = 'd'), 0) AS s_all, coalesce(sum(n) FILTER (side = 'b'), 0) AS t_all FROM counted
 ), gains AS (
