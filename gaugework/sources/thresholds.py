@@ -28,16 +28,23 @@ CSV_COLUMNS = ["station_id", "fwis_code", "fwis_type", "direction", "value"]
 def parse_payload(df: DataFrame, text: str = "json") -> DataFrame:
     """From a JSON text column to one row per station object; a document that does not
     parse as an array of stations is kept aside as ``_corrupt`` (L17 policy: log, skip); an
-    empty array is one row without a station, not corrupt."""
-    parsed = df.withColumn("_p", F.from_json(F.col(text), PAYLOAD)).withColumn("_corrupt", F.col("_p").isNull())
-    # outer generator: no inferred size() filter pushed below the parse (see readings.explode_kept)
-    return parsed.select("*", F.posexplode_outer("_p").alias("_station_pos", "_station")).drop("_p")
-
-
-def bad_documents(df: DataFrame, text: str = "json") -> DataFrame:
-    """L17 rejects: the rows of ``df``, as they came, whose document does not parse as an array of
-    stations (NULL included). An empty array is valid and has no rows anywhere."""
-    return df.filter(F.from_json(F.col(text), PAYLOAD).isNull())
+    empty array is one row without a station, not corrupt.
+
+    Good rows and rejects come from this one parse: the mark travels inside the exploded array. As
+    a column of its own it would be a function of the parse, and a filter on it would be pushed
+    below the generator and parse every document again."""
+    station = T.StructType([T.StructField("station", STATION), T.StructField("bad", T.BooleanType())])
+    stations = F.transform(F.from_json(F.col(text), PAYLOAD), lambda s: F.struct(s.alias("station"), F.lit(False).alias("bad")))
+    unparsed = F.array(F.struct(F.lit(None).cast(STATION).alias("station"), F.lit(True).alias("bad")))
+    parsed = df.select("*", F.posexplode_outer(F.coalesce(stations, unparsed).cast(T.ArrayType(station))).alias("_station_pos", "_s"))
+    marked = parsed.select(*df.columns, "_station_pos", F.col("_s.station").alias("_station"), F.coalesce("_s.bad", F.lit(False)).alias("_corrupt"))
+    return marked
+
+
+def bad_documents(parsed: DataFrame) -> DataFrame:
+    """L17 rejects: the rows of ``parse_payload`` whose document does not parse as an array of stations
+    (NULL included), as they came. An empty array is valid and has no rows anywhere."""
+    return parsed.filter("_corrupt").drop("_station_pos", "_station", "_corrupt")
 
 
 def explode_series(payload: DataFrame, text: str = "json") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 
+from gaugework.plans.views import display_flags
 from gaugework.plans.views import display_flags
 from gaugework.sources.thresholds import bad_documents, min_thresholds, parse_payload, parse_thresholds
 
@@ -87,6 +88,31 @@ def test_display_flags(spark):
 
 def test_bad_documents_are_rejects_and_an_empty_array_is_valid(spark):
     df = spark.createDataFrame([("not json",), (None,), ("[]",)], "json string")
-    assert sorted(r.json or "" for r in bad_documents(df).collect()) == ["", "not json"]
+    assert sorted(r.json or "" for r in bad_documents(parse_payload(df)).collect()) == ["", "not json"]
     assert [r.json for r in parse_payload(df).filter("NOT _corrupt").collect()] == ["[]"]
     assert parse_thresholds(df).count() == 0
+
+
+def test_documents_are_parsed_once(spark):
+    df = spark.createDataFrame([('[{"RLOIid": "1", "TimeSeriesMetaData": []}]',)], "json string").repartition(2)
+    for out in (parse_thresholds(df), min_thresholds(parse_thresholds(df)), bad_documents(parse_payload(df)), display_flags(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("from_json") == 1, plan
+
+
+def test_several_series_and_thresholds(spark):
+    payload = """[{"RLOIid": "7", "TimeSeriesMetaData": [
+        {"Parameter": "Water Level", "qualifier": "Stage", "Thresholds": [
+            {"ThresholdType": "FW ACT FAL", "Level": 2.5, "FloodWarningArea": "061WAF23"},
+            {"ThresholdType": "PORMAX", "Level": 9, "FloodWarningArea": "061WAF23"},
+            {"ThresholdType": "FW ACT FW", "Level": 3.5, "FloodWarningArea": "061FWF23"}]},
+        {"Parameter": "Flow", "qualifier": "Stage", "Thresholds": [{"ThresholdType": "FW ACT FW", "Level": 1, "FloodWarningArea": "061FWF23"}]},
+        {"qualifier": "Downstream Stage", "Thresholds": [{"ThresholdType": "FW RES FW", "Level": 4, "FloodWarningArea": "061FWF24"}]},
+        {"Parameter": "Water Level", "qualifier": "downstream stage"}]},
+        {"RLOIid": "8", "TimeSeriesMetaData": null}, {"RLOIid": "9"}]"""
+    df = spark.createDataFrame([(payload,), ("[]",), (None,), ("{",)], "json string")
+    rows = parse_thresholds(df).orderBy("seq").collect()
+    assert [(r.station_id, r.fwis_code, r.fwis_type, r.direction, r.value) for r in rows] == [
+        (7, "061WAF23", "A", "u", 2.5), (7, "061FWF23", "W", "u", 3.5), (7, "061FWF24", "W", "d", 4.0)]
+    low = min_thresholds(parse_thresholds(df)).first()
+    assert bad_documents(parse_payload(df)).count() == 2 and low.station_id == 7
