@@ -1,4 +1,4 @@
-"""Per-key ranking primitives: A1, A2, W1, W2, W3, W5, W6, W7, J5, O1, O4.
+"""Per-key ranking primitives: A1, A2, W1, W2, W3, W6, O4.
 
 Scale notes
 -----------
@@ -8,9 +8,8 @@ Scale notes
 * ``top_k_per_key`` filters ``rank() <= k`` right after the window; Catalyst inserts a
   partial ``WindowGroupLimit`` before the exchange, so hot keys ship at most k rows (plus
   ties) per map task.
-* ``with_ordered_id`` numbers rows without a single-partition window: range-sort, count
-  rows per sorted partition, turn counts into offsets (one row per partition, a proven
-  size bound, broadcast), add the in-partition position.
+
+Positions over a whole order (W5, J5, W7, O1, O2) are in ``scan``.
 """
 
 from __future__ import annotations
@@ -46,12 +45,6 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: str | Sequen
     return picked.select(*keys, *[F.col("_latest")[c].alias(c) for c in rest])
 
 
-def latest_ts_per_key(df: DataFrame, keys: str | Sequence[str], ts: str, name: str = "latest_ts") -> DataFrame:
-    """A2: ``max(ts)`` per key as its own small table (join it back rather than a window over
-    every row, so a hot key is pre-aggregated map-side)."""
-    return df.groupBy(*_cols(keys)).agg(F.max(ts).alias(name))
-
-
 def ranked(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
            tiebreak: str | Sequence[str] | None = None, name: str = "rank",
            ascending: bool = False, dense: bool = False) -> DataFrame:
@@ -108,81 +101,3 @@ def lag_value(df: DataFrame, keys: str | Sequence[str], order: str, tiebreak: st
         F.first(F.when(F.col("_rk") == 2, F.col(value)), ignorenulls=True).alias(name),
     )
     return agg.select(*keys, *[F.col("_latest")[c].alias(c) for c in rest], name)
-
-
-def group_rank(df: DataFrame, group: str, order: Column, name: str = "rank") -> DataFrame:
-    """``rank()`` over ``partitionBy(group).orderBy(order)`` without putting a whole group in
-    one task. Rows of a NULL group are one group, as in the window.
-
-    The rows are range-partitioned on (group, order); equal keys always land in the same
-    range partition, so ties never straddle a boundary. Each row gets its rank inside its
-    (group, partition) slice, plus the number of rows of its group in earlier partitions (a
-    running sum over a table with one row per (group, partition), at most groups + partitions
-    rows). A group holding a third of the rows is thus spread over many range partitions.
-
-    The range-partitioned slices are checkpointed (reliably, to ``spark.checkpoint.dir``):
-    a range partitioner samples its bounds per planned exchange, so two branches planned
-    separately could cut different ranges; reading one checkpoint makes both see the same
-    slices, also after an executor is lost."""
-    from gaugework.session import cut_lineage
-
-    n = df.sparkSession.sparkContext.defaultParallelism
-    n = max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(n))))
-    parts = df.repartitionByRange(n, F.col(group).asc_nulls_last(), order).withColumn("_pid", F.spark_partition_id())
-    parts = cut_lineage(parts)
-    local = parts.withColumn("_lr", F.rank().over(Window.partitionBy(group, "_pid").orderBy(order)))
-    counts = parts.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_pid")
-                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    offsets = offsets.select(F.col(group).alias("_og"), F.col("_pid").alias("_op"), "_off")
-    out = local.join(offsets, F.col(group).eqNullSafe(F.col("_og")) & (F.col("_pid") == F.col("_op")))
-    return out.withColumn(name, (F.col("_off") + F.col("_lr")).cast("int")).drop("_pid", "_lr", "_off", "_og", "_op")
-
-
-def rank_neighbours(df: DataFrame, group: str, rank: str, node: str | Sequence[str],
-                    carry: Sequence[str] = (), name: str = "calc_rank") -> DataFrame:
-    """W5 + J5: position along a group (``rank()`` over the raw rank, NULLS LAST) and the
-    node(s) one position up (calc_rank − 1) and down (calc_rank + 1).
-
-    Neighbours are equi-joins on (group, calc_rank ± 1), not lag/lead: tied ranks share a
-    position, the next position is skipped, so a neighbour can fan out or be missing,
-    exactly like the reference's self join. The position comes from ``group_rank`` (no
-    single-task group) and the joins are on (group, position), which spreads a long group
-    over many tasks."""
-    nodes = _cols(node)
-    base = group_rank(df, group, F.col(rank).asc_nulls_last(), name)
-    nb = base.select(F.col(group).alias("_g"), F.col(name).alias("_r"),
-                     *[F.col(c).alias(f"_n_{c}") for c in nodes + list(carry)])
-    up = nb.select("_g", (F.col("_r") + 1).alias("_r"),
-                   *[F.col(f"_n_{c}").alias(f"up_{c}") for c in nodes + list(carry)])
-    down = nb.select("_g", (F.col("_r") - 1).alias("_r"),
-                     *[F.col(f"_n_{c}").alias(f"down_{c}") for c in nodes + list(carry)])
-    out = (base.join(up, (base[group] == up["_g"]) & (base[name] == up["_r"]), "left")
-           .drop("_g", "_r"))
-    out = (out.join(down, (out[group] == down["_g"]) & (out[name] == down["_r"]), "left")
-           .drop("_g", "_r"))
-    return out
-
-
-def with_ordered_id(df: DataFrame, order: Sequence[Column], name: str = "id") -> DataFrame:
-    """``row_number()`` over a total order without funnelling rows into one partition.
-
-    ``order`` must be a total order (end it with a unique key) so the numbering is
-    deterministic if a lost partition is recomputed. Plan: range-partitioned sort; per
-    partition row counts (one row per partition, bounded by the partition count, hence a
-    safe broadcast); running offsets; id = offset + position in partition.
-    """
-    from gaugework.session import cut_lineage
-
-    sorted_df = df.sort(*order).withColumn("_pid", F.spark_partition_id())
-    # position inside the partition, from the id Spark assigns in partition order
-    sorted_df = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
-    sorted_df = cut_lineage(sorted_df)  # fix partition contents before counting
-    counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"), "_m0")
-    out = sorted_df.join(F.broadcast(offsets), "_pid")
-    out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("bigint"))
-    return out.drop("_pid", "_mid", "_off", "_m0")

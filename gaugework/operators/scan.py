@@ -1,0 +1,222 @@
+"""Running positions over one global order without a task that holds a whole group.
+
+A segmented scan in three steps over an order of columns:
+
+1. **Cuts.** ``SAMPLE`` rows for each wanted slice, chosen by the hash of their key (one aggregate, so the
+   number of rows that come to the driver is fixed), sorted; every ``SAMPLE``-th is a cut.
+2. **Summary.** A row's slice is the number of cuts at or before its key: a function of the row's values
+   alone, the same whenever a lost task runs again. One aggregate per slice counts its rows, and
+   those that continue the group or the tie of the neighbouring cut. The driver turns these few
+   numbers into what each slice has before it.
+3. **Pass.** One shuffle by slice; positions inside a slice come from a window and start at what lies before.
+
+Keys read only their own columns in steps 1 and 2; rows move once. Nothing is checkpointed, so an
+input that is costly to make should be a stored table (``plans.views`` does so). A group of any size,
+and a tie of any size where the key ends in a hash of the row, spreads over many slices.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SAMPLE = 16
+
+
+def direction(name: str) -> tuple[str, bool]:
+    """``'name'`` ascends with NULLs last, ``'-name'`` descends with NULLs first, the Postgres defaults."""
+    return (name[1:], False) if name.startswith("-") else (name, True)
+
+
+def sort_column(name: str) -> Column:
+    column, up = direction(name)
+    return F.col(column).asc_nulls_last() if up else F.col(column).desc_nulls_first()
+
+
+def _rising(name: str, kind: T.DataType) -> list[Column] | None:
+    """Columns whose ascending order is the order of ``name``; None where a type cannot be turned round."""
+    column, up = direction(name)
+    c = F.col(column)
+    if up:
+        return [c.isNull(), c]
+    if isinstance(kind, T.DateType):
+        c = -F.unix_date(c)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        c = -F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.BooleanType):
+        c = ~c
+    elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
+        c = -c.cast("decimal(20,0)")
+    elif isinstance(kind, T.DecimalType):
+        c = -c
+    else:
+        return None
+    return [c.isNotNull(), c]
+
+
+@dataclass
+class Slices:
+    """``rows`` with ``_slice``; ``cuts`` are the keys at which slices 1, 2, … begin."""
+
+    rows: DataFrame
+    cuts: list
+    parts: int
+
+
+def sliced(df: DataFrame, order: Sequence[str], parts: int | None = None) -> Slices:
+    """``df`` with its slice by the leading columns of ``order`` that can be compared ascending."""
+    spark = df.sparkSession
+    parts = parts or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    key: list[Column] = []
+    for name in order:
+        rising = _rising(name, df.schema[direction(name)[0]].dataType)
+        if rising is None:
+            break
+        key += rising
+    key = [c.alias(f"k{i}") for i, c in enumerate(key)]
+    if not key or parts < 2:
+        return Slices(df.withColumn("_slice", F.lit(0)), [], parts)
+    keys = df.select(F.struct(*key).alias("k"))
+    n = parts * SAMPLE
+    sample = keys.groupBy(F.pmod(F.xxhash64("k"), F.lit(n)).alias("b")).agg(F.min_by("k", F.xxhash64("k", F.lit(1))).alias("k"))
+    found = [r["k"] for r in sample.select("k").orderBy("k").collect()]  # at most parts * SAMPLE rows
+    step = max(1, len(found) // parts)
+    cuts = found[step::step]
+    if not cuts:
+        return Slices(df.withColumn("_slice", F.lit(0)), [], parts)
+    kind = keys.schema["k"].dataType
+
+    def literal(rows: list) -> Column:
+        return F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind.fields)]) for row in rows])
+
+    # Two levels, so that a row is compared with about twice the root of the number of cuts.
+    wide = max(1, int(len(cuts) ** 0.5))
+    blocks = [cuts[i:i + wide] for i in range(0, len(cuts), wide)]
+    this = F.struct(*key)
+    coarse = F.size(F.filter(literal([b[0] for b in blocks]), lambda c: c <= this))
+    fine = F.size(F.filter(F.element_at(F.array(*[literal(b) for b in blocks]), F.greatest(coarse, F.lit(1))), lambda c: c <= this))
+    at = F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * wide + fine)
+    return Slices(df.withColumn("_slice", at.cast("int")), cuts, parts)
+
+
+def _at_slice(values: Sequence, kind: str = "long") -> Column:
+    return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("_slice"))
+
+
+def with_ordered_id(df: DataFrame, order: Sequence[str], name: str = "id", parts: int | None = None) -> DataFrame:
+    """``row_number()`` over ``order`` (names; ``'-name'`` descends). End the order with a unique key for a
+    numbering that does not depend on the partitions."""
+    s = sliced(df, order, parts)
+    counts = {r["_slice"]: r["n"] for r in s.rows.groupBy("_slice").agg(F.count("*").alias("n")).collect()}
+    before = [sum(counts.get(j, 0) for j in range(k)) for k in range(len(s.cuts) + 1)]
+    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(*[sort_column(c) for c in order]))
+    rows = s.rows.repartition(s.parts, "_slice")
+    return rows.withColumn(name, (_at_slice(before) + inside).cast("bigint")).drop("_slice")
+
+
+class _Marked:
+    """Rows with their slice and, for each, whether they go on the group (``_lg``) or the tie (``_lt``) of the
+    slice's first cut and the tie of the next slice's cut (``_ct``); what lies before each slice."""
+
+    def __init__(self, df: DataFrame, group: str, rank: str, parts: int | None):
+        hashed = df.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        self.slices = s = sliced(hashed, [group, rank, "_h"], parts)
+        self.kinds = (df.schema[group].dataType, df.schema[rank].dataType)
+        self.cuts = [tuple(c) for c in s.cuts]  # fields: no group, group, no rank, rank, no hash, hash
+        marks = {"_lg": self._is(1, 0, group), "_ct": self._is(3, 1, rank) & self._is(1, 1, group)}
+        marks["_lt"] = marks["_lg"] & self._is(3, 0, rank)
+        for name, mark in marks.items():
+            s.rows = s.rows.withColumn(name, mark)
+        goes_on = F.col("_slice") < len(self.cuts)
+        count = [F.sum(F.when(c, 1).otherwise(0)).alias(n) for n, c in (("g", goes_on & self._is(1, 1, group)), ("t", F.col("_ct")))]
+        found = {r["_slice"]: r for r in s.rows.groupBy("_slice").agg(*count).collect()}
+        self.before, self.ties = [0], [0]  # rows of the cut's group, and of its tie, in earlier slices
+        for k, cut in enumerate(self.cuts):
+            here, last = found.get(k), self.cuts[k - 1] if k else None
+            self.before.append((here["g"] if here else 0) + (self.before[k] if last and last[:2] == cut[:2] else 0))
+            self.ties.append((here["t"] if here else 0) + (self.ties[k] if last and last[:4] == cut[:4] else 0))
+        s.rows = s.rows.withColumn("_parted", (F.col("_lt") & (_at_slice(self.ties) > 0)) | F.col("_ct"))
+
+    def cut_group(self) -> Column:
+        """The group of the cut after the row's slice; NULL after the last."""
+        return F.get(F.array(*[F.lit(v).cast(self.kinds[0]) for v in [*[c[1] for c in self.cuts], None]]), F.col("_slice"))
+
+    def _is(self, field: int, after: int, column: str) -> Column:
+        """Whether the row's ``column`` equals the field of the cut before (0) or after (1) its slice."""
+        if not self.cuts:
+            return F.lit(False)
+        values = [c[field] for c in self.cuts]
+        values = [*values, None] if after else [None, *values]
+        there = F.col("_slice") < len(self.cuts) if after else F.col("_slice") > 0
+        return there & F.col(column).eqNullSafe(F.get(F.array(*[F.lit(v).cast(self.kinds[field // 2]) for v in values]), F.col("_slice")))
+
+    def place(self, inside: Column) -> Column:
+        before, ties = _at_slice(self.before), _at_slice(self.ties)
+        return F.when(F.col("_lt"), before - ties + 1).when(F.col("_lg"), before + inside).otherwise(inside).cast("int")
+
+    def halo(self, group: str, rank: str) -> list[tuple]:
+        """For each slice the last three rows before its first tie, as rows of that slice: they come to the
+        driver, three a slice, after a limit inside the tasks."""
+        back = Window.partitionBy("_slice").orderBy(F.col(group).desc_nulls_first(), F.col(rank).desc_nulls_first(), F.col("_h").desc())
+        tail = self.slices.rows.filter(~F.col("_ct")).withColumn("_back", F.row_number().over(back)).filter("_back <= 3")
+        ends: dict[int, list] = {}
+        for row in tail.orderBy("_slice", F.col("_back").desc()).collect():
+            ends.setdefault(row["_slice"], []).append(row)
+        out, last = [], []
+        for k in range(1, len(self.cuts) + 1):
+            last = [*last, *ends.get(k - 1, [])][-3:]
+            out += [tuple(k if c == "_slice" else row[c] for c in self.slices.rows.columns) for row in last]
+        return out
+
+
+def group_rank(df: DataFrame, group: str, rank: str, name: str = "rank", parts: int | None = None) -> DataFrame:
+    """``rank()`` over ``partitionBy(group).orderBy(rank)``, NULLs last; rows of a NULL group are one group."""
+    m = _Marked(df, group, rank, parts)
+    inside = F.rank().over(Window.partitionBy("_slice", group).orderBy(F.col(rank).asc_nulls_last()))
+    return m.slices.rows.repartition(m.slices.parts, "_slice").withColumn(name, m.place(inside)).select(*df.columns, name)
+
+
+def rank_neighbours(df: DataFrame, group: str, rank: str, node: str | Sequence[str], carry: Sequence[str] = (),
+                    name: str = "calc_rank", parts: int | None = None) -> DataFrame:
+    """W5 + J5: position along a group (``rank()`` over the raw rank, NULLs last) and the node one position up
+    (position - 1) and down (position + 1), from the one pass that ranks.
+
+    Not lag and lead over rows: tied rows share a position and the next one is skipped. So a row has an upper
+    neighbour only if the tie before its own is a single row, and a single row has as many lower neighbours, one
+    output row each, as the next tie has rows. Each row looks back only: it gives the single row before its tie
+    that row's output with itself as lower neighbour, and gives its own output where none will follow. From the
+    slice before, three rows are enough. A NULL group has positions, but no neighbours."""
+    nodes = [node] if isinstance(node, str) else list(node)
+    shown = list(dict.fromkeys([*nodes, *carry]))
+    m = _Marked(df, group, rank, parts)
+    marked = m.slices.rows
+    rows = marked.withColumn("_halo", F.lit(False))
+    if m.cuts:
+        rows = rows.unionByName(df.sparkSession.createDataFrame(m.halo(group, rank), marked.schema).withColumn("_halo", F.lit(True)))
+    rows = rows.repartition(m.slices.parts, "_slice")
+    asc = [F.col(group).asc_nulls_last(), F.col(rank).asc_nulls_last()]
+    line = Window.partitionBy("_slice").orderBy(*asc, F.col("_h").asc())
+    tie = Window.partitionBy("_slice", group, rank)
+    whole_tie = tie.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    in_slice = Window.partitionBy("_slice", group)
+    inside = F.rank().over(in_slice.orderBy(asc[1])) - F.sum(F.col("_halo").cast("int")).over(in_slice)
+    # a row of the halo is used if it is the last one before the slice's first tie
+    place = F.when(F.col("_halo"), _at_slice(m.before) - _at_slice(m.ties)).otherwise(m.place(inside)).cast("int")
+    rows = rows.withColumn(name, place).withColumn("_single", (F.count("*").over(tie) == 1) & ~F.col("_parted"))
+    rows = rows.withColumn("_p", F.lag(F.struct(*df.columns, name, "_single")).over(line)).withColumn("_p", F.first("_p").over(whole_tie))
+    beside = F.coalesce(F.col("_p._single") & (F.col("_p")[group] == F.col(group)), F.lit(False))
+    kind = T.StructType([T.StructField(c, df.schema[c].dataType) for c in shown])
+    rows = rows.withColumn("_beside", beside).withColumn("_up", F.when(F.col("_beside"), F.struct(*[F.col("_p")[c].alias(c) for c in shown])).cast(kind))
+    rows = rows.withColumn("_up_p", F.lag("_up").over(line)).withColumn("_up_p", F.first("_up_p").over(whole_tie))
+    follows = F.coalesce(F.coalesce(F.lead(F.struct(group)).over(line)[group], m.cut_group() if m.cuts else F.lit(None)) == F.col(group), F.lit(False))
+    rows = rows.withColumn("_ends", ~(F.col("_single") & follows)).filter(~F.col("_halo"))
+    columns = [*df.columns, name]
+    own = F.struct(F.col("_ends").alias("ok"), *[F.col(c) for c in columns], F.col("_up").alias("_u"), F.lit(None).cast(kind).alias("_d"))
+    other = F.struct(F.col("_beside").alias("ok"), *[F.col("_p")[c].alias(c) for c in columns], F.col("_up_p").alias("_u"),
+                     F.struct(*shown).cast(kind).alias("_d"))
+    out = rows.select(F.explode(F.filter(F.array(own, other), lambda x: x["ok"])).alias("o")).select("o.*")
+    return out.select(*columns, *[F.col("_u")[c].alias(f"up_{c}") for c in shown], *[F.col("_d")[c].alias(f"down_{c}") for c in shown])

@@ -1,14 +1,8 @@
-"""Polygon operators: centroid (X19), vertex count (X23), simplify (X22), distance join
-(J10, J11, X20, X21, V12).
+"""Polygon operators: centroid (X19), vertex count (X23), simplify (X22). The distance join is in
+``proximity``.
 
 Geometry is a column ``rings``: array<array<array<struct<lon,lat>>>> — polygons, rings
 (first = shell, rest = holes), closed point lists — in degrees (EPSG:4326).
-
-The distance join avoids any cross product: areas are exploded to the grid cells their
-bounding box (expanded by the distance) covers, points go to their one cell, candidates
-meet on an equi-join of the cell, and each candidate pair is refined exactly with
-higher-order functions over the polygon's edges (point-in-polygon parity and
-point-to-segment distance). Everything stays JVM-side and distributes by cell.
 """
 
 from __future__ import annotations
@@ -24,14 +18,14 @@ from gaugework.functions.geo import WGS84_A, WGS84_B, _let
 E2 = 1 - (WGS84_B ** 2) / (WGS84_A ** 2)
 
 
-def _upto(last: Column) -> Column:
+def steps(last: Column) -> Column:
     """0, 1, … last; empty when ``last`` is negative (a ring of one point has no edge)."""
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
 def _ring_terms(ring: Column) -> Column:
     """struct(area2, cx6, cy6): twice the signed area and the first moments (×6A)."""
-    idx = _upto(F.size(ring) - 2)
+    idx = steps(F.size(ring) - 2)
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def step(acc, i):
@@ -56,7 +50,7 @@ def centroid(df: DataFrame, rings: str = "geom", out: str = "centroid") -> DataF
                 return F.struct((acc2["w"] + w).alias("w"), (acc2["x"] + w * cx).alias("x"),
                                 (acc2["y"] + w * cy).alias("y"))
             return _let(_ring_terms(poly[ri]), add)  # ring sums computed once per ring
-        return F.aggregate(_upto(F.size(poly) - 1), acc, per_ring)
+        return F.aggregate(steps(F.size(poly) - 1), acc, per_ring)
 
     tot = F.aggregate(F.col(rings), zero, per_poly)
     return df.withColumn("_c", tot).withColumn(
@@ -69,14 +63,6 @@ def count_vertices(df: DataFrame, rings: str = "geom", out: str = "npoints") ->
     return df.withColumn(out, F.aggregate(F.flatten(F.col(rings)), F.lit(0), lambda a, r: a + F.size(r)))
 
 
-def _bbox(rings: Column) -> Column:
-    pts = F.flatten(F.flatten(rings))
-    return F.struct(F.array_min(F.transform(pts, lambda p: p["lon"])).alias("w"),
-                    F.array_min(F.transform(pts, lambda p: p["lat"])).alias("s"),
-                    F.array_max(F.transform(pts, lambda p: p["lon"])).alias("e"),
-                    F.array_max(F.transform(pts, lambda p: p["lat"])).alias("n"))
-
-
 def _radii(lat_deg: Column) -> tuple[Column, Column]:
     """Prime-vertical N(φ) and meridional M(φ) radii on WGS84."""
     s = F.sin(F.radians(lat_deg))
@@ -84,119 +70,15 @@ def _radii(lat_deg: Column) -> tuple[Column, Column]:
     return F.lit(WGS84_A) / F.sqrt(w), F.lit(WGS84_A * (1 - E2)) / F.pow(w, 1.5)
 
 
-def _local_xy(plon: Column, plat: Column, v: Column) -> tuple[Column, Column]:
-    """Metres of vertex ``v`` east/north of the point, radii at the mid-latitude."""
-    mid = (plat + v["lat"]) / 2
+def local_xy(plon: Column, plat: Column, lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Metres of the vertex (lon, lat) east and north of the point, radii at the mid-latitude."""
+    mid = (plat + lat) / 2
     n_r, m_r = _radii(mid)
-    x = F.radians(v["lon"] - plon) * n_r * F.cos(F.radians(mid))
-    y = F.radians(v["lat"] - plat) * m_r
+    x = F.radians(lon - plon) * n_r * F.cos(F.radians(mid))
+    y = F.radians(lat - plat) * m_r
     return x, y
 
 
-def _edge_stats(plon: Column, plat: Column, rings: Column) -> Column:
-    """struct(d2 = min squared distance to any edge, cross = ray crossings) over all edges."""
-    edges = F.flatten(F.transform(F.flatten(rings), lambda r: F.transform(
-        _upto(F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
-    zero = F.struct(F.lit(float("inf")).alias("d2"), F.lit(0).alias("cross"))
-
-    def step(acc, ed):
-        x1, y1 = _local_xy(plon, plat, ed["p"])
-        x2, y2 = _local_xy(plon, plat, ed["q"])
-        dx, dy = x2 - x1, y2 - y1
-        ll = dx * dx + dy * dy
-        tt = F.when(ll > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(x1 * dx + y1 * dy) / ll))).otherwise(0.0)
-        cx, cy = x1 + tt * dx, y1 + tt * dy
-        d2 = cx * cx + cy * cy
-        # ray towards +x from the point (origin): does the edge cross y = 0 to the right?
-        crosses = ((y1 > 0) != (y2 > 0)) & ((x1 + (0 - y1) * dx / F.when(dy != 0, dy).otherwise(1.0)) > 0)
-        return F.struct(F.least(acc["d2"], d2).alias("d2"),
-                        (acc["cross"] + F.when(crosses, 1).otherwise(0)).alias("cross"))
-    return F.aggregate(edges, zero, step)
-
-
-def distance_to_area(plon: Column, plat: Column, rings: Column) -> Column:
-    """Metres from a point to a multipolygon: 0 inside (odd crossings), else the edge distance."""
-    st = _edge_stats(plon, plat, rings)
-    return F.when(st["cross"] % 2 == 1, F.lit(0.0)).otherwise(F.sqrt(st["d2"]))
-
-
-def _edges(rings: Column) -> Column:
-    """All edges of a multipolygon as array<struct<p, q>> (holes included)."""
-    return F.flatten(F.transform(F.flatten(rings), lambda r: F.transform(
-        _upto(F.size(r) - 2), lambda i: F.struct(r[i].alias("p"), r[i + 1].alias("q")))))
-
-
-def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0, point_id: str = "id",
-                    area_id: str = "area_id", rings: str = "geom", lon: str = "lon", lat: str = "lat",
-                    cell_deg: float = 0.1, with_distance: bool = False) -> DataFrame:
-    """(point_id, area_id) pairs whose geodesic distance is ≤ ``metres``.
-
-    Candidate step: cells of ``cell_deg`` degrees; an area covers the cells of its bounding
-    box expanded by ``metres`` (latitude margin from the smallest meridional radius,
-    longitude margin at the bbox's highest |latitude|, both padded 1 %); a point falls in
-    exactly one cell, so each candidate pair appears once and no cross product is formed.
-
-    Refine: each candidate pair is exploded to one row per polygon edge; the edge is
-    projected to metres about the point (radii at the mid-latitude) and the point-to-segment
-    distance and ray-crossing flag are plain column arithmetic (whole-stage codegen). A
-    ``groupBy(point, area)`` then takes the minimum distance and the crossing parity; its
-    map-side partial aggregate collapses all edges of a pair before the shuffle, so only one
-    row per candidate pair moves. A polygon with many vertices spreads over the tasks of
-    the cells it covers."""
-    margin_lat = metres / 6335439.0 * 180 / math.pi * 1.01  # smallest meridional radius
-    # Crossing parity is counted per (point, polygon): repeated rows count once, and two polygons or two
-    # places under one id stay apart until the end, where a pair's smallest distance is kept.
-    areas = areas.select(area_id, rings).withColumn("_shape", F.xxhash64(rings)).dropDuplicates([area_id, "_shape"])
-    points = points.select(point_id, lon, lat).dropDuplicates([point_id, lon, lat])
-    a = areas.withColumn("_bb", _bbox(F.col(rings)))
-    hi = F.greatest(F.abs(F.col("_bb.s")), F.abs(F.col("_bb.n"))) + F.lit(margin_lat)
-    margin_lon = F.lit(metres / WGS84_A * 180 / math.pi * 1.01) / F.cos(F.radians(F.least(hi, F.lit(89.0))))
-    cx0 = F.floor((F.col("_bb.w") - margin_lon) / cell_deg).cast("long")
-    cx1 = F.floor((F.col("_bb.e") + margin_lon) / cell_deg).cast("long")
-    cy0 = F.floor((F.col("_bb.s") - F.lit(margin_lat)) / cell_deg).cast("long")
-    cy1 = F.floor((F.col("_bb.n") + F.lit(margin_lat)) / cell_deg).cast("long")
-    cells = (a.withColumn("_cx", F.explode(F.sequence(cx0, cx1)))
-             .withColumn("_cy", F.explode(F.sequence(cy0, cy1))).drop("_bb"))
-    # Points without coordinates go to a sentinel cell no area covers. Keeping the cell keys
-    # non-nullable means Spark infers no isnotnull() filter to push below the projection that
-    # computes lon/lat (pushed filters would copy that computation into every conjunct).
-    nowhere = F.lit(-(1 << 62))
-    p = (points.select(point_id, lon, lat)
-         .withColumn("_cx", F.coalesce(F.floor(F.col(lon) / cell_deg).cast("long"), nowhere))
-         .withColumn("_cy", F.coalesce(F.floor(F.col(lat) / cell_deg).cast("long"), nowhere)))
-    cand = p.join(cells, ["_cx", "_cy"]).drop("_cx", "_cy")
-    e = cand.select(point_id, area_id, "_shape", F.col(lon).alias("_plon"), F.col(lat).alias("_plat"),
-                    F.explode(_edges(F.col(rings))).alias("_e"))
-    plon, plat = F.col("_plon"), F.col("_plat")
-    x1, y1 = _local_xy(plon, plat, F.col("_e.p"))
-    x2, y2 = _local_xy(plon, plat, F.col("_e.q"))
-    e = e.select(point_id, area_id, "_shape", "_plon", "_plat", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    ll = dx * dx + dy * dy
-    tt = F.when(ll > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(F.col("x1") * dx + F.col("y1") * dy) / ll))) \
-        .otherwise(F.lit(0.0))
-    cx, cy = F.col("x1") + tt * dx, F.col("y1") + tt * dy
-    crosses = ((F.col("y1") > 0) != (F.col("y2") > 0)) & \
-        ((F.col("x1") + (0 - F.col("y1")) * dx / F.when(dy != 0, dy).otherwise(F.lit(1.0))) > 0)
-    per_pair = e.groupBy(point_id, area_id, "_shape", "_plon", "_plat").agg(
-        F.min(cx * cx + cy * cy).alias("_d2"), F.sum(F.when(crosses, 1).otherwise(0)).alias("_cross"))
-    dist = F.when(F.col("_cross") % 2 == 1, F.lit(0.0)).otherwise(F.sqrt("_d2"))
-    out = per_pair.withColumn("distance_m", dist).filter(F.col("distance_m") <= metres)
-    out = out.groupBy(point_id, area_id).agg(F.min("distance_m").alias("distance_m"))
-    cols = [point_id, area_id] + (["distance_m"] if with_distance else [])
-    return out.select(*cols)
-
-
-def within_distance_missing(points: DataFrame, areas: DataFrame, done: DataFrame, metres: float = 8000.0,
-                            point_id: str = "id", area_id: str = "area_id", exclude: Column | None = None,
-                            **kw) -> DataFrame:
-    """Only points absent from ``done`` (anti join first), optionally excluding some."""
-    todo = points.join(done.select(point_id).distinct(), point_id, "left_anti")
-    if exclude is not None:
-        todo = todo.filter(~exclude)
-    return within_distance(todo, areas, metres, point_id, area_id, **kw)
-
-
 def simplify(df: DataFrame, rings: str = "geom", tolerance: float = 0.00025, out: str | None = None) -> DataFrame:
     """Douglas–Peucker per ring with at least 4 points kept, one row per area, run as an
     Arrow-batched pandas function (the recursion has no Column form). Topology between rings

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from gaugework.functions import geo
 from gaugework.functions.predicates import in_bbox
-from gaugework.operators.spatial import E2, centroid, within_distance, within_distance_missing
+from gaugework.operators.proximity import within_distance, within_distance_missing
+from gaugework.operators.spatial import E2, centroid
 from gaugework.plans.catalog import query, t
 
 # ---------------------------------------------------------------- grid → lon/lat

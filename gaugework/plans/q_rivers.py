@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gaugework.functions.predicates import in_scope, is_wales, river_labels
-from gaugework.operators.ranking import latest_per_key, rank_neighbours, with_ordered_id
+from gaugework.operators.ranking import latest_per_key
+from gaugework.operators.scan import rank_neighbours, with_ordered_id
 from gaugework.operators.sets import union_shapes
 from gaugework.plans.catalog import query, t
 
@@ -104,8 +105,7 @@ FROM orders
 """)
 def q_ordered_ids(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    return with_ordered_id(o, [F.col("o_orderpriority").asc_nulls_last(), F.col("o_orderdate").desc_nulls_first(),
-                               F.col("o_orderkey").asc()])
+    return with_ordered_id(o, ["o_orderpriority", "-o_orderdate", "o_orderkey"])
 
 
 @query("union_list", f"""

@@ -18,9 +18,11 @@ from gaugework.functions.predicates import (after_status_date, direction, in_sco
                                             river_labels, water_level)
 from gaugework.functions.timefmt import chart_label, epoch_millis, iso_minutes, with_chart_labels
 from gaugework.operators.arrays import ordered_json, parallel_arrays
-from gaugework.operators.ranking import latest_per_key, rank_neighbours, with_ordered_id
+from gaugework.operators.ranking import latest_per_key
+from gaugework.operators.scan import rank_neighbours, with_ordered_id
 from gaugework.operators.sets import split_directions, union_shapes
 from gaugework.operators.windows import flag_exists, trailing_totals
+from gaugework.session import snapshot
 
 # ---------------------------------------------------------------------------------------------
 # V1, V2: station context
@@ -127,10 +129,10 @@ def rivers(split: DataFrame, overview: DataFrame, river_stations: DataFrame, riv
     if not with_ids:
         return j
     keys = ["view_rank", "river_id", "rank", "external_name"]
-    order = [F.col(c).asc_nulls_last() for c in keys] + [F.col("qualifier").desc_nulls_first()]
+    order = [*keys, "-qualifier"]
     # then every other column, so the numbering is a total order (fan-out rows differ there)
-    order += [F.col(c).asc_nulls_last() for c in sorted(set(j.columns) - set(keys) - {"qualifier"})]
-    return with_ordered_id(j, order)
+    order += sorted(set(j.columns) - set(keys) - {"qualifier"})
+    return with_ordered_id(snapshot(j), order)
 
 
 LIST_COLUMNS = ["river_id", "river_name", "river_qualified_name", "navigable", "view_rank", "rank", "rloi_id", "up",
@@ -172,9 +174,7 @@ def stations_list(rivers_df: DataFrame, rainfall: DataFrame, order_mode: str = "
     u = rv.unionByName(rf).distinct()
     keys = (["navigable", "river_id", "view_rank", "wiski_river_name"] if order_mode == "positional"
             else ["view_rank", "river_id", "rank", "agency_name"])
-    order = [F.col(c).asc_nulls_last() for c in keys]
-    order += [F.col(c).asc_nulls_last() for c in sorted(set(LIST_COLUMNS) - set(keys))]
-    return with_ordered_id(u, order)
+    return with_ordered_id(snapshot(u), [*keys, *sorted(set(LIST_COLUMNS) - set(keys))])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -352,7 +352,7 @@ def station_areas(context: DataFrame, alert_areas: DataFrame, warning_areas: Dat
     or warning area. The reference runs the two area types as two INSERTs (UNION ALL); here
     both area sets go through one distance join, so the station coordinates are converted
     and bucketed once."""
-    from gaugework.operators.spatial import within_distance
+    from gaugework.operators.proximity import within_distance
     pts = geo.with_lonlat(context, "x_coord_actual", "y_coord_actual").select("rloi_id", "lon", "lat")
     areas = (alert_areas.select(F.col("fws_tacode"), rings, F.lit("a").alias("_kind"))
              .unionByName(warning_areas.select(F.col("fws_tacode"), rings, F.lit("w").alias("_kind")))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +92,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def snapshot(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet into the shared checkpoint folder and read back, for results that are
+    costly to make and read more than once. Unlike a checkpoint it is computed in one job, and
+    later readers prune its columns."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/snapshots/{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -81,7 +81,7 @@ def neighbour_model(rows):
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(RIVER_ROW, min_size=1, max_size=25))
 def test_rank_neighbours_matches_model(spark, rows):
-    from gaugework.operators.ranking import rank_neighbours
+    from gaugework.operators.scan import rank_neighbours
     df = spark.createDataFrame(rows, "river_id string, rloi_id int, rank int")
     got = sorted(((r.river_id, r.rloi_id, r.calc_rank, r.up_rloi_id, r.down_rloi_id)
                   for r in rank_neighbours(df, "river_id", "rank", "rloi_id").collect()),
@@ -117,12 +117,10 @@ ID_ROW = st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(-3, 3)))
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(ID_ROW, min_size=1, max_size=60), st.integers(1, 7))
 def test_ordered_id_matches_python_sort(spark, rows, parts):
-    from pyspark.sql import functions as F
-
-    from gaugework.operators.ranking import with_ordered_id
+    from gaugework.operators.scan import with_ordered_id
     data = [(g, v, i) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "g int, v int, uid int").repartition(parts)
-    out = with_ordered_id(df, [F.col("g").asc(), F.col("v").desc_nulls_first(), F.col("uid").asc()], name="rn")
+    out = with_ordered_id(df, ["g", "-v", "uid"], name="rn", parts=5)
     got = [r.uid for r in out.orderBy("rn").collect()]
     assert sorted(r.rn for r in out.collect()) == list(range(1, len(data) + 1))
     want = [u for g, v, u in sorted(data, key=lambda r: (r[0], 0 if r[1] is None else 1, -(r[1] or 0), r[2]))]

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from gaugework.functions.predicates import anti, in_scope, is_wales, river_labels
-from gaugework.operators.ranking import latest_per_key, rank_neighbours, top_k_per_key, with_ordered_id
+from gaugework.operators.ranking import latest_per_key, top_k_per_key
+from gaugework.operators.scan import rank_neighbours, with_ordered_id
 from gaugework.operators.sets import split_directions, union_shapes
 from gaugework.operators.tables import (apply_changes, cascade_delete, check_columns, check_unique, retain,
                                         shift_to_now, sync_table)
@@ -47,7 +48,7 @@ def test_scope_and_wales(spark):
 
 def test_ordered_id_dense_and_total(spark):
     df = spark.range(0, 5000).select((F.col("id") % 7).alias("g"), F.col("id")).repartition(13)
-    ids = with_ordered_id(df, [F.col("g").asc(), F.col("id").desc()], name="rn").orderBy("rn").collect()
+    ids = with_ordered_id(df, ["g", "-id"], name="rn").orderBy("rn").collect()
     assert [r.rn for r in ids] == list(range(1, 5001))
     expected = sorted(((r.g, -r.id) for r in df.collect()))
     assert [(r.g, -r.id) for r in ids] == expected

@@ -1,0 +1,73 @@
+"""Segmented scan: positions and neighbours over many small slices against plain models."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from gaugework.operators.scan import group_rank, rank_neighbours, sliced, with_ordered_id
+
+
+def model(rows):
+    """Positions by rank() with NULLs last; two left joins on position - 1 and + 1."""
+    place = []
+    for g, _, r in rows:
+        key = (r is None, r or 0)
+        place.append(1 + sum(1 for g2, _, r2 in rows if g2 == g and (r2 is None, r2 or 0) < key))
+    out = []
+    for i, (g, n, r) in enumerate(rows):
+        up = [rows[j][1] for j in range(len(rows)) if g is not None and rows[j][0] == g and place[j] == place[i] - 1] or [None]
+        down = [rows[j][1] for j in range(len(rows)) if g is not None and rows[j][0] == g and place[j] == place[i] + 1] or [None]
+        out += [(g, n, r, place[i], u, d) for u in up for d in down]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_neighbours_over_slices(spark, seed, parts):
+    rng = random.Random(seed)
+    groups = ["a", "b", "c", None] if seed % 2 else ["one"]
+    spread = [3, 12, 60, 200, 5, 40][seed]
+    rows = [(rng.choice(groups), k, rng.choice([None, *range(spread)])) for k in range(90)]
+    rows += [("hot", 1000 + k, 7 if k < 25 else 8 + k % 3 * 20) for k in range(40)] * (seed % 3)
+    df = spark.createDataFrame(rows, "g string, n int, r int").repartition(3)
+    got = [tuple(x) for x in rank_neighbours(df, "g", "r", "n", parts=parts).collect()]
+    assert sorted(got, key=repr) == model(rows)
+    ranks = sorted(((x.g, x.n, x.r, x.rank) for x in group_rank(df, "g", "r", parts=parts).collect()), key=repr)
+    window = df.withColumn("k", F.rank().over(Window.partitionBy("g").orderBy(F.col("r").asc_nulls_last())))
+    assert ranks == sorted((tuple(x) for x in window.collect()), key=repr)
+
+
+def test_a_line_of_single_rows_crosses_every_cut(spark):
+    df = spark.range(500).select(F.lit("r").alias("g"), F.col("id").alias("n"), (F.col("id") * 10).alias("r")).repartition(7)
+    got = {x.n: (x.calc_rank, x.up_n, x.down_n) for x in rank_neighbours(df, "g", "r", "n", parts=30).collect()}
+    assert got == {k: (k + 1, k - 1 if k else None, k + 1 if k < 499 else None) for k in range(500)}
+
+
+def test_carried_columns_and_empty(spark):
+    df = spark.createDataFrame([("r", 1, 10, "x"), ("r", 2, 20, "y")], "g string, n int, r int, label string")
+    got = {x.n: (x.up_label, x.down_label) for x in rank_neighbours(df, "g", "r", "n", carry=["label"], parts=2).collect()}
+    assert got == {1: (None, "y"), 2: ("x", None)}
+    assert rank_neighbours(df.limit(0), "g", "r", "n", parts=4).count() == 0
+    assert with_ordered_id(df.limit(0), ["g", "n"]).count() == 0
+
+
+@pytest.mark.parametrize("order", [["s", "-d", "-n", "id"], ["-n", "s", "id"], ["-s", "id"], ["-b", "-t", "x", "id"]])
+def test_ids_follow_any_order(spark, order):
+    rng = random.Random(5)
+    rows = [(rng.choice(["é", "b", "", None]), rng.choice([None, "2020-01-01", "2021-05-05"]), rng.choice([None, -3, 2]), rng.choice([True, False, None]),
+             rng.choice([None, "2020-01-01 10:00:00", "2020-01-01 10:00:01"]), rng.choice([1.5, float("nan"), None, -0.0]), k) for k in range(200)]
+    df = spark.createDataFrame(rows, "s string, d string, n int, b boolean, t string, x double, id int")
+    df = df.withColumn("d", F.col("d").cast("date")).withColumn("t", F.col("t").cast("timestamp")).repartition(6)
+    sort = [F.col(c[1:]).desc_nulls_first() if c[0] == "-" else F.col(c).asc_nulls_last() for c in order]
+    want = {r.id: r.k for r in df.withColumn("k", F.row_number().over(Window.orderBy(*sort))).collect()}
+    assert {r.id: r.rn for r in with_ordered_id(df, order, "rn", parts=9).collect()} == want
+
+
+def test_one_shuffle_of_rows(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("g"), F.col("id").alias("n"), (F.col("id") % 50).alias("r"))
+    s = sliced(df, ["g", "r"], 6)
+    assert len(s.cuts) >= 5
+    plan = rank_neighbours(df, "g", "r", "n", parts=6)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan

@@ -73,7 +73,8 @@ def test_null_reading_is_never_at_risk_and_never_breaches(spark):
 
 
 def test_repeated_points_and_areas_keep_their_pair(spark):
-    from gaugework.operators.spatial import centroid, within_distance
+    from gaugework.operators.proximity import within_distance
+    from gaugework.operators.spatial import centroid
     square = [[(0.0, 50.0), (0.4, 50.0), (0.4, 50.4), (0.0, 50.4), (0.0, 50.0)]]
     geom = "array<array<array<struct<lon:double,lat:double>>>>"
     areas = spark.createDataFrame([("a", [square]), ("a", [square]), ("one", [[[(0.2, 50.2)]]])], f"area_id string, geom {geom}")
@@ -83,9 +84,7 @@ def test_repeated_points_and_areas_keep_their_pair(spark):
 
 
 def test_null_group_is_ranked(spark):
-    from pyspark.sql import functions as F
-
-    from gaugework.operators.ranking import group_rank
+    from gaugework.operators.scan import group_rank
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), (None, 3), ("b", 1)], "g string, r int")
-    got = sorted((str(r.g), r.r, r.rank) for r in group_rank(df, "g", F.col("r").asc_nulls_last()).collect())
+    got = sorted((str(r.g), r.r, r.rank) for r in group_rank(df, "g", "r").collect())
     assert got == [("None", 3, 1), ("None", 5, 2), ("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]

@@ -96,12 +96,12 @@ def test_forecast_stream(spark, tmp_dir):
 def test_group_rank_matches_window_rank_on_a_hot_group(spark):
     from pyspark.sql import Window
 
-    from gaugework.operators.ranking import group_rank
+    from gaugework.operators.scan import group_rank
     rnd = random.Random(11)
     rows = [(0 if i % 3 == 0 else rnd.randint(1, 30), rnd.choice([None] + list(range(0, 400))), i) for i in range(4000)]
     df = spark.createDataFrame(rows, "g int, r int, id int").repartition(5)
-    mine = {x.id: x.rank for x in group_rank(df, "g", F.col("r").asc_nulls_last()).collect()}
-    plain = {x.id: x.rank for x in group_rank(df, "g", F.col("r").asc_nulls_last()).collect()}
+    mine = {x.id: x.rank for x in group_rank(df, "g", "r").collect()}
+    plain = {x.id: x.rank for x in group_rank(df, "g", "r").collect()}
     assert mine == plain
     ref = {x.id: x.rk for x in df.withColumn("rk", F.rank().over(
         Window.partitionBy("g").orderBy(F.col("r").asc_nulls_last()))).collect()}
