@@ -258,9 +258,9 @@ def links(docs: DataFrame, text_col: str, shingle: int, prints: DataFrame, reps:
     short, long = lists.filter(F.col("c") <= SHORT), lists.filter(F.col("c") > SHORT)
     a, b = (short.select("v", F.col("rep").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     pairs = a.join(b, "v").filter((F.col("a") < F.col("b")) & near_sizes(F.col("na"), F.col("nb"))).select("a", "b")
-    leaders = long.groupBy("v").agg(F.array(*[F.min(F.struct(F.xxhash64("v", "rep", F.lit(i)), "rep", "n")) for i in range(LEADERS)]).alias("ls"))
-    led = long.join(leaders, "v").select("rep", "n", F.explode("ls").alias("l"))
-    led = led.filter((F.col("rep") != F.col("l.rep")) & near_sizes(F.col("n"), F.col("l.n")))
+    leaders = long.groupBy("v").agg(F.array(*[F.min(F.struct(F.xxhash64("v", "rep", F.lit(i)).alias("h"), "rep", "n")) for i in range(LEADERS)]).alias("ls"))
+    others = F.filter(F.array_distinct(F.transform("ls", lambda l: F.struct(l["rep"].alias("rep"), l["n"].alias("n")))), lambda l: (l["rep"] != F.col("rep")) & near_sizes(F.col("n"), l["n"]))
+    led = long.join(leaders, "v").select("rep", F.explode(others).alias("l"))
     pairs = pairs.unionByName(led.select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b")))
     first = stored(confirm.links(stored(pairs.distinct(), "bottomk-pairs")), "bottomk-links")
     roots = components(first, "bottomk-first")
