@@ -1,37 +1,45 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Encode. The words (in lower case; ASCII letters, digits and bytes from 0x80 on) of every document
-   become numbers in the vocabulary of the benchmark block; words outside it share one number. The
-   encoded table is written once, two or four bytes a word, and read by all later passes.
-2. TF-IDF. Document frequencies come from all documents. Words in few documents (``COMMON_SHARE``) are
-   telling. A document passage pairs with an item if it is as long as the item, give or take a
-   block of ``STRIDE`` words at each end, and holds as many of the item's telling words as any text
-   must that has ``LCS_LEAST`` of the item's words in order. So this step loses no pair that step 5
-   would accept; an item with under three telling words is paired by all its words. A pair whose
-   passage with its surroundings has under ``LCS_LEAST`` of the item's words in any order cannot pass
-   step 5 either and is left out of step 4.
-3. Randomised SVD. A Gaussian test matrix with one column per item and some more is pushed through
-   the passages (tasks sum A^T A Omega over their rows, Spark adds them up), to which the items
-   themselves are added, with as much weight as all passages, so that the space keeps each of them
-   (passages with under ``LEAST_TELLING`` telling words say little about it and are left out of this
+1. Units. An item is searched whole and, if longer than ``PASSAGE + STEP`` words, as overlapping passages of
+   ``PASSAGE`` words, one every ``STEP`` words and one at its end; so a text that took over a part of an item, from about
+   ``PASSAGE`` words on, holds a passage nearly whole. Passages with under ``LEAST_TELLING`` telling
+   words are left to the whole item: common words in a common order are no evidence.
+2. Encode. The words (in lower case; ASCII letters, digits and bytes from 0x80 on; in scripts without spaces
+   every character) of every document become numbers in the vocabulary of the benchmark block;
+   words outside it share one number. The encoded table is written once, two or four bytes a word,
+   and read by all later passes.
+3. TF-IDF. Document frequencies come from all documents. Words in few documents (``COMMON_SHARE``) are
+   telling. A window of a document, half as long again as the unit and rounded up to blocks of ``STRIDE``
+   words, pairs with the unit if it holds as many of the unit's telling words as any text must that has
+   ``LCS_LEAST`` (of a passage ``LCS_SURE``) of the unit's words in order; a unit with under three
+   telling words is paired by all its words. The checks of step 6 look at the same window, so this
+   step loses no pair that they would accept. Nor does the next: a window with too few of
+   the item's words in any order goes no further.
+4. Randomised SVD. A Gaussian test matrix with one column per item and some more is pushed through
+   the windows of whole items (tasks sum A^T A Omega over their rows, Spark adds them up), to which the items
+   themselves are added, with as much weight as all windows, so that the space keeps each of them
+   (windows with under ``LEAST_TELLING`` telling words say little about it and are left out of this
    step alone); the Nystrom form of the sum gives the leading right singular vectors.
-4. Candidates. Passages and items are compared by their cosine in the latent space; pairs of
+5. Candidates. Windows and units are compared by their cosine in the latent space; pairs of
    ``COSINE`` or more are candidates.
-5. Checks. The longest common subsequence of an item and the passage with its surroundings must reach
-   ``LCS_SURE`` of the item's words, or, for a paraphrase, ``LCS_LEAST`` together with the item's answer
-   (its last ``ANSWER`` words: two thirds of them in order).
+6. Checks. The longest common subsequence of unit and window must reach ``LCS_SURE`` of the unit's words. For a whole
+   item, as a paraphrase, ``LCS_LEAST`` is enough together with the item's answer (its last
+   ``ANSWER`` words: two thirds of them in order) or with ``EVIDENCE`` telling words in order, which must be
+   ``LCS_LEAST`` of its telling words. An item of fewer than ``SHORT`` words must stand there word for word; one
+   that has common words only is not searched for.
 
 The benchmark is a stated query set: it is taken in blocks of at most ``BLOCK`` items and
-``BLOCK_WORDS`` words, each a scan of the documents, so what a task holds is bounded by the block.
+``BLOCK_WORDS`` words, each a scan of the documents. The matrices of a block are its vocabulary times
+its items, ``BLOCK_WORDS * (BLOCK + OVERSAMPLE)`` numbers at most, 85 MB each.
 
-Edge cases: a null text is empty and matches nothing; items of fewer than ``LEAST_WORDS`` words, null or
-empty items and items without id are not searched for; an item of more than ``BLOCK_WORDS`` words is a
-block of its own. Null ids of documents are carried through; repeated rows are each reported;
+Edge cases: a null text is empty and matches nothing; null or empty items and items without id are not
+searched for; an item of more than ``BLOCK_WORDS`` words is a block of its own. Null ids of documents are carried through; repeated rows are each reported;
 items with the same id are each compared and reported once per document. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -47,19 +55,23 @@ STRIDE = 8
 COSINE = 0.3
 COMMON_SHARE, COMMON_LEAST = 0.05, 10
 LEAST_TELLING = 3
-LCS_SURE, LCS_LEAST, ANSWER = 0.8, 0.6, 3
-LEAST_WORDS = 5
-BLOCK, BLOCK_WORDS = 256, 200_000
+LCS_SURE, LCS_LEAST, ANSWER, EVIDENCE = 0.8, 0.6, 3, 6
+PASSAGE, STEP, SHORT = 12, 4, 5
+BLOCK, BLOCK_WORDS = 256, 40_000
 OVERSAMPLE = 8
 #: passages are worked on so many words at a time (or one passage, if longer)
 PIECE_WORDS = 120_000
 
 
+#: Thai to Khmer, kana, Chinese characters: scripts written without spaces.
+SPACELESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
 def words(text: bytes) -> list[bytes]:
     """Words of a text, letters of any script in lower case."""
     if text.isascii():
         return license_automaton.words(text)
-    return license_automaton.words(text.decode("utf-8", "replace").lower().encode())
+    return license_automaton.words(SPACELESS.sub(r" \1 ", text.decode("utf-8", "replace").lower()).encode())
 
 
 def lcs(a: list[int], b: list[int]) -> int:
@@ -84,6 +96,14 @@ class Items:
         self.other, self.pad = len(self.vocabulary), len(self.vocabulary) + 1
         self.kind = "<u2" if self.pad < 1 << 16 else "<u4"
 
+    def wholes(self) -> list[tuple[int, list[int]]]:
+        return list(enumerate(self.texts))
+
+    def parts(self) -> list[tuple[int, list[int]]]:
+        """(item, words) of the overlapping passages of long items."""
+        return [(i, text[a:a + PASSAGE]) for i, text in enumerate(self.texts) if len(text) > PASSAGE + STEP
+                for a in sorted({*range(0, len(text) - PASSAGE + 1, STEP), len(text) - PASSAGE})]
+
     def vectors(self, idf: np.ndarray) -> np.ndarray:
         """TF-IDF of the items (items x vocabulary), of unit length."""
         out = np.zeros((len(self.texts), self.other))
@@ -148,30 +168,38 @@ def document_frequencies(encoded: DataFrame, items: Items) -> tuple[np.ndarray,
 
 
 class Passages:
-    """Finds (passage, item) pairs in a batch of encoded documents."""
+    """Finds (window, unit) pairs in a batch of encoded documents."""
 
-    def __init__(self, items: Items, df: np.ndarray, n: int) -> None:
+    def __init__(self, items: Items, df: np.ndarray, n: int, parts: bool = False) -> None:
         self.idf = np.log((n + 1) / (df[:items.other] + 1)) + 0.1
         self.energy = np.append(self.idf ** 2, [np.median(self.idf) ** 2, 0.0])
-        telling = df[:items.other] <= max(COMMON_SHARE * n, COMMON_LEAST)
+        self.telling = df[:items.other] <= max(COMMON_SHARE * n, COMMON_LEAST)
+        self.units = items.wholes()
+        self.whole = np.ones(len(self.units), bool)
+        if parts:
+            self.units += [(i, text) for i, text in items.parts() if sum(self.telling[x] for x in text) >= LEAST_TELLING]
+            self.whole = np.append(self.whole, np.zeros(len(self.units) - len(self.whole), bool))
         owners: list[list[int]] = [[] for _ in range(items.pad + 1)]
-        self.need = np.ones(len(items.texts), np.int64)
-        for i, text in enumerate(items.texts):
-            own = [x for x in text if telling[x]]
-            if len(own) < 3:
+        self.need = np.ones(len(self.units), np.int64)
+        for u, (_, text) in enumerate(self.units):
+            own = [x for x in text if self.telling[x]]
+            if len(own) < 3 or len(text) < SHORT:
                 own = text
-            self.need[i] = max(1, len(own) - int((1 - LCS_LEAST) * len(text) + 1e-9))
+            if len(text) < SHORT and not any(self.telling[x] for x in text):
+                continue
+            least = 1 if len(text) < SHORT else LCS_LEAST if self.whole[u] else LCS_SURE
+            self.need[u] = max(1, len(own) - int((1 - least) * len(text) + 1e-9))
             for x in set(own):
-                owners[x].append(i)
+                owners[x].append(u)
         self.count = np.array([len(o) for o in owners])
         self.first = np.cumsum(self.count) - self.count
-        self.owners = np.array([i for o in owners for i in o], np.int64)
-        #: blocks that a run of the item's length can touch
-        self.reach = np.array([-(-len(t) // STRIDE) + 1 for t in items.texts], np.int64)
+        self.owners = np.array([u for o in owners for u in o], np.int64)
+        #: blocks that one and a half times the unit's length can touch
+        self.reach = np.array([-(-(len(t) * 3 // 2) // STRIDE) + 1 for _, t in self.units], np.int64)
 
     def pairs(self, codes: np.ndarray, first: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, first word, end word) of the passages with ``least`` telling words; repeats of a word within the item
-        count as often as they stand in the passage."""
+        """(document, unit, first word, end word) of the windows with ``least`` telling words; repeats of a word within the unit
+        count as often as they stand in the window."""
         none = np.zeros(0, np.int64)
         at = np.flatnonzero(self.count[codes])
         if not len(at):
@@ -267,50 +295,61 @@ def latent_basis(encoded: DataFrame, items: Items, tool: Passages, seed: int = 3
 
 
 def _search(items: Items, tool: Passages, basis: np.ndarray, batches: Iterator[pa.RecordBatch]):
-    """(id, tag, item, cosine, lcs share) of the documents of a partition that hold an item."""
+    """(id, tag, item, cosine, share of the unit, share of the item) of the documents of a partition that hold an item."""
     table = np.vstack([basis * tool.idf[:, None], np.zeros((2, basis.shape[1]))]).astype(np.float32)
-    latent = items.vectors(tool.idf) @ basis
-    latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-    lengths = np.array([len(t) for t in items.texts])
-    member = np.zeros((len(lengths), items.pad + 1), bool)
+    lengths = np.array([len(t) for _, t in tool.units])
+    owner = np.array([i for i, _ in tool.units])
+    latent = unit_rows(np.add.reduceat(table[np.concatenate([t for _, t in tool.units])], np.cumsum(lengths) - lengths, axis=0))
+    least = np.where(lengths < SHORT, 1, np.where(tool.whole, LCS_LEAST, LCS_SURE)) * lengths - 1e-9
+    member = np.zeros((len(items.texts), items.pad + 1), bool)
     for i, text in enumerate(items.texts):
         member[i, text] = True
     for b in batches:
         codes, first = _flat(b, 2, items.kind)
-        found = tool.pairs(codes, first)
-        # the passage with its surroundings: what the checks look at
-        found += (np.maximum(first[found[0]], found[2] - STRIDE), np.minimum(first[found[0] + 1], found[3] + lengths[found[1]] // 2))
-        best: dict[tuple[int, int], tuple[float, float]] = {}
-        for piece in pieces(found[5] - found[4]):
-            d, i, a, z, low, high = (x[piece] for x in found)
-            where, heads = spread(low, high)
-            inside = np.add.reduceat(member[np.repeat(i, high - low), codes[where]], heads, dtype=np.int64)
-            enough = inside >= LCS_LEAST * lengths[i] - 1e-9
+        doc, unit, start, end = tool.pairs(codes, first)
+        best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        order = np.argsort(~tool.whole[unit], kind="stable")  # whole items first: a document that holds one needs no passage
+        doc, unit, start, end = (x[order] for x in (doc, unit, start, end))
+        for piece in pieces(end - start):
+            d, u, a, z = (x[piece] for x in (doc, unit, start, end))
+            where, heads = spread(a, z)
+            inside = np.add.reduceat(member[np.repeat(owner[u], z - a), codes[where]], heads, dtype=np.int64)
+            enough = inside >= least[u]
             if not enough.any():
                 continue
-            d, i, a, z, low, high = (x[enough] for x in (d, i, a, z, low, high))
+            d, u, a, z = (x[enough] for x in (d, u, a, z))
             where, heads = spread(a, z)
-            projected = np.add.reduceat(table[codes[where]], heads, axis=0)
-            cosine = (projected * latent[i]).sum(1) / tool.norms(codes, a, z)
-            for w in np.flatnonzero(cosine >= COSINE):
-                key = (int(d[w]), int(i[w]))
+            cosine = (unit_rows(np.add.reduceat(table[codes[where]], heads, axis=0)) * latent[u]).sum(1)
+            for w in np.flatnonzero((cosine >= COSINE) | (lengths[u] < SHORT)):
+                key = (int(d[w]), int(owner[u[w]]))
                 if key not in best:
-                    share = checked(items.texts[i[w]], codes[low[w]:high[w]].tolist())
+                    text = tool.units[u[w]][1]
+                    share = checked(text, codes[a[w]:z[w]].tolist(), bool(tool.whole[u[w]]), tool.telling)
                     if share:
-                        best[key] = (float(cosine[w]), share)
+                        best[key] = (float(cosine[w]), share, share * len(text) / len(items.texts[key[1]]))
         if best:
             ids, tags = b.column(0).to_pylist(), b.column(1).to_pylist()
             yield list(zip(*((ids[d], tags[d], items.ids[i], *v) for (d, i), v in sorted(best.items()))))
 
 
-def checked(item: list[int], region: list[int]) -> float:
-    """The share of the item's words that the region holds in order, if that makes it a copy or a
-    paraphrase with its answer; else 0."""
-    share = lcs(item, region) / len(item)
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def checked(unit: list[int], region: list[int], whole: bool, telling: np.ndarray) -> float:
+    """The share of the unit's words that the region holds in order, if that makes it a copy or, of a whole
+    item, a paraphrase; else 0."""
+    if len(unit) < SHORT:
+        return float(any(region[i:i + len(unit)] == unit for i in range(len(region) - len(unit) + 1)))
+    share = lcs(unit, region) / len(unit)
     if share >= LCS_SURE:
         return share
-    if share >= LCS_LEAST:
-        answer = item[-ANSWER:]
+    if whole and share >= LCS_LEAST:
+        told = [x for x in unit if telling[x]]
+        kept = lcs(told, region) if told else 0
+        if kept >= max(EVIDENCE, LCS_LEAST * len(told)):
+            return share
+        answer = unit[-ANSWER:]
         span = 2 * len(answer)
         if any(3 * lcs(answer, region[i:i + span]) >= 2 * len(answer) for i in range(0, max(1, len(region) - len(answer)))):
             return share
@@ -324,7 +363,7 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Items
     rows = benchmark.filter(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), text_bytes(text_col).alias("t"))
     for r in rows.orderBy("i", "t").toLocalIterator():
         text = words(bytes(r["t"]))
-        if len(text) < LEAST_WORDS:
+        if not text:
             continue
         if some and (len(some) >= BLOCK or size + len(text) > BLOCK_WORDS):
             yield Items(some)
@@ -336,26 +375,27 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Items
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
-    """(id, tag, item, cosine, lcs), stored."""
+    """(id, tag, item, cosine, lcs, item_share), stored."""
     out = None
     for items in blocks(benchmark, item_col, item_text):
         encoded = stored(encode(docs, items, id_col, text_col), "decontam-codes")
         df, n = document_frequencies(encoded, items)
-        tool = Passages(items, df, n)
-        basis = latent_basis(encoded, items, tool)
+        basis = latent_basis(encoded, items, Passages(items, df, n))
+        tool = Passages(items, df, n, parts=True)
 
         def run(batches: Iterator[pa.RecordBatch], items=items, tool=tool, basis=basis):
             yield from _search(items, tool, basis, batches)
 
-        got = stored(map_partition(encoded, "id long, tag long, item long, cosine double, lcs double", run), "decontam-found")
+        got = stored(map_partition(encoded, "id long, tag long, item long, cosine double, lcs double, item_share double", run), "decontam-found")
         out = got if out is None else out.unionByName(got)
-    return out if out is not None else docs.sparkSession.createDataFrame([], "id long, tag long, item long, cosine double, lcs double")
+    return out if out is not None else docs.sparkSession.createDataFrame([], "id long, tag long, item long, cosine double, lcs double, item_share double")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(id_col, item_col, cosine, lcs): each document row with each benchmark item that it holds."""
+    """(id_col, item_col, cosine, lcs, item_share): each document row with each benchmark item that it holds,
+    whole or in part: the cosine, the share of the unit found and the share of the whole item that this makes."""
     return _found(docs, benchmark, id_col, text_col, item_col, item_text).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "lcs")
+        F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "lcs", "item_share")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

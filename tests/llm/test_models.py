@@ -156,6 +156,53 @@ def test_decontamination_planted(spark, docs_of):
     assert decontam_lsa.leaks(docs_of(rows), bench.limit(0)).count() == 0
 
 
+def pieces_of(rng, item, kind, vocab):
+    """What a text may hold of an item."""
+    n = len(item)
+    if kind == "passage":
+        at = rng.randrange(n - 12)
+        return item[at:at + 13]
+    if kind in ("first half", "60 %", "75 %"):
+        return item[:-(-n * {"first half": 50, "60 %": 60, "75 %": 75}[kind] // 100)]
+    if kind == "altered":
+        gone = set(rng.sample(range(n), round(0.3 * n)))
+        return [rng.choice(vocab) if k in gone else w for k, w in enumerate(item)]
+    return [x for w in item for x in ([w, rng.choice(vocab)] if rng.random() < 0.3 else [w])]  # words put in
+
+
+def test_decontamination_finds_parts_of_items(spark, docs_of):
+    rng = random.Random(19)
+    vocab = ["".join(rng.choices("bcdfglmnprst", k=3)) + str(i) for i in range(4000)]
+    common = ["the", "of", "and", "to", "in"]
+    text = lambda n: [rng.choice(common) if rng.random() < 0.4 else rng.choice(vocab) for _ in range(n)]
+    items = [text(rng.randint(26, 60)) for _ in range(60)]
+    kinds = ["passage", "first half", "60 %", "75 %", "altered", "words put in"]
+    rows, want = [], {k: set() for k in kinds}
+    for d in range(900):
+        words = text(rng.randint(30, 300))
+        if d % 2 == 0:
+            kind, i = kinds[d // 2 % 6], rng.randrange(60)
+            at = rng.randrange(len(words))
+            words[at:at] = pieces_of(rng, items[i], kind, vocab)
+            want[kind].add((d, i))
+        rows.append((d, " ".join(words)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.lcs, r.item_share) for r in decontam_lsa.leaks(docs_of(rows), bench).collect()}
+    assert not set(got) - set().union(*want.values())
+    for kind in kinds:
+        assert len(want[kind] & set(got)) >= 0.9 * len(want[kind]), kind
+    assert all(0.6 <= a <= 1 and 0 < b <= a for a, b in got.values())
+
+
+def test_decontamination_short_items_and_scripts_without_spaces(spark, docs_of):
+    items = ["zorbal quint", "東京都の人口は約千四百万人であり日本で最も多い都市です", "one", "a b c d"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(1, "so the Zorbal, quint is"), (2, "zorbal is quint"), (3, "まず、東京都の人口は約千四百万人であり日本で最も多い都市です。"), (4, "人口"), (5, "b c d a b c x"), (6, "x a b c d")]
+    rows += [(k, f"filler text number {k} of many") for k in range(10, 60)]
+    got = {(r.doc_id, r.item_id) for r in decontam_lsa.leaks(docs_of(rows), bench).collect()}
+    assert got == {(1, 0), (3, 1), (6, 3)}
+
+
 def test_lcs_against_brute_force():
     rng = random.Random(10)
     for _ in range(100):
