@@ -52,7 +52,7 @@ HEAD, HEAD_SHARED = 64, 34
 LEAST = 85
 WHOLE = HEAD * LEAST // 100
 #: Lists up to this length give their pairs as rows; leaders and blocks of longer ones; keys broadcast at most.
-SHORT, LEADERS, BLOCK = 64, 4, 1024
+SHORT, LEADERS, BLOCK = 64, 2, 1024
 BROADCAST = 1_000_000
 
 
