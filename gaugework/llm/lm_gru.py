@@ -14,9 +14,11 @@ backpropagation (windows of ``WINDOW`` tokens, state carried over) on every trai
 start from a bounded sample fitted on the driver: training documents in the order of xxhash64 of the
 id, up to ``SAMPLE_DOCS`` of them and ``SAMPLE_TOKENS`` tokens (a text that does not fit is left out).
 Then all training documents, long ones too, go through ``ROUNDS`` rounds by xxhash64 of id and text,
-each in one round: every task goes on from the weights so far with its partition's documents of the
-round, ``BLOCK`` tokens at a time, and Spark averages the tasks' changes, weighted by tokens, in whole
-numbers, so their order does not matter. Which documents share a task follows the input's partitions.
+each in one round and there in one of as many shards as the round has ``BLOCK`` tokens: every shard goes
+on from the weights so far with its documents in the order of the hash, ``BLOCK`` tokens at a time, and Spark
+averages the shards' changes, weighted by tokens, in whole numbers. So the weights depend on the documents
+alone, not on the input's files or the cluster's size. Every text is split into tokens twice, once to
+count and once to write it as two-byte numbers, which training and scoring read.
 
 Scoring runs over every whole text: texts of similar length advance in lockstep, window by window,
 their states carried across windows, so memory is bounded by lanes times window whatever a text's
@@ -24,8 +26,9 @@ length. A token outside the vocabulary has the network's probability of "other"
 share of it, (c + 1) / (R + T + 1): R training tokens outside the vocabulary, T distinct ones. As in
 ``base_score``, all tokens never seen are one more symbol.
 
-Counts of the ``COMMON`` most frequent tokens travel to the tasks (a bounded table); all others are
-found by a join on the token, which holds no frequent key.
+Counts of the most frequent tokens, ``COMMON`` at most, travel to the tasks (a bounded table, chosen by a
+histogram of counts, so that the driver gets no more of them at any size); all others are found by a
+join on the token, which holds no frequent key.
 
 Edge cases: a null text is empty and is scored for its end token; a null id counts as crc32 of '';
 repeated rows each keep their row and count as often in training; without training documents N is
@@ -36,6 +39,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +53,11 @@ END = b""  # no word is empty
 VOCABULARY, CLASSES = 1024, 32
 HIDDEN, EMBEDDING = 24, 16
 WINDOW = 16
-LANES = 512
+LANES, UPDATES = 512, 128
 SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 400_000
 ROUNDS, ROUND_RATE, BLOCK = 4, 0.004, 1 << 20
 UNIT = float(1 << 20)
-COMMON = 100_000
+COMMON, STEPS = 100_000, 16
 FLUSH = 200_000
 
 
@@ -84,6 +88,7 @@ class Network:
         some = np.zeros(classes * self.size)
         some[:len(counts)] = counts + 0.5
         by_class = some.reshape(classes, self.size)
+        by_class[by_class.sum(1) == 0] = 1e-9  # a class without tokens is never asked for
         with np.errstate(divide="ignore"):
             inside = np.log(by_class / by_class.sum(1, keepdims=True))
         normal = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
@@ -117,10 +122,11 @@ class Network:
         starts anew after an end token."""
         p, n, (steps, lanes) = self.p, self.hidden, inputs.shape
         kept, states, before = [], [], []
+        table = p["embed"] @ p["wx"] + p["bx"]
         for t in range(steps):
-            h = np.where((inputs[t] == end)[:, None], 0, h).astype(np.float32)
+            h = h * (inputs[t] != end)[:, None].astype(h.dtype)
             before.append(h)
-            h, *more = self.step(p["embed"][inputs[t]] @ p["wx"] + p["bx"], h)
+            h, *more = self.step(table[inputs[t]], h)
             kept.append(more)
             states.append(h)
         flat, wanted, total = np.concatenate(states), targets.ravel(), steps * lanes
@@ -132,8 +138,12 @@ class Network:
         d[np.arange(total), kind] -= 1
         d /= total
         grad["cw"], grad["cb"], dh = flat.T @ d, d.sum(0), d @ p["cw"].T
-        for c in np.unique(kind):
-            some = np.flatnonzero(kind == c)
+        by_kind = np.argsort(kind, kind="stable")
+        edges = np.searchsorted(kind[by_kind], np.arange(self.classes + 1))
+        for c in range(self.classes):
+            some = by_kind[edges[c]:edges[c + 1]]
+            if not len(some):
+                continue
             logs = _log_softmax(flat[some] @ p["ow"][c] + p["ob"][c])
             loss -= logs[np.arange(len(some)), inside[some]].sum()
             d = np.exp(logs)
@@ -141,20 +151,22 @@ class Network:
             d /= total
             grad["ow"][c], grad["ob"][c] = flat[some].T @ d, d.sum(0)
             dh[some] += d @ p["ow"][c].T
-        dh, carried = dh.reshape(steps, lanes, n), np.zeros((lanes, n), np.float32)
+        dh, carried = dh.reshape(steps, lanes, n), np.zeros((lanes, n), flat.dtype)
+        dx, dy = np.empty((steps, lanes, 3 * n), flat.dtype), np.empty((steps, lanes, 3 * n), flat.dtype)
         for t in reversed(range(steps)):
             update, reset, candidate, y = kept[t]
             g = dh[t] + carried
             d_candidate = g * (1 - update) * (1 - candidate ** 2)
             d_update = g * (before[t] - candidate) * update * (1 - update)
-            d_reset = d_candidate * y * reset * (1 - reset)
-            dx = np.concatenate([d_update, d_reset, d_candidate], 1)
-            dy = np.concatenate([d_update, d_reset, d_candidate * reset], 1)
-            grad["wh"] += before[t].T @ dy
-            grad["wx"] += p["embed"][inputs[t]].T @ dx
-            grad["bx"] += dx.sum(0)
-            np.add.at(grad["embed"], inputs[t], dx @ p["wx"].T)
-            carried = (g * update + dy @ p["wh"].T) * (inputs[t] != end)[:, None]
+            dx[t, :, :n], dx[t, :, n:2 * n], dx[t, :, 2 * n:] = d_update, d_candidate * y * reset * (1 - reset), d_candidate
+            dy[t, :, :2 * n], dy[t, :, 2 * n:] = dx[t, :, :2 * n], d_candidate * reset
+            carried = (g * update + dy[t] @ p["wh"].T) * (inputs[t] != end)[:, None]
+        dx, asked = dx.reshape(total, 3 * n), inputs.ravel()
+        grad["wh"] = np.concatenate(before).T @ dy.reshape(total, 3 * n)
+        grad["wx"], grad["bx"] = p["embed"][asked].T @ dx, dx.sum(0)
+        order = np.argsort(asked, kind="stable")
+        first = np.flatnonzero(np.diff(asked[order], prepend=-1))
+        grad["embed"][asked[order[first]]] = np.add.reduceat((dx @ p["wx"].T)[order], first, axis=0)
         return grad, h, float(loss / total)
 
     def flat(self) -> np.ndarray:
@@ -248,7 +260,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 class Model:
-    """What scoring needs in each task: the network, its vocabulary, and the common counts."""
+    """What the tasks need: the network, its vocabulary, and the common counts."""
 
     def __init__(self, network: Network, vocabulary: dict[bytes, int], common: dict[bytes, int], known: np.ndarray, others: float) -> None:
         self.network, self.vocabulary, self.common = network, vocabulary, common
@@ -256,81 +268,146 @@ class Model:
         self.share = self.logs - self.floor
         self.share[[common[w] for w in vocabulary if w in common]] = 0
         self.end, self.other = vocabulary.get(END, 0), len(vocabulary)
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        get, other = self.vocabulary.get, self.other
-        return np.array([get(w, other) for w in words], np.int16)
+        self.number = np.full(len(common) + 1, self.other, np.int16)  # by place among the common tokens; the last is none of them
+        for w, i in common.items():
+            self.number[i] = vocabulary.get(w, self.other)
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Places among the common tokens, -1 for others."""
+        return np.fromiter(map(self.common.get, words, repeat(-1)), np.int64, len(words))
+
+    def numbers(self, places: np.ndarray) -> np.ndarray:
+        """The network's numbers of a text; its end token is always one of them."""
+        out = self.number[places]
+        out[-1] = self.end
+        return out
 
 
-def learn(rows: DataFrame, counts: DataFrame) -> tuple[Model, int, int]:
-    """(model, N, V): gather the corpus statistics, then fit the network on the bounded sample."""
+def common_tokens(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """The most frequent tokens, ``COMMON`` at most, by count and token. Counts fall into ``STEPS`` bins a doubling; of the
+    bin that does not fit whole, tokens by their hash."""
+    level = F.floor(F.log2("c") * STEPS).cast("int")
+    bins = sorted(((r["b"], r["n"]) for r in counts.groupBy(level.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)  # 64 * STEPS at most
+    left, split = COMMON, None
+    for b, n in bins:
+        if n > left:
+            split = b
+            break
+        left -= n
+    some = counts if split is None else counts.filter(level > split)
+    if split is not None:
+        part = F.pmod(F.xxhash64("token"), F.lit(1 << 12))
+        sizes = sorted((r["p"], r["n"]) for r in counts.filter(level == split).groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+        upto = 0
+        for p, n in sizes:
+            if n > left:
+                break
+            left, upto = left - n, p + 1
+        some = some.unionByName(counts.filter((level == split) & (part < upto)))
+    return sorted(((bytes(r["token"]), r["c"]) for r in some.select("token", "c").collect()), key=lambda x: (-x[1], x[0]))  # COMMON at most
+
+
+def prepare(counts: DataFrame) -> tuple[Model, int, int]:
+    """(model with an unfitted network, N, V) from the corpus statistics."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(COMMON).toPandas()  # at most COMMON rows
-    common = {bytes(w): i for i, w in enumerate(top["token"])}
+    top = common_tokens(counts)
+    common = {w: i for i, (w, _) in enumerate(top)}
     frequent = list(common)[:VOCABULARY - 1]
     if END not in frequent:
         frequent[-1:] = [END]
     vocabulary = {w: i for i, w in enumerate(frequent)}
-    known = top["c"].to_numpy(np.float64)
+    known = np.array([c for _, c in top], np.float64)
     own = np.array([known[common[w]] if w in common else 0.0 for w in frequent])
     counted = np.append(own, max(total - own.sum(), 1.0))
-
     others = max(float(total - own.sum()), 0.0) + max(float(distinct - len(vocabulary)), 0.0)
-    network = Network(counted)
-    model = Model(network, vocabulary, common, known, others)
+    return Model(Network(counted), vocabulary, common, known, others), int(total), int(distinct)
+
+
+def encode(rows: DataFrame, model: Model) -> DataFrame:
+    """Every text as two-byte numbers with its counts and sums; ``rest`` lists the tokens outside the common ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        uid = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            codes, rest, known, base, shares, lengths = [], [], [], [], [], []
+            for t in batch.column(3):
+                words = tokens(t.as_buffer().to_pybytes())
+                at = model.places(words)
+                missing = np.flatnonzero(at < 0)
+                rest.append([words[i] for i in missing.tolist()])
+                found = at[at >= 0] if len(missing) else at
+                known.append(len(found))
+                base.append(float(model.logs[found].sum()))
+                shares.append(float(model.share[found].sum()))
+                codes.append(model.numbers(at).tobytes())
+                lengths.append(len(words))
+            yield (np.arange(uid, uid + len(codes)), *batch.columns[:3], lengths, known, base, shares, codes, pa.array(rest, pa.list_(pa.binary())))
+            uid += len(codes)
 
-    sample = rows.filter("NOT out AND id IS NOT NULL").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
-    drawn = rows.filter("NOT out").join(F.broadcast(sample), "id").select("id", "t")  # SAMPLE_DOCS numbers at most
+    return _scored(rows.select("id", "out", F.xxhash64("id", "t").alias("h"), "t"),
+                   "uid long, id long, out boolean, h long, n long, known long, base double, share double, codes binary", run)
 
-    def encode(ids: pa.Array, texts: pa.Array):
-        made = [model.numbers(tokens(t.as_buffer().to_pybytes())) for t in texts]
-        # a text beyond the whole bound cannot be in the sample, so it does not travel
-        return ids, [x.tobytes() if len(x) <= SAMPLE_TOKENS else b"" for x in made]
 
+def learn(encoded: DataFrame, model: Model, total: int) -> None:
+    """Fit the network: on a bounded sample here, then on every training document in rounds."""
+    ours = encoded.filter("NOT out")
+    sample = ours.filter("id IS NOT NULL").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
+    drawn = ours.filter(F.col("n") <= SAMPLE_TOKENS).join(F.broadcast(sample), "id").select("id", "codes")  # SAMPLE_DOCS numbers at most
     stream, left = [], SAMPLE_TOKENS
-    for r in map_batches(drawn, "id long, x binary", encode).orderBy(F.xxhash64("id"), "id", "x").toLocalIterator():
-        x = np.frombuffer(r["x"], np.int16)
-        if 0 < len(x) <= left:
+    for r in drawn.orderBy(F.xxhash64("id"), "id", "codes").toLocalIterator():
+        x = np.frombuffer(r["codes"], np.int16)
+        if len(x) <= left:
             stream.append(x)
             left -= len(x)
     if stream:
-        network.fit(np.concatenate(stream).astype(np.int64), model.end)
+        network_fit(model, np.concatenate(stream), 0.01, {})
     for k in range(ROUNDS):
-        train_round(rows, model, k, ROUND_RATE / (k + 1))
-    return model, int(total), int(distinct)
+        train_round(ours, model, k, ROUND_RATE / (k + 1), max(1, -(-total // (ROUNDS * BLOCK))))
+
 
+def network_fit(model: Model, stream: np.ndarray, rate: float, moments: dict, net: Network | None = None) -> None:
+    """One pass over a stream, in as many lanes as leave ``UPDATES`` steps of the weights, ``LANES`` at most."""
+    stream = stream.astype(np.int64)
+    lanes = max(1, min(LANES, len(stream) // (WINDOW * UPDATES)))
+    stream = np.append(stream, stream[:-len(stream) % lanes])  # whole lanes, so that no token is left out
+    (net or model.network).fit(stream, model.end, lanes=lanes, rate=rate, moments=moments)
 
-def train_round(rows: DataFrame, model: Model, k: int, rate: float) -> None:
-    """Every task trains on its training documents of round ``k``; the weights move by the average change."""
+
+def train_round(ours: DataFrame, model: Model, k: int, rate: float, shards: int) -> None:
+    """Every shard trains on its documents of round ``k``; the weights move by the average change."""
     start = model.network.flat()
 
     def run(batches: Iterator[pa.RecordBatch]):
-        net, moments, parts, waiting, total = model.network, {}, [], 0, 0
-        net.load(start)
+        shard, net, moments, parts, waiting, total = None, model.network, {}, [], 0, 0
+
+        def go_on() -> None:
+            nonlocal parts, waiting, total
+            if parts:
+                network_fit(model, np.concatenate(parts), rate, moments, net)
+                total, waiting, parts = total + waiting, 0, []
 
-        def learn_from(parts: list[np.ndarray]) -> None:
-            stream = np.concatenate(parts).astype(np.int64)
-            lanes = max(1, min(64, len(stream) // (2 * WINDOW)))
-            stream = np.append(stream, stream[:-len(stream) % lanes])  # whole lanes, so that no token is left out
-            net.fit(stream, model.end, lanes=lanes, rate=rate, moments=moments)
+        def close():
+            change = np.rint((net.flat() - start) * UNIT).astype(np.int64) * total
+            return np.arange(-1, len(change)), np.append(total, change)
 
         for batch in batches:
-            for t in batch.column(0):
-                parts.append(model.numbers(tokens(t.as_buffer().to_pybytes())))
+            for own, x in zip(batch.column(0).to_pylist(), batch.column(2)):
+                if own != shard:
+                    go_on()
+                    if total:
+                        yield close()
+                    shard, moments, total = own, {}, 0
+                    net.load(start)
+                parts.append(np.frombuffer(x.as_buffer(), np.int16))
                 waiting += len(parts[-1])
                 if waiting >= BLOCK:
-                    learn_from(parts)
-                    total, waiting, parts = total + waiting, 0, []
-        if parts:
-            learn_from(parts)
-            total += waiting
+                    go_on()
+        go_on()
         if total:
-            with np.errstate(invalid="ignore"):
-                change = np.nan_to_num(net.flat() - start, nan=0.0)  # an empty class stays at minus infinity
-            change = np.rint(change * UNIT).astype(np.int64) * total
-            yield np.arange(-1, len(change)), np.append(total, change)
+            yield close()
 
-    mine = rows.filter("NOT out").filter(F.pmod(F.xxhash64("id", "t"), F.lit(ROUNDS)) == k).select("t")
+    mine = ours.filter(F.pmod("h", F.lit(ROUNDS)) == k).select(F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(shards)).alias("shard"), "h", "codes")
+    mine = mine.repartition("shard").sortWithinPartitions("shard", "h")
     moved = map_partition(mine, "at long, change long", run).groupBy("at").agg(F.sum("change").alias("change")).toPandas()  # a row a weight
     if len(moved):
         by = moved.sort_values("at")["change"].to_numpy()
@@ -341,40 +418,27 @@ def likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``."""
     rows = _rows(docs, id_col, text_col, folds, held)
     counts = stored(token_counts(rows), "lm-counts")
-    model, total, distinct = learn(rows, counts)
+    model, total, distinct = prepare(counts)
+    encoded = stored(encode(rows, model), "lm-codes")
+    learn(encoded, model, total)
     ln10 = float(np.log(10))
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        uid = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            texts, rest, known, base, shares, lengths = [], [], [], [], [], []
-            for t in batch.column(2):
-                words = tokens(t.as_buffer().to_pybytes())
-                numbers = model.numbers(words)
-                at = [model.common.get(w, -1) for w in words]
-                rest.append([w for w, i in zip(words, at) if i < 0])
-                found = np.array(at)
-                found = found[found >= 0]
-                known.append(len(found))
-                base.append(float(model.logs[found].sum()))
-                shares.append(float(model.share[found].sum()))
-                texts.append(numbers)
-                lengths.append(len(words))
-            scores = model.network.score(texts, model.end) / ln10 + np.array(shares)
-            yield (np.arange(uid, uid + len(texts)), batch.column(0), batch.column(1), lengths, known, base, scores, pa.array(rest, pa.list_(pa.binary())))
-            uid += len(texts)
-
-    schema = "uid long, id long, out boolean, n long, known long, base double, score double"
-    first = _scored(rows, schema, run)
-    found = stored(first, "lm-scores")
-    others = found.select("uid", F.explode("rest").alias("token")).join(counts, "token")
+    def run(uids: pa.Array, shares: pa.Array, codes: pa.Array, *rest: pa.Array):
+        texts = [np.frombuffer(x.as_buffer(), np.int16).astype(np.int64) for x in codes]
+        return uids, model.network.score(texts, model.end) / ln10 + shares.to_numpy(), *rest
+
+    own = ["id", "out", "n", "known", "base", "left"]
+    kept = encoded.withColumn("left", F.size("rest")).select("uid", "share", "codes", *own)
+
+    scored = map_batches(kept, "uid long, score double, id long, out boolean, n long, known long, base double, left int", run)
+    others = encoded.select("uid", F.explode("rest").alias("token")).join(counts, "token")
     others = others.groupBy("uid").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("add"))
     floor = float(np.log10(total + distinct + 1))
-    return found.join(others, "uid", "left").select(
+    return scored.join(others, "uid", "left").select(
         F.col("id").alias(id_col), F.col("out").alias("held_out"), F.col("n").alias("n_tokens"),
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("add", F.lit(0.0)) - F.col("n") * floor).alias("base_score"),
-        (F.col("score") + F.coalesce("add", F.lit(0.0)) - F.size("rest") * model.floor).alias("score"))
+        (F.col("score") + F.coalesce("add", F.lit(0.0)) - F.col("left") * model.floor).alias("score"))
 
 
 def _scored(rows: DataFrame, schema: str, function) -> DataFrame:

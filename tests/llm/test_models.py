@@ -212,3 +212,51 @@ def test_lcs_against_brute_force():
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
         assert decontam_lsa.lcs(a, b) == table[-1][-1]
+
+
+def test_network_against_a_plain_step_by_step_network():
+    """Every token by itself, with loops and float64: gates, class, token inside the class."""
+    import math
+
+    net = lm_gru.Network(np.arange(1.0, 13.0), hidden=3, embedding=2, classes=3)
+    rng = np.random.default_rng(7)
+    net.p = {k: rng.normal(0, 0.5, v.shape) for k, v in net.p.items()}
+    p, n = net.p, 3
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def log_softmax(x, i):
+        return x[i] - math.log(sum(math.exp(v) for v in x))
+
+    texts, want = [[4, 1, 11, 0], [0], [7, 7, 2, 9, 3, 0]], []
+    for text in texts:
+        h, last, total = [0.0] * n, 0, 0.0
+        for token in text:
+            x = [sum(p["embed"][last][e] * p["wx"][e][j] for e in range(2)) + p["bx"][j] for j in range(3 * n)]
+            y = [sum(h[i] * p["wh"][i][j] for i in range(n)) for j in range(3 * n)]
+            new = []
+            for i in range(n):
+                update, reset = sigmoid(x[i] + y[i]), sigmoid(x[n + i] + y[n + i])
+                candidate = math.tanh(x[2 * n + i] + reset * y[2 * n + i])
+                new.append(update * h[i] + (1 - update) * candidate)
+            h = new
+            kind, inside = divmod(token, net.size)
+            total += log_softmax([sum(h[i] * p["cw"][i][c] for i in range(n)) + p["cb"][c] for c in range(3)], kind)
+            total += log_softmax([sum(h[i] * p["ow"][kind][i][w] for i in range(n)) + p["ob"][kind][w] for w in range(net.size)], inside)
+            last = token
+        want.append(total)
+    assert np.allclose(net.score([np.array(t) for t in texts], end=0), want, rtol=1e-5)
+
+
+def test_scores_do_not_follow_the_partitions(docs_of, monkeypatch):
+    monkeypatch.setattr(lm_gru, "BLOCK", 2_000)  # several shards a round
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(200)))) for i in range(120)]
+    runs = [{r.doc_id: r.score for r in lm_gru.likelihood(docs_of(rows).repartition(n)).collect()} for n in (1, 5)]
+    assert runs[0].keys() == runs[1].keys() and all(abs(runs[0][k] - runs[1][k]) < 1e-3 for k in runs[0])
+
+
+def test_common_tokens_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lm_gru, "COMMON", 50)
+    counts = spark.createDataFrame([(f"t{i}".encode(), 1000 - i if i < 30 else 7) for i in range(500)], "token binary, c long")
+    got = lm_gru.common_tokens(counts)
+    assert [t for t, _ in got[:30]] == [f"t{i}".encode() for i in range(30)] and 30 <= len(got) <= 50
