@@ -4,8 +4,8 @@ Rings are exploded to edges in the task that reads them; after that only edges (
 polygon's hash) and boxes travel. Two joins, both on equal keys:
 
 * **Near the boundary.** A quadtree cell is (level, row, column); level ``l`` cuts the world into
-  ``2^l`` rows and columns. An edge's box, widened by the distance, takes the deepest level at
-  which it covers at most two rows, and goes to the cells that it touches. A point goes to its cell
+  ``2^l`` rows and columns. An edge's box, widened by the distance, takes a level at
+  which it covers a few rows (``FINER``), and goes to the cells that it touches. A point goes to its cell
   on every level that edges use (at most ``LEVELS``). A cell with too many edges splits: its edges
   and points go to its children, as deep as its load asks, so a dense place is many keys.
 * **Inside.** A point's candidates are the polygons whose box holds it (same cells, by box). Each polygon
@@ -30,6 +30,8 @@ from gaugework.functions.geo import WGS84_A, WGS84_B
 from gaugework.operators.spatial import local_xy, steps
 
 LEVELS = 20
+#: Levels by which an edge's cells are finer than its box: more cells an edge, fewer points a cell that are too far.
+FINER = 2
 POLAR = 88.0
 #: Edges of a polygon that share a row band, about.
 BAND_EDGES = 32
@@ -97,7 +99,7 @@ def _degrees_around(edge_rows: DataFrame, metres: float) -> DataFrame:
     side = F.when(top < 90, F.lit(metres / WGS84_A * 180 / math.pi * 1.01) / F.cos(F.radians(top))).otherwise(F.lit(180.0))
     side = F.least(side, F.lit(180.0))
     out = out.withColumn("bw", F.least("x1", "x2") - side).withColumn("be", F.greatest("x1", "x2") + side)
-    return out.withColumn("level", _deepest(F.col("bn") - F.col("bs"), 180.0))
+    return out.withColumn("level", F.least(_deepest(F.col("bn") - F.col("bs"), 180.0) + FINER, F.lit(LEVELS)).cast("int"))
 
 
 def _polar_xy(lon: Column, lat: Column) -> tuple[Column, Column]:
@@ -151,11 +153,14 @@ def near(points: DataFrame, edge_rows: DataFrame, levels: list[int], heavy: Data
         e = _split(e, heavy, inside)
         p = _split(p, heavy, F.array(_cell(deep, _row(F.col("py"), deep), _column(F.col("px"), deep))))
     key = "cell" if heavy is None else "child"
-    e = e.select(F.col(key).alias("k"), "shape", "x1", "y1", "x2", "y2")
+    e = e.select(F.col(key).alias("k"), "shape", "x1", "y1", "x2", "y2", "bw", "bs", "be", "bn")
     hit = p.select(F.col(key).alias("k"), "pid", "px", "py").join(e, "k")
+    # the widened box once more, point by point, before any trigonometry
+    hit = hit.filter((F.col("py") >= F.col("bs")) & (F.col("py") <= F.col("bn")) & (F.pmod(F.col("px") - F.col("bw"), F.lit(360.0)) <= F.col("be") - F.col("bw")))
     hit = hit.select("pid", "px", "py", "shape", *_around(F.col("px"), F.col("py")))
-    hit = hit.select("pid", "px", "py", "shape", _to_segment().alias("d2")).filter(F.col("d2") <= metres * metres)
-    return hit.groupBy("pid", "px", "py", "shape").agg(F.min("d2").alias("d2"))
+    # the limit comes after the minimum: a filter before it would be pushed below both projections and copy them
+    least = hit.groupBy("pid", "px", "py", "shape").agg(F.min(_to_segment()).alias("d2"))
+    return least.filter(F.col("d2") <= metres * metres)
 
 
 def _parent(cell: Column, depth: Column) -> Column:

@@ -38,59 +38,59 @@ so AS (
          CASE WHEN l.user_id IS NULL THEN NULL ELSE false END AS error, s.percentile_5, s.percentile_95
   FROM split s LEFT JOIN latest l ON s.rloi_id = l.user_id AND {DIR_JOIN_SQL.format(q='l.event_type')})"""
 
+#: The statement follows the rules of SURVEY §2 (J5, J6, F3, F4, F8, O1): one table of positions, neighbours taken from it
+#: by position, labels from a small table of station kinds.
 RIVERS_SQL = f"""
 WITH {CTX_SQL},
 {OVERVIEW_SQL},
-sc AS (SELECT c.c_custkey AS rloi_id, CAST(c.c_custkey AS VARCHAR) AS telemetry_id,
-              CASE r.r_name WHEN 'EUROPE' THEN 'Wales' ELSE r.r_name END AS region,
-              CASE c.c_custkey % 3 WHEN 0 THEN 'Dee' WHEN 1 THEN 'Wye' ELSE 'Other' END AS catchment,
-              c.c_mktsegment AS wiski_river_name, c.c_name AS agency_name, c.c_name AS external_name,
-              CASE WHEN c.c_acctbal < 0 THEN 'Closed' ELSE 'Active' END AS status
-       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
-ss AS (SELECT s.rloi_id, s.qualifier, s.station_type, sc.telemetry_id, sc.region, sc.catchment, sc.wiski_river_name,
-              sc.agency_name, sc.external_name, sc.status
-       FROM split s JOIN sc USING (rloi_id)),
-river_stations AS (
-  SELECT 'river-' || CAST(c_nationkey AS VARCHAR) AS river_id, c_custkey AS rloi_id,
-         CAST(floor(c_acctbal / 1000) AS INTEGER) AS rank FROM customer WHERE c_custkey % 4 <> 0
-  UNION ALL
-  SELECT 'river-' || CAST(c_nationkey AS VARCHAR), c_custkey + 1000000, CAST(floor(c_acctbal / 1000) AS INTEGER)
-  FROM customer WHERE c_custkey % 50 = 0),
-river AS (SELECT 'river-' || CAST(n_nationkey AS VARCHAR) AS id, 'River ' || n_name AS name,
-                 n_name || ' (' || CAST(n_regionkey AS VARCHAR) || ')' AS qualified_name
-          FROM nation WHERE n_regionkey <> 4),
-live AS (SELECT rs1.river_id, rs1.rloi_id, rs1.rank,
-                rank() OVER (PARTITION BY rs1.river_id ORDER BY rs1.rank ASC NULLS LAST) AS calc_rank
-         FROM river_stations rs1 WHERE rs1.rloi_id IN (SELECT rloi_id FROM ctx)),
-rs AS (SELECT l.river_id, rv.name, rv.qualified_name, l.rloi_id, l.calc_rank
-       FROM live l JOIN river rv ON l.river_id = rv.id),
-j AS (
-  SELECT ss.*, so.processed_value AS value, so.trend, so.value_timestamp, so.error AS value_erred,
-         so.percentile_5, so.percentile_95, rs.river_id AS rs_river_id, rs.name AS rs_name,
-         rs.qualified_name AS river_qualified_name, rs.calc_rank AS rank, up.rloi_id AS up, down.rloi_id AS down
-  FROM ss JOIN so ON ss.rloi_id = so.rloi_id AND ss.qualifier = so.direction
-  LEFT JOIN rs ON rs.rloi_id = ss.rloi_id
-  LEFT JOIN live up ON rs.river_id = up.river_id AND up.calc_rank = rs.calc_rank - 1
-  LEFT JOIN live down ON rs.river_id = down.river_id AND down.calc_rank = rs.calc_rank + 1
-  WHERE lower(ss.status) <> 'closed' AND (lower(ss.region) <> 'wales' OR ss.catchment IN ('Dee', 'Severn Uplands', 'Wye'))),
-lab AS (
-  SELECT j.*,
-         CASE WHEN rs_river_id IS NOT NULL THEN rs_river_id WHEN station_type = 'C' THEN 'Sea Levels'
-              WHEN station_type = 'G' THEN 'Groundwater Levels' ELSE wiski_river_name END AS river_id,
-         CASE WHEN rs_name IS NOT NULL THEN rs_name WHEN station_type = 'C' THEN 'Sea Levels'
-              WHEN station_type = 'G' THEN 'Groundwater Levels' ELSE wiski_river_name END AS river_name,
-         rs_name IS NOT NULL AS navigable,
-         CASE WHEN rs_river_id IS NOT NULL THEN 1 WHEN station_type = 'C' THEN 2
-              WHEN station_type = 'G' THEN 3 ELSE 4 END AS view_rank,
-         lower(region) = 'wales' OR rloi_id IN (4162, 4170, 4173, 4174, 4176) AS iswales
-  FROM j)
+kinds(kind, label, place_in_list) AS (VALUES ('C', 'Sea Levels', 2), ('G', 'Groundwater Levels', 3)),
+listed AS (
+  SELECT 'river-' || CAST(c_nationkey AS VARCHAR) AS river, unnest(CASE WHEN c_custkey % 50 = 0 AND c_custkey % 4 <> 0 THEN [c_custkey, c_custkey + 1000000]
+         WHEN c_custkey % 50 = 0 THEN [c_custkey + 1000000] WHEN c_custkey % 4 <> 0 THEN [c_custkey] ELSE [] END) AS station,
+         CAST(floor(c_acctbal / 1000) AS INTEGER) AS raw_rank
+  FROM customer
+),
+positions AS (
+  SELECT river, station, rank() OVER (PARTITION BY river ORDER BY raw_rank ASC NULLS LAST) AS position
+  FROM listed SEMI JOIN ctx ON listed.station = ctx.rloi_id
+),
+along AS (
+  SELECT here.river, here.station, here.position, upper.station AS up, lower.station AS down,
+         'River ' || n_name AS title, n_name || ' (' || CAST(n_regionkey AS VARCHAR) || ')' AS full_title
+  FROM positions here
+  JOIN nation ON here.river = 'river-' || CAST(n_nationkey AS VARCHAR) AND n_regionkey <> 4
+  LEFT JOIN positions upper ON upper.river = here.river AND upper.position + 1 = here.position
+  LEFT JOIN positions lower ON lower.river = here.river AND lower.position - 1 = here.position
+),
+stations AS (
+  SELECT c_custkey AS rloi_id, CAST(c_custkey AS VARCHAR) AS telemetry_id, replace(r_name, 'EUROPE', 'Wales') AS region,
+         ['Dee', 'Wye', 'Other'][c_custkey % 3 + 1] AS catchment, c_mktsegment AS wiski_river_name, c_name AS agency_name,
+         c_name AS external_name, if(c_acctbal < 0, 'Closed', 'Active') AS status
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+),
+in_scope AS (
+  SELECT * FROM stations WHERE lower(status) <> 'closed' AND (lower(region) <> 'wales' OR catchment IN ('Dee', 'Severn Uplands', 'Wye'))
+),
+shown AS (
+  SELECT g.rloi_id, o.direction AS qualifier, v.station_type, telemetry_id, region, catchment, wiski_river_name, agency_name, external_name, status,
+         o.processed_value AS value, o.trend, o.value_timestamp, o.error AS value_erred, o.percentile_5, o.percentile_95,
+         a.full_title AS river_qualified_name, a.position AS rank, a.up, a.down,
+         coalesce(a.river, k.label, wiski_river_name) AS river_id, coalesce(a.title, k.label, wiski_river_name) AS river_name,
+         a.title IS NOT NULL AS navigable, CASE WHEN a.river IS NULL THEN coalesce(k.place_in_list, 4) ELSE 1 END AS view_rank,
+         lower(region) = 'wales' OR g.rloi_id IN (4162, 4170, 4173, 4174, 4176) AS iswales
+  FROM in_scope g
+  JOIN split v ON v.rloi_id = g.rloi_id
+  JOIN so o ON o.rloi_id = v.rloi_id AND o.direction = v.qualifier
+  LEFT JOIN along a ON a.station = g.rloi_id
+  LEFT JOIN kinds k ON k.kind = v.station_type
+)
 SELECT rloi_id, qualifier, station_type, telemetry_id, region, catchment, wiski_river_name, agency_name,
        external_name, status, value, trend, value_timestamp, value_erred, percentile_5, percentile_95,
        river_qualified_name, CAST(rank AS BIGINT) AS rank, up, down, river_id, river_name, navigable, view_rank, iswales,
        row_number() OVER (ORDER BY view_rank ASC NULLS LAST, river_id ASC NULLS LAST, rank ASC NULLS LAST,
                                    external_name ASC NULLS LAST, qualifier DESC NULLS FIRST,
                                    {{rest}}) AS id
-FROM lab"""
+FROM shown"""
 
 REST = sorted({"rloi_id", "station_type", "telemetry_id", "region", "catchment", "wiski_river_name", "agency_name",
                "status", "value", "trend", "value_timestamp", "value_erred", "percentile_5", "percentile_95",
@@ -162,7 +162,7 @@ u AS (
          status, qualifier, iswales, value, value_timestamp, value_erred, trend, percentile_5, percentile_95,
          CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS day_total,
          CAST(NULL AS DOUBLE) AS six_hr_total, CAST(NULL AS DOUBLE) AS one_hr_total
-  FROM lab
+  FROM shown
   UNION
   SELECT 'rainfall-' || region, 'Rainfall ' || region, NULL, false, 5, NULL, NULL, NULL, NULL, station_reference,
          region, NULL, NULL, station_name, station_name, 'R', 'Active', NULL, false, value, value_timestamp, false,

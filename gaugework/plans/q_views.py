@@ -64,11 +64,11 @@ def q_warnings_area(spark, sf):
 THRESH_SQL = """
 fst AS (SELECT o_custkey AS rloi_id, o_orderkey AS threshold_id,
                'Brand#' || CAST(o_orderkey % 28 + 1 AS VARCHAR) AS fwis_code, o_totalprice / 1000 AS value
-        FROM orders WHERE o_orderpriority = '1-URGENT')"""
+        FROM orders)"""
 
 
 def thresholds(spark, sf):
-    o = t(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    o = t(spark, sf, "orders")
     return o.select(F.col("o_custkey").alias("rloi_id"), F.col("o_orderkey").alias("threshold_id"),
                     F.concat(F.lit("Brand#"), (F.col("o_orderkey") % 28 + 1).cast("string")).alias("fwis_code"),
                     (F.col("o_totalprice") / 1000).alias("value"))
@@ -76,14 +76,12 @@ def thresholds(spark, sf):
 
 @query("threshold_lookup", f"""
 WITH {AREAS_SQL}, {THRESH_SQL}
-SELECT s.rloi_id, s.threshold_id, s.fwis_code, s.value,
-       coalesce(faa.ta_name, fwa.ta_name) AS fwa_name,
-       CASE WHEN faa.gid IS NOT NULL THEN 'a' WHEN fwa.gid IS NOT NULL THEN 'w' ELSE '' END AS fwa_type,
-       coalesce(cf.severity_value, -1) AS fwa_severity
-FROM fst s
-LEFT JOIN alert faa ON faa.fws_tacode = s.fwis_code
-LEFT JOIN warn fwa ON fwa.fws_tacode = s.fwis_code
-LEFT JOIN fwis cf ON cf.ta_code = s.fwis_code
+, named AS (
+  SELECT fws_tacode AS fwis_code, ta_name AS fwa_name, 'a' AS fwa_type FROM alert
+  UNION ALL SELECT fws_tacode, ta_name, 'w' FROM warn
+), in_force AS (SELECT ta_code AS fwis_code, severity_value AS fwa_severity FROM fwis)
+SELECT rloi_id, threshold_id, fwis_code, value, fwa_name, ifnull(fwa_type, '') AS fwa_type, ifnull(fwa_severity, -1) AS fwa_severity
+FROM fst LEFT JOIN named USING (fwis_code) LEFT JOIN in_force USING (fwis_code)
 """)
 def q_threshold_lookup(spark, sf):
     from gaugework.plans.views import threshold_rows
@@ -93,23 +91,32 @@ def q_threshold_lookup(spark, sf):
 
 
 @query("impacts_active", """
-WITH ctx AS (SELECT c_custkey AS rloi_id, c_name AS agency_name, c_mktsegment AS wiski_river_name,
-                    CASE WHEN c_acctbal >= 0 THEN 'Active' ELSE 'Suspended' END AS status FROM customer),
-latest AS (SELECT user_id, event_type, value FROM events
-           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type) = 1),
-fmax AS (SELECT user_id, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY user_id),
-fs AS (SELECT DISTINCT o_custkey AS rloi_id FROM orders WHERE o_orderpriority = '1-URGENT')
-SELECT i.o_orderkey AS impactid, tc.wiski_river_name || ' at ' || tc.agency_name AS gauge,
-       i.o_custkey AS rloiid, i.o_totalprice / 1000 AS value,
-       s.value AS telemetrylatest, s.value >= i.o_totalprice / 1000 AS telemetryactive,
-       m.value AS forecastmax, m.value >= i.o_totalprice / 1000 AND fs.rloi_id IS NOT NULL AS forecastactive
-FROM orders i JOIN ctx tc ON i.o_custkey = tc.rloi_id
-LEFT JOIN latest s ON s.user_id = i.o_custkey
-LEFT JOIN fmax m ON m.user_id = s.user_id
-LEFT JOIN fs ON fs.rloi_id = i.o_custkey
-WHERE tc.status = 'Active'
+WITH newest AS (
+  SELECT user_id, max_by(value, (ts, event_id)) AS level FROM events GROUP BY user_id
+), highest AS (
+  SELECT user_id, max(value) AS level FROM events GROUP BY user_id
+), gauges AS (
+  SELECT c_custkey, c_mktsegment || ' at ' || c_name AS gauge, newest.level AS seen, highest.level AS expected,
+         c_custkey IN (SELECT l_suppkey FROM lineitem) AS forecast
+  FROM customer LEFT JOIN newest ON newest.user_id = c_custkey LEFT JOIN highest ON highest.user_id = newest.user_id
+  WHERE c_acctbal >= 0
+), marks AS (
+  SELECT o_orderkey AS impactid, o_custkey AS rloiid, o_totalprice / 1000 AS value, o_orderpriority AS shortname,
+         CAST(-5.5 + (o_custkey % 97) * 0.07 AS DOUBLE) AS x, CAST(50.0 + (o_custkey % 89) * 0.09 AS DOUBLE) AS y
+  FROM orders
+)
+SELECT impactid, gauge, rloiid, value, shortname,
+       '{"type":"Point","coordinates":[' || regexp_replace(regexp_replace(printf('%.9f', x), '0+$', ''), '\\.$', '') || ',' ||
+           regexp_replace(regexp_replace(printf('%.9f', y), '0+$', ''), '\\.$', '') || ']}' AS coordinates,
+       seen AS telemetrylatest, seen >= value AS telemetryactive,
+       expected AS forecastmax, expected >= value AND forecast AS forecastactive
+FROM marks JOIN gauges ON rloiid = c_custkey
 """)
 def q_impacts_active(spark, sf):
+    """V7 over whole tables: gauges are customers, impacts their orders, readings and forecasts their events; the stations
+    with a forecast are the keys that occur as suppliers."""
+    from gaugework.functions.geo import point
+    from gaugework.plans.q_geo import _dec
     from gaugework.plans.views import impacts
     c = t(spark, sf, "customer")
     ctx = c.select(F.col("c_custkey").alias("rloi_id"), F.col("c_name").alias("agency_name"),
@@ -117,16 +124,16 @@ def q_impacts_active(spark, sf):
                    F.when(F.col("c_acctbal") >= 0, "Active").otherwise("Suspended").alias("status"))
     o = t(spark, sf, "orders")
     imp = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("rloi_id"),
-                   (F.col("o_totalprice") / 1000).alias("value"))
+                   (F.col("o_totalprice") / 1000).alias("value"), F.col("o_orderpriority").alias("short_name"),
+                   point(_dec("-5.5", F.col("o_custkey"), 97, "0.07"), _dec("50.0", F.col("o_custkey"), 89, "0.09")).alias("geom"))
     e = t(spark, sf, "events")
     overview = e.select(F.col("user_id").alias("rloi_id"), F.lit("u").alias("direction"),
                         F.col("event_type").alias("qualifier"), "ts", "event_id",
                         F.col("value").alias("processed_value"), F.col("user_id").alias("telemetry_id"))
-    fmax = (e.filter(F.col("event_type") == "view").groupBy(F.col("user_id").alias("telemetry_id"))
-            .agg(F.max("value").alias("value")))
-    fs = o.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("rloi_id"))
+    fmax = e.groupBy(F.col("user_id").alias("telemetry_id")).agg(F.max("value").alias("value"))
+    fs = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("rloi_id"))
     out = impacts(imp, ctx, overview, fmax, fs, order=("ts",), tiebreak=("event_id", "qualifier"))
-    return out.select("impactid", "gauge", "rloiid", "value", "telemetrylatest", "telemetryactive",
+    return out.select("impactid", "gauge", "rloiid", "value", "shortname", "coordinates", "telemetrylatest", "telemetryactive",
                       "forecastmax", "forecastactive")
 
 
@@ -255,23 +262,23 @@ def q_warnings_centroid(spark, sf):
 
 
 @query("legacy_warnings", """
-WITH areas AS (SELECT p_brand AS code, min(p_partkey) AS gid, CAST(substr(p_brand, 7) AS INTEGER) AS n
-               FROM part GROUP BY p_brand),
-cur AS (SELECT 'Brand#' || CAST(o_orderkey % 30 + 1 AS VARCHAR) AS fwa_code, o_orderkey AS warning_key,
-               o_orderstatus AS tidal, CAST(substr(o_orderpriority, 1, 1) AS SMALLINT) AS severity_value,
-               o_orderpriority AS rim FROM orders)
-SELECT c.fwa_code AS ta_code, c.warning_key, c.tidal AS flood_type, c.severity_value AS severity, c.rim AS message,
-       a.gid, CASE WHEN a.n <= 12 THEN 'a' ELSE 'w' END AS area_type
-FROM cur c JOIN areas a ON rtrim(c.fwa_code) = rtrim(a.code)
+WITH places AS (
+  SELECT p_brand AS code, min(p_partkey) AS gid, CAST(substr(p_brand, 7) AS INTEGER) AS n FROM part GROUP BY p_brand
+), feed AS (
+  SELECT *, 'Brand#' || CAST(o_orderkey % 30 + 1 AS VARCHAR) AS fwa_code FROM orders
+)
+SELECT fwa_code, o_orderkey AS warning_key, o_orderstatus AS flood_type, o_orderpriority AS severity_description,
+       CAST(substr(o_orderpriority, 1, 1) AS SMALLINT) AS severity, o_orderdate AS raised, o_orderpriority || ' ' || o_orderstatus AS message,
+       'dial ' || CAST(gid AS VARCHAR) AS area_floodline_quickdial_id, gid, CASE WHEN n <= 12 THEN 'a' ELSE 'w' END AS area_type
+FROM feed JOIN places ON rtrim(fwa_code) = rtrim(code)
 """)
 def q_legacy_warnings(spark, sf):
-    """The older warnings view with its column names (tidal → flood_type, …)."""
+    """The older warnings view with its served names and the area's dial number."""
     from gaugework.plans.views import legacy_warnings
-    alert, warn = areas(spark, sf)
+    alert, warn = (x.withColumn("qdial", F.concat(F.lit("dial "), F.col("gid").cast("string"))) for x in areas(spark, sf))
     o = t(spark, sf, "orders")
-    cur = o.select(F.concat(F.lit("Brand#"), (F.col("o_orderkey") % 30 + 1).cast("string")).alias("fwa_code"),
-                   F.col("o_orderkey").alias("warning_key"), F.col("o_orderstatus").alias("tidal"),
-                   F.substring("o_orderpriority", 1, 1).cast("smallint").alias("severity_value"),
-                   F.col("o_orderpriority").alias("rim"))
-    out = legacy_warnings(cur, alert, warn)
-    return out.select("ta_code", "warning_key", "flood_type", "severity", "message", "gid", "area_type")
+    feed = o.select(F.concat(F.lit("Brand#"), (F.col("o_orderkey") % 30 + 1).cast("string")).alias("fwa_code"),
+                    F.col("o_orderkey").alias("warning_key"), F.col("o_orderstatus").alias("tidal"), F.col("o_orderpriority").alias("severity"),
+                    F.substring("o_orderpriority", 1, 1).cast("smallint").alias("severity_value"),
+                    F.col("o_orderdate").alias("time_raised"), F.concat("o_orderpriority", F.lit(" "), "o_orderstatus").alias("rim"))
+    return legacy_warnings(feed, alert, warn)

@@ -1,8 +1,8 @@
 """Served views V1–V13 as compositions of gaugework operators.
 
 Each takes DataFrames (already loaded tables) and returns a DataFrame; nothing is collected.
-Dependency order for a full refresh is ``REFRESH_ORDER``; ``refresh`` materialises them to a
-versioned folder so readers never see a half-written table.
+``plans.refresh`` materialises them in dependency order to versioned folders, so readers never see a
+half-written table.
 """
 
 from __future__ import annotations
@@ -18,11 +18,9 @@ from gaugework.functions.predicates import (after_status_date, direction, in_sco
                                             river_labels, water_level)
 from gaugework.functions.timefmt import chart_label, epoch_millis, iso_minutes, with_chart_labels
 from gaugework.operators.arrays import ordered_json, parallel_arrays
-from gaugework.operators.ranking import latest_per_key
-from gaugework.operators.scan import rank_neighbours, with_ordered_id
+from gaugework.operators.ranking import latest_per_key, rank_neighbours, with_ordered_id
 from gaugework.operators.sets import split_directions, union_shapes
 from gaugework.operators.windows import flag_exists, trailing_totals
-from gaugework.session import snapshot
 
 # ---------------------------------------------------------------------------------------------
 # V1, V2: station context
@@ -129,10 +127,10 @@ def rivers(split: DataFrame, overview: DataFrame, river_stations: DataFrame, riv
     if not with_ids:
         return j
     keys = ["view_rank", "river_id", "rank", "external_name"]
-    order = [*keys, "-qualifier"]
+    order = [F.col(c).asc_nulls_last() for c in keys] + [F.col("qualifier").desc_nulls_first()]
     # then every other column, so the numbering is a total order (fan-out rows differ there)
-    order += sorted(set(j.columns) - set(keys) - {"qualifier"})
-    return with_ordered_id(snapshot(j), order)
+    order += [F.col(c).asc_nulls_last() for c in sorted(set(j.columns) - set(keys) - {"qualifier"})]
+    return with_ordered_id(j, order)
 
 
 LIST_COLUMNS = ["river_id", "river_name", "river_qualified_name", "navigable", "view_rank", "rank", "rloi_id", "up",
@@ -174,7 +172,8 @@ def stations_list(rivers_df: DataFrame, rainfall: DataFrame, order_mode: str = "
     u = rv.unionByName(rf).distinct()
     keys = (["navigable", "river_id", "view_rank", "wiski_river_name"] if order_mode == "positional"
             else ["view_rank", "river_id", "rank", "agency_name"])
-    return with_ordered_id(snapshot(u), [*keys, *sorted(set(LIST_COLUMNS) - set(keys))])
+    order = [F.col(c).asc_nulls_last() for c in [*keys, *sorted(set(LIST_COLUMNS) - set(keys))]]
+    return with_ordered_id(u, order)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -202,46 +201,52 @@ def impacts(impact: DataFrame, context: DataFrame, overview: DataFrame, ffoi_max
          .join(fm, so.telemetry_id == fm._tid, "left"))
     j = flag_exists(j, ffoi_station.select(F.col("rloi_id")), ["rloi_id"], "_fs")
     tel, fc = active_flags("telemetrylatest", "value", "forecastmax", "_fs")
-    keep = [c for c in impact.columns if c not in ("id", "rloi_id")]
-    return j.select(F.col("id").alias("impactid"), "gauge", F.col("rloi_id").alias("rloiid"), *keep,
+    served = [F.col(c).alias(IMPACT_NAMES.get(c, c)) for c in impact.columns if c not in ("id", "rloi_id")]
+    if "geom" in impact.columns:
+        served.append(geo.geojson_point(F.col("geom.lon"), F.col("geom.lat")).alias("coordinates"))
+    return j.select(F.col("id").alias("impactid"), "gauge", F.col("rloi_id").alias("rloiid"), *served,
                     "telemetrylatest", tel.alias("telemetryactive"), "forecastmax", fc.alias("forecastactive"))
 
 
+#: The names under which the impacts view serves its table's columns.
+IMPACT_NAMES = {"short_name": "shortname", "obs_flood_year": "obsfloodyear", "obs_flood_month": "obsfloodmonth"}
+
+
 # ---------------------------------------------------------------------------------------------
 # V8: current warnings with their area
 
 
-def warnings_with_area(fwis: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame,
-                       with_centroid: bool = True, rings: str = "geom") -> DataFrame:
-    """V8: warnings ⋈ alert areas ∪ warnings ⋈ warning areas on the blank-trimmed code
-    (bpchar equality), distinct, with the area type carried and the area's centroid. The
-    centroid is computed once per area, before the join, not once per joined row."""
-    def branch(areas: DataFrame, kind: str) -> DataFrame:
-        a = areas.select("gid", F.col("fws_tacode").alias("_code"), *([rings] if with_centroid else []))
-        if with_centroid:
-            from gaugework.operators.spatial import centroid
-            a = centroid(a, rings, "st_centroid")
-        j = fwis.join(a, F.rtrim(fwis.ta_code) == F.rtrim(a._code)).drop("_code")
-        return j.withColumn("area_type", F.lit(kind))
-    out = union_shapes(branch(alert_areas, "a"), branch(warning_areas, "w"), distinct=False)
-    if with_centroid:
-        # rows differ only in their geometry when they are the same: dedupe on everything else
-        return out.dropDuplicates([c for c in out.columns if c != rings])
-    return out.distinct()
-
-
-LEGACY_RENAMES = {"tidal": "flood_type", "severity_value": "severity", "rim": "message",
-                  "qdial": "area_floodline_quickdial_id"}
-
-
-def legacy_warnings(current_fwis: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame) -> DataFrame:
-    """The older warnings view: same joins on fwa_code, legacy column names."""
-    w = current_fwis.withColumnRenamed("fwa_code", "ta_code")
-    out = warnings_with_area(w, alert_areas, warning_areas, with_centroid=False)
-    for a, b in LEGACY_RENAMES.items():
-        if a in out.columns:
-            out = out.drop(b).withColumnRenamed(a, b)  # the feed may have a column of the older name
-    return out
+def warnings_with_area(fwis: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame, with_centroid: bool = True,
+                       rings: str = "geom", code: str = "ta_code", carry: Sequence[str] = ()) -> DataFrame:
+    """V8: warnings ⋈ alert areas ∪ warnings ⋈ warning areas on the blank-trimmed code (bpchar equality), distinct, with
+    the area's ``gid`` (its key), type and ``carry`` columns, and on request its geometry and centroid.
+
+    Codes and keys are matched and made distinct first; geometries, with a centroid computed once an
+    area, come in by the key at the end, so no polygon is compared or copied before."""
+    both = [(alert_areas, "a"), (warning_areas, "w")]
+    keys = [x.select("gid", F.rtrim("fws_tacode").alias("_code"), *carry, F.lit(kind).alias("area_type")) for x, kind in both]
+    found = fwis.join(keys[0].unionByName(keys[1]), F.rtrim(fwis[code]) == F.col("_code")).drop("_code").distinct()
+    if not with_centroid:
+        return found
+    from gaugework.operators.spatial import centroid
+    shapes = [x.select("gid", rings, F.lit(kind).alias("area_type")) for x, kind in both]
+    return found.join(centroid(shapes[0].unionByName(shapes[1]), rings, "st_centroid"), ["gid", "area_type"])
+
+
+#: The names under which the older warnings view serves the feed's columns.
+LEGACY_NAMES = {"tidal": "flood_type", "severity": "severity_description", "severity_value": "severity", "time_raised": "raised",
+                "rim_changed": "message_changed", "rim": "message"}
+
+
+def legacy_warnings(current_fwis: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame, rings: str = "geom") -> DataFrame:
+    """The older warnings view: the same match on ``fwa_code``; the feed's columns under their served names, the area's
+    dial number (``area_floodline_quickdial_id``), and its geometry and centroid if the area tables have one."""
+    shaped = rings in alert_areas.columns
+    dial = ["qdial"] if "qdial" in alert_areas.columns else []
+    out = warnings_with_area(current_fwis, alert_areas, warning_areas, shaped, rings, "fwa_code", dial)
+    served = [F.col(c).alias(LEGACY_NAMES.get(c, c)) for c in current_fwis.columns]
+    served += [F.col("qdial").alias("area_floodline_quickdial_id")] if dial else []
+    return out.select(*served, "gid", "area_type", *([rings, "st_centroid"] if shaped else []))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -387,7 +392,3 @@ def display_flags(payload: DataFrame) -> DataFrame:
     s = explode_series(payload)
     return s.groupBy("station_id", "direction").agg(
         F.bool_or(F.coalesce(F.col("display_time_series"), F.lit(False))).alias("display_time_series"))
-
-
-REFRESH_ORDER = ["station_context", "station_split", "stations_overview", "rainfall_stations", "rivers",
-                 "stations_list", "impacts", "warnings_with_area"]

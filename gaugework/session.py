@@ -6,13 +6,14 @@ bench build one here. Settings chosen for scale:
 * AQE on, with partition coalescing and skew-join splitting, so a hot key that holds a
   third of a table is split at runtime rather than landing in one task.
 * Session zone pinned to UTC so "1 day" means 24 h (timestamptz semantics).
-* The checkpoint folder is read from ``spark.checkpoint.dir``; we only set one when the
-  session has none (local tests), and never use a machine-local folder otherwise.
+* The checkpoint folder is read from ``spark.checkpoint.dir``; a local master without one gets a
+  temporary folder, a cluster without one is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,9 +69,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when none is configured."""
+    """The shared checkpoint folder that the session names. Only a session whose executors share the driver's
+    machine (a ``local`` master, as in tests) may go without: it gets a temporary one. Any other
+    fails here, before a table is written where other machines cannot read it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master {master})")
         d = tempfile.mkdtemp(prefix="gaugework-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -132,9 +132,29 @@ def test_warnings_with_area_and_legacy(spark):
     out = {r.id: r for r in views.warnings_with_area(fwis, alert, warn).collect()}
     assert set(out) == {1, 2} and out[1].area_type == "a" and out[2].area_type == "w"
     assert abs(out[1].st_centroid.lon + 0.125 / 3.75) < 1e-12 and out[2].st_centroid.lon == 5.0
-    cur = spark.createDataFrame([("AAA1", 2, "1", "River high")], "fwa_code string, severity_value int, tidal string, rim string")
-    leg = views.legacy_warnings(cur, alert, warn)
+    cur = spark.createDataFrame([("AAA1", 7, "about", "r", "ar", "1", "Flood alert", 2, 5, "t1", "t2", "t3", "River high")],
+                                "fwa_code string, fwa_key int, description string, region string, area string, tidal string, severity string, "
+                                "severity_value int, warning_key int, time_raised string, severity_changed string, rim_changed string, rim string")
+    dialled = [x.withColumn("qdial", F.lit("0345")) for x in (alert, warn)]
+    leg = views.legacy_warnings(cur, *dialled)
     assert {"severity", "flood_type", "message"} <= set(leg.columns)
+    row = leg.first()
+    assert (row.fwa_code, row.fwa_key, row.description, row.area_floodline_quickdial_id, row.region, row.area, row.flood_type, row.severity_description,
+            row.severity, row.warning_key, row.raised, row.severity_changed, row.message_changed, row.message) == (
+        "AAA1", 7, "about", "0345", "r", "ar", "1", "Flood alert", 2, 5, "t1", "t2", "t3", "River high")
+    assert len(row.geom) == 1 and abs(row.st_centroid.lon + 0.125 / 3.75) < 1e-12
+    assert views.warnings_with_area(fwis.unionByName(fwis), alert, warn).count() == 2  # distinct, as the UNION
+
+
+def test_impacts_serve_their_names_and_coordinates(spark):
+    impact = spark.createDataFrame([(9, 1, 1.25, "short", "2000", "May", (-1.5, 52.25))],
+                                   "id long, rloi_id int, value double, short_name string, obs_flood_year string, obs_flood_month string, geom struct<lon:double,lat:double>")
+    ctx = spark.createDataFrame([(1, "River", "Place", "Active")], "rloi_id int, wiski_river_name string, agency_name string, status string")
+    ov = spark.createDataFrame([(1, "u", 1.5, "T1", 3)], "rloi_id int, direction string, processed_value double, telemetry_id string, value_timestamp int")
+    fm = spark.createDataFrame([("T1", 2.0)], "telemetry_id string, value double")
+    row = views.impacts(impact, ctx, ov, fm, spark.createDataFrame([(1,)], "rloi_id int")).first()
+    assert (row.shortname, row.obsfloodyear, row.obsfloodmonth, row.coordinates, row.gauge, row.telemetryactive, row.forecastactive) == (
+        "short", "2000", "May", '{"type":"Point","coordinates":[-1.5,52.25]}', "River at Place", True, True)
 
 
 def test_forecast_thresholds(spark):
