@@ -33,9 +33,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets cut out of their texts and ``n_chars`` of changed texts counted anew."""
-    cut = secret_randomness.redact(docs.withColumn("_before", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop("_before")
+    before = "_before"
+    while before in docs.columns:
+        before += "_"
+    cut = secret_randomness.redact(docs.withColumn(before, F.col("text")))
+    if "n_chars" in docs.columns:
+        changed = ~F.col("text").eqNullSafe(F.col(before))
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.drop(before)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
