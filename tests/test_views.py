@@ -189,3 +189,22 @@ def test_refresh_writes_views_in_order(spark, tables, tmp_dir):
     assert list(paths) == ["station_context", "station_split", "stations_overview", "rainfall_stations", "rivers",
                            "stations_list"]
     assert spark.read.parquet(paths["stations_list"]).count() > 0
+
+
+def test_refresh_of_a_subset_reads_the_served_version(spark, tables, tmp_dir):
+    import pytest
+
+    from gaugework.plans.refresh import current
+    context = {"telemetry_context": tables["telemetry_context"]}
+    refresh(spark, context, tmp_dir, "v1", AS_OF, ["station_split"])
+    with pytest.raises(ValueError):  # its view is not served and its tables are not given
+        refresh(spark, context, tmp_dir, "v1", AS_OF, ["rivers"])
+    with pytest.raises(ValueError):
+        refresh(spark, tables, tmp_dir, "v1", AS_OF, ["no such view"])
+    rest = {k: v for k, v in tables.items() if k != "telemetry_context"}
+    paths = refresh(spark, rest, tmp_dir, "v2", AS_OF, ["stations_overview"])  # the split comes from v1
+    assert list(paths) == ["stations_overview"] and current(spark, tmp_dir, "stations_overview").count() > 0
+    bad = dict(context, telemetry_context=tables["telemetry_context"].drop("x_coord_actual"))
+    with pytest.raises(Exception):
+        refresh(spark, bad, tmp_dir, "v3", AS_OF, ["station_split"])
+    assert current(spark, tmp_dir, "station_split").inputFiles()[0].count("/v1/") == 1
