@@ -1,14 +1,14 @@
 """Points within a distance of polygons (J10, J11, X20, X21, V12) without moving a polygon.
 
 Rings are exploded to edges in the task that reads them; after that only edges (four numbers and the
-polygon's hash) and boxes travel. Two joins, both on equal keys:
+polygon's hash) and boxes travel. Two joins, both on equal keys, both sorted and spilled, never broadcast:
 
 * **Near the boundary.** A quadtree cell is (level, row, column); level ``l`` cuts the world into
   ``2^l`` rows and columns. An edge's box, widened by the distance, takes a level at
   which it covers a few rows (``FINER``), and goes to the cells that it touches. A point goes to its cell
   on every level that edges use (at most ``LEVELS``). A cell with too many edges splits: its edges
   and points go to its children, as deep as its load asks, so a dense place is many keys.
-* **Inside.** A point's candidates are the polygons whose box holds it (same cells, by box). Each polygon
+* **Inside.** A point's candidates are the polygons whose box holds it (by box cells, in the same join). Each polygon
   is cut into row bands of about ``BAND_EDGES`` edges; a candidate meets only the edges of its band
   and the parity of those to its east decides. Bands spread a polygon with very many vertices.
 
@@ -37,6 +37,8 @@ POLAR = 88.0
 BAND_EDGES = 32
 #: A cell splits when it holds this many edges and more than 1/HEAVY of all: at most HEAVY cells do.
 SPLIT_EDGES, HEAVY = 4096, 1000
+#: Cells of boxes have numbers of their own, above those of edges.
+BOXES = 1 << 60
 FLATTENING = (WGS84_A - WGS84_B) / WGS84_A
 
 
@@ -128,13 +130,15 @@ def _to_segment() -> Column:
     return x * x + y * y
 
 
-def _on_levels(points: DataFrame, levels: list[int]) -> DataFrame:
-    """``points`` once for each level, with its cell; a point without a place lies in no cell (-1), so that
-    no filter on it is inferred and pushed below the maths that made the place."""
+def _on_levels(points: DataFrame, edge_levels: list[int], box_levels: list[int]) -> DataFrame:
+    """``points`` once for each level of edges and of boxes, with its cell; a point without a place lies in no cell
+    (below 0, spread by its id), so that no filter on it is inferred and pushed below the maths that made the place."""
+    at = F.array(*[F.struct(F.lit(n).alias("level"), F.lit(first).alias("first"))
+                   for levels, first in ((edge_levels, 0), (box_levels, BOXES)) for n in levels])
     level = F.col("level")
-    cell = _cell(level, _row(F.col("py"), level), _column(F.col("px"), level))
-    return points.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]))).withColumn(
-        "cell", F.coalesce(F.when(F.abs("py") <= 90, cell), F.lit(-1).cast("long")))
+    cell = _cell(level, _row(F.col("py"), level), _column(F.col("px"), level)) + F.col("first")
+    nowhere = -1 - F.pmod(F.xxhash64("pid"), F.lit(1 << 20))
+    return points.select("*", F.inline(at)).withColumn("cell", F.coalesce(F.when(F.abs("py") <= 90, cell), nowhere).cast("long"))
 
 
 def _split(df: DataFrame, heavy: DataFrame, child: Column) -> DataFrame:
@@ -143,24 +147,41 @@ def _split(df: DataFrame, heavy: DataFrame, child: Column) -> DataFrame:
     return j.withColumn("child", F.explode(F.when(F.col("depth") > 0, child).otherwise(F.array("cell")))).drop("depth")
 
 
-def near(points: DataFrame, edge_rows: DataFrame, levels: list[int], heavy: DataFrame | None, metres: float) -> DataFrame:
-    """(pid, px, py, shape, d2): smallest squared distance to the shape's edges, up to ``metres``."""
+def candidates(points: DataFrame, edge_rows: DataFrame, boxes: DataFrame, edge_levels: list[int], box_levels: list[int],
+               heavy: DataFrame | None, metres: float) -> DataFrame:
+    """(pid, px, py, shape, d2, x, band, copies), one row a point and shape: the smallest squared distance to the shape's edges,
+    up to ``metres`` or null; and if the shape's box holds the point its longitude there, row band and the shape's copies, else null.
+
+    Edges and boxes meet the points in one join, so that the points are made and dealt once. Spark takes exploded cells
+    for no larger than the table they come from, so the join is told not to broadcast them."""
     e = edge_rows.withColumn("cell", F.explode(_cover(F.col("level"), "bw", "bs", "be", "bn")))
-    p = _on_levels(points, levels)
+    p = _on_levels(points, edge_levels, box_levels)
     if heavy is not None:
         deep = (F.col("level") + F.col("depth")).cast("int")
         inside = F.filter(_cover(deep, "bw", "bs", "be", "bn"), lambda c: _parent(c, F.col("depth")) == F.col("cell"))
         e = _split(e, heavy, inside)
         p = _split(p, heavy, F.array(_cell(deep, _row(F.col("py"), deep), _column(F.col("px"), deep))))
-    key = "cell" if heavy is None else "child"
-    e = e.select(F.col(key).alias("k"), "shape", "x1", "y1", "x2", "y2", "bw", "bs", "be", "bn")
-    hit = p.select(F.col(key).alias("k"), "pid", "px", "py").join(e, "k")
-    # the widened box once more, point by point, before any trigonometry
-    hit = hit.filter((F.col("py") >= F.col("bs")) & (F.col("py") <= F.col("bn")) & (F.pmod(F.col("px") - F.col("bw"), F.lit(360.0)) <= F.col("be") - F.col("bw")))
-    hit = hit.select("pid", "px", "py", "shape", *_around(F.col("px"), F.col("py")))
+    key = F.col("cell" if heavy is None else "child").alias("k")
+    e = e.select(key, "shape", "x1", "y1", "x2", "y2", "bw", "bs", "be", "bn",
+                 F.lit(None).cast("long").alias("bands"), F.lit(None).cast("long").alias("copies"))
+    # a box's corners stand as x1, y1, x2, y2; its longitudes are widened against rounding, the crossings decide
+    b = boxes.withColumn("cell", F.explode(_cover(F.col("level"), "w", "s", "e", "n")))
+    b = b.select((F.col("cell") + BOXES).alias("k"), "shape", F.col("w").alias("x1"), F.col("s").alias("y1"),
+                     F.col("e").alias("x2"), F.col("n").alias("y2"), (F.col("w") - 1e-9).alias("bw"), F.col("s").alias("bs"),
+                     (F.col("e") + 1e-9).alias("be"), F.col("n").alias("bn"), "bands", "copies")
+    hit = p.select(key, "pid", "px", "py").join(e.unionByName(b).hint("merge"), "k")
+    # the widened box once more, point by point, before any trigonometry (coalesced: else tests of px and py for null are
+    # inferred, and pushed with a copy of the maths that made them below it)
+    within = (F.col("py") >= F.col("bs")) & (F.col("py") <= F.col("bn")) & (F.pmod(F.col("px") - F.col("bw"), F.lit(360.0)) <= F.col("be") - F.col("bw"))
+    hit = hit.filter(F.coalesce(within, F.lit(False)))
+    turned = F.when(F.col("px") < F.col("x1"), F.col("px") + 360).when(F.col("px") > F.col("x2"), F.col("px") - 360).otherwise(F.col("px"))
+    boxed = F.col("bands").isNotNull()
+    hit = hit.select("pid", "px", "py", "shape", "copies", boxed.alias("boxed"), F.when(boxed, turned).alias("x"),
+                     F.when(boxed, _band(F.col("py"), "y1", "y2")).alias("band"), *_around(F.col("px"), F.col("py")))
     # the limit comes after the minimum: a filter before it would be pushed below both projections and copy them
-    least = hit.groupBy("pid", "px", "py", "shape").agg(F.min(_to_segment()).alias("d2"))
-    return least.filter(F.col("d2") <= metres * metres)
+    least = hit.groupBy("pid", "px", "py", "shape").agg(
+        F.min(F.when(~F.col("boxed"), _to_segment())).alias("d2"), *[F.max(c).alias(c) for c in ("x", "band", "copies")])
+    return least.withColumn("d2", F.when(F.col("d2") <= metres * metres, F.col("d2"))).filter(F.col("d2").isNotNull() | F.col("band").isNotNull())
 
 
 def _parent(cell: Column, depth: Column) -> Column:
@@ -171,25 +192,23 @@ def _parent(cell: Column, depth: Column) -> Column:
     return (up * (1 << 44) + F.floor(row / half) * (1 << 22) + F.floor(column / half)).cast("long")
 
 
-def _band(y: Column) -> Column:
-    height = (F.col("n") - F.col("s")) / F.col("bands")
-    return F.when(height > 0, F.least(F.floor((y - F.col("s")) / height).cast("long"), F.col("bands") - 1)).otherwise(F.lit(0).cast("long"))
+def _band(y: Column, low: str, high: str) -> Column:
+    height = (F.col(high) - F.col(low)) / F.col("bands")
+    return F.when(height > 0, F.least(F.floor((y - F.col(low)) / height).cast("long"), F.col("bands") - 1)).otherwise(F.lit(0).cast("long"))
 
 
-def inside(points: DataFrame, edge_rows: DataFrame, boxes: DataFrame, levels: list[int]) -> DataFrame:
-    """(pid, px, py, shape): points in the shape's interior, by the parity of its edges to their east."""
-    b = boxes.withColumn("cell", F.explode(_cover(F.col("level"), "w", "s", "e", "n"))).drop("level")
-    turned = F.when(F.col("px") < F.col("w"), F.col("px") + 360).when(F.col("px") > F.col("e"), F.col("px") - 360).otherwise(F.col("px"))
-    cand = _on_levels(points, levels).select("cell", "pid", "px", "py").join(b, "cell").withColumn("x", turned)
-    cand = cand.filter((F.col("x") >= F.col("w")) & (F.col("x") <= F.col("e")) & (F.col("py") >= F.col("s")) & (F.col("py") <= F.col("n")))
-    cand = cand.select("pid", "px", "py", "x", "shape", "copies", _band(F.col("py")).alias("band"))
+def settled(cand: DataFrame, edge_rows: DataFrame) -> DataFrame:
+    """(shape, pid, d2): the candidates near an edge, and those in the shape's interior with d2 = 0, by the parity of
+    its edges to their east. Those outside the box have no band and meet no edge."""
     rows = edge_rows.withColumn("bands", _bands()).filter("y1 <> y2").select(
-        "shape", "x1", "y1", "x2", "y2", F.explode(F.sequence(_band(F.least("y1", "y2")), _band(F.greatest("y1", "y2")))).alias("band"))
-    hit = cand.join(rows, ["shape", "band"]).filter((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py")))
+        "shape", "x1", "y1", "x2", "y2", F.explode(F.sequence(_band(F.least("y1", "y2"), "s", "n"), _band(F.greatest("y1", "y2"), "s", "n"))).alias("band"))
+    j = cand.join(rows.hint("merge"), ["shape", "band"], "left")
     cross = F.col("x1") + (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    east = ((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))) & (cross > F.col("x"))
+    c = j.groupBy("pid", "px", "py", "shape").agg(F.max("d2").alias("d2"), F.max("copies").alias("copies"), F.count(F.when(east, 1)).alias("c"))
     # a polygon that stands in several rows crosses as often as it stands there
-    odd = hit.filter(cross > F.col("x")).groupBy("pid", "px", "py", "shape", "copies").agg(F.count("*").alias("c"))
-    return odd.filter(F.expr("(c div copies) % 2 = 1")).select("pid", "px", "py", "shape")
+    d2 = F.when(F.expr("(c div copies) % 2 = 1"), F.lit(0.0)).otherwise(F.col("d2"))
+    return c.select("shape", "pid", d2.alias("d2")).filter(F.col("d2").isNotNull())
 
 
 def _bands() -> Column:
@@ -207,10 +226,11 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
     x = F.col(lon).cast("double")
     x = F.when((x >= -180) & (x < 180), x).otherwise(F.pmod(x + 180, F.lit(360.0)) - 180)
     p = points.select(F.col(point_id).alias("pid"), x.alias("px"), F.col(lat).cast("double").alias("py")).distinct()
-    edge_rows = edges(areas.select(rings), rings)
+    edge_rows = edges(areas.select(rings), rings).repartition("shape", "x1", "y1")  # areas may come in one file: its cells are made by all
     wide = _degrees_around(edge_rows, metres)
     boxes = areas.select(rings).select(F.xxhash64(rings).alias("shape"), F.transform(F.flatten(rings), continuous).alias("r"))
-    boxes = boxes.select("shape", F.flatten("r").alias("ps"), F.aggregate("r", F.lit(0), lambda a, r: a + F.greatest(F.size(r) - 1, F.lit(0))).alias("edges"))
+    boxes = boxes.select("shape", F.flatten("r").alias("ps"), F.size(F.filter("r", lambda r: F.size(r) > 0)).alias("rs"))
+    boxes = boxes.withColumn("edges", F.size("ps") - F.col("rs"))
     boxes = boxes.filter("edges > 0").groupBy("shape").agg(
         F.count("*").alias("copies"), F.max("edges").alias("edges"),
         *[f(g(F.transform("ps", lambda q: q[k]))).alias(name) for name, f, g, k in (
@@ -229,8 +249,7 @@ def within_distance(points: DataFrame, areas: DataFrame, metres: float = 8000.0,
         depth = F.least(F.ceil(F.log(F.col("c") / limit) / math.log(2)), F.lit(LEVELS) - F.col("level")).cast("int")
         heavy = loads.filter(F.col("c") > limit).select("cell", F.greatest(depth, F.lit(0)).alias("depth"))
 
-    hits = near(p, wide, of_edges or [0], heavy, metres).unionByName(
-        inside(p, edge_rows, boxes, of_boxes or [0]).withColumn("d2", F.lit(0.0)))
+    hits = settled(candidates(p, wide, boxes, of_edges or [0], of_boxes or [0], heavy, metres), edge_rows)
     ids = areas.select(F.xxhash64(rings).alias("shape"), F.col(area_id).alias("aid")).distinct()
     out = hits.join(ids, "shape").groupBy("pid", "aid").agg(F.sqrt(F.min("d2")).alias("distance_m"))
     columns = [F.col("pid").alias(point_id), F.col("aid").alias(area_id)] + (["distance_m"] if with_distance else [])

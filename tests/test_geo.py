@@ -201,3 +201,22 @@ def test_no_polygon_travels(spark):
             walk(node.children().apply(k))
     walk(plan)
     assert found and not any("array" in s for s in found)
+
+
+def test_exploded_cells_are_not_broadcast(spark):
+    # 40 edges are small, their cells need not be: Spark does not count what an explode makes
+    areas = spark.range(10).selectExpr("id as area_id", f"array(array(transform(array({', '.join(f'named_struct(\'lon\', {p['lon']}D, \'lat\', {p['lat']}D)' for p in square(0, 0, 1))}),"
+                                       " p -> named_struct('lon', p.lon + id, 'lat', p.lat)))) as geom")
+    pts = spark.range(100).selectExpr("id", "id % 10 + 0.5D as lon", "0D as lat")
+    df = within_distance(pts, areas)
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "BroadcastExchange":
+            found.append(node.treeString() if hasattr(node, "treeString") else node.toString())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+    walk(df._jdf.queryExecution().sparkPlan())
+    walk(df._jdf.queryExecution().executedPlan().initialPlan())
+    assert not any("Generate" in f for f in found)
+    assert df.count() > 100
