@@ -196,10 +196,12 @@ def impacts(impact: DataFrame, context: DataFrame, overview: DataFrame, ffoi_max
     ctx = context.filter(F.col("status") == "Active").select(
         F.col("rloi_id").alias("_cid"),
         F.concat(F.col("wiski_river_name"), F.lit(" at "), F.col("agency_name")).alias("gauge"))
-    j = (impact.join(ctx, impact.rloi_id == ctx._cid)
-         .join(so, impact.rloi_id == so._rid, "left")
-         .join(fm, so.telemetry_id == fm._tid, "left"))
-    j = flag_exists(j, ffoi_station.select(F.col("rloi_id")), ["rloi_id"], "_fs")
+    # all that belongs to a gauge is joined by gauge; the impacts come last and are dealt once. Joined by telemetry_id,
+    # every impact of a gauge without readings would go to the one task of its null keys
+    so = so.join(fm, so.telemetry_id == fm._tid, "left")
+    gauges = ctx.join(so, ctx._cid == so._rid, "left")
+    gauges = flag_exists(gauges, ffoi_station.select(F.col("rloi_id").alias("_cid")), ["_cid"], "_fs")
+    j = impact.join(gauges, impact.rloi_id == gauges._cid)
     tel, fc = active_flags("telemetrylatest", "value", "forecastmax", "_fs")
     served = [F.col(c).alias(IMPACT_NAMES.get(c, c)) for c in impact.columns if c not in ("id", "rloi_id")]
     if "geom" in impact.columns:

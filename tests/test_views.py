@@ -208,3 +208,22 @@ def test_refresh_of_a_subset_reads_the_served_version(spark, tables, tmp_dir):
     with pytest.raises(Exception):
         refresh(spark, bad, tmp_dir, "v3", AS_OF, ["station_split"])
     assert current(spark, tmp_dir, "station_split").inputFiles()[0].count("/v1/") == 1
+
+
+def test_impacts_without_readings_are_not_joined_by_a_null_key(spark):
+    # gauge 1 has no reading: its impacts once went to the one task of the null telemetry_id
+    impact = spark.createDataFrame([(1, 1, 2.0), (2, 1, 3.0), (3, 2, 2.0), (4, None, 2.0)], "id int, rloi_id int, value double")
+    ctx = spark.createDataFrame([(1, "Active", "A", "x"), (2, "Active", "B", "y"), (2, "Active", "C", "z"), (None, "Active", "D", "w")],
+                                "rloi_id int, status string, wiski_river_name string, agency_name string")
+    ov = spark.createDataFrame([(2, "u", 10, 2.5, "t2"), (None, "u", 10, 9.0, None)],
+                               "rloi_id int, direction string, value_timestamp int, processed_value double, telemetry_id string")
+    fm = spark.createDataFrame([("t2", 1.0), ("t2", 4.0), (None, 5.0)], "telemetry_id string, value double")
+    df = views.impacts(impact, ctx, ov, fm, spark.createDataFrame([(2,), (2,)], "rloi_id int"))
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().apply(0)
+    assert "_cid" in plan.condition().get().toString() and "rloi_id" in plan.condition().get().toString()
+    got = sorted((r.impactid, r.gauge, r.telemetrylatest, r.forecastmax, r.telemetryactive, r.forecastactive) for r in df.collect()
+                 if r.impactid == 3)
+    assert got == [(3, g, 2.5, f, True, f > 2) for g in ("B at y", "C at z") for f in (1.0, 4.0)]
+    assert sorted((r.impactid, r.telemetrylatest, r.forecastmax) for r in df.collect() if r.impactid != 3) == [(1, None, None), (2, None, None)]
