@@ -39,3 +39,15 @@ def parallel_arrays(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     def field(f: str):
         return lambda x: x["_v"][f]
     return agg.select(*keys, *[F.transform("_arr", field(f)).alias(f"{f}s") for f in fields])
+
+
+#: Rows that one array makes at most in ``repeated``.
+REPEAT_BLOCK = 1024
+
+
+def repeated(df: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` (1 or more) times, in blocks, so that no array grows with ``times``."""
+    blocks = df.withColumn("_left", times.cast("long")).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_left") - 1) / REPEAT_BLOCK))).alias("_block"))
+    here = F.least(F.lit(REPEAT_BLOCK), F.col("_left") - F.col("_block") * REPEAT_BLOCK).cast("int")
+    return blocks.select("*", F.explode(F.sequence(F.lit(1), here)).alias("_copy")).drop("_left", "_block", "_copy")

@@ -17,7 +17,7 @@ from gaugework.functions.levels import active_flags
 from gaugework.functions.predicates import (after_status_date, direction, in_scope, is_wales, recent,
                                             river_labels, water_level)
 from gaugework.functions.timefmt import chart_label, epoch_millis, iso_minutes, with_chart_labels
-from gaugework.operators.arrays import ordered_json, parallel_arrays
+from gaugework.operators.arrays import ordered_json, parallel_arrays, repeated
 from gaugework.operators.ranking import latest_per_key, rank_neighbours, with_ordered_id
 from gaugework.operators.sets import split_directions, union_shapes
 from gaugework.operators.windows import flag_exists, trailing_totals
@@ -324,20 +324,24 @@ def station_readings_with_context(context: DataFrame, parents: DataFrame, values
 def threshold_rows(thresholds: DataFrame, alert_areas: DataFrame, warning_areas: DataFrame,
                    fwis: DataFrame) -> DataFrame:
     """Thresholds ⟕ alert area ⟕ warning area ⟕ current warning on the exact code;
-    area name coalesced, type 'a'/'w'/'', severity default −1."""
+    area name coalesced, type 'a'/'w'/'', severity default −1.
+
+    Warnings of equal code and severity give equal rows: they are joined as one with their number, and the
+    joined row is repeated as often."""
     a = alert_areas.select(F.col("fws_tacode").alias("_a_code"), F.col("gid").alias("_a_gid"),
                            F.col("ta_name").alias("_a_name"))
     w = warning_areas.select(F.col("fws_tacode").alias("_w_code"), F.col("gid").alias("_w_gid"),
                              F.col("ta_name").alias("_w_name"))
-    f = fwis.select(F.col("ta_code").alias("_f_code"), F.col("severity_value").alias("_sev"))
+    f = fwis.groupBy(F.col("ta_code").alias("_f_code"), F.col("severity_value").alias("_sev")).agg(F.count("*").alias("_n"))
     j = (thresholds.join(a, thresholds.fwis_code == a._a_code, "left")
          .join(w, thresholds.fwis_code == w._w_code, "left")
          .join(f, thresholds.fwis_code == f._f_code, "left"))
-    return j.select(*thresholds.columns,
-                    F.coalesce("_a_name", "_w_name").alias("fwa_name"),
-                    F.when(F.col("_a_gid").isNotNull(), "a").when(F.col("_w_gid").isNotNull(), "w")
-                     .otherwise("").alias("fwa_type"),
-                    F.coalesce(F.col("_sev"), F.lit(-1)).alias("fwa_severity"))
+    j = j.select(*thresholds.columns,
+                 F.coalesce("_a_name", "_w_name").alias("fwa_name"),
+                 F.when(F.col("_a_gid").isNotNull(), "a").when(F.col("_w_gid").isNotNull(), "w")
+                  .otherwise("").alias("fwa_type"),
+                 F.coalesce(F.col("_sev"), F.lit(-1)).alias("fwa_severity"), "_n")
+    return repeated(j, F.coalesce("_n", F.lit(1))).drop("_n")
 
 
 def forecast_thresholds(ffoi_station: DataFrame, station_thresholds: DataFrame, alert_areas: DataFrame,

@@ -227,3 +227,17 @@ def test_impacts_without_readings_are_not_joined_by_a_null_key(spark):
                  if r.impactid == 3)
     assert got == [(3, g, 2.5, f, True, f > 2) for g in ("B at y", "C at z") for f in (1.0, 4.0)]
     assert sorted((r.impactid, r.telemetrylatest, r.forecastmax) for r in df.collect() if r.impactid != 3) == [(1, None, None), (2, None, None)]
+
+
+def test_equal_warnings_are_joined_once_and_repeated(spark, monkeypatch):
+    from gaugework.operators import arrays
+    monkeypatch.setattr(arrays, "REPEAT_BLOCK", 4)
+    th = spark.createDataFrame([(1, "A", 1.0), (1, "A", 1.0), (2, "B", 2.0), (3, None, 3.0)], "rloi_id int, fwis_code string, value double")
+    area = spark.createDataFrame([(7, "A", "alert a")], "gid int, fws_tacode string, ta_name string")
+    fwis = spark.createDataFrame([("A", 2)] * 9 + [("A", 1)] * 4 + [("A", None), (None, 3)], "ta_code string, severity_value int")
+    df = views.threshold_rows(th, area, area.limit(0), fwis)
+    got = [(r.rloi_id, r.fwa_name, r.fwa_type, r.fwa_severity) for r in df.collect()]
+    a = [(1, "alert a", "a", s) for s in [-1] + [1] * 4 + [2] * 9 for _ in range(2)]
+    assert df.columns == ["rloi_id", "fwis_code", "value", "fwa_name", "fwa_type", "fwa_severity"]
+    assert sorted(map(str, got)) == sorted(map(str, a + [(2, None, "", -1), (3, None, "", -1)]))
+    assert "_n" in df._jdf.queryExecution().optimizedPlan().toString()  # the number of equal warnings, not the warnings
