@@ -18,7 +18,9 @@ each in one round and there in one of as many shards as the round has ``BLOCK``
 on from the weights so far with its documents in the order of the hash, ``BLOCK`` tokens at a time, and Spark
 averages the shards' changes, weighted by tokens, in whole numbers. So the weights depend on the documents
 alone, not on the input's files or the cluster's size. Every text is split into tokens twice, once to
-count and once to write it as two-byte numbers, which training and scoring read.
+count and once to write it as two-byte numbers, which training and scoring read; Arrow's kernels split,
+count and look up ``PIECE`` bytes of texts at a time. The network keeps tokens and lanes in columns, so
+that its sums over classes and gates run along memory.
 
 Scoring runs over every whole text: texts of similar length advance in lockstep, window by window,
 their states carried across windows, so memory is bounded by lanes times window whatever a text's
@@ -37,12 +39,11 @@ repeated rows each keep their row and count as often in training; without traini
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,25 +59,37 @@ SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 400_000
 ROUNDS, ROUND_RATE, BLOCK = 4, 0.004, 1 << 20
 UNIT = float(1 << 20)
 COMMON, STEPS = 100_000, 16
-FLUSH = 200_000
+PIECE = 1 << 22
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def pieces(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of texts of ``PIECE`` bytes and one text at most."""
+    ends = np.cumsum(sizes)
+    cuts = np.flatnonzero(np.diff((ends - sizes) // PIECE)) + 1
+    return map(slice, [0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]) if len(sizes) else iter(())
 
 
-# ---- the network -------------------------------------------------------------------------------
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts, one after the other, and the number of each text's tokens. The kernels work
+    on bytes: A-Z only, runs without space and 0x09-0x0D, whatever the other bytes are. A space at the end
+    makes the empty end token; one at the beginning would make another."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.binary_join_element_wise(texts.view(pa.string()), "", " ")))
+    words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    kept = pc.binary_length(words).to_numpy() > 0
+    kept[ends - 1] = True
+    return (words if kept.all() else words.filter(pa.array(kept))).view(pa.binary()), np.add.reduceat(kept, ends - sizes, dtype=np.int64)
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
+# ---- the network -------------------------------------------------------------------------------
 
-def _log_of(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax of one entry of each row; ``x`` is used up."""
-    x -= x.max(-1, keepdims=True)
-    wanted = x[np.arange(len(x)), at]
-    return wanted - np.log(np.exp(x, out=x).sum(-1))
+def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-softmax of one entry of each column, and the columns' sums; ``x`` becomes the summands."""
+    x -= x.max(0)
+    wanted = x[at, np.arange(len(at))]
+    np.exp(x, out=x)
+    total = x.sum(0)
+    return wanted - np.log(total), total
 
 
 class Network:
@@ -97,77 +110,112 @@ class Network:
                   "ow": normal(classes, hidden, self.size), "ob": np.maximum(inside, -30).astype(np.float32)}
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state for input projections ``x`` and states ``h``, and what backpropagation needs."""
+        """The next state for input projections ``x`` and states ``h``, and what backpropagation needs.
+        Here and below a column is a lane or a token: sums over classes and gates then run along memory."""
         n = self.hidden
-        y = h @ self.p["wh"]
-        gates = 0.5 + 0.5 * np.tanh(0.5 * (x[:, :2 * n] + y[:, :2 * n]))
-        update, reset = gates[:, :n], gates[:, n:]
-        candidate = np.tanh(x[:, 2 * n:] + reset * y[:, 2 * n:])
-        return candidate + update * (h - candidate), update, reset, candidate, y[:, 2 * n:]
+        y = self.p["wh"].T @ h
+        gates = x[:2 * n] + y[:2 * n]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        update, reset = gates[:n], gates[n:]
+        candidate = reset * y[2 * n:]
+        candidate += x[2 * n:]
+        np.tanh(candidate, out=candidate)
+        after = h - candidate
+        after *= update
+        after += candidate
+        return after, update, reset, candidate, y[2 * n:]
+
+    def by_class(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The order of the targets by class, their classes and places inside them in that order, and where classes begin."""
+        kind = (targets // self.size).astype(np.int16)  # short keys are sorted by counting
+        order = np.argsort(kind, kind="stable")
+        kind = kind[order]
+        return order, kind, targets[order] - kind * self.size, np.searchsorted(kind, np.arange(self.classes + 1))
 
     def log_probs(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of each target's probability: its class, then the token inside the class."""
-        kind, inside = targets // self.size, targets % self.size
-        out = _log_of(h @ self.p["cw"] + self.p["cb"], kind)
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(self.classes + 1))
+        order, kind, inside, edges = self.by_class(targets)
+        h = h.take(order, 1)
+        logs = _softmax(self.p["cw"].T @ h + self.p["cb"][:, None], kind)[0]
         for c in range(self.classes):
-            some = order[edges[c]:edges[c + 1]]
-            if len(some):
-                out[some] += _log_of(h[some] @ self.p["ow"][c] + self.p["ob"][c], inside[some])
+            some = slice(edges[c], edges[c + 1])
+            if edges[c] < edges[c + 1]:
+                logs[some] += _softmax(self.p["ow"][c].T @ h[:, some] + self.p["ob"][c][:, None], inside[some])[0]
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def backward(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, end: int) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-        """Gradients over one window (steps x lanes), the state after it, and the mean loss. The state
-        starts anew after an end token."""
+        """Gradients over one window (steps x lanes), the state after it (lanes x units), and the mean loss.
+        The state starts anew after an end token."""
         p, n, (steps, lanes) = self.p, self.hidden, inputs.shape
-        kept, states, before = [], [], []
-        table = p["embed"] @ p["wx"] + p["bx"]
+        table = np.ascontiguousarray((p["embed"] @ p["wx"] + p["bx"]).T)
+        kept, total, asked, goes_on = [], steps * lanes, inputs.ravel(), (inputs != end).astype(table.dtype)
+        before, states = np.empty((n, steps, lanes), table.dtype), np.empty((n, steps, lanes), table.dtype)
+        h = h.T
         for t in range(steps):
-            h = h * (inputs[t] != end)[:, None].astype(h.dtype)
-            before.append(h)
-            h, *more = self.step(table[inputs[t]], h)
+            h = h * goes_on[t]
+            before[:, t] = h
+            h, *more = self.step(table.take(inputs[t], 1), h)
             kept.append(more)
-            states.append(h)
-        flat, wanted, total = np.concatenate(states), targets.ravel(), steps * lanes
-        kind, inside = wanted // self.size, wanted % self.size
-        grad = {k: np.zeros_like(v) for k, v in p.items()}
-        logs = _log_softmax(flat @ p["cw"] + p["cb"])
-        loss = -logs[np.arange(total), kind].sum()
-        d = np.exp(logs)
-        d[np.arange(total), kind] -= 1
-        d /= total
-        grad["cw"], grad["cb"], dh = flat.T @ d, d.sum(0), d @ p["cw"].T
-        by_kind = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[by_kind], np.arange(self.classes + 1))
+            states[:, t] = h
+        order, kind, inside, edges = self.by_class(targets.ravel())
+        flat = states.reshape(n, total).take(order, 1)
+        grad = {k: np.zeros_like(p[k]) for k in ("ow", "ob")}
+
+        def output(w: np.ndarray, b: np.ndarray, f: np.ndarray, at: np.ndarray) -> tuple[float, np.ndarray]:
+            """The loss of one softmax and its derivatives by the inputs, over all tokens of the window."""
+            d = w.T @ f
+            d += b[:, None]
+            logs, sums = _softmax(d, at)
+            d *= 1 / (sums * total)
+            d[at, np.arange(len(at))] -= 1 / total
+            return -float(logs.sum()), d
+
+        loss, d = output(p["cw"], p["cb"], flat, kind)
+        grad["cw"], grad["cb"], dh = flat @ d.T, d.sum(1), p["cw"] @ d
         for c in range(self.classes):
-            some = by_kind[edges[c]:edges[c + 1]]
-            if not len(some):
-                continue
-            logs = _log_softmax(flat[some] @ p["ow"][c] + p["ob"][c])
-            loss -= logs[np.arange(len(some)), inside[some]].sum()
-            d = np.exp(logs)
-            d[np.arange(len(some)), inside[some]] -= 1
-            d /= total
-            grad["ow"][c], grad["ob"][c] = flat[some].T @ d, d.sum(0)
-            dh[some] += d @ p["ow"][c].T
-        dh, carried = dh.reshape(steps, lanes, n), np.zeros((lanes, n), flat.dtype)
-        dx, dy = np.empty((steps, lanes, 3 * n), flat.dtype), np.empty((steps, lanes, 3 * n), flat.dtype)
+            some = slice(edges[c], edges[c + 1])
+            if edges[c] < edges[c + 1]:
+                more, d = output(p["ow"][c], p["ob"][c], flat[:, some], inside[some])
+                loss += more
+                grad["ow"][c], grad["ob"][c] = flat[:, some] @ d.T, d.sum(1)
+                dh[:, some] += p["ow"][c] @ d
+        back = np.empty_like(order)
+        back[order] = np.arange(total)
+        dh, carried = dh.take(back, 1).reshape(n, steps, lanes), np.zeros((n, lanes), table.dtype)
+        dz = np.empty((4 * n, steps, lanes), table.dtype)  # by candidate, update, reset, and the candidate's share of the state
         for t in reversed(range(steps)):
             update, reset, candidate, y = kept[t]
-            g = dh[t] + carried
-            d_candidate = g * (1 - update) * (1 - candidate ** 2)
-            d_update = g * (before[t] - candidate) * update * (1 - update)
-            dx[t, :, :n], dx[t, :, n:2 * n], dx[t, :, 2 * n:] = d_update, d_candidate * y * reset * (1 - reset), d_candidate
-            dy[t, :, :2 * n], dy[t, :, 2 * n:] = dx[t, :, :2 * n], d_candidate * reset
-            carried = (g * update + dy[t] @ p["wh"].T) * (inputs[t] != end)[:, None]
-        dx, asked = dx.reshape(total, 3 * n), inputs.ravel()
-        grad["wh"] = np.concatenate(before).T @ dy.reshape(total, 3 * n)
-        grad["wx"], grad["bx"] = p["embed"][asked].T @ dx, dx.sum(0)
-        order = np.argsort(asked, kind="stable")
+            g = dh[:, t] + carried
+            d_candidate = (1 - update) * g
+            d_candidate *= 1 - candidate * candidate
+            d_update = before[:, t] - candidate
+            g *= update
+            d_update *= g
+            d_update *= 1 - update
+            dz[:n, t], dz[n:2 * n, t] = d_candidate, d_update
+            d_candidate *= reset
+            dz[3 * n:, t] = d_candidate
+            d_candidate *= y
+            d_candidate *= 1 - reset
+            dz[2 * n:3 * n, t] = d_candidate
+            carried = p["wh"] @ dz[n:, t]
+            carried += g
+            carried *= goes_on[t]
+        dz = dz.reshape(4 * n, total)
+        dx = dz[:3 * n]
+        grad["wh"] = before.reshape(n, total) @ dz[n:].T
+        grad["wx"] = np.roll(p["embed"].T.take(asked, 1) @ dx.T, -n, axis=1)
+        grad["bx"] = np.roll(dx.sum(1), -n)
+        grad["embed"] = np.zeros_like(p["embed"])
+        order = np.argsort(asked.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.diff(asked[order], prepend=-1))
-        grad["embed"][asked[order[first]]] = np.add.reduceat((dx @ p["wx"].T)[order], first, axis=0)
-        return grad, h, float(loss / total)
+        grad["embed"][asked[order[first]]] = np.add.reduceat((dx.T @ np.roll(p["wx"], n, axis=1).T)[order], first, axis=0)
+        return grad, h.T, loss / total
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)]).astype(np.float64)
@@ -210,29 +258,27 @@ class Network:
     def score(self, texts: list[np.ndarray], end: int, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
         """Natural log-likelihood of each text (numbers of its tokens, the end token last)."""
         out = np.zeros(len(texts))
-        table = self.p["embed"] @ self.p["wx"] + self.p["bx"]
+        table = np.ascontiguousarray((self.p["embed"] @ self.p["wx"] + self.p["bx"]).T)
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         for at in range(0, len(order), lanes):
             group = order[at:at + lanes]
             lengths = np.array([len(texts[i]) for i in group])
-            h, last = np.zeros((len(group), self.hidden), np.float32), np.full(len(group), end)
+            joined, starts = np.concatenate([texts[i] for i in group]).astype(np.int64), np.cumsum(lengths) - lengths
+            h, last = np.zeros((self.hidden, len(group)), np.float32), np.full(len(group), end)
             for t in range(0, lengths[0], window):
                 live = int((lengths > t).sum())
-                h, last = h[:live], last[:live]
-                steps = min(window, int(lengths[0]) - t)
-                wanted = np.zeros((steps, live), np.int64)
-                for lane in range(live):
-                    piece = texts[group[lane]][t:t + steps]
-                    wanted[:len(piece), lane] = piece
-                states = np.empty((steps, live, self.hidden), np.float32)
-                for s in range(steps):
-                    h = self.step(table[last], h)[0]
-                    states[s] = h
+                h, last = h[:, :live], last[:live]
+                steps = np.arange(t, min(t + window, int(lengths[0])))[:, None]
+                inside = steps < lengths[:live]
+                wanted = joined[starts[:live] + np.minimum(steps, lengths[:live] - 1)]
+                states = np.empty((self.hidden, len(steps), live), np.float32)
+                for s in range(len(steps)):
+                    h = self.step(table.take(last, 1), h)[0]
+                    states[:, s] = h
                     last = wanted[s]
-                inside = np.arange(t, t + steps)[:, None] < lengths[:live]
-                where = np.broadcast_to(np.arange(live), inside.shape)[inside]
-                logs = self.log_probs(states[inside], wanted[inside])
-                out[group[:live]] += np.bincount(where, logs, minlength=live)
+                where = np.flatnonzero(inside)
+                logs = self.log_probs(states.reshape(self.hidden, -1).take(where, 1), wanted.ravel()[where])
+                out[group[:live]] += np.bincount(where % live, logs, minlength=live)
         return out
 
 
@@ -246,15 +292,9 @@ def token_counts(rows: DataFrame) -> DataFrame:
     """(token binary, c long) over the rows that are not held out."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        counts: Counter[bytes] = Counter()
         for b in batches:
-            for t in b.column(0):
-                counts.update(tokens(t.as_buffer().to_pybytes()))
-                if len(counts) >= FLUSH:
-                    yield list(counts.keys()), list(counts.values())
-                    counts.clear()
-        if counts:
-            yield list(counts.keys()), list(counts.values())
+            for some in pieces(pc.binary_length(b.column(0)).to_numpy()):
+                yield pc.value_counts(tokens(b.column(0)[some])[0]).flatten()
 
     return map_partition(rows.filter("NOT out").select("t"), "token binary, c long", run).groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -263,23 +303,21 @@ class Model:
     """What the tasks need: the network, its vocabulary, and the common counts."""
 
     def __init__(self, network: Network, vocabulary: dict[bytes, int], common: dict[bytes, int], known: np.ndarray, others: float) -> None:
-        self.network, self.vocabulary, self.common = network, vocabulary, common
-        self.logs, self.floor = np.log10(known + 1), float(np.log10(others + 1))
+        self.network, self.common = network, pa.array(list(common), pa.binary())
+        self.logs, self.floor = np.append(np.log10(known + 1), 0), float(np.log10(others + 1))  # by place among the common tokens; the last is none of them
         self.share = self.logs - self.floor
-        self.share[[common[w] for w in vocabulary if w in common]] = 0
+        self.share[[common[w] for w in vocabulary if w in common] + [-1]] = 0
         self.end, self.other = vocabulary.get(END, 0), len(vocabulary)
-        self.number = np.full(len(common) + 1, self.other, np.int16)  # by place among the common tokens; the last is none of them
-        for w, i in common.items():
-            self.number[i] = vocabulary.get(w, self.other)
+        self.number = np.array([*(vocabulary.get(w, self.other) for w in common), self.other], np.int16)
 
-    def places(self, words: list[bytes]) -> np.ndarray:
+    def places(self, words: pa.Array) -> np.ndarray:
         """Places among the common tokens, -1 for others."""
-        return np.fromiter(map(self.common.get, words, repeat(-1)), np.int64, len(words))
+        return pc.fill_null(pc.index_in(words, value_set=self.common), -1).to_numpy()
 
-    def numbers(self, places: np.ndarray) -> np.ndarray:
-        """The network's numbers of a text; its end token is always one of them."""
+    def numbers(self, places: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The network's numbers of the tokens; a text's end token, its ``last``, is always one of them."""
         out = self.number[places]
-        out[-1] = self.end
+        out[last] = self.end
         return out
 
 
@@ -328,26 +366,26 @@ def encode(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         uid = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            codes, rest, known, base, shares, lengths = [], [], [], [], [], []
-            for t in batch.column(3):
-                words = tokens(t.as_buffer().to_pybytes())
-                at = model.places(words)
-                missing = np.flatnonzero(at < 0)
-                rest.append([words[i] for i in missing.tolist()])
-                found = at[at >= 0] if len(missing) else at
-                known.append(len(found))
-                base.append(float(model.logs[found].sum()))
-                shares.append(float(model.share[found].sum()))
-                codes.append(model.numbers(at).tobytes())
-                lengths.append(len(words))
-            yield (np.arange(uid, uid + len(codes)), *batch.columns[:3], lengths, known, base, shares, codes, pa.array(rest, pa.list_(pa.binary())))
-            uid += len(codes)
+        for whole in batches:
+            for some in pieces(pc.binary_length(whole.column(3)).to_numpy()):
+                batch = whole[some]
+                words, lengths = tokens(batch.column(3))
+                ends = np.cumsum(lengths)
+                starts, at = ends - lengths, model.places(words)
+                rest, codes = at < 0, model.numbers(at, ends - 1)
+                lists = pa.ListArray.from_arrays(_offsets(np.add.reduceat(rest, starts, dtype=np.int64)), words.filter(pa.array(rest)))
+                yield (np.arange(uid, uid + len(batch)), *batch.columns[:3], lengths, np.add.reduceat(~rest, starts, dtype=np.int64), np.add.reduceat(model.logs[at], starts),
+                       np.add.reduceat(model.share[at], starts), pa.Array.from_buffers(pa.binary(), len(batch), [None, _offsets(2 * lengths).buffers()[1], pa.py_buffer(codes)]), lists)
+                uid += len(batch)
 
     return _scored(rows.select("id", "out", F.xxhash64("id", "t").alias("h"), "t"),
                    "uid long, id long, out boolean, h long, n long, known long, base double, share double, codes binary", run)
 
 
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+
+
 def learn(encoded: DataFrame, model: Model, total: int) -> None:
     """Fit the network: on a bounded sample here, then on every training document in rounds."""
     ours = encoded.filter("NOT out")
@@ -406,7 +444,8 @@ def train_round(ours: DataFrame, model: Model, k: int, rate: float, shards: int)
         if total:
             yield close()
 
-    mine = ours.filter(F.pmod("h", F.lit(ROUNDS)) == k).select(F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(shards)).alias("shard"), "h", "codes")
+    # integer division: a double would lose the hash's last bits, and even numbers of shards would leave some empty
+    mine = ours.filter(F.pmod("h", F.lit(ROUNDS)) == k).select(F.expr(f"pmod((h - pmod(h, {ROUNDS})) div {ROUNDS}, {shards})").alias("shard"), "h", "codes")
     mine = mine.repartition("shard").sortWithinPartitions("shard", "h")
     moved = map_partition(mine, "at long, change long", run).groupBy("at").agg(F.sum("change").alias("change")).toPandas()  # a row a weight
     if len(moved):
@@ -424,7 +463,7 @@ def likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ln10 = float(np.log(10))
 
     def run(uids: pa.Array, shares: pa.Array, codes: pa.Array, *rest: pa.Array):
-        texts = [np.frombuffer(x.as_buffer(), np.int16).astype(np.int64) for x in codes]
+        texts = [np.frombuffer(x.as_buffer(), np.int16) for x in codes]
         return uids, model.network.score(texts, model.end) / ln10 + shares.to_numpy(), *rest
 
     own = ["id", "out", "n", "known", "base", "left"]

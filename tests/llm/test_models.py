@@ -260,3 +260,76 @@ def test_common_tokens_are_bounded(spark, monkeypatch):
     counts = spark.createDataFrame([(f"t{i}".encode(), 1000 - i if i < 30 else 7) for i in range(500)], "token binary, c long")
     got = lm_gru.common_tokens(counts)
     assert [t for t, _ in got[:30]] == [f"t{i}".encode() for i in range(30)] and 30 <= len(got) <= 50
+
+
+def test_shards_share_a_round(docs_of, monkeypatch):
+    """Four shards a round: each gets about a quarter of the round's documents."""
+    monkeypatch.setattr(lm_gru, "BLOCK", 1_000)
+    rounds, plain = [], lm_gru.map_partition
+
+    def spy(df, schema, function):
+        if "shard" in df.columns:
+            rounds.append(Counter(r.shard for r in df.select("shard").collect()))
+        return plain(df, schema, function)
+
+    monkeypatch.setattr(lm_gru, "map_partition", spy)
+    assert lm_gru.likelihood(docs_of([(i, "a b c d e f g") for i in range(2_000)])).count() == 2_000
+    assert len(rounds) == lm_gru.ROUNDS and all(sorted(r) == [0, 1, 2, 3] and max(r.values()) < 2 * min(r.values()) for r in rounds)
+
+
+def test_tokens_of_a_batch_against_bytes_split():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = [bytes(rng.choice(b" \t\n\x0b\x0c\rabAZ\x1c\x1f\x85\xa0\xc3\xff\x00") for _ in range(rng.randrange(30))) for _ in range(2_000)] + [b"", b" ", b" a", b"a "]
+    for skip in (0, 5):  # a slice as well
+        words, sizes = lm_gru.tokens(pa.array(texts, pa.binary()).slice(skip))
+        words, ends = words.to_pylist(), np.cumsum(sizes)
+        assert [words[e - n:e] for e, n in zip(ends, sizes)] == [[*t.lower().split(), b""] for t in texts[skip:]]
+    cuts = list(lm_gru.pieces(np.array([lm_gru.PIECE * 3, 1, 1, lm_gru.PIECE, 0, 0])))
+    assert cuts == [slice(0, 1), slice(1, 4), slice(4, 6)] and not list(lm_gru.pieces(np.array([], np.int64)))
+
+
+def test_scoring_needs_less_time_than_a_row_for_each_token():
+    """Many sums over short rows cost more than a few over long columns; both give the same scores."""
+    import time
+
+    net = lm_gru.Network(np.arange(1.0, 1025.0))
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 1024, 64) for _ in range(512)]
+    p, n = net.p, net.hidden
+
+    def softmax(x, at):
+        x = x - x.max(-1, keepdims=True)
+        return x[np.arange(len(x)), at] - np.log(np.exp(x).sum(-1))
+
+    def by_rows():
+        wanted = np.array(texts).T
+        table, h, last, out = p["embed"] @ p["wx"] + p["bx"], np.zeros((512, n), np.float32), np.zeros(512, int), np.zeros(512)
+        for at in range(0, 64, 16):
+            states = []
+            for t in range(at, at + 16):
+                x, y = table[last], h @ p["wh"]
+                gates = 0.5 + 0.5 * np.tanh(0.5 * (x[:, :2 * n] + y[:, :2 * n]))
+                candidate = np.tanh(x[:, 2 * n:] + gates[:, n:] * y[:, 2 * n:])
+                h, last = candidate + gates[:, :n] * (h - candidate), wanted[t]
+                states.append(h)
+            flat, kind, inside = np.concatenate(states), wanted[at:at + 16].ravel() // net.size, wanted[at:at + 16].ravel() % net.size
+            logs = softmax(flat @ p["cw"] + p["cb"], kind)
+            for c in range(net.classes):
+                some = np.flatnonzero(kind == c)
+                logs[some] += softmax(flat[some] @ p["ow"][c] + p["ob"][c], inside[some])
+            out += logs.reshape(16, 512).sum(0)
+        return out
+
+    def least(function):
+        spent = []
+        for _ in range(7):
+            start = time.thread_time()
+            made = function()
+            spent.append(time.thread_time() - start)
+        return made, min(spent)
+
+    (plain, slow), (scores, fast) = least(by_rows), least(lambda: net.score(texts, end=0))
+    assert np.allclose(plain, scores, rtol=1e-4)
+    assert fast < 0.85 * slow
