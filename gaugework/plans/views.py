@@ -21,6 +21,7 @@ from gaugework.operators.arrays import ordered_json, parallel_arrays, repeated
 from gaugework.operators.ranking import latest_per_key, rank_neighbours, with_ordered_id
 from gaugework.operators.sets import split_directions, union_shapes
 from gaugework.operators.windows import flag_exists, trailing_totals
+from gaugework.session import dealt
 
 # ---------------------------------------------------------------------------------------------
 # V1, V2: station context
@@ -327,7 +328,9 @@ def threshold_rows(thresholds: DataFrame, alert_areas: DataFrame, warning_areas:
     area name coalesced, type 'a'/'w'/'', severity default −1.
 
     Warnings of equal code and severity give equal rows: they are joined as one with their number, and the
-    joined row is repeated as often."""
+    joined row is repeated as often. Thresholds are dealt over all tasks first: each becomes as many rows as its code
+    has warnings, and a file's row groups must not decide which task makes them."""
+    thresholds = dealt(thresholds)
     a = alert_areas.select(F.col("fws_tacode").alias("_a_code"), F.col("gid").alias("_a_gid"),
                            F.col("ta_name").alias("_a_name"))
     w = warning_areas.select(F.col("fws_tacode").alias("_w_code"), F.col("gid").alias("_w_gid"),

@@ -123,3 +123,10 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     except Exception:  # noqa: BLE001  - sessions without RDD access: leave the plan as it is
         return df
     return df.repartition(want) if have < want else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over at least four tasks a core, for rows that each become many: by their bytes AQE would
+    merge them into few tasks, which it does not do with a given number."""
+    n = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(n)))))

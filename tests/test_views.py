@@ -241,3 +241,21 @@ def test_equal_warnings_are_joined_once_and_repeated(spark, monkeypatch):
     assert df.columns == ["rloi_id", "fwis_code", "value", "fwa_name", "fwa_type", "fwa_severity"]
     assert sorted(map(str, got)) == sorted(map(str, a + [(2, None, "", -1), (3, None, "", -1)]))
     assert "_n" in df._jdf.queryExecution().optimizedPlan().toString()  # the number of equal warnings, not the warnings
+
+
+def test_thresholds_of_one_row_group_are_repeated_by_all_tasks(spark, tmp_dir):
+    """One row group is one task, into however many splits its file is cut: what it becomes is made by all."""
+    from gaugework.plans.q_views import q_threshold_lookup
+    n, cut = 4000, "spark.sql.files.maxPartitionBytes"
+    spark.range(n).selectExpr("id o_orderkey", "id % 50 o_custkey", "CAST(id AS double) o_totalprice").coalesce(1).write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.range(600).selectExpr("id s_suppkey", "CAST(id % 7 AS int) s_nationkey").write.parquet(f"{tmp_dir}/supplier.parquet")
+    spark.range(50).selectExpr("id p_partkey", "concat('Brand#', CAST(id % 25 + 1 AS string)) p_brand").write.parquet(f"{tmp_dir}/part.parquet")
+    spark.conf.set(cut, "1024")
+    try:
+        df = q_threshold_lookup(spark, tmp_dir)
+        made = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(cut)
+    warnings = {f"Brand#{c + 1}": sum(1 for s in range(600) if s % 30 == c and s % 2) for c in range(30)}
+    assert sum(made) == sum(max(warnings[f"Brand#{k % 28 + 1}"], 1) for k in range(n))
+    assert max(made) * 4 < sum(made)
